@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The pipeline this library rebuilds processes bounded CSV drops in batches.
+Its "watermark" is a batch high-water mark on an integer key, implemented in
+``tidemark.operators.watermark`` - not an event-time watermark - and it has
+no windowed, late-data or stateful stream operators, so no Structured
+Streaming query is needed to reproduce it.
+"""
