@@ -35,10 +35,34 @@ def within(df: DataFrame, key: str, lo: int | None, hi: int) -> DataFrame:
     return df.filter((F.col(key) > F.lit(lo)) & upper)
 
 
-def high_water(df: DataFrame, key: str, where: Column | None = None) -> int | None:
-    """``max(key)`` (optionally over rows matching ``where``); None when empty."""
+def high_water_frame(df: DataFrame, key: str, where: Column | None = None,
+                     name: str = "high_water") -> DataFrame:
+    """One row: ``max(key)`` (over rows matching ``where``); NULL when empty."""
     c = F.col(key) if where is None else F.when(where, F.col(key))
-    return df.agg(F.max(c).alias("hw")).first()["hw"]
+    return df.agg(F.max(c).alias(name))
+
+
+def high_water(df: DataFrame, key: str, where: Column | None = None) -> int | None:
+    """``max(key)`` collected to the driver (a scalar)."""
+    return high_water_frame(df, key, where).first()[0]
+
+
+def guard_frame(df: DataFrame, key: str, mark: int, hi_where: Column | None = None,
+                extra: list[Column] | None = None) -> DataFrame:
+    """One aggregate over the raw rows deciding a run.
+
+    ``new_rows`` = rows with ``key > mark``, ``current_max`` = ``max(key)``,
+    ``batch_hi`` = largest key among rows matching ``hi_where`` (the rows that
+    will move the mark). No new rows means ``NO_NEW_DATA``. ``extra``
+    aggregates ride along in the same pass.
+    """
+    hi = F.col(key) if hi_where is None else F.when(hi_where, F.col(key))
+    return df.agg(
+        F.count_if(F.col(key) > F.lit(mark)).alias("new_rows"),
+        F.max(key).alias("current_max"),
+        F.max(hi).alias("batch_hi"),
+        *(extra or []),
+    )
 
 
 class WatermarkLog:
@@ -58,6 +82,10 @@ class WatermarkLog:
         return (self._log().groupBy("file_name").agg(latest.alias("m"))
                 .select("file_name", "m.last_watermark", "m.updated_at"))
 
+    def history(self) -> DataFrame:
+        """Every control row ever written, with its ``seq`` (1 = first advance)."""
+        return self._log()
+
     def get(self, file_name: str, default: int = 0) -> int:
         """Current mark of a file; a missing row means nothing was loaded yet."""
         row = (self._log().filter(F.col("file_name") == F.lit(file_name))

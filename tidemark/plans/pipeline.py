@@ -26,11 +26,11 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import gold, quality
-from ..operators.watermark import WatermarkLog, newer_than, within
+from ..operators.watermark import WatermarkLog, guard_frame, newer_than, within
 from ..sinks.store import Lakehouse
 from ..sources import registry, schemas
 from ..sources.csv import read_source
@@ -77,11 +77,8 @@ class Pipeline:
     def _guard(self, orders: DataFrame, lo: int) -> tuple[int, int | None]:
         """One aggregate: raw orders above ``lo`` and the largest prior id among them."""
         is_prior = F.col("eval_set") == F.lit(rulesets.PRIOR)
-        row = orders.agg(
-            F.count_if(F.col("order_id") > F.lit(lo)).alias("n"),
-            F.max(F.when(is_prior, F.col("order_id"))).alias("hi"),
-        ).first()
-        return int(row["n"]), row["hi"]
+        row = guard_frame(orders, "order_id", lo, hi_where=is_prior).first()
+        return int(row["new_rows"]), row["batch_hi"]
 
     def _silver_products(self) -> DataFrame:
         if not self.store.exists("silver", "products"):
@@ -196,6 +193,15 @@ class Pipeline:
     def choose_mode(self) -> str:
         return "initial" if self.bronze_row_count() == 0 else "incremental"
 
+    @staticmethod
+    def mode_for(bronze_rows: Column) -> Column:
+        """The mode decision as a column: an empty Bronze means initial load."""
+        return F.when(bronze_rows == 0, F.lit("initial")).otherwise(F.lit("incremental"))
+
+    @staticmethod
+    def status_for(new_rows: Column) -> Column:
+        return F.when(new_rows == 0, F.lit(NO_NEW_DATA)).otherwise(F.lit("NEW_DATA"))
+
     def run(self) -> LoadResult:
         """Pick initial or incremental load from the Bronze row count and run it."""
         if self.choose_mode() == "initial":
