@@ -1,0 +1,87 @@
+"""CSV reading: quoting, explicit schemas and the inference traps."""
+
+from tidemark.operators import quality
+from tidemark.plans import rulesets
+from tidemark.sources import read_csv, registry, schemas
+from tidemark.sources.driver_tables import DEPARTMENT_BY_TYPE
+
+from conftest import ORDERS_HEADER, write_text
+
+
+def _local(path):
+    return path[len("file:"):] if path.startswith("file:") else path
+
+
+def test_doubled_quotes_stay_one_field(spark, workdir):
+    p = write_text(_local(workdir) + "/products.csv",
+                   "product_id,product_name,aisle_id,department_id",
+                   ['1,"Salt ""Fine"", Sea",104,13'])
+    rows = read_csv(spark, p, schemas.PRODUCTS, quoted=True).collect()
+    assert [tuple(r) for r in rows] == [(1, 'Salt "Fine", Sea', 104, 13)]
+    # without the escape option the field is split at the inner comma
+    plain = read_csv(spark, p, None, quoted=False).collect()
+    assert plain[0]["product_name"] != 'Salt "Fine", Sea'
+
+
+def test_quoted_empty_reads_as_null(spark, workdir):
+    p = write_text(_local(workdir) + "/aisles.csv", "aisle_id,aisle",
+                   ['1,""', "2,", "3, ", "4,  "])
+    df = read_csv(spark, p, schemas.AISLES, quoted=True)
+    got = {r["aisle_id"]: r["aisle"] for r in df.collect()}
+    assert got[1] is None and got[2] is None
+    msgs = quality.failures(quality.collect_results(df, rulesets.aisles_rules()))
+    assert "aisle contains 2 NULL values" in msgs
+
+
+def _inferred_orders(spark, workdir, rows):
+    p = write_text(_local(workdir) + "/orders.csv", ORDERS_HEADER, rows)
+    return read_csv(spark, p, None)
+
+
+def _type_errors(df):
+    res = quality.collect_results(df, rulesets.orders_rules())
+    return [r.message for r in res if r.rule_kind == "type" and r.violations]
+
+
+def test_inferred_days_double_passes(spark, workdir):
+    df = _inferred_orders(spark, workdir, ["1,1,prior,1,1,8,15.0", "2,1,prior,2,1,8,"])
+    assert _type_errors(df) == []
+
+
+def test_inferred_days_int_fails(spark, workdir):
+    df = _inferred_orders(spark, workdir, ["1,1,prior,1,1,8,15", "2,1,prior,2,1,8,"])
+    assert _type_errors(df) == [
+        "Wrong data type for days_since_prior_order: expected double, found int"]
+
+
+def test_inferred_days_all_empty_is_string(spark, workdir):
+    df = _inferred_orders(spark, workdir, ["1,1,prior,1,1,8,", "2,1,prior,2,1,8,"])
+    assert _type_errors(df) == [
+        "Wrong data type for days_since_prior_order: expected double, found string"]
+
+
+def test_big_id_is_bigint(spark, workdir):
+    df = _inferred_orders(spark, workdir, ["3000000000,1,prior,1,1,8,1.0"])
+    assert _type_errors(df) == ["Wrong data type for order_id: expected int, found bigint"]
+
+
+def test_header_only_file_is_all_string(spark, workdir):
+    df = _inferred_orders(spark, workdir, [])
+    assert len(_type_errors(df)) == 6     # everything but eval_set
+    assert df.count() == 0
+
+
+def test_explicit_schema_reads_hour_text(spark, workdir):
+    p = write_text(_local(workdir) + "/orders.csv", ORDERS_HEADER, ["1,1,prior,1,1,08,"])
+    row = read_csv(spark, p, schemas.ORDERS).first()
+    assert row["order_hour_of_day"] == 8 and row["days_since_prior_order"] is None
+
+
+def test_registry_paths():
+    assert [s.file_name for s in registry.transaction_sources()] == [
+        "orders.csv", "order_products__prior.csv"]
+    assert [s.table for s in registry.reference_sources()] == [
+        "products", "aisles", "departments"]
+    assert registry.PRODUCTS.quoted and not registry.AISLES.quoted
+    assert registry.ORDERS.path("abfss://raw@acct/") == "abfss://raw@acct/orders.csv"
+    assert sorted(DEPARTMENT_BY_TYPE.values()) == [1, 2, 3, 4, 5, 6]
