@@ -65,33 +65,51 @@ class Rule:
             return text.replace("{actual}", str(actual))
         return text.replace("{n}", str(n))
 
-    def violation(self, value: Callable[[str], Column]) -> Column:
-        """Row predicate that is TRUE for a violating row.
+    def predicate_sql(self, value: Callable[[str], str] | None = None) -> str:
+        """Spark SQL predicate that is TRUE for a violating row.
 
-        ``value(name)`` yields the column, already ``try_cast`` to the type the
-        rule set demands when the frame holds another type.
+        ``value(name)`` yields the SQL of the column, already ``try_cast`` to the
+        type the rule set demands when the frame holds another type.
         """
+        value = value or quote
         if self.kind == "not_null":
-            return F.col(_quote(self.columns[0])).isNull()  # raw cell, not the cast one
+            return f"{quote(self.columns[0])} IS NULL"   # the raw cell, never the cast one
         c = value(self.columns[0])
         if self.kind == "range":
             lo, hi = self.params
-            return (c < F.lit(lo)) | (c > F.lit(hi))
+            return f"({c} < {sql_literal(lo)} OR {c} > {sql_literal(hi)})"
         if self.kind == "positive":
-            return c <= F.lit(0)
+            return f"{c} <= 0"
         if self.kind == "in_set":
-            return ~c.isin(*self.params)
+            return f"NOT ({c} IN ({', '.join(sql_literal(v) for v in self.params)}))"
         if self.kind == "equals":
-            return c != F.lit(self.params[0])
+            return f"{c} != {sql_literal(self.params[0])}"
         if self.kind == "not_blank":
-            return c.isin(*BLANK_VALUES)
+            return f"{c} IN ({', '.join(sql_literal(v) for v in BLANK_VALUES)})"
         raise ValueError(f"rule kind {self.kind!r} has no row predicate")
 
+    def violation(self, value: Callable[[str], str] | None = None) -> Column:
+        """The predicate as a ``Column``."""
+        return F.expr(self.predicate_sql(value))
 
-def _quote(name: str) -> str:
+
+def quote(name: str) -> str:
+    """Backtick-quoted identifier."""
     return "`" + name.replace("`", "``") + "`"
 
 
+def sql_literal(v) -> str:
+    """Spark SQL literal for a Python scalar (strings backslash-escaped)."""
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    text = str(v).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
 def has_type(column: str, expected: str) -> Rule:
     return Rule("type", (column,), expected=expected)
 

@@ -26,6 +26,12 @@ from pyspark.sql.utils import AnalysisException
 from ..sources.schemas import BATCH_COLUMN
 
 
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty frame of ``schema`` planned on the JVM (no Python worker)."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name)
+                                   for f in schema.fields])
+
+
 class Lakehouse:
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
         self.spark = spark
@@ -101,7 +107,7 @@ class Lakehouse:
         except AnalysisException:
             if schema is None:
                 raise
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, schema)
         if BATCH_COLUMN in df.columns:
             if batch is not None:
                 df = df.filter(F.col(BATCH_COLUMN) == F.lit(int(batch)))
