@@ -81,8 +81,10 @@ class Pipeline:
         return int(row["new_rows"]), row["batch_hi"]
 
     def _silver_products(self) -> DataFrame:
-        if not self.store.exists("silver", "products"):
-            raise RuntimeError("silver.products is missing: run reference_load() first")
+        # An empty dimension would drop every line in the inner join while the
+        # mark still advances: refuse instead of losing the batch.
+        if self.store.is_empty("silver", "products"):
+            raise RuntimeError("silver.products is missing or empty: run reference_load() first")
         return self.store.read("silver", "products", schema=schemas.PRODUCTS,
                                partitioned=False)
 
@@ -191,7 +193,8 @@ class Pipeline:
         return self.store.row_count("bronze", "orders")
 
     def choose_mode(self) -> str:
-        return "initial" if self.bronze_row_count() == 0 else "incremental"
+        """Initial load while bronze.orders is empty, else incremental (needs one row, not a count)."""
+        return "initial" if self.store.is_empty("bronze", "orders") else "incremental"
 
     @staticmethod
     def mode_for(bronze_rows: Column) -> Column:

@@ -116,6 +116,12 @@ class Lakehouse:
             df = df.drop(BATCH_COLUMN)
         return df
 
+    def is_empty(self, layer: str, table: str) -> bool:
+        """True when the table is missing or holds no row (reads at most one row)."""
+        if not self.exists(layer, table):
+            return True
+        return self.spark.read.format(self.fmt).load(self.path(layer, table)).isEmpty()
+
     def row_count(self, layer: str, table: str) -> int:
         """``SELECT COUNT(*)`` of a table; 0 when it does not exist."""
         if not self.exists(layer, table):
