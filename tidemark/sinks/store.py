@@ -26,6 +26,45 @@ from pyspark.sql.utils import AnalysisException
 from ..sources.schemas import BATCH_COLUMN
 
 
+class SchemaMismatchError(ValueError):
+    """An append whose columns or types do not fit the target table."""
+
+
+# Widening casts an append may apply silently; anything else is rejected.
+_SAFE_CASTS = {
+    ("tinyint", "smallint"), ("tinyint", "int"), ("tinyint", "bigint"),
+    ("smallint", "int"), ("smallint", "bigint"), ("int", "bigint"),
+    ("tinyint", "double"), ("smallint", "double"), ("int", "double"), ("bigint", "double"),
+    ("float", "double"), ("void", "int"), ("void", "bigint"), ("void", "double"),
+    ("void", "string"),
+}
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Match an append to the table schema by column name.
+
+    Missing or extra columns and narrowing/unsafe casts are refused; safe
+    widenings (int -> bigint, int -> double, ...) are applied.
+    """
+    have = dict(df.dtypes)
+    want = [(f.name, f.dataType.simpleString()) for f in schema.fields]
+    extra = sorted(set(have) - {n for n, _ in want})
+    missing = [n for n, _ in want if n not in have]
+    if extra or missing:
+        raise SchemaMismatchError(f"append does not match the table: missing {missing}, "
+                                  f"extra {extra}")
+    cols = []
+    for name, t in want:
+        got = have[name]
+        if got == t:
+            cols.append(F.col(f"`{name}`"))
+        elif (got, t) in _SAFE_CASTS:
+            cols.append(F.col(f"`{name}`").cast(t).alias(name))
+        else:
+            raise SchemaMismatchError(f"cannot safely cast {name} from {got} to {t}")
+    return df.select(*cols)
+
+
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """An empty frame of ``schema`` planned on the JVM (no Python worker)."""
     return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name)
@@ -70,16 +109,41 @@ class Lakehouse:
         if load_lo is not None:
             writer = df.withColumn(BATCH_COLUMN, F.lit(int(load_lo)).cast("bigint"))
         w = (writer.write.format(self.fmt).mode("overwrite")
-             .option("partitionOverwriteMode", "static"))
+             .option("partitionOverwriteMode", "static")
+             .option("overwriteSchema", "true"))
         if load_lo is not None:
             w = w.partitionBy(BATCH_COLUMN)
         w.save(self.path(layer, table))
 
+    def table_schema(self, layer: str, table: str) -> T.StructType | None:
+        """Stored schema without the batch column; None for a missing table."""
+        if not self.exists(layer, table):
+            return None
+        try:
+            stored = self.spark.read.format(self.fmt).load(self.path(layer, table)).schema
+        except AnalysisException:      # folder without data files yet
+            return None
+        return T.StructType([f for f in stored.fields if f.name != BATCH_COLUMN])
+
     def write_batch(self, df: DataFrame, layer: str, table: str, load_lo: int) -> None:
-        """Retry-safe append: the batch replaces its own ``load_lo`` partition only."""
+        """Retry-safe append: the batch replaces its own ``load_lo`` partition only.
+
+        Columns are matched to the stored table by name (see :func:`conform`).
+        Parquet: the partition folder is removed first - an empty retry must
+        not leave stale rows - then written by dynamic partition overwrite.
+        Delta: one atomic ``replaceWhere`` overwrite of the partition.
+        """
+        stored = self.table_schema(layer, table)
+        if stored is not None:
+            df = conform(df, stored)
+        out = df.withColumn(BATCH_COLUMN, F.lit(int(load_lo)).cast("bigint"))
+        if self.fmt == "delta":
+            (out.write.format("delta").mode("overwrite")
+             .option("replaceWhere", f"{BATCH_COLUMN} = {int(load_lo)}")
+             .partitionBy(BATCH_COLUMN).save(self.path(layer, table)))
+            return
         self.drop_batch(layer, table, load_lo)
-        (df.withColumn(BATCH_COLUMN, F.lit(int(load_lo)).cast("bigint"))
-         .write.format(self.fmt).mode("overwrite")
+        (out.write.format(self.fmt).mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy(BATCH_COLUMN)
          .save(self.path(layer, table)))
