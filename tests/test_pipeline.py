@@ -138,6 +138,8 @@ def test_late_line_is_never_loaded(spark, workdir, loaded):
     p.run()
     rows = [r for r in p.fact().collect() if r["order_id"] == 10 and r["product_id"] == 2]
     assert rows == []
+    late = [(r["order_id"], r["product_id"]) for r in p.late_lines().collect()]
+    assert late == [(10, 2)]
 
 
 def test_orphan_lines_are_dropped_silently(spark, workdir):
@@ -147,6 +149,8 @@ def test_orphan_lines_are_dropped_silently(spark, workdir):
     assert p.run().status == SUCCESS
     assert keys(p.fact()) == sorted((o, pid) for o in range(1, 6) for pid in (1, 2, 3)
                                     if (o + pid) % 4)
+    assert {r["reason"]: r["lines"] for r in p.orphans().collect()} == {
+        "unknown_order": 0, "unknown_product": 1}     # order 77 is above the clamp
 
 
 def test_empty_orders_and_missing_mark(spark, workdir):

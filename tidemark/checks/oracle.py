@@ -235,6 +235,15 @@ def _quoted_products() -> str:
       FROM ({products_sql()}) p JOIN part x ON p.product_id = CAST(x.p_partkey AS INTEGER)"""
 
 
+def _orphans() -> str:
+    lines, prior = lines_sql(), f"SELECT * FROM ({orders_sql()}) o WHERE eval_set = 'prior'"
+    return f"""SELECT 'unknown_order' AS reason, count(*) AS lines FROM ({lines}) l
+        WHERE NOT EXISTS (SELECT 1 FROM ({prior}) o WHERE o.order_id = l.order_id)
+      UNION ALL
+      SELECT 'unknown_product' AS reason, count(*) AS lines FROM ({lines}) l
+        WHERE NOT EXISTS (SELECT 1 FROM ({products_sql()}) p WHERE p.product_id = l.product_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     o, l = orders_sql(), lines_sql()
     return {
@@ -249,6 +258,7 @@ def oracle_sql() -> dict[str, str]:
         "load_decision": _load_decision(),
         "dup_keys_order_products": f"SELECT order_id, product_id, count(*) AS n FROM ({l}) l "
                                    f"GROUP BY order_id, product_id HAVING count(*) > 1",
+        "orphan_lines": _orphans(),
         "dq_orders": _dq("orders", scope="prior"),
         "dq_orders_incremental": _dq("orders", scope="new"),
         "dq_order_products": _dq("order_products_prior"),

@@ -94,6 +94,11 @@ def dup_keys_order_products(spark, sf_dir):
             .filter(F.col("n") > 1))
 
 
+def orphan_lines(spark, sf_dir):
+    return gold.orphan_lines(dt.order_lines(spark, sf_dir), _prior(dt.orders(spark, sf_dir)),
+                             dt.products(spark, sf_dir))
+
+
 # -- data quality -----------------------------------------------------------------
 def _dq(table: str, variant: str = "dirty", scope: str = "all"):
     def run(spark, sf_dir):
@@ -224,6 +229,7 @@ QUERIES = {
     "bronze_row_count": bronze_row_count,
     "load_decision": load_decision,
     "dup_keys_order_products": dup_keys_order_products,
+    "orphan_lines": orphan_lines,
     "dq_orders": _dq("orders", scope="prior"),
     "dq_orders_incremental": _dq("orders", scope="new"),
     "dq_order_products": _dq("order_products_prior"),

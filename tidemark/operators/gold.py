@@ -48,6 +48,25 @@ def build_fact(lines: DataFrame, orders: DataFrame, products: DataFrame,
             .select(*FACT_COLUMNS))
 
 
+def orphan_lines(lines: DataFrame, orders: DataFrame, products: DataFrame,
+                 broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """What the fact's inner joins drop silently, as counts per reason.
+
+    Rows ``(reason, lines)``: lines whose ``order_id`` has no order, and lines
+    whose ``product_id`` has no product (a line may count under both).
+    Both are left-anti joins; the product side is size-checked for broadcast.
+    """
+    keys = lines.select("order_id", "product_id")
+    no_order = (keys.join(orders.select("order_id"), "order_id", "left_anti")
+                .agg(F.count("*").alias("lines"))
+                .select(F.lit("unknown_order").alias("reason"), "lines"))
+    dim = bounded_broadcast(products.select("product_id"), broadcast_max_rows)
+    no_product = (keys.join(dim, "product_id", "left_anti")
+                  .agg(F.count("*").alias("lines"))
+                  .select(F.lit("unknown_product").alias("reason"), "lines"))
+    return no_order.unionByName(no_product)
+
+
 def build_dim(silver: DataFrame) -> DataFrame:
     """Dimensions are identity copies of their Silver tables."""
     return silver

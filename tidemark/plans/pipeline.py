@@ -239,6 +239,26 @@ class Pipeline:
         return gold.star(self.fact(), d["dim_product"], d["dim_aisle"], d["dim_department"],
                          broadcast_max_rows=self.broadcast_max_rows)
 
+    def late_lines(self) -> DataFrame:
+        """Raw lines at or below the mark that never reached Silver.
+
+        A line arriving after the mark passed its order is never selected
+        again; this opt-in report (a left-anti join over the whole history,
+        so it shuffles both sides) makes such rows visible.
+        """
+        mark = self.marks.get(registry.ORDERS.file_name)
+        raw = self._raw(registry.ORDER_PRODUCTS).filter(F.col("order_id") <= F.lit(mark))
+        silver = self.committed("silver", "order_products_prior", schemas.ORDER_PRODUCTS)
+        return raw.join(silver.select("order_id", "product_id"),
+                        ["order_id", "product_id"], "left_anti")
+
+    def orphans(self) -> DataFrame:
+        """Committed Silver lines the fact dropped, per reason (see ``gold.orphan_lines``)."""
+        return gold.orphan_lines(
+            self.committed("silver", "order_products_prior", schemas.ORDER_PRODUCTS),
+            self.committed("silver", "orders", schemas.ORDERS), self._silver_products(),
+            broadcast_max_rows=self.broadcast_max_rows)
+
     def register_views(self) -> list[str]:
         """Temp views ``<layer>_<table>`` over committed data, for SQL users."""
         names = []
