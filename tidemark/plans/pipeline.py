@@ -23,7 +23,11 @@ before guard, gate and mark.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
+from typing import Any
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +47,37 @@ DIM_TABLES = {"products": "dim_product", "aisles": "dim_aisle", "departments": "
 FACT_TABLE = "fact_order_products"
 
 
+def concurrently(*tasks: Callable[[], Any]) -> list[tuple[Any, BaseException | None]]:
+    """Submit independent Spark actions from driver threads so their jobs share
+    the executors; returns ``(result, error)`` per task, in task order."""
+    if len(tasks) <= 1:
+        out = []
+        for task in tasks:
+            try:
+                out.append((task(), None))
+            except Exception as e:  # noqa: BLE001 - handed back to the caller
+                out.append((None, e))
+        return out
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        futures = [pool.submit(t) for t in tasks]
+        out = []
+        for f in futures:
+            try:
+                out.append((f.result(), None))
+            except Exception as e:  # noqa: BLE001
+                out.append((None, e))
+        return out
+
+
+def run_all(*tasks: Callable[[], Any]) -> list[Any]:
+    """:func:`concurrently`, raising the first error in task order."""
+    outcomes = concurrently(*tasks)
+    for _, error in outcomes:
+        if error is not None:
+            raise error
+    return [r for r, _ in outcomes]
+
+
 @dataclass
 class LoadResult:
     status: str                      # SUCCESS | NO_NEW_DATA
@@ -101,21 +136,45 @@ class Pipeline:
 
     # -- loads -------------------------------------------------------------------
     def reference_load(self) -> LoadResult:
-        """Products, aisles, departments: Bronze, gated Silver, Gold dimensions (full refresh)."""
+        """Products, aisles, departments: Bronze, gated Silver, Gold dimensions (full refresh).
+
+        Silver is written for the tables before the first failing gate (table
+        order); that failure is raised and no dimension is rebuilt.
+        """
         specs = registry.reference_sources()
-        for spec in specs:
-            self.store.replace(self._raw(spec), "bronze", spec.table)
-        checks = {}
-        for spec in specs:
-            bronze = self.store.read("bronze", spec.table)
-            checks[spec.table] = quality.gate(bronze, rulesets.RULESETS[spec.table](),
-                                              rulesets.TITLES[spec.table])
-            self.store.replace(bronze, "silver", spec.table)
-        for spec in specs:
-            silver = self.store.read("silver", spec.table)
-            self.store.replace(gold.build_dim(silver), "gold", DIM_TABLES[spec.table])
+        run_all(*[partial(self._land_reference, s) for s in specs])
+        bronze = {s.table: self.store.read("bronze", s.table) for s in specs}
+        outcomes = concurrently(*[
+            partial(quality.gate, bronze[s.table], rulesets.RULESETS[s.table](),
+                    rulesets.TITLES[s.table]) for s in specs])
+        checks, passed, failure = {}, [], None
+        for spec, (result, error) in zip(specs, outcomes):
+            if error is not None:
+                failure = error
+                break
+            checks[spec.table] = result
+            passed.append(spec)
+        run_all(*[partial(self.store.replace, bronze[s.table], "silver", s.table) for s in passed])
+        if failure is not None:
+            raise failure
+        run_all(*[partial(self._build_dim, s) for s in specs])
         return LoadResult(SUCCESS, "reference", quality=checks)
 
+    def _land_reference(self, spec: registry.SourceSpec) -> None:
+        self.store.replace(self._raw(spec), "bronze", spec.table)
+
+    def _build_dim(self, spec: registry.SourceSpec) -> None:
+        silver = self.store.read("silver", spec.table)
+        self.store.replace(gold.build_dim(silver), "gold", DIM_TABLES[spec.table])
+
+    def _gate_orders(self, df: DataFrame, incremental: bool):
+        return quality.gate(df, rulesets.orders_rules(), rulesets.TITLES["orders"],
+                            incremental=incremental)
+
+    def _gate_lines(self, df: DataFrame, incremental: bool):
+        return quality.gate(df, rulesets.order_products_rules(),
+                            rulesets.TITLES["order_products_prior"], incremental=incremental)
+
     def initial_load(self) -> LoadResult:
         """Full history into all three layers; the mark moves to the largest prior id."""
         lo = self.marks.get(registry.ORDERS.file_name)
@@ -125,21 +184,26 @@ class Pipeline:
         if n_new == 0 or hi is None:
             return LoadResult(NO_NEW_DATA, "initial", lo=lo, hi=lo, new_orders=n_new)
 
-        self.store.replace(self._prior(raw_orders), "bronze", "orders", load_lo=lo)
         lines = within(self._raw(registry.ORDER_PRODUCTS), "order_id", None, hi)
-        self.store.replace(lines, "bronze", "order_products_prior", load_lo=lo)
+        run_all(partial(self.store.replace, self._prior(raw_orders), "bronze", "orders", lo),
+                partial(self.store.replace, lines, "bronze", "order_products_prior", lo))
 
-        checks = {}
         bronze_orders = self._read("bronze", "orders", schemas.ORDERS, lo)
-        checks["orders"] = quality.gate(bronze_orders, rulesets.orders_rules(),
-                                        rulesets.TITLES["orders"])
-        self.store.replace(bronze_orders, "silver", "orders", load_lo=lo)
-
         bronze_lines = self._read("bronze", "order_products_prior", schemas.ORDER_PRODUCTS, lo)
-        checks["order_products_prior"] = quality.gate(
-            bronze_lines, rulesets.order_products_rules(),
-            rulesets.TITLES["order_products_prior"])
-        self.store.replace(bronze_lines, "silver", "order_products_prior", load_lo=lo)
+        (orders_ok, orders_err), (lines_ok, lines_err) = concurrently(
+            partial(self._gate_orders, bronze_orders, False),
+            partial(self._gate_lines, bronze_lines, False))
+        if orders_err is not None:
+            raise orders_err
+        checks = {"orders": orders_ok}
+        writes = [partial(self.store.replace, bronze_orders, "silver", "orders", lo)]
+        if lines_err is None:
+            checks["order_products_prior"] = lines_ok
+            writes.append(partial(self.store.replace, bronze_lines, "silver",
+                                  "order_products_prior", lo))
+        run_all(*writes)
+        if lines_err is not None:
+            raise lines_err
 
         fact = self._fact(self._read("silver", "order_products_prior", schemas.ORDER_PRODUCTS, lo),
                           self._read("silver", "orders", schemas.ORDERS, lo))
@@ -154,7 +218,7 @@ class Pipeline:
         batch = newer_than(self._raw(registry.ORDERS), "order_id", lo)
         if self.other_eval_set == "skip":
             batch = self._prior(batch)
-        # The raw batch feeds the guard, the Bronze write and the gate: keep it
+        # The raw batch feeds the guard, the gate and the Bronze write: keep it
         # (spillable; a lost executor recomputes its blocks from the scan).
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -163,25 +227,36 @@ class Pipeline:
                 return LoadResult(NO_NEW_DATA, "incremental", lo=lo, hi=lo, new_orders=0)
             hi = lo if batch_hi is None else max(lo, int(batch_hi))
 
-            # The gate sees the raw batch (all eval_sets in "fail" mode); it runs
-            # before the batch lands so a batch of the wrong types is reported
-            # by the gate rather than refused by the append.
-            checks = {}
-            checks["orders"] = quality.gate(batch, rulesets.orders_rules(),
-                                            rulesets.TITLES["orders"], incremental=True)
-            self.store.write_batch(self._prior(batch), "bronze", "orders", lo)
+            # The orders gate sees the raw batch (all eval_sets in "fail" mode)
+            # and runs before the batch lands, so a batch of the wrong types is
+            # reported by the gate rather than refused by the append. The lines
+            # land meanwhile; they are gated from their Bronze partition.
             lines = within(self._raw(registry.ORDER_PRODUCTS), "order_id", lo, hi)
-            self.store.write_batch(lines, "bronze", "order_products_prior", lo)
-
-            bronze_orders = self._read("bronze", "orders", schemas.ORDERS, lo)
-            self.store.write_batch(bronze_orders, "silver", "orders", lo)
+            (orders_ok, orders_err), (_, land_err) = concurrently(
+                partial(self._gate_orders, batch, True),
+                partial(self.store.write_batch, lines, "bronze", "order_products_prior", lo))
+            if orders_err is not None:
+                raise orders_err
+            if land_err is not None:
+                raise land_err
+            checks = {"orders": orders_ok}
 
             bronze_lines = self._read("bronze", "order_products_prior",
                                       schemas.ORDER_PRODUCTS, lo)
-            checks["order_products_prior"] = quality.gate(
-                bronze_lines, rulesets.order_products_rules(),
-                rulesets.TITLES["order_products_prior"], incremental=True)
-            self.store.write_batch(bronze_lines, "silver", "order_products_prior", lo)
+            (_, land_err), (lines_ok, lines_err) = concurrently(
+                partial(self.store.write_batch, self._prior(batch), "bronze", "orders", lo),
+                partial(self._gate_lines, bronze_lines, True))
+            if land_err is not None:
+                raise land_err
+            bronze_orders = self._read("bronze", "orders", schemas.ORDERS, lo)
+            writes = [partial(self.store.write_batch, bronze_orders, "silver", "orders", lo)]
+            if lines_err is None:
+                checks["order_products_prior"] = lines_ok
+                writes.append(partial(self.store.write_batch, bronze_lines, "silver",
+                                      "order_products_prior", lo))
+            run_all(*writes)
+            if lines_err is not None:
+                raise lines_err
 
             fact = self._fact(
                 self._read("silver", "order_products_prior", schemas.ORDER_PRODUCTS, lo),
