@@ -59,10 +59,10 @@ def sequence_within(df: DataFrame, group: str, order: list[str], carry: str) ->
     partition and group) supplies the offsets and the boundary ``lag``.
     ``order`` must be unique within a group.
     """
-    spark = df.sparkSession
-    shared_dir(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(parts, group, *order)
+    shared_dir(df.sparkSession)
+    # No explicit count: AQE may coalesce small ranges, and coalescing only
+    # merges adjacent ranges, so partition ids stay in range order.
+    ranged = (df.repartitionByRange(group, *order)
               .withColumn("_pid", F.spark_partition_id())
               .checkpoint(eager=True))
     seg_w = Window.partitionBy("_pid", group).orderBy(*order)
