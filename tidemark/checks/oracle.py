@@ -278,6 +278,9 @@ def oracle_sql() -> dict[str, str]:
         "csv_orders": o,
         "csv_products_quoted": _quoted_products(),
         "pipeline_fact": fact_sql("clean"),
+        "pipeline_gate_failure": dq_sql(
+            f"SELECT * FROM ({orders_sql('clean')}) o WHERE order_id > {_first_mark()}",
+            rulesets.orders_rules()),
         "pipeline_fact_increment": f"SELECT * FROM ({fact_sql('clean')}) f "
                                    f"WHERE order_id > {_first_mark()}",
         "pipeline_star": star_sql("clean"),

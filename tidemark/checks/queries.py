@@ -182,6 +182,27 @@ def _pipeline(spark, sf_dir) -> Pipeline:
     return Pipeline(spark, store, f"{root}/raw-full", other_eval_set="skip")
 
 
+def pipeline_gate_failure(spark, sf_dir):
+    """Default ``other_eval_set="fail"``: the incremental batch brings non-prior
+    orders, so the gate must fail and the mark must stay; returns the gate's
+    per-rule report of that failed run."""
+    store, root = pipeline_store(spark, sf_dir)
+    strict = Lakehouse(spark, fresh_dir(spark, "strict") + "/lake")
+    first = Pipeline(spark, strict, f"{root}/raw-initial")
+    first.reference_load()
+    first.run()
+    mark = first.marks.get(registry.ORDERS.file_name)
+    try:
+        Pipeline(spark, strict, f"{root}/raw-full").run()
+    except quality.QualityGateError as err:
+        if first.marks.get(registry.ORDERS.file_name) != mark:
+            raise AssertionError("the mark moved after a failed gate") from err
+        rows = [tuple(r.__dict__[c] for c in quality.RESULT_COLUMNS) for r in err.results]
+        return spark.createDataFrame(rows, "rule_no int, rule_kind string, column_name string, "
+                                           "violations bigint, message string")
+    raise AssertionError("the incremental gate should have failed on non-prior orders")
+
+
 def pipeline_fact(spark, sf_dir):
     return _pipeline(spark, sf_dir).fact()
 
@@ -250,6 +271,7 @@ QUERIES = {
     "csv_orders": csv_orders,
     "csv_products_quoted": csv_products_quoted,
     "pipeline_fact": pipeline_fact,
+    "pipeline_gate_failure": pipeline_gate_failure,
     "pipeline_fact_increment": pipeline_fact_increment,
     "pipeline_star": pipeline_star,
     "pipeline_layer_counts": pipeline_layer_counts,
