@@ -94,14 +94,15 @@ class WatermarkLog:
 
     def advance(self, file_names: list[str], value: int) -> None:
         """Set the mark of every file in one append (all or nothing)."""
-        seq = self._log().agg(F.coalesce(F.max("seq"), F.lit(0)).alias("s")).first()["s"] + 1
+        # next seq as a scalar subquery of the same job (single writer assumed)
+        seq = self._log().agg((F.coalesce(F.max("seq"), F.lit(0)) + 1).alias("s")).scalar()
         rows = F.array(*[F.struct(F.lit(f).alias("file_name"),
                                   F.lit(int(value)).cast("bigint").alias("last_watermark"))
                          for f in file_names])
         (self.spark.range(1).select(F.inline(rows))
          .select("file_name", "last_watermark",
                  F.current_timestamp().alias("updated_at"),
-                 F.lit(seq).cast("bigint").alias("seq"))
+                 seq.cast("bigint").alias("seq"))
          .coalesce(1).write.format(self.store.fmt).mode("append")
          .save(self.store.path(CONTROL_LAYER, CONTROL_TABLE)))
 
