@@ -74,6 +74,12 @@ def test_initial_then_incremental(spark, workdir, loaded):
     assert p.star().count() == len(expect)
     p.register_views()
     assert spark.sql("SELECT COUNT(*) AS row_count FROM bronze_orders").first()[0] == 15
+    names = p.register_tables()
+    assert "gold.fact_order_products" in names and "control.watermark" in names
+    assert spark.sql("SELECT COUNT(*) AS row_count FROM bronze.orders").first()[0] == 15
+    marks = spark.sql("SELECT last_watermark FROM control.watermark "
+                      "WHERE file_name = 'orders.csv'").first()[0]
+    assert marks == 15
 
 
 def test_no_new_data_leaves_tables_unchanged(spark, workdir, loaded):

@@ -227,7 +227,7 @@ def pipeline_star(spark, sf_dir):
 
 def pipeline_layer_counts(spark, sf_dir):
     p = _pipeline(spark, sf_dir)
-    p.register_views()
+    p.register_tables()
     names = [("bronze", "orders"), ("bronze", "order_products_prior"),
              ("silver", "orders"), ("silver", "order_products_prior"),
              ("gold", "fact_order_products"),
@@ -236,7 +236,7 @@ def pipeline_layer_counts(spark, sf_dir):
              ("gold", "dim_product"), ("gold", "dim_aisle"), ("gold", "dim_department")]
     sql = " UNION ALL ".join(
         f"SELECT '{layer}' AS layer, '{table}' AS table_name, COUNT(*) AS row_count "
-        f"FROM {layer}_{table}" for layer, table in names)
+        f"FROM {layer}.{table}" for layer, table in names)
     return spark.sql(sql)
 
 

@@ -178,15 +178,18 @@ class Pipeline:
     def initial_load(self) -> LoadResult:
         """Full history into all three layers; the mark moves to the largest prior id."""
         lo = self.marks.get(registry.ORDERS.file_name)
-        raw_orders = self._raw(registry.ORDERS)
-        scope = raw_orders if self.other_eval_set == "fail" else self._prior(raw_orders)
-        n_new, hi = self._guard(scope, lo)
-        if n_new == 0 or hi is None:
-            return LoadResult(NO_NEW_DATA, "initial", lo=lo, hi=lo, new_orders=n_new)
-
-        lines = within(self._raw(registry.ORDER_PRODUCTS), "order_id", None, hi)
-        run_all(partial(self.store.replace, self._prior(raw_orders), "bronze", "orders", lo),
-                partial(self.store.replace, lines, "bronze", "order_products_prior", lo))
+        # guard and Bronze landing share one parse of the orders drop
+        raw_orders = self._raw(registry.ORDERS).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            scope = raw_orders if self.other_eval_set == "fail" else self._prior(raw_orders)
+            n_new, hi = self._guard(scope, lo)
+            if n_new == 0 or hi is None:
+                return LoadResult(NO_NEW_DATA, "initial", lo=lo, hi=lo, new_orders=n_new)
+            lines = within(self._raw(registry.ORDER_PRODUCTS), "order_id", None, hi)
+            run_all(partial(self.store.replace, self._prior(raw_orders), "bronze", "orders", lo),
+                    partial(self.store.replace, lines, "bronze", "order_products_prior", lo))
+        finally:
+            raw_orders.unpersist()
 
         bronze_orders = self._read("bronze", "orders", schemas.ORDERS, lo)
         bronze_lines = self._read("bronze", "order_products_prior", schemas.ORDER_PRODUCTS, lo)
@@ -334,6 +337,43 @@ class Pipeline:
             self.committed("silver", "orders", schemas.ORDERS), self._silver_products(),
             broadcast_max_rows=self.broadcast_max_rows)
 
+    def register_tables(self) -> list[str]:
+        """``<layer>.<table>`` names in the session catalog, for SQL users.
+
+        One database per layer (located under the store root, not in a local
+        warehouse) holding views over the stored tables; transactional tables
+        show committed batches only. Re-run after a load to move the views to
+        the new mark.
+        """
+        mark = self.marks.get(registry.ORDERS.file_name)
+        names = []
+        for layer in ("bronze", "silver", "gold", "control"):
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} "
+                           f"LOCATION '{self.store.root}/_catalog/{layer}.db'")
+        tables = [("bronze", "orders", True), ("bronze", "order_products_prior", True),
+                  ("silver", "orders", True), ("silver", "order_products_prior", True),
+                  ("gold", FACT_TABLE, True)]
+        tables += [(layer, s.table, False) for s in registry.reference_sources()
+                   for layer in ("bronze", "silver")]
+        tables += [("gold", dim, False) for dim in DIM_TABLES.values()]
+        for layer, table, batched in tables:
+            if self.store.table_schema(layer, table) is None:
+                continue
+            cols = ", ".join(f"`{f.name}`" for f in self.store.table_schema(layer, table).fields)
+            src = f"{self.store.fmt}.`{self.store.path(layer, table)}`"
+            where = f" WHERE {schemas.BATCH_COLUMN} < {int(mark)}" if batched else ""
+            self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.{table} AS "
+                           f"SELECT {cols} FROM {src}{where}")
+            names.append(f"{layer}.{table}")
+        log = self.store.path("control", "watermark")
+        if self.store.table_schema("control", "watermark") is not None:
+            self.spark.sql(
+                "CREATE OR REPLACE VIEW control.watermark AS SELECT file_name, "
+                "max_by(last_watermark, seq) AS last_watermark, max_by(updated_at, seq) AS updated_at "
+                f"FROM {self.store.fmt}.`{log}` GROUP BY file_name")
+            names.append("control.watermark")
+        return names
+
     def register_views(self) -> list[str]:
         """Temp views ``<layer>_<table>`` over committed data, for SQL users."""
         names = []
