@@ -228,6 +228,11 @@ def test_inferred_types_are_gated_and_appends_are_conformed(spark, workdir, load
                                                "found string"):
         p.incremental_load()
     assert p.marks.get("orders.csv") == 12
+    # corrected drop: the retry lands at the same mark
+    fixed = write_raw(f"{workdir}/inf2", [order_row(i, days="3.0") for i in (13, 14)],
+                      lines_upto(14, start=13))
+    r = Pipeline(spark, loaded.store, fixed, infer_schema=True).incremental_load()
+    assert (r.status, r.lo, r.hi) == (SUCCESS, 12, 14)
     table = loaded.store.table_schema("silver", "orders")
     ok = spark.createDataFrame([(1, 1, "prior", 1, 1, 1, 2)], "order_id int, user_id int, "
                                "eval_set string, order_number int, order_dow int, "
@@ -237,3 +242,19 @@ def test_inferred_types_are_gated_and_appends_are_conformed(spark, workdir, load
         conform(ok.withColumn("order_id", ok["order_id"].cast("string")), table)
     with pytest.raises(SchemaMismatchError):
         conform(ok.withColumn("extra", ok["order_id"]), table)
+
+
+def test_failed_inferred_initial_is_retried_at_the_same_mark(spark, workdir):
+    ints = [order_row(i, days="5") for i in range(1, 5)]          # days infer as int
+    p = Pipeline(spark, Lakehouse(spark, workdir + "/lake"),
+                 write_raw(f"{workdir}/a", ints, lines_upto(4)), infer_schema=True)
+    p.reference_load()
+    with pytest.raises(QualityGateError, match="expected double, found int"):
+        p.run()
+    fixed = [order_row(i, days="5.0") for i in range(1, 5)]
+    q = Pipeline(spark, p.store, write_raw(f"{workdir}/b", fixed, lines_upto(4)),
+                 infer_schema=True)
+    r = q.run()
+    assert (r.mode, r.status, r.lo, r.hi) == ("incremental", SUCCESS, 0, 4)
+    assert sorted(x["order_id"] for x in q.store.read("bronze", "orders").collect()) == [1, 2, 3, 4]
+    assert dict(q.fact().dtypes)["days_since_prior_order"] == "double"

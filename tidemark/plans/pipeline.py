@@ -237,7 +237,8 @@ class Pipeline:
             lines = within(self._raw(registry.ORDER_PRODUCTS), "order_id", lo, hi)
             (orders_ok, orders_err), (_, land_err) = concurrently(
                 partial(self._gate_orders, batch, True),
-                partial(self.store.write_batch, lines, "bronze", "order_products_prior", lo))
+                partial(self.store.write_batch, lines, "bronze", "order_products_prior", lo,
+                        schemas.ORDER_PRODUCTS))
             if orders_err is not None:
                 raise orders_err
             if land_err is not None:
@@ -247,16 +248,18 @@ class Pipeline:
             bronze_lines = self._read("bronze", "order_products_prior",
                                       schemas.ORDER_PRODUCTS, lo)
             (_, land_err), (lines_ok, lines_err) = concurrently(
-                partial(self.store.write_batch, self._prior(batch), "bronze", "orders", lo),
+                partial(self.store.write_batch, self._prior(batch), "bronze", "orders", lo,
+                        schemas.ORDERS),
                 partial(self._gate_lines, bronze_lines, True))
             if land_err is not None:
                 raise land_err
             bronze_orders = self._read("bronze", "orders", schemas.ORDERS, lo)
-            writes = [partial(self.store.write_batch, bronze_orders, "silver", "orders", lo)]
+            writes = [partial(self.store.write_batch, bronze_orders, "silver", "orders", lo,
+                              schemas.ORDERS)]
             if lines_err is None:
                 checks["order_products_prior"] = lines_ok
                 writes.append(partial(self.store.write_batch, bronze_lines, "silver",
-                                      "order_products_prior", lo))
+                                      "order_products_prior", lo, schemas.ORDER_PRODUCTS))
             run_all(*writes)
             if lines_err is not None:
                 raise lines_err
@@ -264,7 +267,7 @@ class Pipeline:
             fact = self._fact(
                 self._read("silver", "order_products_prior", schemas.ORDER_PRODUCTS, lo),
                 self._read("silver", "orders", schemas.ORDERS, lo))
-            self.store.write_batch(fact, "gold", FACT_TABLE, lo)
+            self.store.write_batch(fact, "gold", FACT_TABLE, lo, _fact_schema())
 
             self.marks.advance(TRANSACTION_FILES, hi)
             return LoadResult(SUCCESS, "incremental", lo=lo, hi=hi, new_orders=n_new,

@@ -125,17 +125,19 @@ class Lakehouse:
             return None
         return T.StructType([f for f in stored.fields if f.name != BATCH_COLUMN])
 
-    def write_batch(self, df: DataFrame, layer: str, table: str, load_lo: int) -> None:
+    def write_batch(self, df: DataFrame, layer: str, table: str, load_lo: int,
+                    schema: T.StructType | None = None) -> None:
         """Retry-safe append: the batch replaces its own ``load_lo`` partition only.
 
-        Columns are matched to the stored table by name (see :func:`conform`).
+        Columns are matched by name (see :func:`conform`) to ``schema``, the
+        table's declared contract, or else to the stored table's schema.
         Parquet: the partition folder is removed first - an empty retry must
         not leave stale rows - then written by dynamic partition overwrite.
         Delta: one atomic ``replaceWhere`` overwrite of the partition.
         """
-        stored = self.table_schema(layer, table)
-        if stored is not None:
-            df = conform(df, stored)
+        target = schema if schema is not None else self.table_schema(layer, table)
+        if target is not None:
+            df = conform(df, target)
         out = df.withColumn(BATCH_COLUMN, F.lit(int(load_lo)).cast("bigint"))
         if self.fmt == "delta":
             (out.write.format("delta").mode("overwrite")
