@@ -83,5 +83,5 @@ def test_registry_paths():
     assert [s.table for s in registry.reference_sources()] == [
         "products", "aisles", "departments"]
     assert registry.PRODUCTS.quoted and not registry.AISLES.quoted
-    assert registry.ORDERS.path("abfss://raw@acct/") == "abfss://raw@acct/orders.csv"
+    assert registry.ORDERS.path("s3a://raw/zone/") == "s3a://raw/zone/orders.csv"
     assert sorted(DEPARTMENT_BY_TYPE.values()) == [1, 2, 3, 4, 5, 6]

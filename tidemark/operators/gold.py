@@ -86,5 +86,5 @@ def star(fact: DataFrame, dim_product: DataFrame, dim_aisle: DataFrame,
 
 
 def preview(df: DataFrame, n: int = 10) -> DataFrame:
-    """First ``n`` rows in no particular order (the notebook preview)."""
+    """First ``n`` rows in no particular order (a quick look at a result)."""
     return df.limit(n)

@@ -2,6 +2,8 @@
 
 Order per table: type of every column, required NULLs, key uniqueness, then
 the value rules. Each set is plain data and can be extended or replaced.
+The lists below (which columns each rule covers, in which order) are fixed
+values: reports must list the same rules in the same order.
 """
 
 from __future__ import annotations
