@@ -13,6 +13,10 @@ copies of the source tables. Timed:
   dq_orders / dq_order_products   single-pass gate evaluation over the whole tables
   star_join         fact x product/aisle/department dimensions (noop sink)
 
+Before timing, the same loads run once on the sf0.001 tables (untimed, own
+folder) so the numbers reflect a warm JVM rather than first-use class
+loading and code generation.
+
 Prints one JSON line.
 """
 
@@ -52,7 +56,17 @@ def main() -> None:
         dt.TABLES[name](spark, sf_dir, "dirty").write.parquet(f"{root}/src/{name}")
     src = {n: spark.read.parquet(f"{root}/src/{n}")
            for n in ("orders", "order_products_prior", "products", "aisles", "departments")}
-    src["orders"].count()   # warm up
+    warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    if os.path.isdir(warm_dir) and os.path.abspath(warm_dir) != os.path.abspath(sf_dir):
+        warm = fresh_dir(spark, "bench-warmup")
+        dt.write_raw_zone(spark, warm_dir, f"{warm}/raw-initial", "clean",
+                          max_order_id=split_point(spark, warm_dir))
+        dt.write_raw_zone(spark, warm_dir, f"{warm}/raw-full", "clean")
+        w_store = Lakehouse(spark, f"{warm}/lake")
+        Pipeline(spark, w_store, f"{warm}/raw-initial", other_eval_set="skip").reference_load()
+        Pipeline(spark, w_store, f"{warm}/raw-initial", other_eval_set="skip").run()
+        Pipeline(spark, w_store, f"{warm}/raw-full", other_eval_set="skip").run()
+    src["orders"].count()
 
     store = Lakehouse(spark, f"{root}/lake")
     times: dict[str, float] = {}

@@ -154,19 +154,19 @@ class Pipeline:
                 break
             checks[spec.table] = result
             passed.append(spec)
-        run_all(*[partial(self.store.replace, bronze[s.table], "silver", s.table) for s in passed])
+        promote = [partial(self.store.replace, bronze[s.table], "silver", s.table) for s in passed]
         if failure is not None:
+            run_all(*promote)
             raise failure
-        run_all(*[partial(self._build_dim, s) for s in specs])
+        # Silver is an identity copy of the gated Bronze, so the dimensions are
+        # built from the same frames while Silver is written.
+        run_all(*promote, *[partial(self.store.replace, gold.build_dim(bronze[s.table]), "gold",
+                                    DIM_TABLES[s.table]) for s in specs])
         return LoadResult(SUCCESS, "reference", quality=checks)
 
     def _land_reference(self, spec: registry.SourceSpec) -> None:
         self.store.replace(self._raw(spec), "bronze", spec.table)
 
-    def _build_dim(self, spec: registry.SourceSpec) -> None:
-        silver = self.store.read("silver", spec.table)
-        self.store.replace(gold.build_dim(silver), "gold", DIM_TABLES[spec.table])
-
     def _gate_orders(self, df: DataFrame, incremental: bool):
         return quality.gate(df, rulesets.orders_rules(), rulesets.TITLES["orders"],
                             incremental=incremental)
@@ -199,18 +199,17 @@ class Pipeline:
         if orders_err is not None:
             raise orders_err
         checks = {"orders": orders_ok}
-        writes = [partial(self.store.replace, bronze_orders, "silver", "orders", lo)]
-        if lines_err is None:
-            checks["order_products_prior"] = lines_ok
-            writes.append(partial(self.store.replace, bronze_lines, "silver",
-                                  "order_products_prior", lo))
-        run_all(*writes)
+        promote_orders = partial(self.store.replace, bronze_orders, "silver", "orders", lo)
         if lines_err is not None:
+            run_all(promote_orders)
             raise lines_err
-
-        fact = self._fact(self._read("silver", "order_products_prior", schemas.ORDER_PRODUCTS, lo),
-                          self._read("silver", "orders", schemas.ORDERS, lo))
-        self.store.replace(fact, "gold", FACT_TABLE, load_lo=lo)
+        checks["order_products_prior"] = lines_ok
+        # Silver is an identity copy of the gated Bronze batch, so the fact is
+        # built from the same frames while Silver is written.
+        fact = self._fact(bronze_lines, bronze_orders)
+        run_all(promote_orders,
+                partial(self.store.replace, bronze_lines, "silver", "order_products_prior", lo),
+                partial(self.store.replace, fact, "gold", FACT_TABLE, lo))
 
         self.marks.advance(TRANSACTION_FILES, hi)
         return LoadResult(SUCCESS, "initial", lo=lo, hi=hi, new_orders=n_new, quality=checks)
@@ -254,20 +253,18 @@ class Pipeline:
             if land_err is not None:
                 raise land_err
             bronze_orders = self._read("bronze", "orders", schemas.ORDERS, lo)
-            writes = [partial(self.store.write_batch, bronze_orders, "silver", "orders", lo,
-                              schemas.ORDERS)]
-            if lines_err is None:
-                checks["order_products_prior"] = lines_ok
-                writes.append(partial(self.store.write_batch, bronze_lines, "silver",
-                                      "order_products_prior", lo, schemas.ORDER_PRODUCTS))
-            run_all(*writes)
+            promote_orders = partial(self.store.write_batch, bronze_orders, "silver", "orders",
+                                     lo, schemas.ORDERS)
             if lines_err is not None:
+                run_all(promote_orders)
                 raise lines_err
-
-            fact = self._fact(
-                self._read("silver", "order_products_prior", schemas.ORDER_PRODUCTS, lo),
-                self._read("silver", "orders", schemas.ORDERS, lo))
-            self.store.write_batch(fact, "gold", FACT_TABLE, lo, _fact_schema())
+            checks["order_products_prior"] = lines_ok
+            fact = self._fact(bronze_lines, bronze_orders)
+            run_all(promote_orders,
+                    partial(self.store.write_batch, bronze_lines, "silver",
+                            "order_products_prior", lo, schemas.ORDER_PRODUCTS),
+                    partial(self.store.write_batch, fact, "gold", FACT_TABLE, lo,
+                            _fact_schema()))
 
             self.marks.advance(TRANSACTION_FILES, hi)
             return LoadResult(SUCCESS, "incremental", lo=lo, hi=hi, new_orders=n_new,
