@@ -22,24 +22,32 @@ from ..sources.schemas import FACT_COLUMNS
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def bounded_rows(df: DataFrame, max_rows: int) -> int:
+    """``min(rows, max_rows + 1)``: reads at most ``max_rows + 1`` rows per partition."""
+    return df.limit(max_rows + 1).count()
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                      rows: int | None = None) -> DataFrame:
     """Broadcast hint only when the side provably holds at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows per partition; beyond the
-    bound the frame is returned unhinted and the planner picks a shuffle join.
+    Beyond the bound the frame is returned unhinted and the planner picks a
+    shuffle join. ``rows`` passes a bound already measured by the caller.
     """
-    n = df.limit(max_rows + 1).count()
+    n = bounded_rows(df, max_rows) if rows is None else rows
     return F.broadcast(df) if n <= max_rows else df
 
 
 def build_fact(lines: DataFrame, orders: DataFrame, products: DataFrame,
-               broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+               broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+               product_rows: int | None = None) -> DataFrame:
     """Inner joins lines-orders on order_id and lines-products on product_id.
 
     Unmatched lines are dropped silently (no referential rule exists).
+    ``product_rows`` is a bound on the products already measured by the caller.
     """
     dims = bounded_broadcast(products.select("product_id", "aisle_id", "department_id"),
-                             broadcast_max_rows)
+                             broadcast_max_rows, rows=product_rows)
     order_cols = orders.select("order_id", "user_id", "order_number", "order_dow",
                                "order_hour_of_day", "days_since_prior_order")
     line_cols = lines.select("order_id", "product_id", "add_to_cart_order", "reordered")

@@ -115,17 +115,23 @@ class Pipeline:
         row = guard_frame(orders, "order_id", lo, hi_where=is_prior).first()
         return int(row["new_rows"]), row["batch_hi"]
 
-    def _silver_products(self) -> DataFrame:
-        # An empty dimension would drop every line in the inner join while the
-        # mark still advances: refuse instead of losing the batch.
-        if self.store.is_empty("silver", "products"):
+    def _silver_products(self) -> tuple[DataFrame, int]:
+        """silver.products and a bounded row count (one job serves both checks).
+
+        An empty dimension would drop every line in the inner join while the
+        mark still advances: refuse instead of losing the batch.
+        """
+        products = self.store.read("silver", "products", schema=schemas.PRODUCTS,
+                                   partitioned=False)
+        rows = gold.bounded_rows(products, self.broadcast_max_rows)
+        if rows == 0:
             raise RuntimeError("silver.products is missing or empty: run reference_load() first")
-        return self.store.read("silver", "products", schema=schemas.PRODUCTS,
-                               partitioned=False)
+        return products, rows
 
     def _fact(self, lines: DataFrame, orders: DataFrame) -> DataFrame:
-        return gold.build_fact(lines, orders, self._silver_products(),
-                               broadcast_max_rows=self.broadcast_max_rows)
+        products, rows = self._silver_products()
+        return gold.build_fact(lines, orders, products,
+                               broadcast_max_rows=self.broadcast_max_rows, product_rows=rows)
 
     def _read(self, layer: str, table: str, schema, batch: int) -> DataFrame:
         # With inferred raw types Bronze holds whatever the files gave; read it
@@ -334,7 +340,7 @@ class Pipeline:
         """Committed Silver lines the fact dropped, per reason (see ``gold.orphan_lines``)."""
         return gold.orphan_lines(
             self.committed("silver", "order_products_prior", schemas.ORDER_PRODUCTS),
-            self.committed("silver", "orders", schemas.ORDERS), self._silver_products(),
+            self.committed("silver", "orders", schemas.ORDERS), self._silver_products()[0],
             broadcast_max_rows=self.broadcast_max_rows)
 
     def register_tables(self) -> list[str]:
