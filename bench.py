@@ -1,6 +1,7 @@
 """Benchmark: the medallion pipeline and its operators at one scale factor.
 
-Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
+Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+BENCH_EVENT_LOG_DIR (optional: write a Spark event log there).
 Setup (not timed) turns the test tables into the pipeline's raw CSV drops
 (initial drop = oldest 90% of orders, full drop = all) and into parquet
 copies of the source tables. Timed:
@@ -46,7 +47,11 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
-    spark = local_session(cpus, max(cpus, 8), app_name="tidemark-bench")
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):     # per-step stage metrics, see scripts/stage_report.py
+        extra = {"spark.eventLog.enabled": "true",
+                 "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]}
+    spark = local_session(cpus, max(cpus, 8), app_name="tidemark-bench", extra=extra)
 
     root = fresh_dir(spark, "bench")
     split = split_point(spark, sf_dir)

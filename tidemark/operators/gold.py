@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import job_label
 from ..sources.schemas import FACT_COLUMNS
 
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
@@ -24,7 +25,8 @@ DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
 def bounded_rows(df: DataFrame, max_rows: int) -> int:
     """``min(rows, max_rows + 1)``: reads at most ``max_rows + 1`` rows per partition."""
-    return df.limit(max_rows + 1).count()
+    with job_label(df.sparkSession, "bounded row count"):
+        return df.limit(max_rows + 1).count()
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import job_label
 from ..functions.rules import (GATE_FAILED, GATE_FAILED_INCREMENTAL, ROW_KINDS, Rule, quote,
                                sql_literal)
 
@@ -126,7 +127,8 @@ def collect_results(df: DataFrame, rules: list[Rule]) -> list[RuleResult]:
 def gate(df: DataFrame, rules: list[Rule], title: str,
          incremental: bool = False) -> list[RuleResult]:
     """Evaluate every rule at once; raise one :class:`QualityGateError` listing all failures."""
-    results = collect_results(df, rules)
+    with job_label(df.sparkSession, f"gate {title}"):
+        results = collect_results(df, rules)
     errors = failures(results)
     if errors:
         head = (GATE_FAILED_INCREMENTAL if incremental else GATE_FAILED).format(title=title)

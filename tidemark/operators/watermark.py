@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import job_label
 from ..sinks.store import Lakehouse
 from ..sources.schemas import WATERMARK
 
@@ -88,8 +89,9 @@ class WatermarkLog:
 
     def get(self, file_name: str, default: int = 0) -> int:
         """Current mark of a file; a missing row means nothing was loaded yet."""
-        row = (self._log().filter(F.col("file_name") == F.lit(file_name))
-               .agg(F.max_by("last_watermark", "seq").alias("m")).first())
+        with job_label(self.spark, "read mark"):
+            row = (self._log().filter(F.col("file_name") == F.lit(file_name))
+                   .agg(F.max_by("last_watermark", "seq").alias("m")).first())
         return default if row is None or row["m"] is None else int(row["m"])
 
     def advance(self, file_names: list[str], value: int) -> None:
@@ -99,12 +101,13 @@ class WatermarkLog:
         rows = F.array(*[F.struct(F.lit(f).alias("file_name"),
                                   F.lit(int(value)).cast("bigint").alias("last_watermark"))
                          for f in file_names])
-        (self.spark.range(1).select(F.inline(rows))
-         .select("file_name", "last_watermark",
-                 F.current_timestamp().alias("updated_at"),
-                 seq.cast("bigint").alias("seq"))
-         .coalesce(1).write.format(self.store.fmt).mode("append")
-         .save(self.store.path(CONTROL_LAYER, CONTROL_TABLE)))
+        with job_label(self.spark, "advance mark"):
+            (self.spark.range(1).select(F.inline(rows))
+             .select("file_name", "last_watermark",
+                     F.current_timestamp().alias("updated_at"),
+                     seq.cast("bigint").alias("seq"))
+             .coalesce(1).write.format(self.store.fmt).mode("append")
+             .save(self.store.path(CONTROL_LAYER, CONTROL_TABLE)))
 
     def reset(self, file_names: list[str], value: int = 0) -> None:
         """Move the mark back (e.g. before reloading an emptied Bronze)."""

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from ..operators import gold, quality
 from ..operators.watermark import WatermarkLog, guard_frame, newer_than, within
+from ..session import job_label
 from ..sinks.store import Lakehouse
 from ..sources import registry, schemas
 from ..sources.csv import read_source
@@ -112,7 +113,8 @@ class Pipeline:
     def _guard(self, orders: DataFrame, lo: int) -> tuple[int, int | None]:
         """One aggregate: raw orders above ``lo`` and the largest prior id among them."""
         is_prior = F.col("eval_set") == F.lit(rulesets.PRIOR)
-        row = guard_frame(orders, "order_id", lo, hi_where=is_prior).first()
+        with job_label(self.spark, "guard orders"):
+            row = guard_frame(orders, "order_id", lo, hi_where=is_prior).first()
         return int(row["new_rows"]), row["batch_hi"]
 
     def _silver_products(self) -> tuple[DataFrame, int]:

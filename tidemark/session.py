@@ -5,12 +5,27 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 
+@contextmanager
+def job_label(spark: SparkSession, text: str) -> Iterator[None]:
+    """Label the Spark jobs started by this thread (event logs, job listings)."""
+    sc = spark.sparkContext
+    prev = sc.getLocalProperty("spark.job.description")
+    sc.setJobDescription(f"tidemark: {text}")
+    try:
+        yield
+    finally:
+        sc.setLocalProperty("spark.job.description", prev)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
-                  app_name: str = "tidemark") -> SparkSession:
+                  app_name: str = "tidemark", extra: dict[str, str] | None = None
+                  ) -> SparkSession:
     """A local session tuned like a small cluster: AQE on, UI off, UTC."""
     n = shuffle_partitions or (os.cpu_count() or 8)
     builder = (
@@ -25,6 +40,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.driver.memory", "8g")
     )
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

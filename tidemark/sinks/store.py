@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from ..session import job_label
 from ..sources.schemas import BATCH_COLUMN
 
 
@@ -113,7 +114,8 @@ class Lakehouse:
              .option("overwriteSchema", "true"))
         if load_lo is not None:
             w = w.partitionBy(BATCH_COLUMN)
-        w.save(self.path(layer, table))
+        with job_label(self.spark, f"replace {layer}.{table}"):
+            w.save(self.path(layer, table))
 
     def table_schema(self, layer: str, table: str) -> T.StructType | None:
         """Stored schema without the batch column; None for a missing table."""
@@ -139,16 +141,17 @@ class Lakehouse:
         if target is not None:
             df = conform(df, target)
         out = df.withColumn(BATCH_COLUMN, F.lit(int(load_lo)).cast("bigint"))
-        if self.fmt == "delta":
-            (out.write.format("delta").mode("overwrite")
-             .option("replaceWhere", f"{BATCH_COLUMN} = {int(load_lo)}")
-             .partitionBy(BATCH_COLUMN).save(self.path(layer, table)))
-            return
-        self.drop_batch(layer, table, load_lo)
-        (out.write.format(self.fmt).mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BATCH_COLUMN)
-         .save(self.path(layer, table)))
+        with job_label(self.spark, f"write batch {layer}.{table}"):
+            if self.fmt == "delta":
+                (out.write.format("delta").mode("overwrite")
+                 .option("replaceWhere", f"{BATCH_COLUMN} = {int(load_lo)}")
+                 .partitionBy(BATCH_COLUMN).save(self.path(layer, table)))
+                return
+            self.drop_batch(layer, table, load_lo)
+            (out.write.format(self.fmt).mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic")
+             .partitionBy(BATCH_COLUMN)
+             .save(self.path(layer, table)))
 
     # -- reads -----------------------------------------------------------------
     def read(self, layer: str, table: str, schema: T.StructType | None = None,
