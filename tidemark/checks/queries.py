@@ -137,14 +137,12 @@ def csv_orders(spark, sf_dir):
 
 def quoted_products(spark, sf_dir) -> DataFrame:
     """Products whose names carry a comma and doubled quotes: ``name, "Brand#7"``."""
-    p = dt.products(spark, sf_dir)
-    brand = dt._table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("int").alias("product_id"), "p_brand")
-    return (p.join(brand, "product_id")
-            .select("product_id",
-                    F.concat(F.col("product_name"), F.lit(', "'), F.col("p_brand"), F.lit('"'))
-                    .alias("product_name"),
-                    "aisle_id", "department_id"))
+    parts = dt.parts(spark, sf_dir, "dirty")       # carries the brand as ``aisle``
+    return parts.select(
+        "product_id",
+        F.concat(F.col("product_name"), F.lit(', "'), F.col("aisle"), F.lit('"'))
+        .alias("product_name"),
+        "aisle_id", "department_id")
 
 
 def csv_products_quoted(spark, sf_dir):

@@ -144,7 +144,8 @@ def order_lines(spark: SparkSession, sf_dir: str, variant: str = "dirty") -> Dat
     return out
 
 
-def _parts(spark: SparkSession, sf_dir: str, variant: str) -> DataFrame:
+def parts(spark: SparkSession, sf_dir: str, variant: str = "dirty") -> DataFrame:
+    """Products with their aisle and department labels, one row per part."""
     shift = 1 if variant == "clean" else 0
     p = _table(spark, sf_dir, "part")
     return p.select(
@@ -158,7 +159,7 @@ def _parts(spark: SparkSession, sf_dir: str, variant: str) -> DataFrame:
 
 
 def products(spark: SparkSession, sf_dir: str, variant: str = "dirty") -> DataFrame:
-    out = _parts(spark, sf_dir, variant).select("product_id", "product_name", "aisle_id",
+    out = parts(spark, sf_dir, variant).select("product_id", "product_name", "aisle_id",
                                                 "department_id")
     if variant == "corrupt":
         k = F.col("product_id")
@@ -171,11 +172,11 @@ def products(spark: SparkSession, sf_dir: str, variant: str = "dirty") -> DataFr
 
 
 def aisles(spark: SparkSession, sf_dir: str, variant: str = "dirty") -> DataFrame:
-    return _parts(spark, sf_dir, variant).select("aisle_id", "aisle").distinct()
+    return parts(spark, sf_dir, variant).select("aisle_id", "aisle").distinct()
 
 
 def departments(spark: SparkSession, sf_dir: str, variant: str = "dirty") -> DataFrame:
-    return _parts(spark, sf_dir, variant).select("department_id", "department").distinct()
+    return parts(spark, sf_dir, variant).select("department_id", "department").distinct()
 
 
 TABLES = {
