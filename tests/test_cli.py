@@ -1,0 +1,26 @@
+"""The command line drives the same loads and prints JSON results."""
+
+import json
+
+from tidemark.__main__ import main
+
+from conftest import line_row, order_row, write_raw
+
+
+def test_cli_count_run_and_gate_failure(spark, workdir, capsys):
+    raw = write_raw(f"{workdir}/raw", [order_row(i) for i in range(1, 6)],
+                    [line_row(i, 1) for i in range(1, 6)])
+    lake = f"{workdir}/lake"
+    base = ["--raw", raw, "--lake", lake]
+    assert main(["count", *base], spark) == 0
+    assert json.loads(capsys.readouterr().out) == {"row_count": 0, "mode": "initial"}
+    assert main(["reference", *base], spark) == 0
+    capsys.readouterr()
+    assert main(["run", *base], spark) == 0
+    out = json.loads(capsys.readouterr().out)
+    assert (out["status"], out["mode"], out["lo"], out["hi"]) == ("SUCCESS", "initial", 0, 5)
+    bad = write_raw(f"{workdir}/bad", [order_row(i) for i in range(1, 6)] + [order_row(6, dow=8)],
+                    [line_row(i, 1) for i in range(1, 7)])
+    assert main(["run", "--raw", bad, "--lake", lake], spark) == 2
+    err = capsys.readouterr().err
+    assert "ORDERS INCREMENTAL DATA QUALITY CHECK FAILED:\n- Found 1 invalid order_dow values" in err

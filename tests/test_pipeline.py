@@ -258,3 +258,14 @@ def test_failed_inferred_initial_is_retried_at_the_same_mark(spark, workdir):
     assert (r.mode, r.status, r.lo, r.hi) == ("incremental", SUCCESS, 0, 4)
     assert sorted(x["order_id"] for x in q.store.read("bronze", "orders").collect()) == [1, 2, 3, 4]
     assert dict(q.fact().dtypes)["days_since_prior_order"] == "double"
+
+
+def test_reference_failure_in_a_later_table_promotes_the_earlier_ones(spark, workdir):
+    p = run_drop(spark, workdir, "ref-mid", orders_upto(3), lines_upto(3),
+                 aisles=["1,spices", "1,again"])
+    with pytest.raises(QualityGateError, match="^AISLES DATA QUALITY CHECK FAILED:\n"
+                                               "- Found 1 duplicate aisle_id values$"):
+        p.reference_load()
+    assert p.store.exists("silver", "products")
+    assert not p.store.exists("silver", "aisles") and not p.store.exists("silver", "departments")
+    assert not p.store.exists("gold", "dim_product")
