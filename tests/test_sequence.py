@@ -24,3 +24,21 @@ def test_sequence_matches_window_with_hot_group(spark):
     parts = (df.repartitionByRange(8, "c", "d", "k").withColumn("p", F.spark_partition_id())
              .filter("c = 7").select("p").distinct().count())
     assert parts > 1
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 20)), min_size=1, max_size=300),
+       st.integers(0, 3))
+def test_sequence_matches_window_on_random_groups(spark, rows, hot):
+    base = dt.datetime(2021, 3, 1)
+    data = [(k, hot if k % 3 == 0 else c, base + dt.timedelta(days=d))
+            for k, (c, d) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k long, c long, d timestamp_ntz")
+    got = sequence_within(df, "c", ["d", "k"], "d").select("k", "_seq", "_prev")
+    w = Window.partitionBy("c").orderBy("d", "k")
+    want = df.select("k", F.row_number().over(w).alias("_seq"), F.lag("d").over(w).alias("_prev"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
