@@ -19,6 +19,7 @@ def test_cli_count_run_and_gate_failure(spark, workdir, capsys):
     assert main(["run", *base], spark) == 0
     out = json.loads(capsys.readouterr().out)
     assert (out["status"], out["mode"], out["lo"], out["hi"]) == ("SUCCESS", "initial", 0, 5)
+    assert out["rows"] == {"orders": 5, "order_products_prior": 5}
     bad = write_raw(f"{workdir}/bad", [order_row(i) for i in range(1, 6)] + [order_row(6, dow=8)],
                     [line_row(i, 1) for i in range(1, 7)])
     assert main(["run", "--raw", bad, "--lake", lake], spark) == 2

@@ -62,6 +62,7 @@ def test_initial_then_incremental(spark, workdir, loaded):
     p = run_drop(spark, workdir, "raw2", orders_upto(15), lines_upto(15))
     r = p.run()
     assert (r.status, r.mode, r.lo, r.hi, r.new_orders) == (SUCCESS, "incremental", 12, 15, 3)
+    assert r.rows == {"orders": 3, "order_products_prior": len(lines_upto(15, start=13))}
     assert p.marks.get("orders.csv") == 15 == p.marks.get("order_products__prior.csv")
     fact = p.fact()
     assert fact.columns == list(schemas.FACT_COLUMNS)

@@ -26,6 +26,7 @@ from .sinks import Lakehouse
 def _result_json(result) -> str:
     out = dataclasses.asdict(result)
     out["quality"] = {t: [r for r in rs if r["violations"]] for t, rs in out["quality"].items()}
+    out["rows"] = result.rows
     return json.dumps(out)
 
 

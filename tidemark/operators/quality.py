@@ -57,13 +57,17 @@ def _entry_sql(no: int, rule: Rule, n: str, message: str) -> str:
             f"'violations', CAST({n} AS BIGINT), 'message', CAST({message} AS STRING))")
 
 
-def evaluate(df: DataFrame, rules: list[Rule]) -> DataFrame:
+ROWS_RULE_NO = 0   # optional row-count entry of :func:`evaluate`
+
+
+def evaluate(df: DataFrame, rules: list[Rule], count_rows: bool = False) -> DataFrame:
     """Lazily planned results ``(rule_no, rule_kind, column_name, violations, message)``.
 
     ``rule_no`` is 1-based in rule order. Rules on a missing column are
     reported with NULL violations (the type rule reports ``found None``).
     Value rules on a column of the wrong type compare ``try_cast`` values, so
-    a malformed cell is NULL instead of an ANSI cast error.
+    a malformed cell is NULL instead of an ANSI cast error. ``count_rows``
+    adds a row ``(0, 'rows', '*', count(*), NULL)`` from the same aggregate.
 
     The row rules are assembled into ONE SQL aggregate expression (parsed
     once on the JVM), so plan building costs a handful of calls however
@@ -79,6 +83,10 @@ def evaluate(df: DataFrame, rules: list[Rule]) -> DataFrame:
         return quote(name)
 
     entries: list[str] = []
+    if count_rows:
+        entries.append(f"named_struct('rule_no', CAST({ROWS_RULE_NO} AS INT), "
+                       "'rule_kind', 'rows', 'column_name', '*', "
+                       "'violations', count(1), 'message', CAST(NULL AS STRING))")
     key_frames: list[DataFrame] = []
     for no, rule in enumerate(rules, start=1):
         present = all(c in actual for c in rule.columns)
@@ -118,6 +126,13 @@ def failures(results: list[RuleResult]) -> list[str]:
             if r.violations and r.message]
 
 
+class GateResults(list):
+    """Per-rule results of a gate (a list of :class:`RuleResult`) plus ``rows``,
+    the number of rows the gate saw (counted in the same aggregate)."""
+
+    rows: int | None = None
+
+
 def collect_results(df: DataFrame, rules: list[Rule]) -> list[RuleResult]:
     """Run :func:`evaluate` as one action; returns one small row per rule."""
     rows = evaluate(df, rules).collect()
@@ -125,10 +140,13 @@ def collect_results(df: DataFrame, rules: list[Rule]) -> list[RuleResult]:
 
 
 def gate(df: DataFrame, rules: list[Rule], title: str,
-         incremental: bool = False) -> list[RuleResult]:
+         incremental: bool = False) -> GateResults:
     """Evaluate every rule at once; raise one :class:`QualityGateError` listing all failures."""
     with job_label(df.sparkSession, f"gate {title}"):
-        results = collect_results(df, rules)
+        rows = evaluate(df, rules, count_rows=True).collect()
+    everything = sorted((RuleResult(**r.asDict()) for r in rows), key=lambda r: r.rule_no)
+    results = GateResults(r for r in everything if r.rule_no != ROWS_RULE_NO)
+    results.rows = next((r.violations for r in everything if r.rule_no == ROWS_RULE_NO), None)
     errors = failures(results)
     if errors:
         head = (GATE_FAILED_INCREMENTAL if incremental else GATE_FAILED).format(title=title)

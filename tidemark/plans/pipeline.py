@@ -88,6 +88,11 @@ class LoadResult:
     new_orders: int | None = None    # raw orders above the mark seen by the guard
     quality: dict[str, list[quality.RuleResult]] = field(default_factory=dict)
 
+    @property
+    def rows(self) -> dict[str, int | None]:
+        """Rows each gate saw (= rows promoted to Silver on success), per table."""
+        return {t: getattr(r, "rows", None) for t, r in self.quality.items()}
+
 
 class Pipeline:
     def __init__(self, spark: SparkSession, store: Lakehouse, raw_root: str,
