@@ -248,6 +248,8 @@ def oracle_sql() -> dict[str, str]:
     o, l = orders_sql(), lines_sql()
     return {
         "fact_full": fact_sql(),
+        "fact_incremental": f"SELECT * FROM ({fact_sql()}) f WHERE order_id > {MARK}",
+        "fact_incremental_equals_full": fact_sql(),
         "bronze_orders": f"SELECT * FROM ({o}) o WHERE eval_set = 'prior'",
         "new_orders": f"SELECT * FROM ({o}) o WHERE order_id > {MARK}",
         "new_order_products": f"SELECT * FROM ({l}) l WHERE order_id > {MARK}",

@@ -47,6 +47,26 @@ def fact_full(spark, sf_dir):
     return gold.build_fact(l, _prior(o), p)
 
 
+def fact_incremental(spark, sf_dir):
+    """The batch's fact: lines and prior orders above the mark, all products."""
+    mark = dirty_mark(spark, sf_dir)
+    lines = newer_than(dt.order_lines(spark, sf_dir), "order_id", mark)
+    orders = newer_than(_prior(dt.orders(spark, sf_dir)), "order_id", mark)
+    return gold.build_fact(lines, orders, dt.products(spark, sf_dir))
+
+
+def fact_incremental_equals_full(spark, sf_dir):
+    """Fact up to the mark appended with the batch's fact (bag union) = the full fact."""
+    mark = dirty_mark(spark, sf_dir)
+    lines, orders = dt.order_lines(spark, sf_dir), _prior(dt.orders(spark, sf_dir))
+    products = dt.products(spark, sf_dir)
+    upto = gold.build_fact(lines.filter(F.col("order_id") <= F.lit(mark)),
+                           orders.filter(F.col("order_id") <= F.lit(mark)), products)
+    batch = gold.build_fact(newer_than(lines, "order_id", mark),
+                            newer_than(orders, "order_id", mark), products)
+    return upto.unionByName(batch)
+
+
 def bronze_orders(spark, sf_dir):
     return _prior(dt.orders(spark, sf_dir))
 
@@ -240,6 +260,8 @@ def pipeline_layer_counts(spark, sf_dir):
 
 QUERIES = {
     "fact_full": fact_full,
+    "fact_incremental": fact_incremental,
+    "fact_incremental_equals_full": fact_incremental_equals_full,
     "bronze_orders": bronze_orders,
     "new_orders": new_orders,
     "new_order_products": new_order_products,
