@@ -36,9 +36,10 @@ from pyspark.sql import functions as F
 from ..operators import gold, quality
 from ..operators.watermark import WatermarkLog, guard_frame, newer_than, within
 from ..session import job_label
-from ..sinks.store import Lakehouse
+from ..sinks.store import Lakehouse, empty_frame
 from ..sources import registry, schemas
-from ..sources.csv import read_source
+from ..sources.csv import read_csv, read_source
+from ..sources.manifest import RawFile, RawManifest
 from . import rulesets
 
 NO_NEW_DATA = "NO_NEW_DATA"
@@ -46,6 +47,7 @@ SUCCESS = "SUCCESS"
 TRANSACTION_FILES = [registry.ORDERS.file_name, registry.ORDER_PRODUCTS.file_name]
 DIM_TABLES = {"products": "dim_product", "aisles": "dim_aisle", "departments": "dim_department"}
 FACT_TABLE = "fact_order_products"
+FILE_COLUMN = "_raw_file"
 
 
 def concurrently(*tasks: Callable[[], Any]) -> list[tuple[Any, BaseException | None]]:
@@ -87,6 +89,7 @@ class LoadResult:
     hi: int | None = None            # mark after the run
     new_orders: int | None = None    # raw orders above the mark seen by the guard
     quality: dict[str, list[quality.RuleResult]] = field(default_factory=dict)
+    raw_files: dict[str, tuple[int, int]] = field(default_factory=dict)   # read, skipped
 
     @property
     def rows(self) -> dict[str, int | None]:
@@ -97,7 +100,8 @@ class LoadResult:
 class Pipeline:
     def __init__(self, spark: SparkSession, store: Lakehouse, raw_root: str,
                  other_eval_set: str = "fail", infer_schema: bool = False,
-                 broadcast_max_rows: int = gold.DEFAULT_BROADCAST_MAX_ROWS):
+                 broadcast_max_rows: int = gold.DEFAULT_BROADCAST_MAX_ROWS,
+                 skip_unchanged_raw: bool = True):
         if other_eval_set not in ("fail", "skip"):
             raise ValueError("other_eval_set must be 'fail' or 'skip'")
         self.spark = spark
@@ -107,11 +111,31 @@ class Pipeline:
         self.infer_schema = infer_schema
         self.broadcast_max_rows = broadcast_max_rows
         self.marks = WatermarkLog(store)
+        # file skipping needs the declared schema: inference must see every file
+        self.skip_unchanged_raw = skip_unchanged_raw and not infer_schema
+        self.manifest = RawManifest(store)
 
     # -- helpers -----------------------------------------------------------------
     def _raw(self, spec: registry.SourceSpec) -> DataFrame:
         return read_source(self.spark, spec, self.raw_root, infer=self.infer_schema)
 
+    def _incremental_source(self, spec: registry.SourceSpec,
+                            lo: int) -> tuple[DataFrame, list[RawFile] | None, int]:
+        """Raw rows for an incremental run, tagged with their file in ``_raw_file``.
+
+        With the manifest, files that provably hold no key above ``lo`` are not
+        read (see ``sources.manifest``). Returns (rows, files read, files skipped).
+        """
+        if not self.skip_unchanged_raw:
+            df = self._raw(spec)
+            return df.withColumn(FILE_COLUMN, F.col("_metadata.file_path")), None, 0
+        files, skipped = self.manifest.plan(spec.file_name, spec.path(self.raw_root), lo)
+        if not files:
+            empty = empty_frame(self.spark, spec.schema)
+            return empty.withColumn(FILE_COLUMN, F.lit(None).cast("string")), [], len(skipped)
+        df = read_csv(self.spark, [f.path for f in files], spec.schema, quoted=spec.quoted)
+        return df.withColumn(FILE_COLUMN, F.col("_metadata.file_path")), files, len(skipped)
+
     def _prior(self, df: DataFrame) -> DataFrame:
         return df.filter(F.col("eval_set") == F.lit(rulesets.PRIOR))
 
@@ -230,27 +254,33 @@ class Pipeline:
     def incremental_load(self) -> LoadResult:
         """Only orders above the mark (and their lines) are loaded; results appended."""
         lo = self.marks.get(registry.ORDERS.file_name)
-        batch = newer_than(self._raw(registry.ORDERS), "order_id", lo)
+        raw_orders, order_files, orders_skipped = self._incremental_source(registry.ORDERS, lo)
+        batch = newer_than(raw_orders, "order_id", lo)
         if self.other_eval_set == "skip":
             batch = self._prior(batch)
         # The raw batch feeds the guard, the gate and the Bronze write: keep it
         # (spillable; a lost executor recomputes its blocks from the scan).
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        lines_batch = None
         try:
-            n_new, batch_hi = self._guard(batch, lo)
+            n_new, batch_hi, order_bounds = self._guard_by_file(batch, lo)
             if n_new == 0:
-                return LoadResult(NO_NEW_DATA, "incremental", lo=lo, hi=lo, new_orders=0)
+                return LoadResult(NO_NEW_DATA, "incremental", lo=lo, hi=lo, new_orders=0,
+                                  raw_files={"orders.csv": (len(order_files or []),
+                                                            orders_skipped)})
             hi = lo if batch_hi is None else max(lo, int(batch_hi))
 
             # The orders gate sees the raw batch (all eval_sets in "fail" mode)
             # and runs before the batch lands, so a batch of the wrong types is
             # reported by the gate rather than refused by the append. The lines
             # land meanwhile; they are gated from their Bronze partition.
-            lines = within(self._raw(registry.ORDER_PRODUCTS), "order_id", lo, hi)
-            (orders_ok, orders_err), (_, land_err) = concurrently(
-                partial(self._gate_orders, batch, True),
-                partial(self.store.write_batch, lines, "bronze", "order_products_prior", lo,
-                        schemas.ORDER_PRODUCTS))
+            raw_lines, line_files, lines_skipped = self._incremental_source(
+                registry.ORDER_PRODUCTS, lo)
+            lines_batch = newer_than(raw_lines, "order_id", lo).persist(
+                StorageLevel.MEMORY_AND_DISK)
+            (orders_ok, orders_err), (line_bounds, land_err) = concurrently(
+                partial(self._gate_orders, batch.drop(FILE_COLUMN), True),
+                partial(self._land_lines, lines_batch, lo, hi))
             if orders_err is not None:
                 raise orders_err
             if land_err is not None:
@@ -260,8 +290,8 @@ class Pipeline:
             bronze_lines = self._read("bronze", "order_products_prior",
                                       schemas.ORDER_PRODUCTS, lo)
             (_, land_err), (lines_ok, lines_err) = concurrently(
-                partial(self.store.write_batch, self._prior(batch), "bronze", "orders", lo,
-                        schemas.ORDERS),
+                partial(self.store.write_batch, self._prior(batch).drop(FILE_COLUMN), "bronze",
+                        "orders", lo, schemas.ORDERS),
                 partial(self._gate_lines, bronze_lines, True))
             if land_err is not None:
                 raise land_err
@@ -279,11 +309,44 @@ class Pipeline:
                     partial(self.store.write_batch, fact, "gold", FACT_TABLE, lo,
                             _fact_schema()))
 
+            if self.skip_unchanged_raw:
+                self.manifest.record(registry.ORDERS.file_name, order_files, lo, order_bounds)
+                self.manifest.record(registry.ORDER_PRODUCTS.file_name, line_files, lo,
+                                     line_bounds)
             self.marks.advance(TRANSACTION_FILES, hi)
             return LoadResult(SUCCESS, "incremental", lo=lo, hi=hi, new_orders=n_new,
-                              quality=checks)
+                              quality=checks,
+                              raw_files={registry.ORDERS.file_name: (len(order_files or []),
+                                                                     orders_skipped),
+                                         registry.ORDER_PRODUCTS.file_name: (
+                                             len(line_files or []), lines_skipped)})
         finally:
             batch.unpersist()
+            if lines_batch is not None:
+                lines_batch.unpersist()
+
+    def _guard_by_file(self, batch: DataFrame, lo: int) -> tuple[int, int | None, dict]:
+        """The guard, grouped by raw file: new rows, largest prior id, and each
+        file's largest key above ``lo`` (one small row per file read)."""
+        is_prior = F.col("eval_set") == F.lit(rulesets.PRIOR)
+        with job_label(self.spark, "guard orders"):
+            rows = guard_frame(batch.groupBy(FILE_COLUMN), "order_id", lo,
+                               hi_where=is_prior).collect()
+        n_new = sum(int(r["new_rows"]) for r in rows)
+        his = [r["batch_hi"] for r in rows if r["batch_hi"] is not None]
+        bounds = {r[FILE_COLUMN]: r["current_max"] for r in rows}
+        return n_new, (max(his) if his else None), bounds
+
+    def _land_lines(self, lines_batch: DataFrame, lo: int, hi: int) -> dict:
+        """Per-file key bounds of the lines batch (materialises its cache), then
+        land ``lo < order_id <= hi`` in Bronze."""
+        with job_label(self.spark, "raw line bounds"):
+            bounds = {r[0]: r[1] for r in lines_batch.groupBy(FILE_COLUMN)
+                      .agg(F.max("order_id")).collect()}
+        lines = within(lines_batch, "order_id", lo, hi).drop(FILE_COLUMN)
+        self.store.write_batch(lines, "bronze", "order_products_prior", lo,
+                               schemas.ORDER_PRODUCTS)
+        return bounds
 
     # -- orchestration -------------------------------------------------------------
     def bronze_row_count(self) -> int:

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from .registry import SourceSpec
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
              quoted: bool = False) -> DataFrame:
     """Header CSV scan; any Hadoop path (object stores included) works.
 
