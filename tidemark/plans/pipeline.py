@@ -119,8 +119,8 @@ class Pipeline:
     def _raw(self, spec: registry.SourceSpec) -> DataFrame:
         return read_source(self.spark, spec, self.raw_root, infer=self.infer_schema)
 
-    def _incremental_source(self, spec: registry.SourceSpec,
-                            lo: int) -> tuple[DataFrame, list[RawFile] | None, int]:
+    def _incremental_source(self, spec: registry.SourceSpec, lo: int,
+                            known: dict | None) -> tuple[DataFrame, list[RawFile] | None, int]:
         """Raw rows for an incremental run, tagged with their file in ``_raw_file``.
 
         With the manifest, files that provably hold no key above ``lo`` are not
@@ -129,7 +129,7 @@ class Pipeline:
         if not self.skip_unchanged_raw:
             df = self._raw(spec)
             return df.withColumn(FILE_COLUMN, F.col("_metadata.file_path")), None, 0
-        files, skipped = self.manifest.plan(spec.file_name, spec.path(self.raw_root), lo)
+        files, skipped = self.manifest.plan(spec.file_name, spec.path(self.raw_root), lo, known)
         if not files:
             empty = empty_frame(self.spark, spec.schema)
             return empty.withColumn(FILE_COLUMN, F.lit(None).cast("string")), [], len(skipped)
@@ -254,7 +254,9 @@ class Pipeline:
     def incremental_load(self) -> LoadResult:
         """Only orders above the mark (and their lines) are loaded; results appended."""
         lo = self.marks.get(registry.ORDERS.file_name)
-        raw_orders, order_files, orders_skipped = self._incremental_source(registry.ORDERS, lo)
+        known = self.manifest.entries() if self.skip_unchanged_raw else None
+        raw_orders, order_files, orders_skipped = self._incremental_source(
+            registry.ORDERS, lo, known)
         batch = newer_than(raw_orders, "order_id", lo)
         if self.other_eval_set == "skip":
             batch = self._prior(batch)
@@ -275,7 +277,7 @@ class Pipeline:
             # reported by the gate rather than refused by the append. The lines
             # land meanwhile; they are gated from their Bronze partition.
             raw_lines, line_files, lines_skipped = self._incremental_source(
-                registry.ORDER_PRODUCTS, lo)
+                registry.ORDER_PRODUCTS, lo, known)
             lines_batch = newer_than(raw_lines, "order_id", lo).persist(
                 StorageLevel.MEMORY_AND_DISK)
             (orders_ok, orders_err), (line_bounds, land_err) = concurrently(
@@ -310,9 +312,9 @@ class Pipeline:
                             _fact_schema()))
 
             if self.skip_unchanged_raw:
-                self.manifest.record(registry.ORDERS.file_name, order_files, lo, order_bounds)
-                self.manifest.record(registry.ORDER_PRODUCTS.file_name, line_files, lo,
-                                     line_bounds)
+                self.manifest.record(lo, {
+                    registry.ORDERS.file_name: (order_files, order_bounds),
+                    registry.ORDER_PRODUCTS.file_name: (line_files, line_bounds)})
             self.marks.advance(TRANSACTION_FILES, hi)
             return LoadResult(SUCCESS, "incremental", lo=lo, hi=hi, new_orders=n_new,
                               quality=checks,

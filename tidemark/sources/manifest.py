@@ -67,22 +67,26 @@ class RawManifest:
         self.store = store
         self.spark = store.spark
 
-    def _entries(self, file_name: str) -> dict[str, tuple]:
-        """Latest record per path of one source (one small row per raw file)."""
+    def entries(self) -> dict[tuple[str, str], tuple]:
+        """Latest record per (source, path): one small row per raw file, one job."""
+        if not self.store.exists(LAYER, TABLE):
+            return {}
         log = self.store.read(LAYER, TABLE, schema=MANIFEST, partitioned=False)
-        rows = (log.filter(F.col("file_name") == F.lit(file_name))
-                .groupBy("path")
+        rows = (log.groupBy("file_name", "path")
                 .agg(F.max_by(F.struct("size", "mtime", "recorded_at", "bound"),
                               F.col("recorded_at")).alias("r"))
-                .select("path", "r.*").collect())
-        return {r["path"]: (r["size"], r["mtime"], r["recorded_at"], r["bound"]) for r in rows}
+                .select("file_name", "path", "r.*").collect())
+        return {(r["file_name"], r["path"]): (r["size"], r["mtime"], r["recorded_at"], r["bound"])
+                for r in rows}
 
-    def plan(self, file_name: str, path: str, lo: int) -> tuple[list[RawFile], list[RawFile]]:
+    def plan(self, file_name: str, path: str, lo: int,
+             known: dict[tuple[str, str], tuple] | None = None
+             ) -> tuple[list[RawFile], list[RawFile]]:
         """``(to_read, skipped)`` among the files under ``path`` for a run at mark ``lo``."""
-        known = self._entries(file_name)
+        known = self.entries() if known is None else known
         read, skipped = [], []
         for f in list_files(self.spark, path):
-            rec = known.get(f.path)
+            rec = known.get((file_name, f.path))
             unchanged = rec is not None and (rec[0], rec[1]) == (f.size, f.mtime)
             if unchanged and rec[2] <= lo and (rec[3] is None or rec[3] <= lo):
                 skipped.append(f)
@@ -90,17 +94,22 @@ class RawManifest:
                 read.append(f)
         return read, skipped
 
-    def record(self, file_name: str, files: list[RawFile], lo: int,
-               bounds: dict[str, int | None]) -> None:
-        """Append one record per file read by a successful run."""
-        if not files:
+    def record(self, lo: int,
+               reads: dict[str, tuple[list[RawFile], dict[str, int | None]]]) -> None:
+        """Append one record per file read by a successful run, all sources at once.
+
+        ``reads`` maps a source to (files read, largest key above ``lo`` per path).
+        """
+        items = [(name, f, bounds.get(f.path)) for name, (files, bounds) in reads.items()
+                 for f in files]
+        if not items:
             return
         # one SQL VALUES list: a single call however many files were read
         values = ", ".join(
-            f"({sql_literal(file_name)}, {sql_literal(f.path)}, {int(f.size)}L, "
+            f"({sql_literal(name)}, {sql_literal(f.path)}, {int(f.size)}L, "
             f"{int(f.mtime)}L, {int(lo)}L, "
-            f"{'CAST(NULL AS BIGINT)' if bounds.get(f.path) is None else str(int(bounds[f.path])) + 'L'})"
-            for f in files)
+            f"{'CAST(NULL AS BIGINT)' if bound is None else str(int(bound)) + 'L'})"
+            for name, f, bound in items)
         rows = self.spark.sql(f"SELECT * FROM VALUES {values} "
                               "AS t(file_name, path, size, mtime, recorded_at, bound)")
         (rows.coalesce(1).write.format(self.store.fmt).mode("append")
