@@ -64,3 +64,40 @@ def test_unchanged_files_are_skipped_and_results_stay_whole(spark, workdir):
     r = p.incremental_load()
     # d1 (recorded at mark 18) and d3 (holds 16..18) are read; d2 (nothing above 15) is not
     assert r.raw_files["orders.csv"] == (2, 1)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.integers(3, 8), st.integers(2, 6), st.sets(st.integers(0, 40), max_size=8))
+def test_drops_with_early_lines_equal_one_full_load(spark, a, gap, early_picks):
+    from tidemark.session import fresh_dir
+    n, b = 18, min(a + gap, 16)
+    work = fresh_dir(spark, "drops")
+    raw = f"{work}/raw"
+    root = _local(raw)
+    write_text(f"{root}/products.csv", "product_id,product_name,aisle_id,department_id",
+               ["1,Salt,1,1", "2,Bananas,2,1", "3,Milk,2,2"])
+    write_text(f"{root}/aisles.csv", "aisle_id,aisle", ["1,spices", "2,fresh"])
+    write_text(f"{root}/departments.csv", "department_id,department", ["1,pantry", "2,dairy"])
+    lines = [(o, p) for o in range(1, n + 1) for p in (1, 2, 3) if (o + p) % 4]
+
+    def drop_of(order_id):
+        return 0 if order_id <= a else (1 if order_id <= b else 2)
+
+    # some lines of later orders arrive with an earlier drop
+    placed = {}
+    for i, line in enumerate(lines):
+        d = drop_of(line[0])
+        placed[line] = (i % d) if (i in early_picks and d > 0) else d
+    bounds = [(1, a), (a + 1, b), (b + 1, n)]
+    p = Pipeline(spark, Lakehouse(spark, f"{work}/lake"), raw)
+    for d, (first, last) in enumerate(bounds):
+        drop(raw, f"d{d}", range(first, last + 1), [ln for ln in lines if placed[ln] == d])
+        if d == 0:
+            p.reference_load()
+        r = p.run()
+        assert r.status == SUCCESS and r.hi == last
+    assert keys(p) == sorted(lines)                       # every line, exactly once
