@@ -257,15 +257,13 @@ class Pipeline:
         known = self.manifest.entries() if self.skip_unchanged_raw else None
         raw_orders, order_files, orders_skipped = self._incremental_source(
             registry.ORDERS, lo, known)
-        batch = newer_than(raw_orders, "order_id", lo)
-        if self.other_eval_set == "skip":
-            batch = self._prior(batch)
         # The raw batch feeds the guard, the gate and the Bronze write: keep it
         # (spillable; a lost executor recomputes its blocks from the scan).
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        raw_batch = newer_than(raw_orders, "order_id", lo).persist(StorageLevel.MEMORY_AND_DISK)
+        batch = raw_batch if self.other_eval_set == "fail" else self._prior(raw_batch)
         lines_batch = None
         try:
-            n_new, batch_hi, order_bounds = self._guard_by_file(batch, lo)
+            n_new, batch_hi, order_bounds = self._guard_by_file(raw_batch, lo)
             if n_new == 0:
                 return LoadResult(NO_NEW_DATA, "incremental", lo=lo, hi=lo, new_orders=0,
                                   raw_files={"orders.csv": (len(order_files or []),
@@ -323,20 +321,26 @@ class Pipeline:
                                          registry.ORDER_PRODUCTS.file_name: (
                                              len(line_files or []), lines_skipped)})
         finally:
-            batch.unpersist()
+            raw_batch.unpersist()
             if lines_batch is not None:
                 lines_batch.unpersist()
 
-    def _guard_by_file(self, batch: DataFrame, lo: int) -> tuple[int, int | None, dict]:
-        """The guard, grouped by raw file: new rows, largest prior id, and each
-        file's largest key above ``lo`` (one small row per file read)."""
+    def _guard_by_file(self, raw_batch: DataFrame, lo: int) -> tuple[int, int | None, dict]:
+        """The guard, grouped by raw file (one small row per file read): new rows
+        (prior ones only in "skip" mode), the largest prior id, and each file's
+        largest key above ``lo`` over ALL rows - a bound valid in either mode."""
         is_prior = F.col("eval_set") == F.lit(rulesets.PRIOR)
+        counted = F.col("order_id") > F.lit(lo)
+        if self.other_eval_set == "skip":
+            counted = counted & is_prior
         with job_label(self.spark, "guard orders"):
-            rows = guard_frame(batch.groupBy(FILE_COLUMN), "order_id", lo,
-                               hi_where=is_prior).collect()
+            rows = raw_batch.groupBy(FILE_COLUMN).agg(
+                F.count_if(counted).alias("new_rows"),
+                F.max(F.when(is_prior, F.col("order_id"))).alias("batch_hi"),
+                F.max("order_id").alias("bound")).collect()
         n_new = sum(int(r["new_rows"]) for r in rows)
         his = [r["batch_hi"] for r in rows if r["batch_hi"] is not None]
-        bounds = {r[FILE_COLUMN]: r["current_max"] for r in rows}
+        bounds = {r[FILE_COLUMN]: r["bound"] for r in rows}
         return n_new, (max(his) if his else None), bounds
 
     def _land_lines(self, lines_batch: DataFrame, lo: int, hi: int) -> dict:
