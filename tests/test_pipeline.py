@@ -270,3 +270,34 @@ def test_reference_failure_in_a_later_table_promotes_the_earlier_ones(spark, wor
     assert p.store.exists("silver", "products")
     assert not p.store.exists("silver", "aisles") and not p.store.exists("silver", "departments")
     assert not p.store.exists("gold", "dim_product")
+
+
+def test_zero_copy_silver_serves_the_same_tables(spark, workdir):
+    drops = [("z1", orders_upto(8), lines_upto(8)),
+             ("z2bad", orders_upto(8) + [order_row(9, dow=9), *orders_upto(11, start=10)],
+              lines_upto(11)),
+             ("z2", orders_upto(11), lines_upto(11))]
+    out = {}
+    for copy in (True, False):
+        store = Lakehouse(spark, f"{workdir}/lake-{copy}")
+        for i, (name, orders, lines) in enumerate(drops):
+            p = Pipeline(spark, store, write_raw(f"{workdir}/{name}-{copy}", orders, lines),
+                         silver_copy=copy)
+            if i == 0:
+                p.reference_load()
+            if name.endswith("bad"):
+                with pytest.raises(QualityGateError):
+                    p.run()
+            else:
+                assert p.run().status == SUCCESS
+        p.register_tables()
+        out[copy] = (
+            sorted(tuple(r) for r in p.committed("silver", "orders", schemas.ORDERS).collect()),
+            sorted(tuple(r) for r in p.committed("silver", "order_products_prior",
+                                                 schemas.ORDER_PRODUCTS).collect()),
+            sorted(tuple(r) for r in p.fact().collect()),
+            spark.sql("SELECT COUNT(*) FROM silver.order_products_prior").first()[0],
+        )
+        assert p.store.exists("silver", "orders") == copy
+    assert out[True] == out[False]
+    assert [r[0] for r in out[False][0]] == list(range(1, 12))

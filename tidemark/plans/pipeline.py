@@ -46,6 +46,7 @@ NO_NEW_DATA = "NO_NEW_DATA"
 SUCCESS = "SUCCESS"
 TRANSACTION_FILES = [registry.ORDERS.file_name, registry.ORDER_PRODUCTS.file_name]
 DIM_TABLES = {"products": "dim_product", "aisles": "dim_aisle", "departments": "dim_department"}
+TRANSACTION_TABLES = ("orders", "order_products_prior")
 FACT_TABLE = "fact_order_products"
 FILE_COLUMN = "_raw_file"
 
@@ -101,7 +102,7 @@ class Pipeline:
     def __init__(self, spark: SparkSession, store: Lakehouse, raw_root: str,
                  other_eval_set: str = "fail", infer_schema: bool = False,
                  broadcast_max_rows: int = gold.DEFAULT_BROADCAST_MAX_ROWS,
-                 skip_unchanged_raw: bool = True):
+                 skip_unchanged_raw: bool = True, silver_copy: bool = True):
         if other_eval_set not in ("fail", "skip"):
             raise ValueError("other_eval_set must be 'fail' or 'skip'")
         self.spark = spark
@@ -114,6 +115,10 @@ class Pipeline:
         # file skipping needs the declared schema: inference must see every file
         self.skip_unchanged_raw = skip_unchanged_raw and not infer_schema
         self.manifest = RawManifest(store)
+        # Silver of the transaction tables is an identity copy of the gated
+        # Bronze batch; with silver_copy=False it is served zero-copy as the
+        # committed Bronze batches (every committed batch passed its gates).
+        self.silver_copy = silver_copy
 
     # -- helpers -----------------------------------------------------------------
     def _raw(self, spec: registry.SourceSpec) -> DataFrame:
@@ -164,6 +169,12 @@ class Pipeline:
         return gold.build_fact(lines, orders, products,
                                broadcast_max_rows=self.broadcast_max_rows, product_rows=rows)
 
+    def _stored_layer(self, layer: str, table: str) -> str:
+        """Where a layer's table physically lives (zero-copy Silver -> Bronze)."""
+        if layer == "silver" and table in TRANSACTION_TABLES and not self.silver_copy:
+            return "bronze"
+        return layer
+
     def _read(self, layer: str, table: str, schema, batch: int) -> DataFrame:
         # With inferred raw types Bronze holds whatever the files gave; read it
         # as stored so the gate's type rules see the real types.
@@ -236,16 +247,17 @@ class Pipeline:
         if orders_err is not None:
             raise orders_err
         checks = {"orders": orders_ok}
-        promote_orders = partial(self.store.replace, bronze_orders, "silver", "orders", lo)
+        promote = [partial(self.store.replace, bronze_orders, "silver", "orders", lo)]
         if lines_err is not None:
-            run_all(promote_orders)
+            run_all(*(promote if self.silver_copy else []))
             raise lines_err
         checks["order_products_prior"] = lines_ok
+        promote.append(partial(self.store.replace, bronze_lines, "silver",
+                               "order_products_prior", lo))
         # Silver is an identity copy of the gated Bronze batch, so the fact is
         # built from the same frames while Silver is written.
         fact = self._fact(bronze_lines, bronze_orders)
-        run_all(promote_orders,
-                partial(self.store.replace, bronze_lines, "silver", "order_products_prior", lo),
+        run_all(*(promote if self.silver_copy else []),
                 partial(self.store.replace, fact, "gold", FACT_TABLE, lo))
 
         self.marks.advance(TRANSACTION_FILES, hi)
@@ -296,16 +308,16 @@ class Pipeline:
             if land_err is not None:
                 raise land_err
             bronze_orders = self._read("bronze", "orders", schemas.ORDERS, lo)
-            promote_orders = partial(self.store.write_batch, bronze_orders, "silver", "orders",
-                                     lo, schemas.ORDERS)
+            promote = [partial(self.store.write_batch, bronze_orders, "silver", "orders",
+                               lo, schemas.ORDERS)]
             if lines_err is not None:
-                run_all(promote_orders)
+                run_all(*(promote if self.silver_copy else []))
                 raise lines_err
             checks["order_products_prior"] = lines_ok
+            promote.append(partial(self.store.write_batch, bronze_lines, "silver",
+                                   "order_products_prior", lo, schemas.ORDER_PRODUCTS))
             fact = self._fact(bronze_lines, bronze_orders)
-            run_all(promote_orders,
-                    partial(self.store.write_batch, bronze_lines, "silver",
-                            "order_products_prior", lo, schemas.ORDER_PRODUCTS),
+            run_all(*(promote if self.silver_copy else []),
                     partial(self.store.write_batch, fact, "gold", FACT_TABLE, lo,
                             _fact_schema()))
 
@@ -382,7 +394,8 @@ class Pipeline:
     def committed(self, layer: str, table: str, schema) -> DataFrame:
         """A transactional table without rows of unfinished batches."""
         mark = self.marks.get(registry.ORDERS.file_name)
-        return self.store.read(layer, table, schema=schema, committed_below=mark)
+        return self.store.read(self._stored_layer(layer, table), table, schema=schema,
+                               committed_below=mark)
 
     def fact(self) -> DataFrame:
         fact_schema = _fact_schema()
@@ -439,10 +452,12 @@ class Pipeline:
                    for layer in ("bronze", "silver")]
         tables += [("gold", dim, False) for dim in DIM_TABLES.values()]
         for layer, table, batched in tables:
-            if self.store.table_schema(layer, table) is None:
+            stored = self._stored_layer(layer, table)
+            schema = self.store.table_schema(stored, table)
+            if schema is None:
                 continue
-            cols = ", ".join(f"`{f.name}`" for f in self.store.table_schema(layer, table).fields)
-            src = f"{self.store.fmt}.`{self.store.path(layer, table)}`"
+            cols = ", ".join(f"`{f.name}`" for f in schema.fields)
+            src = f"{self.store.fmt}.`{self.store.path(stored, table)}`"
             where = f" WHERE {schemas.BATCH_COLUMN} < {int(mark)}" if batched else ""
             self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.{table} AS "
                            f"SELECT {cols} FROM {src}{where}")
