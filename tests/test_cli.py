@@ -16,7 +16,7 @@ def test_cli_count_run_and_gate_failure(spark, workdir, capsys):
     assert json.loads(capsys.readouterr().out) == {"row_count": 0, "mode": "initial"}
     assert main(["reference", *base], spark) == 0
     capsys.readouterr()
-    assert main(["run", *base], spark) == 0
+    assert main(["run", *base, "--zero-copy-silver"], spark) == 0
     out = json.loads(capsys.readouterr().out)
     assert (out["status"], out["mode"], out["lo"], out["hi"]) == ("SUCCESS", "initial", 0, 5)
     assert out["rows"] == {"orders": 5, "order_products_prior": 5}
