@@ -101,3 +101,22 @@ def test_drops_with_early_lines_equal_one_full_load(spark, a, gap, early_picks):
         r = p.run()
         assert r.status == SUCCESS and r.hi == last
     assert keys(p) == sorted(lines)                       # every line, exactly once
+
+
+def test_file_names_needing_escapes_are_matched(spark, workdir):
+    raw = f"{workdir}/raw"
+    root = _local(raw)
+    write_text(f"{root}/products.csv", "product_id,product_name,aisle_id,department_id",
+               ["1,Salt,1,1", "2,Bananas,2,1", "3,Milk,2,2"])
+    write_text(f"{root}/aisles.csv", "aisle_id,aisle", ["1,spices", "2,fresh"])
+    write_text(f"{root}/departments.csv", "department_id,department", ["1,pantry", "2,dairy"])
+    drop(raw, "first drop", range(1, 6), [(o, 1) for o in range(1, 6)])
+    p = Pipeline(spark, Lakehouse(spark, f"{workdir}/lake"), raw)
+    p.reference_load()
+    p.run()
+    drop(raw, "second 100%", range(6, 9), [(o, 2) for o in range(6, 9)] + [(9, 1)])   # early line
+    assert p.run().hi == 8
+    drop(raw, "third", range(9, 11), [(o, 3) for o in range(9, 11)])
+    r = p.run()
+    assert r.raw_files == {"orders.csv": (1, 2), "order_products__prior.csv": (2, 1)}
+    assert (9, 1) in keys(p) and len(keys(p)) == 5 + 3 + 1 + 2

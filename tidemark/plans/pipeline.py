@@ -39,7 +39,7 @@ from ..session import job_label
 from ..sinks.store import Lakehouse, empty_frame
 from ..sources import registry, schemas
 from ..sources.csv import read_csv, read_source
-from ..sources.manifest import RawFile, RawManifest
+from ..sources.manifest import RawFile, RawManifest, canonical_path
 from . import rulesets
 
 NO_NEW_DATA = "NO_NEW_DATA"
@@ -352,15 +352,17 @@ class Pipeline:
                 F.max("order_id").alias("bound")).collect()
         n_new = sum(int(r["new_rows"]) for r in rows)
         his = [r["batch_hi"] for r in rows if r["batch_hi"] is not None]
-        bounds = {r[FILE_COLUMN]: r["bound"] for r in rows}
+        bounds = {canonical_path(self.spark, r[FILE_COLUMN]): r["bound"] for r in rows
+                  if r[FILE_COLUMN] is not None}
         return n_new, (max(his) if his else None), bounds
 
     def _land_lines(self, lines_batch: DataFrame, lo: int, hi: int) -> dict:
         """Per-file key bounds of the lines batch (materialises its cache), then
         land ``lo < order_id <= hi`` in Bronze."""
         with job_label(self.spark, "raw line bounds"):
-            bounds = {r[0]: r[1] for r in lines_batch.groupBy(FILE_COLUMN)
-                      .agg(F.max("order_id")).collect()}
+            bounds = {canonical_path(self.spark, r[0]): r[1]
+                      for r in lines_batch.groupBy(FILE_COLUMN).agg(F.max("order_id")).collect()
+                      if r[0] is not None}
         lines = within(lines_batch, "order_id", lo, hi).drop(FILE_COLUMN)
         self.store.write_batch(lines, "bronze", "order_products_prior", lo,
                                schemas.ORDER_PRODUCTS)

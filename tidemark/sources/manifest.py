@@ -29,7 +29,7 @@ from ..functions.rules import sql_literal
 
 MANIFEST = T.StructType([
     T.StructField("file_name", T.StringType()),       # registered source, e.g. orders.csv
-    T.StructField("path", T.StringType()),
+    T.StructField("path", T.StringType()),            # as listed (Path.toString())
     T.StructField("size", T.LongType()),
     T.StructField("mtime", T.LongType()),
     T.StructField("recorded_at", T.LongType()),       # mark the recording run started at
@@ -40,11 +40,21 @@ LAYER, TABLE = "control", "raw_files"
 
 @dataclass(frozen=True)
 class RawFile:
-    path: str
+    path: str     # Hadoop path string (as listed), used to read and to match the file
     size: int
     mtime: int
 
 
+def canonical_path(spark: SparkSession, reported: str) -> str:
+    """A path as Spark reports it (``_metadata.file_path``, URL-encoded URI) in
+    the listing's form (``Path.toString()``); unparsable input is returned as is."""
+    jvm = spark.sparkContext._jvm
+    try:
+        return str(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(reported)).toString())
+    except Exception:  # noqa: BLE001 - an unmatched path only disables recording
+        return reported
+
+
 def list_files(spark: SparkSession, path: str) -> list[RawFile]:
     """Data files under a raw path (a file or a folder), hidden files excluded."""
     sc = spark.sparkContext
@@ -98,10 +108,16 @@ class RawManifest:
                reads: dict[str, tuple[list[RawFile], dict[str, int | None]]]) -> None:
         """Append one record per file read by a successful run, all sources at once.
 
-        ``reads`` maps a source to (files read, largest key above ``lo`` per path).
+        ``reads`` maps a source to (files read, largest key above ``lo`` per
+        canonical path). A source whose reported files do not all match the
+        listed ones is not recorded at all - a missed match would otherwise read
+        as "no key above the mark" - so it is simply read in full next time.
         """
-        items = [(name, f, bounds.get(f.path)) for name, (files, bounds) in reads.items()
-                 for f in files]
+        items = []
+        for name, (files, bounds) in reads.items():
+            if not set(bounds) <= {f.path for f in files}:
+                continue
+            items.extend((name, f, bounds.get(f.path)) for f in files)
         if not items:
             return
         # one SQL VALUES list: a single call however many files were read
