@@ -120,3 +120,8 @@ def test_file_names_needing_escapes_are_matched(spark, workdir):
     r = p.run()
     assert r.raw_files == {"orders.csv": (1, 2), "order_products__prior.csv": (2, 1)}
     assert (9, 1) in keys(p) and len(keys(p)) == 5 + 3 + 1 + 2
+    # a glob character in a file name: that source is read whole, nothing is lost
+    drop(raw, "fourth[x]", range(11, 13), [(o, 1) for o in range(11, 13)])
+    r = p.run()
+    assert (r.status, r.hi) == (SUCCESS, 12) and r.raw_files["orders.csv"] == (0, 0)
+    assert {(11, 1), (12, 1)} <= set(keys(p))

@@ -49,6 +49,7 @@ DIM_TABLES = {"products": "dim_product", "aisles": "dim_aisle", "departments": "
 TRANSACTION_TABLES = ("orders", "order_products_prior")
 FACT_TABLE = "fact_order_products"
 FILE_COLUMN = "_raw_file"
+GLOB_CHARACTERS = "*?[]{}\\"
 
 
 def concurrently(*tasks: Callable[[], Any]) -> list[tuple[Any, BaseException | None]]:
@@ -135,6 +136,11 @@ class Pipeline:
             df = self._raw(spec)
             return df.withColumn(FILE_COLUMN, F.col("_metadata.file_path")), None, 0
         files, skipped = self.manifest.plan(spec.file_name, spec.path(self.raw_root), lo, known)
+        if any(ch in f.path for f in files + skipped for ch in GLOB_CHARACTERS):
+            # a listed name would be read as a glob pattern: read the source as a
+            # whole and record nothing for it
+            df = self._raw(spec)
+            return df.withColumn(FILE_COLUMN, F.col("_metadata.file_path")), None, 0
         if not files:
             empty = empty_frame(self.spark, spec.schema)
             return empty.withColumn(FILE_COLUMN, F.lit(None).cast("string")), [], len(skipped)

@@ -115,7 +115,7 @@ class RawManifest:
         """
         items = []
         for name, (files, bounds) in reads.items():
-            if not set(bounds) <= {f.path for f in files}:
+            if files is None or not set(bounds) <= {f.path for f in files}:
                 continue
             items.extend((name, f, bounds.get(f.path)) for f in files)
         if not items:
