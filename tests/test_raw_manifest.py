@@ -40,7 +40,8 @@ def test_unchanged_files_are_skipped_and_results_stay_whole(spark, workdir):
     drop(raw, "d2", range(13, 16), [(o, 2) for o in range(13, 16)] + [(16, 1)])   # early line
     r = p.run()
     assert (r.status, r.hi) == (SUCCESS, 15)
-    assert r.raw_files == {"orders.csv": (2, 0), "order_products__prior.csv": (2, 0)}
+    # the initial load recorded the orders files, not the lines files
+    assert r.raw_files == {"orders.csv": (1, 1), "order_products__prior.csv": (2, 0)}
 
     drop(raw, "d3", range(16, 19), [(o, 3) for o in range(16, 19)])
     r = p.run()

@@ -34,12 +34,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import gold, quality
-from ..operators.watermark import WatermarkLog, guard_frame, newer_than, within
+from ..operators.watermark import WatermarkLog, newer_than, within
 from ..session import job_label
 from ..sinks.store import Lakehouse, empty_frame
 from ..sources import registry, schemas
 from ..sources.csv import read_csv, read_source
-from ..sources.manifest import RawFile, RawManifest, canonical_path
+from ..sources.manifest import RawFile, RawManifest, canonical_path, list_files
 from . import rulesets
 
 NO_NEW_DATA = "NO_NEW_DATA"
@@ -150,13 +150,6 @@ class Pipeline:
     def _prior(self, df: DataFrame) -> DataFrame:
         return df.filter(F.col("eval_set") == F.lit(rulesets.PRIOR))
 
-    def _guard(self, orders: DataFrame, lo: int) -> tuple[int, int | None]:
-        """One aggregate: raw orders above ``lo`` and the largest prior id among them."""
-        is_prior = F.col("eval_set") == F.lit(rulesets.PRIOR)
-        with job_label(self.spark, "guard orders"):
-            row = guard_frame(orders, "order_id", lo, hi_where=is_prior).first()
-        return int(row["new_rows"]), row["batch_hi"]
-
     def _silver_products(self) -> tuple[DataFrame, int]:
         """silver.products and a bounded row count (one job serves both checks).
 
@@ -232,15 +225,21 @@ class Pipeline:
     def initial_load(self) -> LoadResult:
         """Full history into all three layers; the mark moves to the largest prior id."""
         lo = self.marks.get(registry.ORDERS.file_name)
-        # guard and Bronze landing share one parse of the orders drop
-        raw_orders = self._raw(registry.ORDERS).persist(StorageLevel.MEMORY_AND_DISK)
+        # listed before the scan: only files known to have been read get recorded
+        order_files = (list_files(self.spark, registry.ORDERS.path(self.raw_root))
+                       if self.skip_unchanged_raw else None)
+        # guard and Bronze landing share one parse of the orders drop; the guard,
+        # grouped by raw file, also yields each file's key bound for the manifest
+        raw_orders = (self._raw(registry.ORDERS)
+                      .withColumn(FILE_COLUMN, F.col("_metadata.file_path"))
+                      .persist(StorageLevel.MEMORY_AND_DISK))
         try:
-            scope = raw_orders if self.other_eval_set == "fail" else self._prior(raw_orders)
-            n_new, hi = self._guard(scope, lo)
+            n_new, hi, order_bounds = self._guard_by_file(raw_orders, lo)
             if n_new == 0 or hi is None:
                 return LoadResult(NO_NEW_DATA, "initial", lo=lo, hi=lo, new_orders=n_new)
             lines = within(self._raw(registry.ORDER_PRODUCTS), "order_id", None, hi)
-            run_all(partial(self.store.replace, self._prior(raw_orders), "bronze", "orders", lo),
+            run_all(partial(self.store.replace, self._prior(raw_orders).drop(FILE_COLUMN),
+                            "bronze", "orders", lo),
                     partial(self.store.replace, lines, "bronze", "order_products_prior", lo))
         finally:
             raw_orders.unpersist()
@@ -266,6 +265,9 @@ class Pipeline:
         run_all(*(promote if self.silver_copy else []),
                 partial(self.store.replace, fact, "gold", FACT_TABLE, lo))
 
+        if order_files is not None:
+            # lines are not recorded: that would take a second pass over all of them
+            self.manifest.record(lo, {registry.ORDERS.file_name: (order_files, order_bounds)})
         self.marks.advance(TRANSACTION_FILES, hi)
         return LoadResult(SUCCESS, "initial", lo=lo, hi=hi, new_orders=n_new, quality=checks)
 
@@ -346,7 +348,8 @@ class Pipeline:
     def _guard_by_file(self, raw_batch: DataFrame, lo: int) -> tuple[int, int | None, dict]:
         """The guard, grouped by raw file (one small row per file read): new rows
         (prior ones only in "skip" mode), the largest prior id, and each file's
-        largest key above ``lo`` over ALL rows - a bound valid in either mode."""
+        largest key over ALL its rows in ``raw_batch`` - a bound valid in either
+        mode (the initial load passes unfiltered rows: a conservative bound)."""
         is_prior = F.col("eval_set") == F.lit(rulesets.PRIOR)
         counted = F.col("order_id") > F.lit(lo)
         if self.other_eval_set == "skip":
