@@ -1,8 +1,9 @@
 """The three loads and the run that picks between them.
 
 Every stage is a lazily built DataFrame; the actions are: one guard
-aggregate, one gate action per table (all rules at once), the writes, and
-the mark. Only scalars and per-rule counts reach the driver.
+aggregate (grouped by raw file), one gate action per table (all rules at
+once), the writes, the manifest and the mark. Only scalars, per-rule counts
+and one row per raw file read reach the driver.
 
 Batch protocol (transactional tables, see ``sinks.store``):
 
@@ -19,6 +20,11 @@ Batch protocol (transactional tables, see ``sinks.store``):
 ``other_eval_set``: ``"fail"`` keeps the incremental gate on the raw batch,
 so a new non-prior order fails the run; ``"skip"`` drops non-prior orders
 before guard, gate and mark.
+
+``skip_unchanged_raw`` (default on) lets incremental runs skip raw files the
+manifest proves hold no key above the mark (``sources.manifest``);
+``silver_copy=False`` serves the Silver transaction tables as the committed
+Bronze batches instead of writing a second copy.
 """
 
 from __future__ import annotations
