@@ -301,3 +301,17 @@ def test_zero_copy_silver_serves_the_same_tables(spark, workdir):
         assert p.store.exists("silver", "orders") == copy
     assert out[True] == out[False]
     assert [r[0] for r in out[False][0]] == list(range(1, 12))
+
+
+def test_sql_views_hide_an_unfinished_batch(spark, workdir, loaded):
+    committed_lines = loaded.committed("bronze", "order_products_prior",
+                                       schemas.ORDER_PRODUCTS).count()
+    bad_lines = lines_upto(15) + [line_row(14, 3, cart=0)]       # fails the lines gate
+    p = run_drop(spark, workdir, "raw-badlines", orders_upto(15), bad_lines)
+    with pytest.raises(QualityGateError, match="invalid add_to_cart_order"):
+        p.run()
+    assert p.store.read("bronze", "order_products_prior", batch=12).count() > 0   # landed
+    p.register_tables()
+    assert spark.sql("SELECT COUNT(*) FROM bronze.order_products_prior").first()[0] \
+        == committed_lines
+    assert spark.sql("SELECT max(order_id) FROM gold.fact_order_products").first()[0] == 12
