@@ -15,6 +15,11 @@ none). A later run at mark ``lo`` skips a file only if
 Everything else - new, changed or unrecorded files - is read. A rewritten
 full-extract file changes its modification time, so that layout behaves
 exactly as without the manifest.
+
+Bounds come from Spark's ``_metadata.file_path`` (URL-encoded); they are
+canonicalised to the listing's path form, and a source is not recorded at
+all if any reported file fails to match a listed one, because a missing
+bound would read as "no key above the mark".
 """
 
 from __future__ import annotations
