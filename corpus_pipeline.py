@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import quality_rules
+from tidemark.llm import decontam, near_dedup, packing, quality_rules, suffix_dedup
 from tidemark.llm.frames import table, written
 
 
@@ -19,10 +19,36 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_rules.keep_good(docs, rules)
 
 
-STAGES = [("quality_rules", quality_stage)]
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates."""
+    return near_dedup.keep_first(docs)
 
-# No stage but the base rule of the first has an SQL form: the others learn, link
-# by minimum hashes, sort suffixes, search an index and fit patterns.
+
+def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the byte runs that an earlier one holds."""
+    return suffix_dedup.without_repeats(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_stage),
+    ("near_dedup", near_dedup_stage),
+    ("suffix_dedup", suffix_dedup_stage),
+    ("decontamination", decontamination_stage),
+    ("packing", packing_stage),
+]
+
+# The stages learn, link by minimum hashes, sort suffixes, search an index and fit
+# patterns: SQL expresses none of them whole.
 ORACLE_SQL = None
 
 

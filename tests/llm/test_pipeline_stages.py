@@ -1,0 +1,32 @@
+import corpus_pipeline as cp
+from tidemark.llm import near_dedup
+
+from rows import SMALL, awkward_docs
+
+
+def test_stages_over_the_small_table(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    seen = docs
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(spark, seen, SMALL).cache()
+        assert out.columns == docs.columns, name
+        assert out.dtypes == docs.dtypes, name
+        assert out.join(seen, "doc_id", "left_anti").count() == 0
+        if name == "near_dedup":
+            kept = near_dedup.near_duplicates(seen).filter("doc_id = class_id").select("doc_id").distinct()
+            assert sorted(r.doc_id for r in out.collect()) == sorted(r.doc_id for r in kept.collect())
+        seen = out
+    packed = cp.STAGES[-1][1](spark, seen, SMALL)
+    assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in seen.collect()}
+
+
+def test_run_equals_the_stages(spark):
+    rows = cp.run(spark, SMALL)
+    assert rows.columns[:2] == ["doc_id", "piece"] and rows.count() > 0
+
+
+def test_awkward_rows_pass_every_stage(spark):
+    docs = awkward_docs(spark)
+    for name, stage in cp.STAGES:
+        assert stage(spark, docs, SMALL).count() > 0, name
+        assert stage(spark, docs.limit(0), SMALL).count() == 0, name

@@ -1,0 +1,83 @@
+import hashlib
+import random
+
+import numpy as np
+
+from tidemark.llm import suffix_dedup as sd
+from tidemark.llm.suffix_sort import Suffixes
+
+from rows import awkward_docs, awkward_texts
+
+
+def brute(rows, span=50):
+    """(n_bytes, n_removed, n_spans, sha256) of each row, by a table of all strings."""
+    first = {}
+    for i, t in rows:
+        b = (t or "").encode()
+        for k in range(len(b) - span + 1):
+            s = b[k:k + span]
+            if i is not None:
+                first[s] = min(first.get(s, i), i)
+    out = []
+    for i, t in rows:
+        b = (t or "").encode()
+        gone = [False] * len(b)
+        for k in range(len(b) - span + 1):
+            if i is not None and first[b[k:k + span]] < i:
+                gone[k:k + span] = [True] * span
+        spans = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
+        kept = bytes(x for x, g in zip(b, gone) if not g)
+        out.append((i, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+def got(df):
+    return sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in df.collect()), key=str)
+
+
+def test_awkward_rows(spark):
+    docs = awkward_docs(spark)
+    assert got(sd.remove_repeats(docs)) == brute(awkward_texts())
+    assert sd.remove_repeats(docs.limit(0)).count() == 0
+
+
+def test_overlapping_repeats_and_edges(spark):
+    rng = random.Random(5)
+    pieces = ["".join(rng.choice("ab c") for _ in range(n)) for n in (49, 50, 51, 75, 120)]
+    rows = []
+    for d in range(60):
+        parts = [rng.choice(pieces) for _ in range(3)] + ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(0, 90)))]
+        rng.shuffle(parts)
+        rows.append((d, "".join(parts)[rng.randint(0, 20):]))
+    assert got(sd.remove_repeats(awkward_docs(spark, rows))) == brute(rows)
+
+
+def test_many_contexts_of_one_passage(spark):
+    rng = random.Random(6)
+    passage = "".join(rng.choice("abcdefghij ") for _ in range(90))
+    rows = []
+    for d in range(150):
+        a, b = ("".join(rng.choice("xyz ") for _ in range(60)) for _ in range(2))
+        cut = rng.randint(0, 45)
+        rows.append((d, a + passage[cut:] + b if d % 2 else a + passage[:90 - cut] + b))
+    assert got(sd.remove_repeats(awkward_docs(spark, rows))) == brute(rows)
+
+
+def test_texts_left(spark):
+    docs = awkward_docs(spark)
+    out = {(r.doc_id, r.n_chars): r for r in sd.without_repeats(docs).collect()}
+    assert sd.without_repeats(docs).columns == docs.columns and len(out) <= docs.count()
+    assert out[(2, 0)].text == "" and out[(16, 0)].text == ""
+    assert all(len(r.text or "") == r.n_chars for r in out.values())
+
+
+def test_sort_orders_suffixes_within_groups():
+    rng = np.random.default_rng(3)
+    rows = rng.integers(97, 99, (500, 40)).astype(np.uint8)
+    size = np.array([1, 2, 3, 94, 400])
+    start = np.cumsum(size) - size
+    s = Suffixes(rows, 10, 1)
+    order = s.sort(np.repeat(start, size), np.repeat(start + size, size))
+    for a, n in zip(start, size):
+        part = [bytes(rows[k, 10:]) for k in order[a:a + n]]
+        assert part == sorted(bytes(rows[k, 10:]) for k in range(a, a + n))

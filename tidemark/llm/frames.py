@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import fresh_dir, job_label
+from .text import slices, text_buffers
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -62,8 +66,8 @@ def numbered(df: DataFrame, keys: list[str], order: list[str], name: str) -> Dat
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, per_class: int,
-                    held_out: bool = True) -> DataFrame:
-    """(text, label) of at most ``per_class`` labelled documents of each class.
+                    held_out: bool = True, also: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, text, label, *also) of at most ``per_class`` labelled documents of each class.
 
     The choice is by a hash of doc_id, so it is the same on every run.
     ``held_out`` leaves out the rows whose crc32(doc_id as text) mod 5 is 0.
@@ -77,9 +81,24 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, per_class:
                 .orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class))
         chosen = some if chosen is None else chosen.unionByName(some)
     # at most 2 * per_class rows of two numbers: safe to broadcast
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *also)
     return (texts.join(F.broadcast(chosen), "doc_id")
-            .select("text", "label", "doc_id").limit(4 * per_class))
+            .select("doc_id", "text", "label", *also).limit(4 * per_class))
+
+
+def with_text_score(docs: DataFrame, make_scorer, name: str) -> DataFrame:
+    """``docs`` with the double column ``name``; ``make_scorer()`` gives a function
+    from (bytes, offsets) of a slice of texts to one score for each text."""
+    def run(batches):
+        score = make_scorer()
+        for batch in batches:
+            buf, off = text_buffers(batch.column("text"))
+            out = [np.zeros(0)]
+            for i, j in slices(off):
+                out.append(score(buf[off[i]:off[j]], off[i:j + 1] - off[i]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(out))],
+                                             names=[*batch.schema.names, name])
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def in_held_out(doc_id: Column) -> Column:
