@@ -7,7 +7,7 @@ from tidemark.llm.frames import in_held_out
 
 from rows import awkward_docs, awkward_texts
 
-DATA = "/root/testdata/sf0.01"
+DATA = "/root/testdata/sf0.1"
 
 
 @pytest.mark.parametrize("query,target,low", [
@@ -16,7 +16,7 @@ def test_held_out_accuracy(spark, query, target, low):
     out = query(spark, DATA)
     labels = {r.doc_id: r[target] for r in spark.read.parquet(f"{DATA}/labels.parquet").collect()}
     rows = out.collect()
-    assert len(rows) == 1000 and all(0 <= r.score <= 1 for r in rows)
+    assert len(rows) == 10000 and all(0 <= r.score <= 1 for r in rows)
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
     held = [(r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
     for value in (0, 1):                                   # either class by itself
