@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .frames import dropped, shuffle_width, table, written
-from .suffix_sort import earlier_windows
+from .suffix_sort import earlier_windows, row_hash
 from .text import Hasher, mix, slices, text_buffers
 
 SPAN = 50
@@ -135,7 +135,9 @@ def _anchor_blobs(buckets: int):
                 at, g, doc = anchors(buf[off[i]:off[j]], off[i:j + 1] - off[i], hasher)
                 parts.append((g, doc + i, (at - (off[i:j] - off[i])[doc]).astype(np.uint32)))
             g, doc, at = (np.concatenate(x) for x in zip(*parts))
-            own, blobs = blobs_by_bucket((g % np.uint64(buckets)).astype(np.int32), g, ids[doc],
+            # 48 bits of the hash: two grams that share them are told apart by their bytes later
+            own, blobs = blobs_by_bucket((g % np.uint64(buckets)).astype(np.int32), g.astype(np.uint32),
+                                         (g >> np.uint64(32)).astype(np.uint16), ids[doc],
                                          crc[doc].astype(np.uint32), at)
             yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
     return run
@@ -144,8 +146,9 @@ def _anchor_blobs(buckets: int):
 def _shared_anchors(batches):
     """Positions, by document, of the anchors whose gram is in two documents or more."""
     for _, blobs in bucket_batches(batches):
-        g, doc, crc, at = (np.concatenate(x) for x in zip(
-            *(unpack_columns(b, (np.uint64, np.int64, np.uint32, np.uint32)) for b in blobs)))
+        low, high, doc, crc, at = (np.concatenate(x) for x in zip(
+            *(unpack_columns(b, (np.uint32, np.uint16, np.int64, np.uint32, np.uint32)) for b in blobs)))
+        g = low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)
         order = np.argsort(g)
         start = np.flatnonzero(np.append(True, g[order][1:] != g[order][:-1]))
         d = doc[order]
@@ -189,7 +192,7 @@ def _context_blobs(buckets: int):
         g = hasher.spans(h, at + off[doc], at + off[doc] + GRAM)
         ids, crc = (np.array([d[k] for d in docs], np.int64) for k in (0, 1))
         own, blobs = blobs_by_bucket(
-            (g % np.uint64(buckets)).astype(np.int32), g, ids[doc], crc[doc].astype(np.uint32),
+            (g % np.uint64(buckets)).astype(np.int32), ids[doc], crc[doc].astype(np.uint32),
             at.astype(np.uint32), (ahead * 256 + after).astype(np.uint16), rows.view(f"V{width}").reshape(-1))
         return pa.RecordBatch.from_arrays([pa.array(own), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
 
@@ -209,10 +212,11 @@ def _context_blobs(buckets: int):
 
 def _earlier(batches):
     """(position, window mask) by document of the anchors with a window in a smaller document."""
-    kinds = (np.uint64, np.int64, np.uint32, np.uint32, np.uint16, f"V{LEFT + SPAN}")
+    kinds = (np.int64, np.uint32, np.uint32, np.uint16, f"V{LEFT + SPAN}")
     for _, blobs in bucket_batches(batches):
-        g, doc, crc, at, room, rows = (np.concatenate(x) for x in zip(*(unpack_columns(b, kinds) for b in blobs)))
-        rows = np.ascontiguousarray(rows).view(np.uint8).reshape(len(g), LEFT + SPAN)
+        doc, crc, at, room, rows = (np.concatenate(x) for x in zip(*(unpack_columns(b, kinds) for b in blobs)))
+        rows = np.ascontiguousarray(rows).view(np.uint8).reshape(len(doc), LEFT + SPAN)
+        g = row_hash(rows[:, LEFT:LEFT + GRAM], 0)         # the gram is in the context
         mask = earlier_windows(g, doc, rows, (room >> 8).astype(np.int64), (room & 255).astype(np.int64), LEFT, SPAN)
         hit = np.flatnonzero(mask)
         if len(hit):

@@ -96,7 +96,7 @@ def _attempt(mask, anchor, doc, rows, room_left, room_right, left, span, seed):
     fits = (offsets <= room_left[:, None]) & (span - offsets <= room_right[:, None])
     whole = (fits.astype(np.uint32) << offsets.astype(np.uint32)).sum(axis=1, dtype=np.uint32)
     # equal contexts first: all but those of the smallest document are covered
-    own = _row_hash(rows, seed) ^ mix(anchor + np.uint64(seed)) ^ mix((room_left * 256 + room_right).astype(np.uint64))
+    own = row_hash(rows, seed) ^ mix(anchor + np.uint64(seed)) ^ mix((room_left * 256 + room_right).astype(np.uint64))
     _, rep, inverse = np.unique(own, return_index=True, return_inverse=True)
     least = np.full(len(rep), np.iinfo(np.int64).max)
     np.minimum.at(least, inverse, doc)
@@ -157,7 +157,7 @@ def _windows(rows, value, least, fits, left, span, seed):
     return out
 
 
-def _row_hash(rows: np.ndarray, seed: int) -> np.ndarray:
+def row_hash(rows: np.ndarray, seed: int) -> np.ndarray:
     up = np.random.default_rng(seed + 1000).integers(1, 2**63, rows.shape[1], dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     table, total = byte_values(seed=seed), np.zeros(len(rows), np.uint64)
     for k in range(rows.shape[1]):
