@@ -33,7 +33,7 @@ def test_unchanged_files_are_skipped_and_results_stay_whole(spark, workdir):
     write_text(f"{root}/departments.csv", "department_id,department", ["1,pantry", "2,dairy"])
     drop(raw, "d1", range(1, 13), [(o, 1) for o in range(1, 13)])
     store = Lakehouse(spark, f"{workdir}/lake")
-    p = Pipeline(spark, store, raw)
+    p = Pipeline(spark, store, raw, skip_unchanged_raw=True)
     p.reference_load()
     assert p.run().hi == 12
 
@@ -94,7 +94,7 @@ def test_drops_with_early_lines_equal_one_full_load(spark, a, gap, early_picks):
         d = drop_of(line[0])
         placed[line] = (i % d) if (i in early_picks and d > 0) else d
     bounds = [(1, a), (a + 1, b), (b + 1, n)]
-    p = Pipeline(spark, Lakehouse(spark, f"{work}/lake"), raw)
+    p = Pipeline(spark, Lakehouse(spark, f"{work}/lake"), raw, skip_unchanged_raw=True)
     for d, (first, last) in enumerate(bounds):
         drop(raw, f"d{d}", range(first, last + 1), [ln for ln in lines if placed[ln] == d])
         if d == 0:
@@ -112,7 +112,7 @@ def test_file_names_needing_escapes_are_matched(spark, workdir):
     write_text(f"{root}/aisles.csv", "aisle_id,aisle", ["1,spices", "2,fresh"])
     write_text(f"{root}/departments.csv", "department_id,department", ["1,pantry", "2,dairy"])
     drop(raw, "first drop", range(1, 6), [(o, 1) for o in range(1, 6)])
-    p = Pipeline(spark, Lakehouse(spark, f"{workdir}/lake"), raw)
+    p = Pipeline(spark, Lakehouse(spark, f"{workdir}/lake"), raw, skip_unchanged_raw=True)
     p.reference_load()
     p.run()
     drop(raw, "second 100%", range(6, 9), [(o, 2) for o in range(6, 9)] + [(9, 1)])   # early line

@@ -3,7 +3,7 @@
     spark-submit --py-files tidemark.zip -m tidemark run --raw s3a://raw/retail --lake s3a://lake/retail
     python -m tidemark {reference,initial,incremental,run,count} --raw RAW --lake LAKE
         [--other-eval-set fail|skip] [--infer-schema] [--format parquet|delta]
-        [--zero-copy-silver] [--read-all-raw]
+        [--zero-copy-silver] [--skip-unchanged-raw]
 
 ``count`` prints the Bronze orders row count and the mode it implies; ``run``
 picks the initial or incremental load from it. A failed quality gate prints
@@ -41,7 +41,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     ap.add_argument("--format", default="parquet")
     ap.add_argument("--zero-copy-silver", action="store_true",
                     help="serve Silver transaction tables as committed Bronze batches")
-    ap.add_argument("--read-all-raw", action="store_true",
+    ap.add_argument("--skip-unchanged-raw", action="store_true",
                     help="do not skip unchanged raw files recorded in the manifest")
     args = ap.parse_args(argv)
 
@@ -49,7 +49,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p = Pipeline(spark, Lakehouse(spark, args.lake, fmt=args.format), args.raw,
                  other_eval_set=args.other_eval_set, infer_schema=args.infer_schema,
                  silver_copy=not args.zero_copy_silver,
-                 skip_unchanged_raw=not args.read_all_raw)
+                 skip_unchanged_raw=args.skip_unchanged_raw)
     if args.command == "count":
         n = p.bronze_row_count()
         print(json.dumps({"row_count": n, "mode": "initial" if n == 0 else "incremental"}))

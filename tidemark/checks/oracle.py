@@ -10,6 +10,7 @@ from __future__ import annotations
 from ..functions.rules import Rule
 from ..plans import rulesets
 from ..sources import driver_tables as dt
+from ..sources import registry
 from ..sources.schemas import FACT_COLUMNS
 
 MARK = "(SELECT CAST(floor(0.9 * count(*)) AS BIGINT) - 1 FROM orders)"
@@ -97,6 +98,18 @@ def departments_sql(variant: str = "dirty") -> str:
     return f"SELECT DISTINCT department_id, department FROM ({parts_sql(variant)}) q"
 
 
+def broken_sql(source: str, table: str, columns: list[tuple[str, str]]) -> str:
+    """The edits of the adapter's ``BROKEN`` on a dirty table."""
+    key, edits = dt.BROKEN[table]
+    out = []
+    for name, kind in columns:
+        whens = " ".join(
+            f"WHEN ({key}) % {m} = 0 THEN " + ("NULL" if v is None else _lit(v) if isinstance(v, str) else str(v))
+            for c, m, v in edits if c == name)
+        out.append(f"CAST(CASE {whens} ELSE {name} END AS {kind}) AS {name}" if whens else name)
+    return f"SELECT {', '.join(out)} FROM ({source}) b"
+
+
 TABLE_SQL = {
     "orders": orders_sql,
     "order_products_prior": lines_sql,
@@ -151,12 +164,19 @@ def _message(rule: Rule, n: str) -> str:
     return f"CASE WHEN {n} > 0 THEN {_lit(head)} || CAST({n} AS VARCHAR) || {_lit(tail)} END"
 
 
-def dq_sql(source_sql: str, rules: list[Rule]) -> str:
+def dq_sql(source_sql: str, rules: list[Rule], found: dict[str, str | None] | None = None) -> str:
+    """``found`` names the types of columns that are not of the declared one; None: missing."""
+    found = found or {}
     counted, ctes, selects = [], [], []
     for no, rule in enumerate(rules, start=1):
         head = f"SELECT CAST({no} AS INTEGER) AS rule_no, {_lit(rule.kind)} AS rule_kind, " \
                f"{_lit(rule.column)} AS column_name, "
-        if rule.kind == "type":
+        if rule.kind == "type" and rule.columns[0] in found:
+            text = rule.message(actual=found[rule.columns[0]])
+            selects.append(head + f"CAST(1 AS BIGINT) AS violations, {_lit(text)} AS message")
+        elif any(found.get(c, "") is None for c in rule.columns):
+            selects.append(head + "CAST(NULL AS BIGINT) AS violations, CAST(NULL AS VARCHAR) AS message")
+        elif rule.kind == "type":
             selects.append(head + "CAST(0 AS BIGINT) AS violations, "
                                   "CAST(NULL AS VARCHAR) AS message")
         elif rule.kind == "unique":
@@ -172,8 +192,14 @@ def dq_sql(source_sql: str, rules: list[Rule]) -> str:
     return "WITH " + ",\n".join(with_parts) + "\n" + "\nUNION ALL ".join(selects)
 
 
+_TYPES = {"int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
+
+
 def _dq(table: str, variant: str = "dirty", scope: str = "all") -> str:
-    src = TABLE_SQL[table](variant)
+    src = TABLE_SQL[table]("dirty" if variant == "broken" else variant)
+    if variant == "broken":
+        schema = next(s.schema for s in registry.REGISTRY.values() if s.table == table)
+        src = broken_sql(src, table, [(f.name, _TYPES[f.dataType.simpleString()]) for f in schema.fields])
     if table == "orders" and scope == "prior":
         src = f"SELECT * FROM ({src}) s WHERE eval_set = 'prior'"
     if table == "orders" and scope == "new":
@@ -181,6 +207,16 @@ def _dq(table: str, variant: str = "dirty", scope: str = "all") -> str:
     return dq_sql(src, rulesets.RULESETS[table]())
 
 
+def _dq_types_orders() -> str:
+    src = f"""SELECT CASE WHEN order_id % 53 = 0 THEN NULL ELSE order_id END AS order_id,
+        CASE WHEN order_id % 59 = 0 THEN NULL ELSE user_id END AS user_id, eval_set, order_number,
+        order_hour_of_day,
+        CASE WHEN order_id % 61 = 0 THEN NULL ELSE days_since_prior_order END AS days_since_prior_order
+      FROM ({orders_sql()}) o"""
+    return dq_sql(src, rulesets.orders_rules(), {"order_id": "string", "user_id": "bigint",
+                                                "days_since_prior_order": "string", "order_dow": None})
+
+
 # -- pipeline expectations ----------------------------------------------------------------
 def _first_mark() -> str:
     return (f"(SELECT CAST(max(order_id) AS BIGINT) FROM ({orders_sql('clean')}) o "
@@ -197,6 +233,12 @@ def _marks(value_sql: str) -> str:
             f"(VALUES ('orders.csv'), ('order_products__prior.csv')) v(file_name)")
 
 
+def _guard(status: str, mode: str, before: str, after: str, top: str) -> str:
+    return (f"SELECT {_lit(status)} AS status, {_lit(mode)} AS load_mode, CAST({before} AS BIGINT) AS mark_before, "
+            f"CAST({after} AS BIGINT) AS mark_after, (SELECT count(*) FROM ({orders_sql('clean')}) o "
+            f"WHERE eval_set = 'prior' AND order_id > {before} AND order_id <= {top}) AS new_orders")
+
+
 def _layer_counts() -> str:
     prior = f"(SELECT count(*) FROM ({orders_sql('clean')}) o WHERE eval_set = 'prior')"
     lines = f"(SELECT count(*) FROM ({lines_sql('clean')}) l WHERE order_id <= {_final_mark()})"
@@ -271,12 +313,20 @@ def oracle_sql() -> dict[str, str]:
         "dq_corrupt_orders_incremental": _dq("orders", "corrupt", scope="new"),
         "dq_corrupt_order_products": _dq("order_products_prior", "corrupt"),
         "dq_corrupt_products": _dq("products", "corrupt"),
+        "dq_broken_orders": _dq("orders", "broken"),
+        "dq_broken_order_products": _dq("order_products_prior", "broken"),
+        "dq_broken_products": _dq("products", "broken"),
+        "dq_broken_aisles": _dq("aisles", "broken"),
+        "dq_broken_departments": _dq("departments", "broken"),
+        "dq_types_orders": _dq_types_orders(),
         "dq_clean_orders": _dq("orders", "clean", scope="prior"),
         "dq_clean_order_products": _dq("order_products_prior", "clean"),
         "dim_product": products_sql(),
         "dim_aisle": aisles_sql(),
         "dim_department": departments_sql(),
         "star_join": star_sql(),
+        "preview_fact": f"SELECT least(10, count(*)) AS preview_rows, least(10, count(*)) AS in_fact "
+                        f"FROM ({fact_sql()}) f",
         "csv_orders": o,
         "csv_products_quoted": _quoted_products(),
         "pipeline_fact": fact_sql("clean"),
@@ -287,6 +337,11 @@ def oracle_sql() -> dict[str, str]:
                                    f"WHERE order_id > {_first_mark()}",
         "pipeline_star": star_sql("clean"),
         "pipeline_layer_counts": _layer_counts(),
+        "guard_initial": _guard("SUCCESS", "initial", "0", _first_mark(), SPLIT),
+        "guard_incremental": _guard("SUCCESS", "incremental", _first_mark(), _final_mark(), _final_mark()),
+        "guard_no_new_data": _guard("NO_NEW_DATA", "incremental", _final_mark(), _final_mark(), _final_mark()),
+        "watermark_updated_at": "SELECT file_name, true AS all_past, true AS in_order FROM "
+                                "(VALUES ('orders.csv'), ('order_products__prior.csv')) v(file_name)",
         "watermark_after_initial": _marks(_first_mark()),
         "watermark_after_incremental": _marks(_final_mark()),
     }

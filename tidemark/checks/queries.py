@@ -10,18 +10,18 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import gold, quality
 from ..operators.watermark import guard_frame, high_water_frame, newer_than
 from ..plans import rulesets
-from ..plans.pipeline import FACT_TABLE, Pipeline
+from ..plans.pipeline import FACT_TABLE, LoadResult, Pipeline
 from ..session import fresh_dir
 from ..sinks.store import Lakehouse
 from ..sources import driver_tables as dt
 from ..sources import registry, schemas
-from ..sources.csv import read_csv, write_csv
+from ..sources.csv import found_types, read_csv, write_csv
 
 SPLIT_SHARE = 0.9   # the initial load sees the oldest 90% of order ids
 
@@ -67,6 +67,11 @@ def fact_incremental_equals_full(spark, sf_dir):
     return upto.unionByName(batch)
 
 
+def _plain_orders(spark, sf_dir):
+    """Orders without the per-customer sequence: the scan stays prunable."""
+    return dt.orders(spark, sf_dir, sequence=False)
+
+
 def bronze_orders(spark, sf_dir):
     return _prior(dt.orders(spark, sf_dir))
 
@@ -80,15 +85,15 @@ def new_order_products(spark, sf_dir):
 
 
 def high_water_raw(spark, sf_dir):
-    return high_water_frame(dt.orders(spark, sf_dir), "order_id")
+    return high_water_frame(_plain_orders(spark, sf_dir), "order_id")
 
 
 def high_water_prior(spark, sf_dir):
-    return high_water_frame(_prior(dt.orders(spark, sf_dir)), "order_id")
+    return high_water_frame(_prior(_plain_orders(spark, sf_dir)), "order_id")
 
 
 def bronze_row_count(spark, sf_dir):
-    bronze = _prior(dt.orders(spark, sf_dir))
+    bronze = _prior(_plain_orders(spark, sf_dir))
     bronze.createOrReplaceTempView("tidemark_bronze_orders")
     return spark.sql("SELECT COUNT(*) AS row_count FROM tidemark_bronze_orders")
 
@@ -97,7 +102,7 @@ def load_decision(spark, sf_dir):
     """Mode (by Bronze rows) and guard (raw orders above the mark) in one aggregate."""
     mark = dirty_mark(spark, sf_dir)
     is_prior = F.col("eval_set") == F.lit(rulesets.PRIOR)
-    g = guard_frame(dt.orders(spark, sf_dir), "order_id", mark, hi_where=is_prior,
+    g = guard_frame(_plain_orders(spark, sf_dir), "order_id", mark, hi_where=is_prior,
                     extra=[F.count_if(is_prior).alias("row_count")])
     return g.select(
         "row_count",
@@ -131,6 +136,23 @@ def _dq(table: str, variant: str = "dirty", scope: str = "all"):
     return run
 
 
+def dq_types_orders(spark, sf_dir):
+    """Orders read from CSV with malformed cells (a word, a wide id, a letter in the
+    day gap) and without ``order_dow``: the type rules fire."""
+    path = fresh_dir(spark, "csv-types") + "/orders.csv"
+    k = F.col("order_id")
+    cells = dt.orders(spark, sf_dir).withColumns({
+        "order_id": F.when(k % 53 == 0, F.concat(F.lit("abc"), k.cast("string"))).otherwise(k.cast("string")),
+        "user_id": F.when(k % 59 == 0, F.lit("3000000000")).otherwise(F.col("user_id").cast("string")),
+        "days_since_prior_order": F.when(k % 61 == 0, F.lit("x"))
+        .otherwise(F.col("days_since_prior_order").cast("string"))}).drop("order_dow")
+    write_csv(cells, path)
+    seen = Observation()
+    df = read_csv(spark, path, schemas.ORDERS, observation=seen)
+    df.agg(F.count("*")).collect()
+    return quality.evaluate(df, rulesets.orders_rules(), found_types=found_types(seen))
+
+
 # -- dimensions, star, preview ------------------------------------------------------
 def _dim(table: str):
     def run(spark, sf_dir):
@@ -145,7 +167,14 @@ def star_join(spark, sf_dir):
 
 
 def preview_fact(spark, sf_dir):
-    return gold.preview(fact_full(spark, sf_dir), 10)
+    """The preview is any ten rows, so what can be checked is returned: how many
+    rows it has and how many of them are in the fact."""
+    fact = fact_full(spark, sf_dir)
+    key = ["order_id", "product_id", "add_to_cart_order"]
+    shown = gold.preview(fact, 10).withColumn("_no", F.monotonically_increasing_id())
+    known = fact.select(*key).distinct().withColumn("_known", F.lit(True))
+    return shown.join(known, key, "left").agg(F.count("*").alias("preview_rows"),
+                                              F.count_if("_known").alias("in_fact"))
 
 
 # -- CSV sources --------------------------------------------------------------------
@@ -172,7 +201,7 @@ def csv_products_quoted(spark, sf_dir):
 
 
 # -- pipeline runs ------------------------------------------------------------------
-_RUNS: dict[tuple[str, str], str] = {}
+_RUNS: dict[tuple[str, str], tuple[str, dict[str, LoadResult]]] = {}
 
 
 def pipeline_store(spark: SparkSession, sf_dir: str) -> tuple[Lakehouse, str]:
@@ -190,8 +219,9 @@ def pipeline_store(spark: SparkSession, sf_dir: str) -> tuple[Lakehouse, str]:
         first = Pipeline(spark, store, raw_initial, other_eval_set="skip").run()
         second = Pipeline(spark, store, raw_full, other_eval_set="skip").run()
         assert (first.mode, second.mode) == ("initial", "incremental"), (first, second)
-        _RUNS[key] = root
-    root = _RUNS[key]
+        third = Pipeline(spark, store, raw_full, other_eval_set="skip").run()
+        _RUNS[key] = root, {"initial": first, "incremental": second, "no_new_data": third}
+    root, _ = _RUNS[key]
     return Lakehouse(spark, f"{root}/lake"), root
 
 
@@ -200,6 +230,26 @@ def _pipeline(spark, sf_dir) -> Pipeline:
     return Pipeline(spark, store, f"{root}/raw-full", other_eval_set="skip")
 
 
+def _guard(run_name: str):
+    """What the guard of a real load decided: one row."""
+    def run(spark, sf_dir):
+        pipeline_store(spark, sf_dir)
+        r = _RUNS[spark.sparkContext.applicationId, sf_dir][1][run_name]
+        return spark.range(1).select(
+            F.lit(r.status).alias("status"), F.lit(r.mode).alias("load_mode"),
+            F.lit(int(r.lo)).cast("bigint").alias("mark_before"), F.lit(int(r.hi)).cast("bigint").alias("mark_after"),
+            F.lit(int(r.new_orders)).cast("bigint").alias("new_orders"))
+    return run
+
+
+def watermark_updated_at(spark, sf_dir):
+    """Every control row carries a time not in the future, later moves later times."""
+    log = _pipeline(spark, sf_dir).marks.history()
+    return (log.groupBy("file_name")
+            .agg((F.count_if(F.col("updated_at") <= F.current_timestamp()) == F.count("*")).alias("all_past"),
+                 (F.max_by("updated_at", "seq") == F.max("updated_at")).alias("in_order")))
+
+
 def pipeline_gate_failure(spark, sf_dir):
     """Default ``other_eval_set="fail"``: the incremental batch brings non-prior
     orders, so the gate must fail and the mark must stay; returns the gate's
@@ -281,6 +331,12 @@ QUERIES = {
     "dq_corrupt_orders_incremental": _dq("orders", "corrupt", scope="new"),
     "dq_corrupt_order_products": _dq("order_products_prior", "corrupt"),
     "dq_corrupt_products": _dq("products", "corrupt"),
+    "dq_broken_orders": _dq("orders", "broken"),
+    "dq_broken_order_products": _dq("order_products_prior", "broken"),
+    "dq_broken_products": _dq("products", "broken"),
+    "dq_broken_aisles": _dq("aisles", "broken"),
+    "dq_broken_departments": _dq("departments", "broken"),
+    "dq_types_orders": dq_types_orders,
     "dq_clean_orders": _dq("orders", "clean", scope="prior"),
     "dq_clean_order_products": _dq("order_products_prior", "clean"),
     "dim_product": _dim("products"),
@@ -295,6 +351,10 @@ QUERIES = {
     "pipeline_fact_increment": pipeline_fact_increment,
     "pipeline_star": pipeline_star,
     "pipeline_layer_counts": pipeline_layer_counts,
+    "guard_initial": _guard("initial"),
+    "guard_incremental": _guard("incremental"),
+    "guard_no_new_data": _guard("no_new_data"),
+    "watermark_updated_at": watermark_updated_at,
     "watermark_after_initial": _marks_at(1),
     "watermark_after_incremental": _marks_at(2),
 }

@@ -2,9 +2,9 @@
 
 Join strategy for scale. The fact is ``lines x orders x products``:
 
-* products is a dimension; it is broadcast only after a bounded check
-  (``limit(max_rows + 1).count()``) proves it small, and only the three
-  columns the fact needs are shipped. The broadcast join runs map-side in
+* products is a dimension; it is broadcast only if a count (one partial row
+  per task) and the optimizer's size estimate prove it small, and only the
+  three columns the fact needs are shipped. The broadcast join runs map-side in
   the scan stage of the lines, so lines of unknown products are dropped
   before any shuffle;
 * lines x orders is big x big on ``order_id`` (orders are unique per key
@@ -21,22 +21,32 @@ from ..session import job_label
 from ..sources.schemas import FACT_COLUMNS
 
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+DEFAULT_BROADCAST_MAX_BYTES = 256 << 20
 
 
-def bounded_rows(df: DataFrame, max_rows: int) -> int:
-    """``min(rows, max_rows + 1)``: reads at most ``max_rows + 1`` rows per partition."""
-    with job_label(df.sparkSession, "bounded row count"):
-        return df.limit(max_rows + 1).count()
+def counted_rows(df: DataFrame) -> int:
+    """Rows of ``df``; each task sends one number."""
+    with job_label(df.sparkSession, "row count"):
+        return df.count()
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate (for file scans: file sizes, scaled to the columns)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-                      rows: int | None = None) -> DataFrame:
-    """Broadcast hint only when the side provably holds at most ``max_rows`` rows.
+                      rows: int | None = None,
+                      max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast hint only when the side holds at most ``max_rows`` rows and its
+    estimated size is at most ``max_bytes``.
 
-    Beyond the bound the frame is returned unhinted and the planner picks a
-    shuffle join. ``rows`` passes a bound already measured by the caller.
+    Beyond the bounds the frame is returned unhinted and the planner picks a
+    shuffle join. ``rows`` passes a count already made by the caller.
     """
-    n = bounded_rows(df, max_rows) if rows is None else rows
+    if estimated_bytes(df) > max_bytes:
+        return df
+    n = counted_rows(df) if rows is None else rows
     return F.broadcast(df) if n <= max_rows else df
 
 
@@ -63,18 +73,19 @@ def orphan_lines(lines: DataFrame, orders: DataFrame, products: DataFrame,
     """What the fact's inner joins drop silently, as counts per reason.
 
     Rows ``(reason, lines)``: lines whose ``order_id`` has no order, and lines
-    whose ``product_id`` has no product (a line may count under both).
-    Both are left-anti joins; the product side is size-checked for broadcast.
+    whose ``product_id`` has no product (a line may count under both). One scan
+    of the lines, left-joined with the size-checked products and the orders.
     """
     keys = lines.select("order_id", "product_id")
-    no_order = (keys.join(orders.select("order_id"), "order_id", "left_anti")
-                .agg(F.count("*").alias("lines"))
-                .select(F.lit("unknown_order").alias("reason"), "lines"))
-    dim = bounded_broadcast(products.select("product_id"), broadcast_max_rows)
-    no_product = (keys.join(dim, "product_id", "left_anti")
-                  .agg(F.count("*").alias("lines"))
-                  .select(F.lit("unknown_product").alias("reason"), "lines"))
-    return no_order.unionByName(no_product)
+    known_order = orders.select("order_id").distinct().withColumn("_order", F.lit(True))
+    known_product = bounded_broadcast(products.select("product_id").distinct()
+                                      .withColumn("_product", F.lit(True)), broadcast_max_rows)
+    return (keys.join(known_product, "product_id", "left").join(known_order, "order_id", "left")
+            .agg(F.count_if(F.col("_order").isNull()).alias("o"),
+                 F.count_if(F.col("_product").isNull()).alias("p"))
+            .select(F.inline(F.array(
+                F.struct(F.lit("unknown_order").alias("reason"), F.col("o").alias("lines")),
+                F.struct(F.lit("unknown_product").alias("reason"), F.col("p").alias("lines"))))))
 
 
 def build_dim(silver: DataFrame) -> DataFrame:

@@ -60,7 +60,8 @@ def _entry_sql(no: int, rule: Rule, n: str, message: str) -> str:
 ROWS_RULE_NO = 0   # optional row-count entry of :func:`evaluate`
 
 
-def evaluate(df: DataFrame, rules: list[Rule], count_rows: bool = False) -> DataFrame:
+def evaluate(df: DataFrame, rules: list[Rule], count_rows: bool = False,
+             found_types: dict[str, str] | None = None) -> DataFrame:
     """Lazily planned results ``(rule_no, rule_kind, column_name, violations, message)``.
 
     ``rule_no`` is 1-based in rule order. Rules on a missing column are
@@ -68,6 +69,8 @@ def evaluate(df: DataFrame, rules: list[Rule], count_rows: bool = False) -> Data
     Value rules on a column of the wrong type compare ``try_cast`` values, so
     a malformed cell is NULL instead of an ANSI cast error. ``count_rows``
     adds a row ``(0, 'rows', '*', count(*), NULL)`` from the same aggregate.
+    ``found_types`` names the types of columns whose raw cells did not all have
+    the declared one; these fail their type rule.
 
     The row rules are assembled into ONE SQL aggregate expression (parsed
     once on the JVM), so plan building costs a handful of calls however
@@ -91,7 +94,7 @@ def evaluate(df: DataFrame, rules: list[Rule], count_rows: bool = False) -> Data
     for no, rule in enumerate(rules, start=1):
         present = all(c in actual for c in rule.columns)
         if rule.kind == "type":
-            found = actual.get(rule.columns[0])
+            found = (found_types or {}).get(rule.columns[0], actual.get(rule.columns[0]))
             bad = found != rule.expected
             text = sql_literal(rule.message(actual=found)) if bad else "NULL"
             entries.append(_entry_sql(no, rule, str(int(bad)), text))
@@ -133,17 +136,18 @@ class GateResults(list):
     rows: int | None = None
 
 
-def collect_results(df: DataFrame, rules: list[Rule]) -> list[RuleResult]:
+def collect_results(df: DataFrame, rules: list[Rule],
+                    found_types: dict[str, str] | None = None) -> list[RuleResult]:
     """Run :func:`evaluate` as one action; returns one small row per rule."""
-    rows = evaluate(df, rules).collect()
+    rows = evaluate(df, rules, found_types=found_types).collect()
     return sorted((RuleResult(**r.asDict()) for r in rows), key=lambda r: r.rule_no)
 
 
 def gate(df: DataFrame, rules: list[Rule], title: str,
-         incremental: bool = False) -> GateResults:
+         incremental: bool = False, found_types: dict[str, str] | None = None) -> GateResults:
     """Evaluate every rule at once; raise one :class:`QualityGateError` listing all failures."""
     with job_label(df.sparkSession, f"gate {title}"):
-        rows = evaluate(df, rules, count_rows=True).collect()
+        rows = evaluate(df, rules, count_rows=True, found_types=found_types).collect()
     everything = sorted((RuleResult(**r.asDict()) for r in rows), key=lambda r: r.rule_no)
     results = GateResults(r for r in everything if r.rule_no != ROWS_RULE_NO)
     results.rows = next((r.violations for r in everything if r.rule_no == ROWS_RULE_NO), None)

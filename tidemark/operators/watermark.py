@@ -48,19 +48,19 @@ def high_water(df: DataFrame, key: str, where: Column | None = None) -> int | No
     return high_water_frame(df, key, where).first()[0]
 
 
-def guard_frame(df, key: str, mark: int, hi_where: Column | None = None,
-                extra: list[Column] | None = None) -> DataFrame:
+def guard_frame(df: DataFrame, key: str, mark: int, hi_where: Column | None = None,
+                new_where: Column | None = None, extra: list[Column] | None = None) -> DataFrame:
     """One aggregate over the raw rows deciding a run.
 
-    ``new_rows`` = rows with ``key > mark``, ``current_max`` = ``max(key)``,
-    ``batch_hi`` = largest key among rows matching ``hi_where`` (the rows that
-    will move the mark). No new rows means ``NO_NEW_DATA``. ``extra``
-    aggregates ride along in the same pass. ``df`` may also be a grouped frame
-    (``df.groupBy(...)``) for one such row per group.
+    ``new_rows`` = rows with ``key > mark`` (matching ``new_where``), ``current_max`` =
+    ``max(key)``, ``batch_hi`` = largest key among rows matching ``hi_where`` (the
+    rows that will move the mark). No new rows means ``NO_NEW_DATA``. ``extra``
+    aggregates ride along in the same pass.
     """
     hi = F.col(key) if hi_where is None else F.when(hi_where, F.col(key))
+    new = F.col(key) > F.lit(mark)
     return df.agg(
-        F.count_if(F.col(key) > F.lit(mark)).alias("new_rows"),
+        F.count_if(new if new_where is None else new & new_where).alias("new_rows"),
         F.max(key).alias("current_max"),
         F.max(hi).alias("batch_hi"),
         *(extra or []),

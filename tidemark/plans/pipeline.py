@@ -1,9 +1,10 @@
 """The three loads and the run that picks between them.
 
 Every stage is a lazily built DataFrame; the actions are: one guard
-aggregate (grouped by raw file), one gate action per table (all rules at
-once), the writes, the manifest and the mark. Only scalars, per-rule counts
-and one row per raw file read reach the driver.
+aggregate, one gate action per table (all rules at once), the writes and the
+mark. Only scalars and per-rule counts reach the driver; nothing is cached.
+Malformed raw cells are observed in the guard and in the landing writes and
+fail the gate's type rules before the mark moves.
 
 Batch protocol (transactional tables, see ``sinks.store``):
 
@@ -21,8 +22,9 @@ Batch protocol (transactional tables, see ``sinks.store``):
 so a new non-prior order fails the run; ``"skip"`` drops non-prior orders
 before guard, gate and mark.
 
-``skip_unchanged_raw`` (default on) lets incremental runs skip raw files the
-manifest proves hold no key above the mark (``sources.manifest``);
+``skip_unchanged_raw`` (default off) lets incremental runs skip raw files the
+manifest proves hold no key above the mark, for write-once drops
+(``sources.manifest``);
 ``silver_copy=False`` serves the Silver transaction tables as the committed
 Bronze batches instead of writing a second copy.
 """
@@ -35,17 +37,16 @@ from dataclasses import dataclass, field
 from functools import partial
 from typing import Any
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import gold, quality
-from ..operators.watermark import WatermarkLog, newer_than, within
+from ..operators.watermark import WatermarkLog, guard_frame, newer_than, within
 from ..session import job_label
 from ..sinks.store import Lakehouse, empty_frame
 from ..sources import registry, schemas
-from ..sources.csv import read_csv, read_source
-from ..sources.manifest import RawFile, RawManifest, canonical_path, list_files
+from ..sources.csv import found_types, read_csv, read_source
+from ..sources.manifest import RawManifest
 from . import rulesets
 
 NO_NEW_DATA = "NO_NEW_DATA"
@@ -109,7 +110,7 @@ class Pipeline:
     def __init__(self, spark: SparkSession, store: Lakehouse, raw_root: str,
                  other_eval_set: str = "fail", infer_schema: bool = False,
                  broadcast_max_rows: int = gold.DEFAULT_BROADCAST_MAX_ROWS,
-                 skip_unchanged_raw: bool = True, silver_copy: bool = True):
+                 skip_unchanged_raw: bool = False, silver_copy: bool = True):
         if other_eval_set not in ("fail", "skip"):
             raise ValueError("other_eval_set must be 'fail' or 'skip'")
         self.spark = spark
@@ -128,43 +129,63 @@ class Pipeline:
         self.silver_copy = silver_copy
 
     # -- helpers -----------------------------------------------------------------
-    def _raw(self, spec: registry.SourceSpec) -> DataFrame:
-        return read_source(self.spark, spec, self.raw_root, infer=self.infer_schema)
-
-    def _incremental_source(self, spec: registry.SourceSpec, lo: int,
-                            known: dict | None) -> tuple[DataFrame, list[RawFile] | None, int]:
-        """Raw rows for an incremental run, tagged with their file in ``_raw_file``.
+    def _raw(self, spec: registry.SourceSpec, seen: Observation | None = None) -> DataFrame:
+        return read_source(self.spark, spec, self.raw_root, infer=self.infer_schema, observation=seen)
+
+    def _found(self, seen: Observation) -> dict[str, str]:
+        """Types of the columns with malformed cells, after an action over the frame."""
+        return {} if self.infer_schema else found_types(seen)
+
+    def _check_key(self, df: DataFrame, gate: Callable[[DataFrame, bool], Any], incremental: bool) -> None:
+        """Before any comparison with the mark: a key column that is missing or no
+        integer (or a missing ``eval_set``) fails the gate, which reports everything at once."""
+        kinds = dict(df.dtypes)
+        if (kinds.get("order_id") not in ("tinyint", "smallint", "int", "bigint")
+                or gate == self._gate_orders and "eval_set" not in kinds):
+            gate(df, incremental)
+            raise AssertionError("the gate must refuse a key that is no integer")
+
+    def _incremental_source(self, spec: registry.SourceSpec, lo: int, seen: Observation
+                            ) -> tuple[DataFrame, DataFrame | None, tuple[int, int]]:
+        """Raw rows for a run at mark ``lo``, the files read (for the manifest) and the
+        numbers of files (read, skipped).
 
         With the manifest, files that provably hold no key above ``lo`` are not
-        read (see ``sources.manifest``). Returns (rows, files read, files skipped).
+        read (see ``sources.manifest``) and rows carry their file in ``_raw_file``.
         """
         if not self.skip_unchanged_raw:
-            df = self._raw(spec)
-            return df.withColumn(FILE_COLUMN, F.col("_metadata.file_path")), None, 0
-        files, skipped = self.manifest.plan(spec.file_name, spec.path(self.raw_root), lo, known)
-        if any(ch in f.path for f in files + skipped for ch in GLOB_CHARACTERS):
+            return self._raw(spec, seen), None, (0, 0)
+        files, paths, skipped = self.manifest.plan(spec.file_name, spec.path(self.raw_root), lo)
+        if any(ch in p for p in paths for ch in GLOB_CHARACTERS):
             # a listed name would be read as a glob pattern: read the source as a
             # whole and record nothing for it
-            df = self._raw(spec)
-            return df.withColumn(FILE_COLUMN, F.col("_metadata.file_path")), None, 0
-        if not files:
+            return self._raw(spec, seen), None, (0, 0)
+        if not paths:
             empty = empty_frame(self.spark, spec.schema)
-            return empty.withColumn(FILE_COLUMN, F.lit(None).cast("string")), [], len(skipped)
-        df = read_csv(self.spark, [f.path for f in files], spec.schema, quoted=spec.quoted)
-        return df.withColumn(FILE_COLUMN, F.col("_metadata.file_path")), files, len(skipped)
+            return empty.withColumn(FILE_COLUMN, F.lit(None).cast("string")), None, (0, skipped)
+        df = read_csv(self.spark, paths, spec.schema, quoted=spec.quoted, observation=seen,
+                      file_column=FILE_COLUMN)
+        return df, files, (len(paths), skipped)
+
+    def _record(self, spec: registry.SourceSpec, lo: int, files: DataFrame | None, raw: DataFrame) -> None:
+        """Files read and their largest keys, for the manifest."""
+        if files is not None:
+            bounds = (newer_than(raw, "order_id", lo).groupBy(F.col(FILE_COLUMN).alias("path"))
+                      .agg(F.max("order_id").alias("bound")))
+            self.manifest.record(spec.file_name, lo, files, bounds)
 
     def _prior(self, df: DataFrame) -> DataFrame:
         return df.filter(F.col("eval_set") == F.lit(rulesets.PRIOR))
 
     def _silver_products(self) -> tuple[DataFrame, int]:
-        """silver.products and a bounded row count (one job serves both checks).
+        """silver.products and its row count (one job serves both checks).
 
         An empty dimension would drop every line in the inner join while the
         mark still advances: refuse instead of losing the batch.
         """
         products = self.store.read("silver", "products", schema=schemas.PRODUCTS,
                                    partitioned=False)
-        rows = gold.bounded_rows(products, self.broadcast_max_rows)
+        rows = gold.counted_rows(products)
         if rows == 0:
             raise RuntimeError("silver.products is missing or empty: run reference_load() first")
         return products, rows
@@ -195,11 +216,11 @@ class Pipeline:
         order); that failure is raised and no dimension is rebuilt.
         """
         specs = registry.reference_sources()
-        run_all(*[partial(self._land_reference, s) for s in specs])
+        found = run_all(*[partial(self._land_reference, s) for s in specs])
         bronze = {s.table: self.store.read("bronze", s.table) for s in specs}
         outcomes = concurrently(*[
             partial(quality.gate, bronze[s.table], rulesets.RULESETS[s.table](),
-                    rulesets.TITLES[s.table]) for s in specs])
+                    rulesets.TITLES[s.table], False, f) for s, f in zip(specs, found)])
         checks, passed, failure = {}, [], None
         for spec, (result, error) in zip(specs, outcomes):
             if error is not None:
@@ -217,44 +238,55 @@ class Pipeline:
                                     DIM_TABLES[s.table]) for s in specs])
         return LoadResult(SUCCESS, "reference", quality=checks)
 
-    def _land_reference(self, spec: registry.SourceSpec) -> None:
-        self.store.replace(self._raw(spec), "bronze", spec.table)
+    def _land_reference(self, spec: registry.SourceSpec) -> dict[str, str]:
+        seen = Observation()
+        self.store.replace(self._raw(spec, seen), "bronze", spec.table)
+        return self._found(seen)
 
-    def _gate_orders(self, df: DataFrame, incremental: bool):
+    def _gate_orders(self, df: DataFrame, incremental: bool, found: dict[str, str] | None = None):
         return quality.gate(df, rulesets.orders_rules(), rulesets.TITLES["orders"],
-                            incremental=incremental)
+                            incremental=incremental, found_types=found)
 
-    def _gate_lines(self, df: DataFrame, incremental: bool):
+    def _gate_lines(self, df: DataFrame, incremental: bool, found: dict[str, str] | None = None):
         return quality.gate(df, rulesets.order_products_rules(),
-                            rulesets.TITLES["order_products_prior"], incremental=incremental)
+                            rulesets.TITLES["order_products_prior"], incremental=incremental,
+                            found_types=found)
+
+    def initial_load(self, force: bool = False) -> LoadResult:
+        """Full history into all three layers; the mark moves to the largest prior id.
 
-    def initial_load(self) -> LoadResult:
-        """Full history into all three layers; the mark moves to the largest prior id."""
+        Over committed data (a mark above 0 and loaded orders) it is refused, since a
+        failure half-way would leave less than was there; ``force`` moves the mark
+        back to 0 first, so that the rebuild starts like a first load.
+        """
         lo = self.marks.get(registry.ORDERS.file_name)
-        # listed before the scan: only files known to have been read get recorded
-        order_files = (list_files(self.spark, registry.ORDERS.path(self.raw_root))
-                       if self.skip_unchanged_raw else None)
-        # guard and Bronze landing share one parse of the orders drop; the guard,
-        # grouped by raw file, also yields each file's key bound for the manifest
-        raw_orders = (self._raw(registry.ORDERS)
-                      .withColumn(FILE_COLUMN, F.col("_metadata.file_path"))
-                      .persist(StorageLevel.MEMORY_AND_DISK))
-        try:
-            n_new, hi, order_bounds = self._guard_by_file(raw_orders, lo)
-            if n_new == 0 or hi is None:
-                return LoadResult(NO_NEW_DATA, "initial", lo=lo, hi=lo, new_orders=n_new)
-            lines = within(self._raw(registry.ORDER_PRODUCTS), "order_id", None, hi)
-            run_all(partial(self.store.replace, self._prior(raw_orders).drop(FILE_COLUMN),
-                            "bronze", "orders", lo),
-                    partial(self.store.replace, lines, "bronze", "order_products_prior", lo))
-        finally:
-            raw_orders.unpersist()
+        if lo > 0 and not self.store.is_empty("bronze", "orders"):
+            if not force:
+                raise RuntimeError(f"orders up to {lo} are loaded: run an incremental load, "
+                                   "or force the initial load to rebuild everything")
+            self.marks.reset(TRANSACTION_FILES)
+            lo = 0
+        seen, lines_seen = Observation(), Observation()
+        raw_orders, order_files, _ = self._incremental_source(registry.ORDERS, lo, seen)
+        self._check_key(raw_orders, self._gate_orders, False)
+        n_new, hi = self._guard(raw_orders, lo)
+        found = self._found(seen)
+        if found:
+            self._gate_orders(self._prior(raw_orders).drop(FILE_COLUMN), False, found)
+        if n_new == 0 or hi is None:
+            return LoadResult(NO_NEW_DATA, "initial", lo=lo, hi=lo, new_orders=n_new)
+        raw_lines = self._raw(registry.ORDER_PRODUCTS, lines_seen)
+        self._check_key(raw_lines, self._gate_lines, False)
+        run_all(partial(self.store.replace, self._prior(raw_orders).drop(FILE_COLUMN), "bronze", "orders", lo),
+                partial(self.store.replace, within(raw_lines, "order_id", None, hi),
+                        "bronze", "order_products_prior", lo))
+        found_lines = self._found(lines_seen)
 
         bronze_orders = self._read("bronze", "orders", schemas.ORDERS, lo)
         bronze_lines = self._read("bronze", "order_products_prior", schemas.ORDER_PRODUCTS, lo)
         (orders_ok, orders_err), (lines_ok, lines_err) = concurrently(
             partial(self._gate_orders, bronze_orders, False),
-            partial(self._gate_lines, bronze_lines, False))
+            partial(self._gate_lines, bronze_lines, False, found_lines))
         if orders_err is not None:
             raise orders_err
         checks = {"orders": orders_ok}
@@ -271,117 +303,84 @@ class Pipeline:
         run_all(*(promote if self.silver_copy else []),
                 partial(self.store.replace, fact, "gold", FACT_TABLE, lo))
 
-        if order_files is not None:
-            # lines are not recorded: that would take a second pass over all of them
-            self.manifest.record(lo, {registry.ORDERS.file_name: (order_files, order_bounds)})
+        # lines are not recorded: that would take a second pass over all of them
+        self._record(registry.ORDERS, lo, order_files, raw_orders)
         self.marks.advance(TRANSACTION_FILES, hi)
         return LoadResult(SUCCESS, "initial", lo=lo, hi=hi, new_orders=n_new, quality=checks)
 
     def incremental_load(self) -> LoadResult:
         """Only orders above the mark (and their lines) are loaded; results appended."""
         lo = self.marks.get(registry.ORDERS.file_name)
-        known = self.manifest.entries() if self.skip_unchanged_raw else None
-        raw_orders, order_files, orders_skipped = self._incremental_source(
-            registry.ORDERS, lo, known)
-        # The raw batch feeds the guard, the gate and the Bronze write: keep it
-        # (spillable; a lost executor recomputes its blocks from the scan).
-        raw_batch = newer_than(raw_orders, "order_id", lo).persist(StorageLevel.MEMORY_AND_DISK)
+        seen, lines_seen = Observation(), Observation()
+        raw_orders, order_files, order_counts = self._incremental_source(registry.ORDERS, lo, seen)
+        counts = {registry.ORDERS.file_name: order_counts}
+        self._check_key(raw_orders, self._gate_orders, True)
+        raw_batch = newer_than(raw_orders, "order_id", lo)
         batch = raw_batch if self.other_eval_set == "fail" else self._prior(raw_batch)
-        lines_batch = None
-        try:
-            n_new, batch_hi, order_bounds = self._guard_by_file(raw_batch, lo)
-            if n_new == 0:
-                return LoadResult(NO_NEW_DATA, "incremental", lo=lo, hi=lo, new_orders=0,
-                                  raw_files={"orders.csv": (len(order_files or []),
-                                                            orders_skipped)})
-            hi = lo if batch_hi is None else max(lo, int(batch_hi))
-
-            # The orders gate sees the raw batch (all eval_sets in "fail" mode)
-            # and runs before the batch lands, so a batch of the wrong types is
-            # reported by the gate rather than refused by the append. The lines
-            # land meanwhile; they are gated from their Bronze partition.
-            raw_lines, line_files, lines_skipped = self._incremental_source(
-                registry.ORDER_PRODUCTS, lo, known)
-            lines_batch = newer_than(raw_lines, "order_id", lo).persist(
-                StorageLevel.MEMORY_AND_DISK)
-            (orders_ok, orders_err), (line_bounds, land_err) = concurrently(
-                partial(self._gate_orders, batch.drop(FILE_COLUMN), True),
-                partial(self._land_lines, lines_batch, lo, hi))
-            if orders_err is not None:
-                raise orders_err
-            if land_err is not None:
-                raise land_err
-            checks = {"orders": orders_ok}
-
-            bronze_lines = self._read("bronze", "order_products_prior",
-                                      schemas.ORDER_PRODUCTS, lo)
-            (_, land_err), (lines_ok, lines_err) = concurrently(
-                partial(self.store.write_batch, self._prior(batch).drop(FILE_COLUMN), "bronze",
-                        "orders", lo, schemas.ORDERS),
-                partial(self._gate_lines, bronze_lines, True))
-            if land_err is not None:
-                raise land_err
-            bronze_orders = self._read("bronze", "orders", schemas.ORDERS, lo)
-            promote = [partial(self.store.write_batch, bronze_orders, "silver", "orders",
-                               lo, schemas.ORDERS)]
-            if lines_err is not None:
-                run_all(*(promote if self.silver_copy else []))
-                raise lines_err
-            checks["order_products_prior"] = lines_ok
-            promote.append(partial(self.store.write_batch, bronze_lines, "silver",
-                                   "order_products_prior", lo, schemas.ORDER_PRODUCTS))
-            fact = self._fact(bronze_lines, bronze_orders)
-            run_all(*(promote if self.silver_copy else []),
-                    partial(self.store.write_batch, fact, "gold", FACT_TABLE, lo,
-                            _fact_schema()))
-
-            if self.skip_unchanged_raw:
-                self.manifest.record(lo, {
-                    registry.ORDERS.file_name: (order_files, order_bounds),
-                    registry.ORDER_PRODUCTS.file_name: (line_files, line_bounds)})
-            self.marks.advance(TRANSACTION_FILES, hi)
-            return LoadResult(SUCCESS, "incremental", lo=lo, hi=hi, new_orders=n_new,
-                              quality=checks,
-                              raw_files={registry.ORDERS.file_name: (len(order_files or []),
-                                                                     orders_skipped),
-                                         registry.ORDER_PRODUCTS.file_name: (
-                                             len(line_files or []), lines_skipped)})
-        finally:
-            raw_batch.unpersist()
-            if lines_batch is not None:
-                lines_batch.unpersist()
-
-    def _guard_by_file(self, raw_batch: DataFrame, lo: int) -> tuple[int, int | None, dict]:
-        """The guard, grouped by raw file (one small row per file read): new rows
-        (prior ones only in "skip" mode), the largest prior id, and each file's
-        largest key over ALL its rows in ``raw_batch`` - a bound valid in either
-        mode (the initial load passes unfiltered rows: a conservative bound)."""
+        if order_counts[1] and not order_counts[0]:
+            return LoadResult(NO_NEW_DATA, "incremental", lo=lo, hi=lo, new_orders=0, raw_files=counts)
+        n_new, batch_hi = self._guard(raw_orders, lo)
+        found = self._found(seen)
+        if found:                     # also rows whose key does not parse, which no batch would hold
+            self._gate_orders(batch.drop(FILE_COLUMN), True, found)
+        if n_new == 0:
+            return LoadResult(NO_NEW_DATA, "incremental", lo=lo, hi=lo, new_orders=0, raw_files=counts)
+        hi = lo if batch_hi is None else max(lo, int(batch_hi))
+
+        # The orders gate sees the raw batch (all eval_sets in "fail" mode)
+        # and runs before the batch lands, so a batch of the wrong types is
+        # reported by the gate rather than refused by the append. The lines
+        # land meanwhile; they are gated from their Bronze partition.
+        raw_lines, line_files, line_counts = self._incremental_source(
+            registry.ORDER_PRODUCTS, lo, lines_seen)
+        counts[registry.ORDER_PRODUCTS.file_name] = line_counts
+        self._check_key(raw_lines, self._gate_lines, True)
+        lines = within(raw_lines, "order_id", lo, hi).drop(FILE_COLUMN)
+        (orders_ok, orders_err), (_, land_err) = concurrently(
+            partial(self._gate_orders, batch.drop(FILE_COLUMN), True),
+            partial(self.store.write_batch, lines, "bronze", "order_products_prior", lo,
+                    schemas.ORDER_PRODUCTS))
+        if orders_err is not None:
+            raise orders_err
+        if land_err is not None:
+            raise land_err
+        found_lines = {} if line_counts[1] and not line_counts[0] else self._found(lines_seen)
+        checks = {"orders": orders_ok}
+
+        bronze_lines = self._read("bronze", "order_products_prior", schemas.ORDER_PRODUCTS, lo)
+        (_, land_err), (lines_ok, lines_err) = concurrently(
+            partial(self.store.write_batch, self._prior(batch).drop(FILE_COLUMN), "bronze",
+                    "orders", lo, schemas.ORDERS),
+            partial(self._gate_lines, bronze_lines, True, found_lines))
+        if land_err is not None:
+            raise land_err
+        bronze_orders = self._read("bronze", "orders", schemas.ORDERS, lo)
+        promote = [partial(self.store.write_batch, bronze_orders, "silver", "orders",
+                           lo, schemas.ORDERS)]
+        if lines_err is not None:
+            run_all(*(promote if self.silver_copy else []))
+            raise lines_err
+        checks["order_products_prior"] = lines_ok
+        promote.append(partial(self.store.write_batch, bronze_lines, "silver",
+                               "order_products_prior", lo, schemas.ORDER_PRODUCTS))
+        fact = self._fact(bronze_lines, bronze_orders)
+        run_all(*(promote if self.silver_copy else []),
+                partial(self.store.write_batch, fact, "gold", FACT_TABLE, lo,
+                        _fact_schema()))
+
+        self._record(registry.ORDERS, lo, order_files, raw_orders)
+        self._record(registry.ORDER_PRODUCTS, lo, line_files, raw_lines)
+        self.marks.advance(TRANSACTION_FILES, hi)
+        return LoadResult(SUCCESS, "incremental", lo=lo, hi=hi, new_orders=n_new, quality=checks,
+                          raw_files=counts)
+
+    def _guard(self, raw_orders: DataFrame, lo: int) -> tuple[int, int | None]:
+        """New rows (prior ones only in "skip" mode) and the largest prior id."""
         is_prior = F.col("eval_set") == F.lit(rulesets.PRIOR)
-        counted = F.col("order_id") > F.lit(lo)
-        if self.other_eval_set == "skip":
-            counted = counted & is_prior
         with job_label(self.spark, "guard orders"):
-            rows = raw_batch.groupBy(FILE_COLUMN).agg(
-                F.count_if(counted).alias("new_rows"),
-                F.max(F.when(is_prior, F.col("order_id"))).alias("batch_hi"),
-                F.max("order_id").alias("bound")).collect()
-        n_new = sum(int(r["new_rows"]) for r in rows)
-        his = [r["batch_hi"] for r in rows if r["batch_hi"] is not None]
-        bounds = {canonical_path(self.spark, r[FILE_COLUMN]): r["bound"] for r in rows
-                  if r[FILE_COLUMN] is not None}
-        return n_new, (max(his) if his else None), bounds
-
-    def _land_lines(self, lines_batch: DataFrame, lo: int, hi: int) -> dict:
-        """Per-file key bounds of the lines batch (materialises its cache), then
-        land ``lo < order_id <= hi`` in Bronze."""
-        with job_label(self.spark, "raw line bounds"):
-            bounds = {canonical_path(self.spark, r[0]): r[1]
-                      for r in lines_batch.groupBy(FILE_COLUMN).agg(F.max("order_id")).collect()
-                      if r[0] is not None}
-        lines = within(lines_batch, "order_id", lo, hi).drop(FILE_COLUMN)
-        self.store.write_batch(lines, "bronze", "order_products_prior", lo,
-                               schemas.ORDER_PRODUCTS)
-        return bounds
+            r = guard_frame(raw_orders, "order_id", lo, hi_where=is_prior,
+                            new_where=is_prior if self.other_eval_set == "skip" else None).first()
+        return int(r["new_rows"]), r["batch_hi"]
 
     # -- orchestration -------------------------------------------------------------
     def bronze_row_count(self) -> int:

@@ -50,12 +50,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide work folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator (a shared, fault-tolerant file
-    system). Only when it is unset - local tests - a folder of our own is
-    created and registered, so ``DataFrame.checkpoint()`` works as well.
+    On a cluster it must be set (a shared, fault-tolerant file system); unset, it
+    is an error there. On a local master a folder of our own is created and
+    registered, so ``DataFrame.checkpoint()`` works as well.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not current and not (sc.master or "").split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not current:
         current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     if not sc.getCheckpointDir():

@@ -31,6 +31,15 @@ class SchemaMismatchError(ValueError):
     """An append whose columns or types do not fit the target table."""
 
 
+# Error conditions of a table that is not there yet.
+_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_TABLE_NOT_FOUND", "DELTA_MISSING_DELTA_TABLE")
+
+
+def _is_absent(error: AnalysisException) -> bool:
+    """Whether the error says that a path or its data files are missing."""
+    return (error.getCondition() or "").split(".")[0] in _ABSENT
+
+
 # Widening casts an append may apply silently; anything else is rejected.
 _SAFE_CASTS = {
     ("tinyint", "smallint"), ("tinyint", "int"), ("tinyint", "bigint"),
@@ -123,7 +132,9 @@ class Lakehouse:
             return None
         try:
             stored = self.spark.read.format(self.fmt).load(self.path(layer, table)).schema
-        except AnalysisException:      # folder without data files yet
+        except AnalysisException as e:      # folder without data files yet
+            if not _is_absent(e):
+                raise
             return None
         return T.StructType([f for f in stored.fields if f.name != BATCH_COLUMN])
 
@@ -173,8 +184,8 @@ class Lakehouse:
             if full is not None:
                 reader = reader.schema(full)
             df = reader.load(self.path(layer, table))
-        except AnalysisException:
-            if schema is None:
+        except AnalysisException as e:
+            if schema is None or not _is_absent(e):
                 raise
             return empty_frame(self.spark, schema)
         if BATCH_COLUMN in df.columns:

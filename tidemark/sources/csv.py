@@ -1,42 +1,93 @@
 """CSV scans of the raw zone.
 
-The default reader applies the registered ``StructType``: one pass over the
-file, no inference job, and a stable type contract for the gate. The
-inferring reader is kept because only there the gate's type check can fire
-(e.g. ``days_since_prior_order`` of a batch of first orders is all empty and
-infers as ``string``).
+Columns are bound by header name. Every cell is read as text and cast with
+``try_cast`` to the declared type; cells that are not empty but don't cast are
+*malformed*. Counts of malformed cells ride along with the first action over
+the frame (a Spark ``Observation``), so the gate can report them as type errors
+without a pass of its own. Files of one source must share one header; Spark
+refuses the scan otherwise.
+
+The inferring reader leaves the types to Spark.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .registry import SourceSpec
 
+# What inference would call a column that holds a malformed cell, by how far the
+# cell is from the declared type.
+_WIDER = {1: "bigint", 2: "double", 3: "string"}
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
-             quoted: bool = False) -> DataFrame:
-    """Header CSV scan; any Hadoop path (object stores included) works.
+
+def scan_cells(spark: SparkSession, path: str | list[str], quoted: bool = False) -> DataFrame:
+    """Header CSV scan, all cells as text; any Hadoop path (object stores included).
 
     ``quoted=True`` reads RFC-4180 fields where a quote inside a quoted field
-    is doubled (``"Salt ""Fine"", Sea"``). ``schema=None`` infers the types.
+    is doubled (``"Salt ""Fine"", Sea"``).
     """
-    reader = spark.read.option("header", "true")
+    reader = spark.read.option("header", "true").option("enforceSchema", "false")
     if quoted:
         reader = reader.option("quote", '"').option("escape", '"')
-    if schema is None:
-        reader = reader.option("inferSchema", "true")
-    else:
-        reader = reader.schema(schema)
     return reader.csv(path)
 
 
-def read_source(spark: SparkSession, spec: SourceSpec, raw_root: str,
-                infer: bool = False) -> DataFrame:
+def _cell(cells: DataFrame, name: str) -> Column:
+    return cells[f"`{name}`"]
+
+
+def _how_malformed(cell: Column, kind: T.DataType) -> Column:
+    """NULL for a cell of the type, else 1 (an integer too large), 2 (a number), 3 (neither)."""
+    bad = cell.isNotNull() & cell.try_cast(kind).isNull()
+    integral = isinstance(kind, T.IntegralType)
+    level = F.lit(3)
+    if integral:
+        level = (F.when(cell.try_cast("bigint").isNotNull(), 1)
+                 .when(cell.try_cast("double").isNotNull(), 2).otherwise(3))
+    return F.when(bad, level)
+
+
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
+             quoted: bool = False, observation: Observation | None = None,
+             file_column: str | None = None) -> DataFrame:
+    """The declared columns by name, cast; a column the header lacks is left out.
+
+    ``schema=None`` infers names and types. ``observation`` collects, per column,
+    the worst kind of malformed cell (see :func:`found_types`); ``file_column``
+    adds the file each row came from.
+    """
+    if schema is None:
+        reader = spark.read.option("header", "true").option("inferSchema", "true")
+        if quoted:
+            reader = reader.option("quote", '"').option("escape", '"')
+        df = reader.csv(path)
+        return df if file_column is None else df.withColumn(file_column, F.col("_metadata.file_path"))
+    cells = scan_cells(spark, path, quoted)
+    if file_column is not None:
+        cells = cells.withColumn(file_column, F.col("_metadata.file_path"))
+    fields = [f for f in schema.fields if f.name in cells.columns]
+    if observation is not None and fields:
+        cells = cells.observe(observation, *[
+            F.max(_how_malformed(_cell(cells, f.name), f.dataType)).alias(f.name) for f in fields])
+    return cells.select(*[_cell(cells, f.name).try_cast(f.dataType).alias(f.name) for f in fields],
+                        *([file_column] if file_column is not None else []))
+
+
+def found_types(observation: Observation) -> dict[str, str]:
+    """Column -> type that its malformed cells would give it; call it after an action."""
+    if observation._jo is None:          # no declared column in the header: nothing was observed
+        return {}
+    return {c: _WIDER[level] for c, level in observation.get.items() if level is not None}
+
+
+def read_source(spark: SparkSession, spec: SourceSpec, raw_root: str, infer: bool = False,
+                observation: Observation | None = None, file_column: str | None = None) -> DataFrame:
     """Scan a registered raw file with its schema (or inferred types)."""
-    return read_csv(spark, spec.path(raw_root), None if infer else spec.schema,
-                    quoted=spec.quoted)
+    return read_csv(spark, spec.path(raw_root), None if infer else spec.schema, quoted=spec.quoted,
+                    observation=observation, file_column=file_column)
 
 
 def write_csv(df: DataFrame, path: str, quoted: bool = False) -> None:

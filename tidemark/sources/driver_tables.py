@@ -6,8 +6,9 @@ Three variants:
   repeated (order_id, product_id) pairs);
 * ``clean``   - ids shifted by one and lines merged per (order_id, product_id),
   so every gate passes; used for pipeline runs;
-* ``corrupt`` - dirty plus injected violations of every value rule, for
-  non-zero quality reports.
+* ``corrupt`` - dirty plus injected violations of value rules;
+* ``broken``  - dirty plus the edits of ``BROKEN``: every rule but the types is
+  violated, keys that repeat included.
 
 ``order_number`` is the order's position in its customer's history and
 ``days_since_prior_order`` the day gap to the previous one. Both need the
@@ -26,7 +27,43 @@ from ..session import shared_dir
 from . import registry
 from .csv import write_csv
 
-VARIANTS = ("dirty", "clean", "corrupt")
+VARIANTS = ("dirty", "clean", "corrupt", "broken")
+
+# Variant ``broken``: (column, modulus, value) edits where the row's own key is a
+# multiple of the modulus; the first that applies to a column wins.
+BROKEN = {
+    "orders": ("order_id", [
+        ("order_id", 83, None), ("order_id", 113, 7), ("user_id", 97, None), ("user_id", 89, 0),
+        ("eval_set", 79, None), ("order_number", 73, None), ("order_number", 109, 0),
+        ("order_dow", 71, None), ("order_dow", 101, 7), ("order_hour_of_day", 67, None),
+        ("order_hour_of_day", 107, 24)]),
+    "order_products_prior": ("order_id + product_id", [
+        ("order_id", 83, None), ("order_id", 101, 0), ("product_id", 89, None), ("product_id", 103, 0),
+        ("add_to_cart_order", 97, None), ("add_to_cart_order", 131, 0), ("reordered", 137, None),
+        ("reordered", 127, 2)]),
+    "products": ("product_id", [
+        ("product_id", 83, None), ("product_id", 101, 0), ("product_id", 47, 1), ("product_name", 89, None),
+        ("product_name", 53, " "), ("aisle_id", 97, None), ("aisle_id", 59, 0), ("department_id", 61, None),
+        ("department_id", 67, -1)]),
+    "aisles": ("aisle_id", [
+        ("aisle_id", 7, None), ("aisle_id", 5, 0), ("aisle_id", 6, 1), ("aisle", 9, None), ("aisle", 4, " ")]),
+    "departments": ("department_id", [
+        ("department_id", 5, None), ("department_id", 4, 0), ("department_id", 3, 1), ("department", 5, None),
+        ("department", 2, "")]),
+}
+
+
+def break_rules(df: DataFrame, table: str) -> DataFrame:
+    """The edits of ``BROKEN`` applied to the dirty table."""
+    key, edits = BROKEN[table]
+    out = []
+    for name, kind in df.dtypes:
+        c = F.col(name)
+        for column, modulus, value in reversed(edits):
+            if column == name:
+                c = F.when(F.expr(key) % modulus == 0, F.lit(value).cast(kind)).otherwise(c)
+        out.append(c.alias(name))
+    return df.select(*out)
 
 # Fixed values of the adapter: order status -> eval_set, part type -> department id.
 EVAL_SET_BY_STATUS = {"F": "prior", "O": "train", "P": "test"}
@@ -86,9 +123,20 @@ def sequence_within(df: DataFrame, group: str, order: list[str], carry: str) ->
             .drop("_pid", "_rn", "_lag", "_off", "_prev_last"))
 
 
-def orders(spark: SparkSession, sf_dir: str, variant: str = "dirty") -> DataFrame:
+def orders(spark: SparkSession, sf_dir: str, variant: str = "dirty",
+           sequence: bool = True) -> DataFrame:
+    """``sequence=False`` leaves out ``order_number`` and ``days_since_prior_order``: a plain,
+    prunable projection without a shuffle."""
     o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
                                                "o_orderdate")
+    if not sequence:
+        shift = 1 if variant == "clean" else 0
+        return o.select(
+            (F.col("o_orderkey") + shift).cast("int").alias("order_id"),
+            (F.col("o_custkey") + shift).cast("int").alias("user_id"),
+            _lookup(F.col("o_orderstatus"), EVAL_SET_BY_STATUS).alias("eval_set"),
+            (F.dayofweek("o_orderdate") - 1).cast("int").alias("order_dow"),
+            (F.col("o_orderkey") % HOURS).cast("int").alias("order_hour_of_day"))
     s = sequence_within(o, "o_custkey", ["o_orderdate", "o_orderkey"], "o_orderdate")
     shift = 1 if variant == "clean" else 0
     out = s.select(
@@ -101,6 +149,8 @@ def orders(spark: SparkSession, sf_dir: str, variant: str = "dirty") -> DataFram
         F.datediff(F.col("o_orderdate"), F.col("_prev")).cast("double")
         .alias("days_since_prior_order"),
     )
+    if variant == "broken":
+        return break_rules(out, "orders")
     if variant == "corrupt":
         k = F.col("order_id")
         out = out.select(
@@ -132,6 +182,8 @@ def order_lines(spark: SparkSession, sf_dir: str, variant: str = "dirty") -> Dat
         out = out.groupBy("order_id", "product_id").agg(
             F.min("add_to_cart_order").alias("add_to_cart_order"),
             F.max("reordered").alias("reordered"))
+    if variant == "broken":
+        return break_rules(out, "order_products_prior")
     if variant == "corrupt":
         s = F.col("order_id") + F.col("product_id")
         out = out.select(
@@ -161,6 +213,8 @@ def parts(spark: SparkSession, sf_dir: str, variant: str = "dirty") -> DataFrame
 def products(spark: SparkSession, sf_dir: str, variant: str = "dirty") -> DataFrame:
     out = parts(spark, sf_dir, variant).select("product_id", "product_name", "aisle_id",
                                                 "department_id")
+    if variant == "broken":
+        return break_rules(out, "products")
     if variant == "corrupt":
         k = F.col("product_id")
         out = out.select(
@@ -172,11 +226,13 @@ def products(spark: SparkSession, sf_dir: str, variant: str = "dirty") -> DataFr
 
 
 def aisles(spark: SparkSession, sf_dir: str, variant: str = "dirty") -> DataFrame:
-    return parts(spark, sf_dir, variant).select("aisle_id", "aisle").distinct()
+    out = parts(spark, sf_dir, variant).select("aisle_id", "aisle").distinct()
+    return break_rules(out, "aisles") if variant == "broken" else out
 
 
 def departments(spark: SparkSession, sf_dir: str, variant: str = "dirty") -> DataFrame:
-    return parts(spark, sf_dir, variant).select("department_id", "department").distinct()
+    out = parts(spark, sf_dir, variant).select("department_id", "department").distinct()
+    return break_rules(out, "departments") if variant == "broken" else out
 
 
 TABLES = {

@@ -1,80 +1,49 @@
-"""Raw-file manifest: skip raw files that cannot hold keys above the mark.
+"""Raw-file manifest (opt-in): skip raw files that cannot hold keys above the mark.
 
 The raw contract is "re-read the file and keep keys above the mark". When
-the raw zone grows by new files (append-style drops) instead of being
-rewritten, most files hold only keys at or below the mark and re-parsing
-them every run is wasted work. After each successful incremental run the
-manifest records, per raw file read, its size, modification time, the mark
-the run started at and ``bound`` = the largest key above that mark (NULL if
-none). A later run at mark ``lo`` skips a file only if
-
-* it is listed with the same size and modification time (unchanged), and
+the raw zone grows by new files (append-style drops) that are never changed
+once written, most files hold only keys at or below the mark and re-parsing
+them every run is wasted work. After each successful run the manifest records,
+per raw file read, its size, modification time, the mark the run started at
+and ``bound`` = the largest key above that mark (NULL if none). A later run at
+mark ``lo`` skips a file only if
+
+* it is listed with the same size and modification time, and
 * it was recorded at a mark ``<= lo`` (a mark reset re-reads everything), and
 * ``bound`` is NULL or ``<= lo`` (no key of the file can be above ``lo``).
 
-Everything else - new, changed or unrecorded files - is read. A rewritten
-full-extract file changes its modification time, so that layout behaves
-exactly as without the manifest.
+Everything else - new, changed or unrecorded files - is read. A file rewritten
+with the same size and time would be missed, so the manifest is off unless the
+drops are known to be write-once.
 
-Bounds come from Spark's ``_metadata.file_path`` (URL-encoded); they are
-canonicalised to the listing's path form, and a source is not recorded at
-all if any reported file fails to match a listed one, because a missing
-bound would read as "no key above the mark".
+Listing, records and bounds are DataFrames. The files are those of Spark's own
+folder scan (hidden files and folders left out), named as in
+``_metadata.file_path``, so listing and bounds match by construction. Only the
+paths of the files to be read reach the driver.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.rules import sql_literal
-
 MANIFEST = T.StructType([
     T.StructField("file_name", T.StringType()),       # registered source, e.g. orders.csv
-    T.StructField("path", T.StringType()),            # as listed (Path.toString())
+    T.StructField("path", T.StringType()),            # as in _metadata.file_path
     T.StructField("size", T.LongType()),
-    T.StructField("mtime", T.LongType()),
+    T.StructField("mtime", T.LongType()),             # microseconds
     T.StructField("recorded_at", T.LongType()),       # mark the recording run started at
     T.StructField("bound", T.LongType()),             # largest key above that mark, or NULL
 ])
 LAYER, TABLE = "control", "raw_files"
 
 
-@dataclass(frozen=True)
-class RawFile:
-    path: str     # Hadoop path string (as listed), used to read and to match the file
-    size: int
-    mtime: int
-
-
-def canonical_path(spark: SparkSession, reported: str) -> str:
-    """A path as Spark reports it (``_metadata.file_path``, URL-encoded URI) in
-    the listing's form (``Path.toString()``); unparsable input is returned as is."""
-    jvm = spark.sparkContext._jvm
-    try:
-        return str(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(reported)).toString())
-    except Exception:  # noqa: BLE001 - an unmatched path only disables recording
-        return reported
-
-
-def list_files(spark: SparkSession, path: str) -> list[RawFile]:
-    """Data files under a raw path (a file or a folder), hidden files excluded."""
-    sc = spark.sparkContext
-    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return []
-    out, it = [], fs.listFiles(hpath, True)
-    while it.hasNext():
-        st = it.next()
-        name = st.getPath().getName()
-        if not name.startswith(("_", ".")):
-            out.append(RawFile(st.getPath().toString(), int(st.getLen()),
-                               int(st.getModificationTime())))
-    return sorted(out, key=lambda f: f.path)
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, read_as, size, mtime) of the data files under a raw path (file or folder)."""
+    files = spark.read.format("binaryFile").load(path)
+    return files.select(F.col("_metadata.file_path").alias("path"), F.col("path").alias("read_as"),
+                        F.col("length").alias("size"), F.unix_micros("modificationTime").alias("mtime"))
 
 
 class RawManifest:
@@ -82,56 +51,30 @@ class RawManifest:
         self.store = store
         self.spark = store.spark
 
-    def entries(self) -> dict[tuple[str, str], tuple]:
-        """Latest record per (source, path): one small row per raw file, one job."""
-        if not self.store.exists(LAYER, TABLE):
-            return {}
+    def entries(self, file_name: str) -> DataFrame:
+        """Latest record per path of a source."""
         log = self.store.read(LAYER, TABLE, schema=MANIFEST, partitioned=False)
-        rows = (log.groupBy("file_name", "path")
-                .agg(F.max_by(F.struct("size", "mtime", "recorded_at", "bound"),
-                              F.col("recorded_at")).alias("r"))
-                .select("file_name", "path", "r.*").collect())
-        return {(r["file_name"], r["path"]): (r["size"], r["mtime"], r["recorded_at"], r["bound"])
-                for r in rows}
-
-    def plan(self, file_name: str, path: str, lo: int,
-             known: dict[tuple[str, str], tuple] | None = None
-             ) -> tuple[list[RawFile], list[RawFile]]:
-        """``(to_read, skipped)`` among the files under ``path`` for a run at mark ``lo``."""
-        known = self.entries() if known is None else known
-        read, skipped = [], []
-        for f in list_files(self.spark, path):
-            rec = known.get((file_name, f.path))
-            unchanged = rec is not None and (rec[0], rec[1]) == (f.size, f.mtime)
-            if unchanged and rec[2] <= lo and (rec[3] is None or rec[3] <= lo):
-                skipped.append(f)
-            else:
-                read.append(f)
-        return read, skipped
-
-    def record(self, lo: int,
-               reads: dict[str, tuple[list[RawFile], dict[str, int | None]]]) -> None:
-        """Append one record per file read by a successful run, all sources at once.
-
-        ``reads`` maps a source to (files read, largest key above ``lo`` per
-        canonical path). A source whose reported files do not all match the
-        listed ones is not recorded at all - a missed match would otherwise read
-        as "no key above the mark" - so it is simply read in full next time.
-        """
-        items = []
-        for name, (files, bounds) in reads.items():
-            if files is None or not set(bounds) <= {f.path for f in files}:
-                continue
-            items.extend((name, f, bounds.get(f.path)) for f in files)
-        if not items:
-            return
-        # one SQL VALUES list: a single call however many files were read
-        values = ", ".join(
-            f"({sql_literal(name)}, {sql_literal(f.path)}, {int(f.size)}L, "
-            f"{int(f.mtime)}L, {int(lo)}L, "
-            f"{'CAST(NULL AS BIGINT)' if bound is None else str(int(bound)) + 'L'})"
-            for name, f, bound in items)
-        rows = self.spark.sql(f"SELECT * FROM VALUES {values} "
-                              "AS t(file_name, path, size, mtime, recorded_at, bound)")
-        (rows.coalesce(1).write.format(self.store.fmt).mode("append")
-         .save(self.store.path(LAYER, TABLE)))
+        return (log.filter(F.col("file_name") == F.lit(file_name)).groupBy("path")
+                .agg(F.max_by(F.struct("size", "mtime", "recorded_at", "bound"), "recorded_at").alias("r"))
+                .select("path", F.col("r.size").alias("known_size"), F.col("r.mtime").alias("known_mtime"),
+                        "r.recorded_at", "r.bound"))
+
+    def plan(self, file_name: str, path: str, lo: int) -> tuple[DataFrame, list[str], int]:
+        """(listed files to read, their paths for the reader, number of files skipped)."""
+        known = list_files(self.spark, path).join(self.entries(file_name), "path", "left")
+        skip = ((F.col("size") == F.col("known_size")) & (F.col("mtime") == F.col("known_mtime"))
+                & (F.col("recorded_at") <= F.lit(lo))
+                & (F.col("bound").isNull() | (F.col("bound") <= F.lit(lo))))
+        marked = known.withColumn("skip", F.coalesce(skip, F.lit(False)))
+        r = marked.agg(F.count_if("skip").alias("skipped"),
+                       F.sort_array(F.collect_list(F.when(~F.col("skip"), F.col("read_as")))).alias("paths")).first()
+        return marked.filter(~F.col("skip")).select("path", "size", "mtime"), list(r["paths"]), int(r["skipped"])
+
+    def record(self, file_name: str, lo: int, files: DataFrame, bounds: DataFrame) -> None:
+        """Append one record per file read by a successful run. ``files`` is what
+        :meth:`plan` listed before the scan, ``bounds`` (path, bound) the largest key
+        above ``lo`` of each file."""
+        (files.join(bounds, "path", "left")
+         .select(F.lit(file_name).alias("file_name"), "path", "size", "mtime",
+                 F.lit(int(lo)).cast("bigint").alias("recorded_at"), F.col("bound").cast("bigint").alias("bound"))
+         .coalesce(1).write.format(self.store.fmt).mode("append").save(self.store.path(LAYER, TABLE)))
