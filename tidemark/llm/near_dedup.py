@@ -15,7 +15,11 @@ of their shingle sets is 0.8 or more. Pairs within a band are not expanded:
 every member is first compared with one centre of the band, members that are
 then in the same component need no comparison, and later rounds use other
 centres. What is still apart after the rounds is compared pair by pair, so no
-link between components is lost. Exact copies are one node throughout.
+link between components is lost. Pairs that cannot reach the similarity are never
+formed, by two bounds that hold for certain: a shingle that no other text holds is
+in no intersection, and each bit that one text's bitmap of shingle hashes has and
+the other's lacks is a shingle outside it. That rules out copies edited or cut too
+much before they meet. Exact copies are one node throughout.
 
 Null texts count as empty. Empty texts are copies of each other. Rows that
 share a doc_id are one document; rows without doc_id are not linked. Columns
@@ -36,7 +40,8 @@ from .text import Hasher, byte_classes, mix, owners, slices, text_buffers, token
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
-ROUNDS = 3
+ROUNDS = 2
+BITMAP = 2048                  # bits
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -67,11 +72,11 @@ def prob_minhash(h, doc, weight, n_docs: int, m: int):
     """The register values (n_docs, m): the shingle that arrives first in each."""
     best = np.full(n_docs * m, np.inf)
     value = np.zeros(n_docs * m, np.uint64)
-    time, step = np.zeros(len(h)), np.uint64(0)
+    time, step = np.zeros(len(h)), 0
     scale = 2.0**-53
     while len(h):
-        step += STEP
-        draw = mix(h + step)
+        step = (step + int(STEP)) % 2**64
+        draw = mix(h + np.uint64(step))
         time = time - np.log(((draw >> np.uint64(11)).astype(float) + 0.5) * scale) / weight
         slot = doc * m + (mix(draw) % np.uint64(m)).astype(np.int64)
         np.minimum.at(best, slot, time)
@@ -112,16 +117,22 @@ def _sets(batches):
     hasher, classes = Hasher(lower=True), byte_classes(symbols=False)
     for batch in batches:
         buf, off = text_buffers(batch.column("text"))
-        n, all_h = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        n, all_h, maps = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros((0, BITMAP // 64), np.int64)]
         for i, j in slices(off):
             h, doc = shingle_hashes(buf[off[i]:off[j]], off[i:j + 1] - off[i], hasher, classes)
             h, doc, _ = weighted_shingles(h, doc)
             all_h.append(h[np.argsort(doc, kind="stable")])
             n.append(np.bincount(doc, minlength=j - i))
+            bits = np.zeros((j - i, BITMAP), bool)
+            bits[doc, h % np.uint64(BITMAP)] = True
+            maps.append(np.packbits(bits, axis=1).view(np.int64))
         ends = np.concatenate([[0], np.cumsum(np.concatenate(n))]).astype(np.int32)
+        maps = np.concatenate(maps)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("node"), pa.ListArray.from_arrays(
-                pa.array(ends), pa.array(np.concatenate(all_h).view(np.int64)))], names=["node", "shingles"])
+            [batch.column("node"),
+             pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(all_h).view(np.int64))),
+             pa.ListArray.from_arrays(pa.array(np.arange(len(maps) + 1, dtype=np.int32) * maps.shape[1]),
+                                      pa.array(maps.ravel()))], names=["node", "shingles", "bitmap"])
 
 
 def text_key(docs: DataFrame) -> DataFrame:
@@ -143,29 +154,63 @@ def verified(edges: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
             .select("a", "b"))
 
 
+def set_sizes(sets: DataFrame) -> DataFrame:
+    """(node, size, shared, bitmap): how many shingles a node has, how many of them any
+    other row holds, too, and the bitmap of their hashes (null for a node of two texts)."""
+    own = (sets.select("node", F.explode("shingles").alias("s")).groupBy("s")
+           .agg(F.count("*").alias("rows"), F.min("node").alias("node")).filter("rows = 1")
+           .groupBy("node").agg(F.count("*").alias("alone")))
+    return (sets.select("node", F.size("shingles").alias("size"), "bitmap").join(own, "node", "left")
+            .groupBy("node").agg(F.min("size").alias("size"),
+                                 F.when(F.count("*") == 1, F.first("bitmap")).alias("bitmap"),
+                                 F.max(F.col("size") - F.coalesce("alone", F.lit(0))).alias("shared")))
+
+
 def _ordered(a, b) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _centre_edges(members: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+def _possible(similarity: float):
+    """Whether sizes and shared shingles of a member and the other (o_*) allow the
+    similarity: an intersection of s / (1 + s) of both sizes together."""
+    least = (F.col("size") + F.col("o_size")) * (similarity / (1 + similarity)) - 1e-6
+    return (F.col("shared") >= least) & (F.col("o_shared") >= least)
+
+
+def _by_bitmap(similarity: float):
+    """Whether the bitmaps allow it: no text has more shingles outside the other than
+    its size less that intersection."""
+    least = (F.col("size") + F.col("o_size")) * (similarity / (1 + similarity)) - 1e-6
+
+    def outside(a: str, b: str):
+        return F.expr(f"aggregate(zip_with({a}, {b}, (p, q) -> bit_count(p & ~q)), 0, (s, v) -> s + v)")
+    return (F.coalesce(F.col("size") - outside("bitmap", "o_bitmap") >= least, F.lit(True))
+            & F.coalesce(F.col("o_size") - outside("o_bitmap", "bitmap") >= least, F.lit(True)))
+
+
+def _centre_edges(members: DataFrame, labels: DataFrame, turn: int, similarity: float) -> DataFrame:
     """For bands that hold several components: a centre and the members apart from it."""
     placed = members.join(labels, "node")
     centre = (placed.groupBy("band")
               .agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"),
-                   F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "comp")).alias("m"))
-              .filter("c0 < c1").select("band", F.col("m.node").alias("centre"), F.col("m.comp").alias("cc")))
-    return (placed.join(centre, "band").filter("comp <> cc")
-            .select(*_ordered("node", "centre")).distinct())
+                   F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "comp", "size", "shared")).alias("m"))
+              .filter("c0 < c1")
+              .select("band", F.col("m.node").alias("other"), F.col("m.comp").alias("oc"),
+                      F.col("m.size").alias("o_size"), F.col("m.shared").alias("o_shared")))
+    return (placed.join(centre, "band").filter((F.col("comp") != F.col("oc")) & _possible(similarity))
+            .select(*_ordered("node", "other")).distinct())
 
 
-def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs of a band that are still in different components."""
-    placed = members.join(labels, "node")
+def _apart(members: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
+    """The possible pairs of a band that are still in different components."""
+    placed = members.join(labels, "node").filter(F.col("shared") >= similarity * F.col("size") - 1e-6)
     mixed = (placed.groupBy("band").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
              .filter("c0 < c1").select("band"))
     x = placed.join(mixed, "band")
-    y = x.select("band", F.col("node").alias("other"), F.col("comp").alias("oc"))
-    return x.join(y, "band").filter("comp < oc").select(*_ordered("node", "other")).distinct()
+    y = x.select("band", F.col("node").alias("other"), F.col("comp").alias("oc"),
+                 F.col("size").alias("o_size"), F.col("shared").alias("o_shared"), F.col("bitmap").alias("o_bitmap"))
+    return (x.join(y, (x.band == y.band) & (x.comp < y.oc) & _possible(similarity) & _by_bitmap(similarity))
+            .select(*_ordered("node", "other")).distinct())
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
@@ -185,15 +230,18 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     wanted = groups.join(nodes, "node", "left_semi").select("h1", "h2", "node")
     chosen = keyed.join(wanted, (keyed.doc_id == wanted.node) & (keyed.h1 == wanted.h1)
                         & (keyed.h2 == wanted.h2)).select("node", "text")
-    sets = written(chosen.mapInArrow(_sets, "node long, shingles array<long>"), "near-sets")
+    sets = written(chosen.mapInArrow(_sets, "node long, shingles array<long>, bitmap array<long>"), "near-sets")
 
     labels = nodes.select("node", F.col("node").alias("comp"))
-    tested = written(members.filter("node <> centre").select(*_ordered("node", "centre")).distinct(),
-                     "near-pairs")
+    sizes = written(set_sizes(sets), "near-sizes")
+    o_sizes = sizes.drop("bitmap").withColumnsRenamed({"node": "centre", "size": "o_size", "shared": "o_shared"})
+    tested = written(members.filter("node <> centre").join(sizes, "node").join(o_sizes, "centre")
+                     .filter(_possible(similarity)).select(*_ordered("node", "centre")).distinct(), "near-pairs")
     labels = components(labels, verified(tested, sets, similarity))
-    members = members.select("band", "node")
+    members = members.select("band", "node").join(sizes, "node")
     for turn in range(rounds + 1):
-        pairs = _centre_edges(members, labels, turn) if turn < rounds else _apart(members, labels)
+        pairs = (_centre_edges(members, labels, turn, similarity) if turn < rounds
+                 else _apart(members, labels, similarity))
         new = written(pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
         if new.isEmpty():
             if turn < rounds:
