@@ -37,6 +37,7 @@ GRAM = 3
 BLOCK = 16
 LEAST_STRIDE = 32
 ITEMS_PER_PASS = 20_000
+CELLS_AT_ONCE = 200_000        # passages times blocks that are bounded at once
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
@@ -69,7 +70,8 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]], frequency: dict[int, int], n_items: int, mean_words: float):
         words = Words()
-        items = sorted(items)
+        # items of like length share a block: its maxima are then close to its scores
+        items = sorted(items, key=lambda x: (len(words.of(x[1])), x[0]))
         self.ids = np.array([i for i, _ in items], np.int64)
         bodies = [words.of(t) for _, t in items]
         self.parts = [self._parts(words, t) for _, t in items]
@@ -132,21 +134,36 @@ class Index:
         bound = np.bincount(passage, self.term_max[term], minlength=len(begin))
         alive = bound[passage] >= threshold
         passage, term = passage[alive], term[alive]
+        if not len(passage):
+            return
         own, cut = np.unique(passage, return_index=True)
         cut = np.append(cut, len(passage))
+        step = max(16, CELLS_AT_ONCE // self.block_max.shape[1])
+        for a in range(0, len(own), step):
+            z = min(a + step, len(own))
+            mine = term[cut[a]:cut[z]]
+            bounds = np.add.reduceat(self.block_max[mine], cut[a:z] - cut[a], axis=0)
+            for p, item, score in self._scores(mine, cut[a:z + 1] - cut[a], *np.nonzero(bounds >= threshold)):
+                for k in np.flatnonzero(score >= threshold):
+                    q = own[a + p[k]]
+                    yield int(doc[q]), int(item[k]), float(score[k]), int(begin[q]), int(stop[q])
+
+    def _scores(self, term, cut, passage, block):
+        """Yields (passage, item, score) arrays of all items of the blocks, for the
+        (passage, block) pairs; passage p has the terms cut[p] to cut[p + 1]."""
         n_blocks = self.block_max.shape[1]
-        for k, p in enumerate(own):
-            mine = term[cut[k]:cut[k + 1]]
-            blocks = np.flatnonzero(self.block_max[mine].sum(axis=0) >= threshold)
-            if not len(blocks):
-                continue
-            cells = (mine[:, None] * n_blocks + blocks).ravel()
-            count = self.begin[cells + 1] - self.begin[cells]
-            rows = np.repeat(self.begin[cells] - np.cumsum(count) + count, count) + np.arange(count.sum())
-            hit, back = np.unique(self.item[rows], return_inverse=True)
-            score = np.bincount(back, self.impact[rows])
-            for i in np.flatnonzero(score >= threshold):
-                yield int(doc[p]), int(hit[i]), float(score[i]), int(begin[p]), int(stop[p])
+        for a in range(0, len(passage), 4096):
+            p, b = passage[a:a + 4096], block[a:a + 4096]
+            many = cut[p + 1] - cut[p]
+            pair = np.repeat(np.arange(len(p)), many)
+            at = np.arange(len(pair)) - np.repeat(np.cumsum(many) - many, many) + cut[p][pair]
+            cell = term[at] * n_blocks + b[pair]
+            count = self.begin[cell + 1] - self.begin[cell]
+            row = np.repeat(self.begin[cell] - np.cumsum(count) + count, count) + np.arange(count.sum())
+            place = np.repeat(pair, count) * BLOCK + self.item[row] % BLOCK
+            score = np.bincount(place, self.impact[row], minlength=len(p) * BLOCK)
+            hit = np.flatnonzero(score)
+            yield p[hit // BLOCK], b[hit // BLOCK] * BLOCK + hit % BLOCK, score[hit]
 
     def overlap(self, item: int, h: np.ndarray) -> tuple[float, float, float]:
         """Shares of the question's, the answer's and all grams that occur in the passage."""
