@@ -260,10 +260,7 @@ class Pipeline:
         back to 0 first, so that the rebuild starts like a first load.
         """
         lo = self.marks.get(registry.ORDERS.file_name)
-        if lo > 0 and not self.store.is_empty("bronze", "orders"):
-            if not force:
-                raise RuntimeError(f"orders up to {lo} are loaded: run an incremental load, "
-                                   "or force the initial load to rebuild everything")
+        if force and lo > 0:
             self.marks.reset(TRANSACTION_FILES)
             lo = 0
         seen, lines_seen = Observation(), Observation()
@@ -275,6 +272,9 @@ class Pipeline:
             self._gate_orders(self._prior(raw_orders).drop(FILE_COLUMN), False, found)
         if n_new == 0 or hi is None:
             return LoadResult(NO_NEW_DATA, "initial", lo=lo, hi=lo, new_orders=n_new)
+        if lo > 0 and not self.store.is_empty("bronze", "orders"):
+            raise RuntimeError(f"orders up to {lo} are loaded: run an incremental load, "
+                               "or force the initial load to rebuild everything")
         raw_lines = self._raw(registry.ORDER_PRODUCTS, lines_seen)
         self._check_key(raw_lines, self._gate_lines, False)
         run_all(partial(self.store.replace, self._prior(raw_orders).drop(FILE_COLUMN), "bronze", "orders", lo),
