@@ -256,13 +256,14 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
 
 
 def keep_first(docs: DataFrame, **options) -> DataFrame:
-    """One document of each class, that with the smallest doc_id, with all its
-    columns; rows without doc_id stay."""
+    """One row of each class, of the smallest doc_id in it, with all its columns;
+    rows without doc_id stay."""
     first = (near_duplicates(docs, **options).filter("doc_id = class_id")
-             .select(F.col("doc_id").alias("_n_doc"), F.col("h1").alias("_n_h1")).distinct())
+             .groupBy(F.col("doc_id").alias("_n_doc")).agg(F.min("h1").alias("_n_h1")))
     keyed = docs.withColumn("_n_key", F.xxhash64(F.coalesce("text", F.lit(""))))
     kept = keyed.join(first, (F.col("doc_id") == F.col("_n_doc")) & (F.col("_n_key") == F.col("_n_h1")))
-    return (kept.dropDuplicates(["_n_doc"]).select(*docs.columns)
+    # repeated rows: the join has dealt the rows by these columns already
+    return (kept.dropDuplicates(["_n_doc", "_n_h1"]).select(*docs.columns)
             .unionByName(docs.filter("doc_id is null")))
 
 
