@@ -225,8 +225,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     spread = groups.select(F.explode("bands").alias("band"), "node")
     shared = (spread.groupBy("band").agg(F.min("node").alias("centre"), F.max("node").alias("last"))
               .filter("centre < last").select("band", "centre"))
-    members = written(spread.join(shared, "band"), "near-members")
-    nodes = written(members.select("node").distinct(), "near-nodes")
+    found = written(spread.join(shared, "band"), "near-members")
+    nodes = written(found.select("node").distinct(), "near-nodes")
     wanted = groups.join(nodes, "node", "left_semi").select("h1", "h2", "node")
     chosen = keyed.join(wanted, (keyed.doc_id == wanted.node) & (keyed.h1 == wanted.h1)
                         & (keyed.h2 == wanted.h2)).select("node", "text")
@@ -235,10 +235,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     labels = nodes.select("node", F.col("node").alias("comp"))
     sizes = written(set_sizes(sets), "near-sizes")
     o_sizes = sizes.drop("bitmap").withColumnsRenamed({"node": "centre", "size": "o_size", "shared": "o_shared"})
-    tested = written(members.filter("node <> centre").join(sizes, "node").join(o_sizes, "centre")
+    tested = written(found.filter("node <> centre").join(sizes, "node").join(o_sizes, "centre")
                      .filter(_possible(similarity)).select(*_ordered("node", "centre")).distinct(), "near-pairs")
     labels = components(labels, verified(tested, sets, similarity))
-    members = members.select("band", "node").join(sizes, "node")
+    members, pairs_made = found.select("band", "node").join(sizes, "node"), [tested]
     for turn in range(rounds + 1):
         pairs = (_centre_edges(members, labels, turn, similarity) if turn < rounds
                  else _apart(members, labels, similarity))
@@ -249,7 +249,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
             break
         labels = components(labels, verified(new, sets, similarity))
         tested = tested.unionByName(new)
-    dropped(sets)
+        pairs_made.append(new)
+    for df in (sets, found, sizes, *pairs_made):
+        dropped(df)
     classes = groups.select("h1", "h2", "node", "copies").join(labels, "node", "left")
     return signed.select("doc_id", "h1", "h2").join(classes, ["h1", "h2"]).select(
         "doc_id", "h1", "h2", F.coalesce("comp", "node").alias("class_id"), "copies")
