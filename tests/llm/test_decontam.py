@@ -6,12 +6,13 @@ import numpy as np
 
 from tidemark.llm import decontam as dc
 from tidemark.llm.frames import table
+from tidemark.llm.text import lowered
 
 from rows import SMALL, awkward_docs, awkward_texts, sentence
 
 
 def words(text):
-    return re.findall(r"(?:[0-9a-z]|[^\x00-\x7f])+", "".join(c.lower() if c.isascii() else c for c in text or ""))
+    return re.findall(r"(?:[0-9a-z]|[^\x00-\x7f])+", (text or "").lower())
 
 
 def brute_scores(items, passage):
@@ -39,7 +40,7 @@ def test_search_retrieves_all_above_the_threshold(spark):
     texts = [r.text for r in table(spark, SMALL, "documents").limit(40).collect()]
     texts += [" ".join(rng.sample(words(t), len(words(t)) // 2)) + " " + sentence(rng, 90) for _, t in items[:20]]
     for text in texts:
-        buf = np.frombuffer(text.encode(), np.uint8)
+        buf = np.frombuffer(lowered([text])[0], np.uint8)
         h, first = w(buf, np.array([0, len(buf)]))
         got, own = {}, words(text)
         assert len(own) == len(h)
@@ -59,10 +60,13 @@ def test_planted_items_are_found_and_others_left(spark):
     items = [(r.item_id, r.text) for r in benchmark.collect()]
     rows = [(i, sentence(rng, rng.randint(0, 200)) + " " + t + " " + sentence(rng, 100)) for i, t in items]
     rows += [(1000 + k, sentence(rng, 300)) for k in range(20)]
+    accents = next(t for _, t in items if not t.isascii())
+    rows += [(2001, "X!! " + accents.upper() + "!! Y")]
     rows += [(2000, items[0][1].upper() + "\n" + sentence(rng, 70) + items[1][1])]
     got = {r.doc_id: r._d_items for r in dc.with_leaks(awkward_docs(spark, rows), benchmark).collect()}
     assert all(i in got[i] for i, _ in items)
     assert not any(got[1000 + k] for k in range(20))
+    assert dict(items)[got[2001][0]] == accents
     assert {items[0][0], items[1][0]} <= set(got[2000])
 
 

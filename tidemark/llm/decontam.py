@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .frames import ascii_lower, table
-from .text import Hasher, byte_classes, mix, slices, text_buffers, tokens
+from .frames import table
+from .text import Hasher, byte_classes, lowered, mix, slices, text_buffers, tokens
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.4
@@ -49,10 +49,10 @@ def grams(h: np.ndarray, size: int) -> np.ndarray:
 
 
 class Words:
-    """Hashes of the words of texts."""
+    """Hashes of the words of lower-cased texts."""
 
     def __init__(self):
-        self.hasher, self.classes = Hasher(lower=True), byte_classes(symbols=True)
+        self.hasher, self.classes = Hasher(), byte_classes(symbols=True)
 
     def __call__(self, buf, off):
         start, end, kind, first = tokens(buf, off, self.classes)
@@ -61,7 +61,7 @@ class Words:
         return self.hasher.spans(self.hasher.prefix(buf), start, end)[word], first
 
     def of(self, text: str) -> np.ndarray:
-        buf = np.frombuffer(text.encode(), np.uint8)
+        buf = np.frombuffer(lowered([text])[0], np.uint8)
         return self(buf, np.array([0, len(buf)]))[0]
 
 
@@ -179,7 +179,7 @@ def build_indexes(benchmark: DataFrame, per_pass: int = ITEMS_PER_PASS) -> list[
     """The items' indexes, at most about ``per_pass`` items in each; document
     frequencies and lengths are those of all items."""
     items = benchmark.select("item_id", "text").dropna().dropDuplicates(["item_id"])
-    cut = items.withColumn("w", F.filter(F.split(ascii_lower(F.col("text")), NOT_WORD), lambda w: w != ""))
+    cut = items.withColumn("w", F.filter(F.split(F.lower("text"), NOT_WORD), lambda w: w != ""))
     cut = cut.filter(F.size("w") > 0)
     n, mean = cut.agg(F.count("*"), F.avg(F.size("w"))).first()
     if not n:
@@ -207,7 +207,7 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     def run(batches):
         words = Words()
         for batch in batches:
-            buf, off = text_buffers(batch.column("text"))
+            buf, off = text_buffers(batch.column("text"), lower=True)
             found = [dict() for _ in range(len(batch))]
             for i, j in slices(off):
                 h, first = words(buf[off[i]:off[j]], off[i:j + 1] - off[i])

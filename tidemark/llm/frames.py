@@ -86,13 +86,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, per_class:
             .select("doc_id", "text", "label", *also).limit(4 * per_class))
 
 
-def with_text_score(docs: DataFrame, make_scorer, name: str) -> DataFrame:
+def with_text_score(docs: DataFrame, make_scorer, name: str, lower: bool = False) -> DataFrame:
     """``docs`` with the double column ``name``; ``make_scorer()`` gives a function
-    from (bytes, offsets) of a slice of texts to one score for each text."""
+    from (bytes, offsets) of a slice of (lower-cased) texts to one score for each text."""
     def run(batches):
         score = make_scorer()
         for batch in batches:
-            buf, off = text_buffers(batch.column("text"))
+            buf, off = text_buffers(batch.column("text"), lower)
             out = [np.zeros(0)]
             for i, j in slices(off):
                 out.append(score(buf[off[i]:off[j]], off[i:j + 1] - off[i]))

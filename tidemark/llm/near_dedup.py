@@ -89,9 +89,9 @@ def prob_minhash(h, doc, weight, n_docs: int, m: int):
 
 def _signer(bands: int, rows: int):
     def run(batches):
-        hasher, classes = Hasher(lower=True), byte_classes(symbols=False)
+        hasher, classes = Hasher(), byte_classes(symbols=False)
         for batch in batches:
-            buf, off = text_buffers(batch.column("text"))
+            buf, off = text_buffers(batch.column("text"), lower=True)
             out = [np.zeros((0, bands), np.uint64)]
             words = [np.zeros(0, np.int64)]
             for i, j in slices(off):
@@ -114,9 +114,9 @@ def _signer(bands: int, rows: int):
 
 
 def _sets(batches):
-    hasher, classes = Hasher(lower=True), byte_classes(symbols=False)
+    hasher, classes = Hasher(), byte_classes(symbols=False)
     for batch in batches:
-        buf, off = text_buffers(batch.column("text"))
+        buf, off = text_buffers(batch.column("text"), lower=True)
         n, all_h, maps = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros((0, BITMAP // 64), np.int64)]
         for i, j in slices(off):
             h, doc = shingle_hashes(buf[off[i]:off[j]], off[i:j + 1] - off[i], hasher, classes)

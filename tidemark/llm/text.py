@@ -9,18 +9,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 BASE = 0x9E3779B97F4A7C15
 SLICE_BYTES = 4 << 20
 SPACE, SYMBOL, WORD = 0, 1, 2
 
 
-def byte_values(lower: bool = False, seed: int = 7) -> np.ndarray:
-    """A random 64-bit value for each byte; with ``lower`` A-Z count as a-z."""
-    t = np.random.default_rng(seed).integers(1, 2**64, 256, dtype=np.uint64)
-    if lower:
-        t[65:91] = t[97:123]
-    return t
+def byte_values(seed: int = 7) -> np.ndarray:
+    """A random 64-bit value for each byte."""
+    return np.random.default_rng(seed).integers(1, 2**64, 256, dtype=np.uint64)
 
 
 def byte_classes(symbols: bool) -> np.ndarray:
@@ -43,8 +41,8 @@ def powers(n: int, base: int = BASE) -> tuple[np.ndarray, np.ndarray]:
 class Hasher:
     """Prefix hashes of byte buffers; keeps its power tables between buffers."""
 
-    def __init__(self, lower: bool = False, base: int = BASE, seed: int = 7):
-        self.values, self.base = byte_values(lower, seed), base
+    def __init__(self, base: int = BASE, seed: int = 7):
+        self.values, self.base = byte_values(seed), base
         self.up, self.down = powers(1, base)
 
     def prefix(self, buf: np.ndarray) -> np.ndarray:
@@ -65,10 +63,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and offsets of a string column; null counts as empty."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
+def lowered(texts: list[str]) -> list[bytes]:
+    """The UTF-8 bytes of the lower-cased texts, as ``text_buffers`` lower-cases them."""
+    return [t.encode() for t in pc.utf8_lower(pa.array(texts, pa.string())).to_pylist()]
+
+
+def text_buffers(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of a string column, lower-cased if asked for; null counts as empty."""
+    if lower:
+        column = pc.utf8_lower(column)
     column = column.cast(pa.large_binary())
     if column.null_count:
         column = column.fill_null(b"")
