@@ -28,8 +28,10 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .frames import dropped, shuffle_width, table, written
 from .suffix_sort import earlier_windows, row_hash
@@ -161,26 +163,29 @@ def _shared_anchors(batches):
 # -- 2. contexts ---------------------------------------------------------------------------
 
 def _documents(batches):
-    """(doc_id, crc, body of kind 0 joined, text) for each text, from rows sorted by key and kind."""
+    """(doc_id, crc, body of kind 0 joined, text, rest) for each text, from rows sorted
+    by key and kind; rest is None where the rows have no such column."""
     key, found = None, []
     for batch in batches:
-        for doc, crc, kind, body in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "crc", "kind", "body"))):
+        columns = [batch.column(c).to_pylist() for c in ("doc_id", "crc", "kind", "body")]
+        columns.append(batch.column("rest").to_pylist() if "rest" in batch.schema.names else [None] * len(batch))
+        for doc, crc, kind, body, rest in zip(*columns):
             if (doc, crc) != key:
                 key, found = (doc, crc), []
             if kind == 0:
                 found.append(body)
             else:
-                yield doc, crc, b"".join(found), zstandard.ZstdDecompressor().decompress(body)
+                yield doc, crc, b"".join(found), zstandard.ZstdDecompressor().decompress(body), rest
 
 
 def _context_blobs(buckets: int):
     width = LEFT + SPAN
 
     def cut(docs, hasher):
-        buf = np.frombuffer(b"".join(t for _, _, _, t in docs), np.uint8)
-        size = np.array([len(t) for _, _, _, t in docs])
+        buf = np.frombuffer(b"".join(d[3] for d in docs), np.uint8)
+        size = np.array([len(d[3]) for d in docs])
         off = np.cumsum(size) - size
-        at = [np.frombuffer(p, np.uint32).astype(np.int64) for _, _, p, _ in docs]
+        at = [np.frombuffer(d[2], np.uint32).astype(np.int64) for d in docs]
         doc = np.repeat(np.arange(len(docs)), [len(x) for x in at])
         at = np.concatenate(at)
         ahead, after = np.minimum(at, LEFT), np.minimum(size[doc] - at, SPAN)
@@ -237,25 +242,28 @@ def covered(windows: bytes, size: int) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
-def _removed(with_text: bool):
+def _removed(rest_type: pa.DataType | None):
+    """One row per text; with ``rest_type`` also the text left and the rest of its row."""
+    names = ["doc_id", "crc", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+    if rest_type is not None:
+        names, kinds = [*names, "kept", "rest"], [*kinds, pa.string(), rest_type]
+
     def run(batches):
-        rows = []
-        names = ["doc_id", "crc", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+        rows, size = [], 0
 
         def out():
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
-        size = 0
-        for doc, crc, windows, text in _documents(batches):
+        for doc, crc, windows, text, rest in _documents(batches):
             kept, n_removed, n_spans = text, 0, 0
             if windows:
                 gone = covered(windows, len(text))
                 n_removed = int(gone.sum())
                 n_spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
                 kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
-            rows.append((doc, crc, len(text), n_removed, n_spans, hashlib.sha256(kept).hexdigest(),
-                         kept.decode("utf-8", "ignore") if with_text and n_removed else None))
-            size += len(kept) if with_text else 100
+            row = (doc, crc, len(text), n_removed, n_spans, hashlib.sha256(kept).hexdigest())
+            rows.append(row if rest_type is None else (*row, kept.decode("utf-8", "ignore"), rest))
+            size += 100 if rest_type is None else len(kept)
             if size > 8 << 20:
                 yield out()
                 rows, size = [], 0
@@ -268,50 +276,58 @@ def _bodies(batches):
     zip_ = zstandard.ZstdCompressor(level=1)
     for batch in batches:
         body = [zip_.compress((t or "").encode()) for t in batch.column("text").to_pylist()]
+        rest = ["rest"] if "rest" in batch.schema.names else []
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("crc"), pa.array(np.ones(len(body), np.int32)),
-             pa.array(body, pa.binary())], names=["doc_id", "crc", "kind", "body"])
+             pa.array(body, pa.binary()), *[batch.column(c) for c in rest]],
+            names=["doc_id", "crc", "kind", "body", *rest])
 
 
-def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
-    """doc_id, crc (of the text), n_bytes, n_removed, n_spans, kept_sha256, and with
-    ``with_text`` the text left (whole characters) where something was removed."""
+def remove_repeats(docs: DataFrame, rest: Column | None = None) -> DataFrame:
+    """doc_id, crc (of the text), n_bytes, n_removed, n_spans, kept_sha256. With a struct
+    column ``rest`` of the documents also kept, the text left (whole characters), and rest."""
     spark = docs.sparkSession
     parts = shuffle_width(spark)
     buckets = parts * BUCKETS_PER_PARTITION
-    keyed = docs.select("doc_id", "text", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("crc"))
-    texts = keyed.mapInArrow(_bodies, KEYED)
-    known = keyed.filter("doc_id is not null")
+    keyed = docs.select("doc_id", "text", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("crc"),
+                        *([rest.alias("rest")] if rest is not None else []))
+    rest_kind = None if rest is None else keyed.schema["rest"].dataType
+    texts = keyed.drop("rest").mapInArrow(_bodies, KEYED)
+    known = keyed.drop("rest").filter("doc_id is not null")
 
     def by_bucket(df: DataFrame) -> DataFrame:
         return df.repartition(parts, "bucket").sortWithinPartitions("bucket")
 
-    def with_texts(rows: DataFrame) -> DataFrame:
-        return (rows.unionByName(texts).repartition(parts, "doc_id", "crc")
+    def with_texts(rows: DataFrame, texts: DataFrame) -> DataFrame:
+        return (rows.unionByName(texts, allowMissingColumns=True).repartition(parts, "doc_id", "crc")
                 .sortWithinPartitions("doc_id", "crc", "kind"))
     blob = "bucket int, blob binary"
     shared = written(by_bucket(known.mapInArrow(_anchor_blobs(buckets), blob))
                      .mapInArrow(_shared_anchors, KEYED), "suffix-anchors")
-    windows = written(by_bucket(with_texts(shared).mapInArrow(_context_blobs(buckets), blob))
+    windows = written(by_bucket(with_texts(shared, texts).mapInArrow(_context_blobs(buckets), blob))
                       .mapInArrow(_earlier, KEYED), "suffix-windows")
     dropped(shared)
-    return with_texts(windows).mapInArrow(
-        _removed(with_text), "doc_id long, crc long, n_bytes long, n_removed long, n_spans long, "
-                             "kept_sha256 string, kept string")
+    result = "doc_id long, crc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    if rest is None:
+        return with_texts(windows, texts).mapInArrow(_removed(None), result)
+    whole = keyed.mapInArrow(_bodies, T.StructType([*T.StructType.fromDDL(KEYED).fields,
+                                                    T.StructField("rest", rest_kind)]))
+    return with_texts(windows, whole).mapInArrow(_removed(to_arrow_type(rest_kind)), T.StructType([
+        *T.StructType.fromDDL(result).fields, T.StructField("kept", T.StringType()),
+        T.StructField("rest", rest_kind)]))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated runs cut out of the texts; ``n_chars``, if there, follows."""
-    changed = (remove_repeats(docs, with_text=True).filter("n_removed > 0")
-               .select(F.col("doc_id").alias("_s_doc"), F.col("crc").alias("_s_crc"), "kept")
-               .dropDuplicates(["_s_doc", "_s_crc"]).withColumnRenamed("kept", "_s_kept"))
-    keyed = docs.withColumn("_s_key", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
-    out = keyed.join(changed, (F.col("doc_id") == F.col("_s_doc")) & (F.col("_s_key") == F.col("_s_crc")), "left")
-    out = out.withColumn("text", F.coalesce("_s_kept", "text"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_s_kept").isNull(), F.col("n_chars"))
-                             .otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rest = F.struct(F.col("text").isNull().alias("_s_none"), *others)
+    cut = remove_repeats(docs, rest)
+    columns = {c: F.col("rest").getField(c) for c in others}
+    columns |= {"doc_id": F.col("doc_id"), "text": F.when(~F.col("rest._s_none"), F.col("kept"))}
+    if "n_chars" in others:
+        columns["n_chars"] = F.when(F.col("n_removed") == 0, columns["n_chars"]).otherwise(
+            F.length("kept").cast(docs.schema["n_chars"].dataType))
+    return cut.select(*[columns[c].alias(c) for c in docs.columns])
 
 
 def op5_suffix_dedup(spark, sf_dir: str) -> DataFrame:
