@@ -41,6 +41,8 @@ SPAN = 50
 GRAM = 20
 LEFT = SPAN - GRAM             # bytes of context before an anchor
 BUCKETS_PER_PARTITION = 4
+CUT_BYTES = 2 << 20            # text whose contexts are cut at once
+ANCHORS_AT_ONCE = 1 << 19      # anchors that a task holds before it deals them
 KEYED = "doc_id long, crc long, kind int, body binary"
 
 
@@ -132,16 +134,24 @@ def _anchor_blobs(buckets: int):
         for batch in batches:
             buf, off = text_buffers(batch.column("text"))
             ids, crc = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "crc"))
-            parts = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint32))]
+            parts, held = [], 0
             for i, j in slices(off, 1 << 20):
                 at, g, doc = anchors(buf[off[i]:off[j]], off[i:j + 1] - off[i], hasher)
                 parts.append((g, doc + i, (at - (off[i:j] - off[i])[doc]).astype(np.uint32)))
-            g, doc, at = (np.concatenate(x) for x in zip(*parts))
-            # 48 bits of the hash: two grams that share them are told apart by their bytes later
-            own, blobs = blobs_by_bucket((g % np.uint64(buckets)).astype(np.int32), g.astype(np.uint32),
-                                         (g >> np.uint64(32)).astype(np.uint16), ids[doc],
-                                         crc[doc].astype(np.uint32), at)
-            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
+                held += len(g)
+                if held > ANCHORS_AT_ONCE:
+                    yield deal(parts, ids, crc)
+                    parts, held = [], 0
+            if held:
+                yield deal(parts, ids, crc)
+
+    def deal(parts, ids, crc):
+        g, doc, at = (np.concatenate(x) for x in zip(*parts))
+        # 48 bits of the hash: two grams that share them are told apart by their bytes later
+        own, blobs = blobs_by_bucket((g % np.uint64(buckets)).astype(np.int32), g.astype(np.uint32),
+                                     (g >> np.uint64(32)).astype(np.uint16), ids[doc],
+                                     crc[doc].astype(np.uint32), at)
+        return pa.RecordBatch.from_arrays([pa.array(own), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
     return run
 
 
@@ -207,7 +217,7 @@ def _context_blobs(buckets: int):
             if doc[2]:
                 held.append(doc)
                 size += len(doc[3])
-            if size > 8 << 20:
+            if size > CUT_BYTES:
                 yield cut(held, hasher)
                 held, size = [], 0
         if held:

@@ -14,7 +14,7 @@ import numpy as np
 
 from .text import byte_values, mix
 
-SLICE = 1 << 15                # contexts sorted at once, if their anchor value allows
+SLICE = 1 << 14                # contexts sorted at once, if their anchor value allows
 
 
 class Collision(Exception):

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BASE = 0x9E3779B97F4A7C15
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 SPACE, SYMBOL, WORD = 0, 1, 2
 
 
