@@ -63,6 +63,17 @@ def test_a_family_whose_members_differ_from_the_centre(spark):
     assert got == brute_classes(rows) and set(got.values()) == {0}
 
 
+def test_repeated_passages_do_not_hide_pairs(spark):
+    """Pairs of 200 shared shingles, one text with 49 more, most of them seen 10 or 100 times."""
+    rows = []
+    for d in range(30):
+        base = [f"b{d}w{k}" for k in range(204)]
+        passage = [f"p{d}w{k}" for k in range(45)]
+        rows += [(2 * d, " ".join(base)), (2 * d + 1, " ".join(base + passage * (10 if d % 2 else 100)))]
+    got = classes_of(nd.near_duplicates(awkward_docs(spark, rows)))
+    assert got == brute_classes(rows) == {i: i - i % 2 for i, _ in rows}
+
+
 def test_registers_estimate_probability_jaccard():
     rng = np.random.default_rng(1)
     h = rng.integers(0, 2**63, 300, dtype=np.uint64)

@@ -6,12 +6,16 @@ space; shorter texts are one shingle). A shingle seen c times weighs
 weight; its arrivals, drawn from the shingle's hash, fall into random
 registers, and each register keeps the shingle that arrives first. Two texts
 agree in a register with the probability Jaccard similarity of their weighted
-shingles. A shingle's arrivals end as soon as the next one is later than all
+shingles. With every shingle weighing 1 that is the Jaccard similarity of their
+sets; texts that repeat shingles get registers of both kinds, in texts that
+don't they are the same. A shingle's arrivals end as soon as the next one is later than all
 registers' minima, so a text takes about m ln m arrivals however long it is.
 
-Banding: 24 bands of 4 registers; a pair of similarity 0.8 shares no band with
-a probability of 3e-6. Verification: pairs are linked if the Jaccard similarity
-of their shingle sets is 0.8 or more. Pairs within a band are not expanded:
+Banding: 24 bands of 4 registers of unit weights, and 24 of the weighted ones
+where they differ. Verification: pairs are linked if the Jaccard similarity of
+their shingle sets is 0.8 or more. The unit bands measure the same similarity:
+at 0.8 a pair shares none of them with a probability of 3e-6, however often its
+shingles repeat. Pairs within a band are not expanded:
 every member is first compared with one centre of the band, members that are
 then in the same component need no comparison, and later rounds use other
 centres. What is still apart after the rounds is compared pair by pair, so no
@@ -87,28 +91,50 @@ def prob_minhash(h, doc, weight, n_docs: int, m: int):
     return value.reshape(n_docs, m)
 
 
+def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """One key for each band of the registers (n_docs, bands * rows)."""
+    total = np.zeros((len(sig), bands), np.uint64)
+    for r in range(rows):
+        total = mix(total + sig[:, r * bands:(r + 1) * bands] + STEP)
+    return total + np.arange(bands, dtype=np.uint64)
+
+
+def document_bands(h, doc, times, n_docs: int, bands: int, rows: int):
+    """(key, document), by document: the bands of unit weights and, in texts that repeat
+    shingles, also the bands of weighted ones."""
+    held = np.flatnonzero(np.bincount(doc, minlength=n_docs))
+    unit = band_keys(prob_minhash(h, doc, np.ones(len(h)), n_docs, bands * rows), bands, rows)[held]
+    again = np.flatnonzero(np.bincount(doc[times > 1], minlength=n_docs))
+    place = np.full(n_docs, -1)
+    place[again] = np.arange(len(again))
+    some = place[doc] >= 0
+    weighted = band_keys(prob_minhash(h[some], place[doc[some]], 1 + np.log(times[some]), len(again),
+                                      bands * rows), bands, rows)
+    # a band in which both kinds agree is one band
+    new = weighted != unit[np.searchsorted(held, again)]
+    keys = np.concatenate([unit.ravel(), weighted[new]])
+    of = np.concatenate([np.repeat(held, bands), np.repeat(again, new.sum(axis=1))])
+    order = np.argsort(of, kind="stable")
+    return keys[order], of[order]
+
+
 def _signer(bands: int, rows: int):
     def run(batches):
         hasher, classes = Hasher(), byte_classes(symbols=False)
         for batch in batches:
             buf, off = text_buffers(batch.column("text"), lower=True)
-            out = [np.zeros((0, bands), np.uint64)]
-            words = [np.zeros(0, np.int64)]
+            out, count = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for i, j in slices(off):
                 o = off[i:j + 1] - off[i]
                 h, doc = shingle_hashes(buf[off[i]:off[j]], o, hasher, classes)
                 h, doc, times = weighted_shingles(h, doc)
-                sig = prob_minhash(h, doc, 1 + np.log(times), j - i, bands * rows)
-                total = np.zeros((j - i, bands), np.uint64)
-                for r in range(rows):
-                    total = mix(total + sig[:, r * bands:(r + 1) * bands] + STEP)
-                out.append(total + np.arange(bands, dtype=np.uint64))
-                words.append(np.bincount(doc, minlength=j - i))
-            keys, n = np.concatenate(out), np.concatenate(words)
-            ends = np.concatenate([[0], np.cumsum(np.where(n > 0, bands, 0))]).astype(np.int32)
+                keys, of = document_bands(h, doc, times, j - i, bands, rows)
+                out.append(keys)
+                count.append(np.bincount(of, minlength=j - i))
+            ends = np.concatenate([[0], np.cumsum(np.concatenate(count))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("h1"), batch.column("h2"),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[n > 0].ravel().view(np.int64)))],
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(out).view(np.int64)))],
                 names=["doc_id", "h1", "h2", "bands"])
     return run
 
