@@ -36,7 +36,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences."""
-    return packing.pack(docs)
+    return packing.pack(docs, added=True)
 
 
 STAGES = [

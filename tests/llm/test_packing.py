@@ -55,6 +55,18 @@ def test_awkward_rows(spark):
     assert packing.pack(docs.limit(0)).count() == 0
 
 
+def test_query_has_the_ids_of_the_file_for_added_tokens(spark, workdir):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", " <|endoftext|><|endoftext|>\n\n x", "<|endoftext", "a\n  <|endoftext|>  b"]
+    awkward_docs(spark, list(enumerate(texts))).write.parquet(f"{workdir}/documents.parquet")
+    got = {r.doc_id: (r.length, r.ids_crc32) for r in packing.op6_packing(spark, workdir).collect()}
+    for k, text in enumerate(texts):
+        ids = t.encode(text, add_special_tokens=False).ids + [2]
+        assert got[k] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())), text
+
+
 def test_plan_uses_every_piece_once_and_few_sequences():
     rng = random.Random(4)
     for kind in range(4):
