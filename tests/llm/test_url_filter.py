@@ -80,3 +80,31 @@ def test_propagation_equals_dense_power_iteration(spark):
         d = (1 - uf.DAMPING) * d0 + uf.DAMPING * into @ d
     for i in range(n):
         assert np.isclose(got[f"h{i}"].trust, t[i]) and np.isclose(got[f"h{i}"].distrust, d[i])
+
+
+def test_ranks_have_converged(spark):
+    """A ring, whose rank mass goes round, against the solved equations; a host far from all seeds."""
+    n = 8
+    w = np.roll(np.eye(n), 1, axis=1) + np.roll(np.eye(n), 3, axis=1)
+    t0, d0 = np.eye(n)[0], np.eye(n)[5]
+    edges = spark.createDataFrame([(f"h{i}", f"h{j}", int(w[i, j])) for i in range(n) for j in range(n) if w[i, j]],
+                                  "src string, dst string, links long")
+    seeds = spark.createDataFrame([(f"h{i}", float(t0[i]), float(d0[i])) for i in range(n)],
+                                  "host string, trust double, distrust double")
+    got = {r.host: r for r in uf.propagate(edges, seeds).collect()}
+    p = w / w.sum(1, keepdims=True)
+    q = w / w.sum(0, keepdims=True)
+    t = np.linalg.solve(np.eye(n) - uf.DAMPING * p.T, (1 - uf.DAMPING) * t0)
+    d = np.linalg.solve(np.eye(n) - uf.DAMPING * q, (1 - uf.DAMPING) * d0)
+    for i in range(n):
+        assert np.isclose(got[f"h{i}"].trust, t[i], 1e-3) and np.isclose(got[f"h{i}"].distrust, d[i], 1e-3)
+
+
+def test_a_chain_of_eight_links_to_a_blocked_seed(spark):
+    hosts = [f"c{k}.org" for k in range(8)] + ["bad.net"]
+    pages = spark.createDataFrame(
+        [(k, f"http://{h}/es/", f'<a href="http://{nxt}/es/">' if nxt else "", "", "")
+         for k, (h, nxt) in enumerate(zip(hosts, [*hosts[1:], None]))], PAGES)
+    got = {r.page_id: (r.verdict, r.distrust) for r in uf.filter_urls(pages).collect()}
+    assert all(got[k][0] == "block" for k in range(9))
+    assert all(np.isclose(got[k][1], 0.15 * 0.85 ** (8 - k)) for k in range(9))
