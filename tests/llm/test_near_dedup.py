@@ -55,6 +55,14 @@ def test_awkward_rows(spark):
     assert nd.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_the_query_has_every_row(spark, workdir):
+    docs = awkward_docs(spark)
+    docs.write.parquet(f"{workdir}/documents.parquet")
+    rows = nd.op1_near_dedup(spark, workdir).collect()
+    assert len(rows) == len(awkward_texts())
+    assert [(r.class_id, r.copies) for r in rows if r.doc_id is None] == [(None, 1)] * 2
+
+
 def test_a_family_whose_members_differ_from_the_centre(spark):
     """A chain: neighbours are alike, the ends are not; all is one class."""
     words = [f"w{k}" for k in range(400)]

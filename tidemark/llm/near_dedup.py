@@ -26,7 +26,8 @@ the other's lacks is a shingle outside it. That rules out copies edited or cut t
 much before they meet. Exact copies are one node throughout.
 
 Null texts count as empty. Empty texts are copies of each other. Rows that
-share a doc_id are one document; rows without doc_id are not linked. Columns
+share a doc_id are one document; rows without doc_id are not linked: the query
+gives each as its own row, with a null class_id and copies 1. Columns
 other than doc_id and text are not read.
 """
 
@@ -295,6 +296,13 @@ def keep_first(docs: DataFrame, **options) -> DataFrame:
             .unionByName(docs.filter("doc_id is null")))
 
 
+def document_classes(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, class_id, copies of every row; rows without doc_id have no class."""
+    return near_duplicates(docs, **options).select("doc_id", "class_id", "copies").unionByName(
+        docs.filter("doc_id is null").select("doc_id", F.lit(None).cast("long").alias("class_id"),
+                                             F.lit(1).cast("long").alias("copies")))
+
+
 def op1_near_dedup(spark, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document."""
-    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "copies")
+    return document_classes(table(spark, sf_dir, "documents"))
