@@ -1,0 +1,94 @@
+"""SentencePiece encoding and decoding against the library."""
+
+import hashlib
+import random
+
+import pytest
+import sentencepiece
+from pyspark.sql import types as T
+from rows import SMALL, awkward_docs
+
+from tidemark.llm import pieces
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=pieces.default_model())
+
+
+@pytest.fixture(scope="module")
+def codec():
+    return pieces.Codec(pieces.default_model())
+
+
+def strings(n, seed=3):
+    rng = random.Random(seed)
+    for _ in range(n):
+        yield "".join(rng.choice("ab cdeth er  in\n\t\r.,▁é日𝄞\x00<0x41></s><unk>()//'\"1234  ")
+                      for _ in range(rng.randint(0, 120)))
+
+
+def test_random_strings_have_the_library_s_ids(codec, library):
+    for s in strings(800):
+        assert codec.encode(s) == library.encode(s), s
+        assert codec.decode(library.encode(s)) == library.decode(library.encode(s)), s
+
+
+def test_random_ids_decode_as_in_the_library(codec, library):
+    rng = random.Random(5)
+    for _ in range(800):
+        ids = [rng.randrange(3, 259) if rng.random() < .5 else rng.randrange(1, 32000) for _ in range(rng.randint(0, 9))]
+        assert codec.decode(ids) == library.decode(ids), ids
+
+
+def test_one_agenda_and_many_agendas_agree(codec):
+    words = sorted({w for s in strings(300, 9) for w in s.split() if codec.characters.issuperset(w)})
+    assert codec.merged_together(words) == [[codec.ids[p] for p in codec.merged(w)] for w in words]
+    assert codec.merged_together([]) == []
+
+
+@pytest.mark.parametrize("text", ["a" * 50_000, " " * 20_000, "\n" * 5_000, "th" * 9_000 + " end", "é▁" * 3_000])
+def test_long_units(codec, library, text):
+    assert codec.encode(text) == library.encode(text)
+
+
+def test_a_full_table_of_known_strings_changes_nothing(library, monkeypatch):
+    monkeypatch.setattr(pieces, "KEEP", 3)
+    codec = pieces.Codec(pieces.default_model())
+    for s in strings(40, 11):
+        assert codec.encode(s) == library.encode(s)
+
+
+def test_other_vocabularies_are_refused(tmp_path):
+    from sentencepiece import sentencepiece_model_pb2
+    model = sentencepiece_model_pb2.ModelProto()
+    with open(pieces.default_model(), "rb") as f:
+        model.ParseFromString(f.read())
+    model.trainer_spec.byte_fallback = False
+    (tmp_path / "m.model").write_bytes(model.SerializeToString())
+    with pytest.raises(ValueError, match="byte fallback"):
+        pieces.Codec(str(tmp_path / "m.model"))
+
+
+def test_awkward_rows(spark, library):
+    docs = awkward_docs(spark)
+    got = pieces.encoded(docs).collect()
+    assert len(got) == docs.count() and all(r.agrees for r in got)
+    want = sorted((r.doc_id is None, r.doc_id or 0, library.encode(r.text or "")) for r in docs.collect())
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.ids) for r in got) == want
+    empty = pieces.encoded(docs.limit(0))
+    assert empty.count() == 0 and empty.columns == ["doc_id", "ids", "decoded", "agrees"]
+
+
+def test_query_equals_the_library(spark, library):
+    rows = pieces.op13_sentencepiece(spark, SMALL)
+    assert rows.schema["n_tokens"].dataType == T.LongType()
+    got = {r.doc_id: r for r in rows.collect()}
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").collect()
+    assert len(got) == len(docs)
+    for d in docs:
+        ids = library.encode(d.text or "")
+        r = got[d.doc_id]
+        assert (r.n_tokens, r.agrees) == (len(ids), True)
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
