@@ -13,9 +13,11 @@ from .sharding import op2_sharding
 from .suffix_dedup import op5_suffix_dedup
 from .toxicity import op7_toxicity
 from .url_filter import op3_url_filter
+from .whitening import op12_embedding_whitening
 
 QUERIES = {f.__name__: f for f in (
     op1_near_dedup, op2_sharding, op3_url_filter, op4_quality_classifier, op5_suffix_dedup,
-    op6_packing, op7_toxicity, op8_decontamination, op9_license_scan, op10_quality_rules, op13_sentencepiece)}
+    op6_packing, op7_toxicity, op8_decontamination, op9_license_scan, op10_quality_rules,
+    op12_embedding_whitening, op13_sentencepiece)}
 # None of these has an equivalent in SQL: each learns, iterates or schedules.
 ORACLE_SQL: dict[str, str] = {}
