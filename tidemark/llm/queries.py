@@ -6,6 +6,7 @@ from .decontam import op8_decontamination
 from .licenses import op9_license_scan
 from .near_dedup import op1_near_dedup
 from .packing import op6_packing
+from .periodic_runs import op11_periodic_runs
 from .pieces import op13_sentencepiece
 from .quality_model import op4_quality_classifier
 from .quality_rules import op10_quality_rules
@@ -18,6 +19,6 @@ from .whitening import op12_embedding_whitening
 QUERIES = {f.__name__: f for f in (
     op1_near_dedup, op2_sharding, op3_url_filter, op4_quality_classifier, op5_suffix_dedup,
     op6_packing, op7_toxicity, op8_decontamination, op9_license_scan, op10_quality_rules,
-    op12_embedding_whitening, op13_sentencepiece)}
+    op11_periodic_runs, op12_embedding_whitening, op13_sentencepiece)}
 # None of these has an equivalent in SQL: each learns, iterates or schedules.
 ORACLE_SQL: dict[str, str] = {}
