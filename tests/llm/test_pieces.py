@@ -3,6 +3,8 @@
 import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import types as T
@@ -42,9 +44,12 @@ def test_random_ids_decode_as_in_the_library(codec, library):
 
 
 def test_one_agenda_and_many_agendas_agree(codec):
-    words = sorted({w for s in strings(300, 9) for w in s.split() if codec.characters.issuperset(w)})
-    assert codec.merged_together(words) == [[codec.ids[p] for p in codec.merged(w)] for w in words]
-    assert codec.merged_together([]) == []
+    words = sorted({w for s in strings(300, 9) for w in s.split()} - {""})
+    unit, symbol = codec.merged_together("".join(words), np.array([len(w) for w in words]))
+    for k, word in enumerate(words):
+        mine = [chr(-1 - s) if s < 0 else s for s in symbol[unit == k].tolist()]
+        assert mine == [codec.ids.get(p, p) for p in codec.merged(word)]
+    assert len(codec.merged_together("", np.zeros(0, int))[0]) == 0
 
 
 @pytest.mark.parametrize("text", ["a" * 50_000, " " * 20_000, "\n" * 5_000, "th" * 9_000 + " end", "é▁" * 3_000])
@@ -52,11 +57,16 @@ def test_long_units(codec, library, text):
     assert codec.encode(text) == library.encode(text)
 
 
-def test_a_full_table_of_known_strings_changes_nothing(library, monkeypatch):
-    monkeypatch.setattr(pieces, "KEEP", 3)
-    codec = pieces.Codec(pieces.default_model())
-    for s in strings(40, 11):
-        assert codec.encode(s) == library.encode(s)
+def test_all_units_long_or_short(library, monkeypatch):
+    for short in (0, 3):
+        monkeypatch.setattr(pieces, "SHORT", short)
+        codec = pieces.Codec(pieces.default_model())
+        for s in strings(60, 11):
+            assert codec.encode(s) == library.encode(s)
+    texts = pa.array([*strings(30, 12), None, ""], pa.string())
+    assert codec.encode_all(texts) == [library.encode(t or "") for t in texts.to_pylist()]
+    assert codec.encode_all(texts.slice(5, 7)) == [library.encode(t) for t in texts.slice(5, 7).to_pylist()]
+    assert codec.encode_all(texts.slice(0, 0)) == []
 
 
 def test_other_vocabularies_are_refused(tmp_path):
