@@ -11,24 +11,34 @@ Scores are shares of the score that the item gives itself (1: all its words).
 Retrieved items are verified: word trigrams of the item's question (all
 sentences but the last) and answer (the last) must occur in the passage.
 
-Null and empty texts have no passages and are clean; items without id or text
-are left out; an empty benchmark leaves all clean. Equal scores are all
-retrieved. Repeated rows are judged alike. More items than ``ITEMS_PER_PASS``
-are indexed in several passes with common statistics.
+Null and empty texts have no passages and are clean; items without id or text, and
+items of less than ``GRAM`` words, which hold no gram to verify (a word or two
+occur anywhere), are left out; an empty benchmark leaves all clean. Equal scores are all
+retrieved. Repeated rows are judged alike. Items that share an id are indexed each,
+and found under it. Very long texts are searched whole, passage by passage; a very
+long item makes all passages as long. Columns of the documents named like the
+results (``_d_items``, ``_d_score``, ``_d_overlap``) are replaced.
+
+The benchmark is searched in passes of about ``ITEMS_PER_PASS`` items and at most
+``PASS_BYTES`` of item text beside the longest item, with common statistics: an index is broadcast, the documents are searched
+and written with what was found, and the index is released before the next is built.
+So neither driver nor executors ever hold more than one pass.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .frames import table
-from .text import Hasher, byte_classes, lowered, mix, slices, text_buffers, tokens
+from .frames import dropped, table, written
+from .text import Hasher, byte_classes, lowered, mix, slices, small_batches, text_buffers, tidy, tokens
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.4
@@ -36,7 +46,7 @@ QUESTION_OVERLAP, ANSWER_OVERLAP, TOTAL_OVERLAP = 0.5, 0.5, 0.7
 GRAM = 3
 BLOCK = 16
 LEAST_STRIDE = 32
-ITEMS_PER_PASS = 20_000
+ITEMS_PER_PASS, PASS_BYTES = 20_000, 8 << 20
 CELLS_AT_ONCE = 200_000        # passages times blocks that are bounded at once
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -91,12 +101,20 @@ class Index:
         term, item, impact = map(np.concatenate, (term, item, impact))
         cell = term * n_blocks + item // BLOCK
         order = np.argsort(cell, kind="stable")
-        self.item, self.impact = item[order], impact[order]
-        self.begin = np.searchsorted(cell[order], np.arange(len(self.terms) * n_blocks + 1))
-        self.block_max = np.zeros(len(self.terms) * n_blocks, np.float32)
-        np.maximum.at(self.block_max, cell, (impact * 1.000001).astype(np.float32))
-        self.block_max = self.block_max.reshape(len(self.terms), n_blocks)
-        self.term_max = self.block_max.max(axis=1)
+        self.n_blocks, self.item, self.impact = n_blocks, item[order], impact[order]
+        # only the (term, block) cells that hold postings are kept
+        self.cells, begin = np.unique(cell[order], return_index=True)
+        self.begin = np.append(begin, len(cell))
+        self.block_max = np.maximum.reduceat(self.impact, begin) * 1.000001
+        self.term_begin = np.searchsorted(self.cells, np.arange(len(self.terms) + 1) * n_blocks)
+        self.term_max = np.maximum.reduceat(self.block_max, self.term_begin[:-1])
+
+    @classmethod
+    def from_parts(cls, parts: dict) -> "Index":
+        """The index with these attributes: plain arrays travel, the class does not."""
+        index = cls.__new__(cls)
+        index.__dict__.update(parts)
+        return index
 
     @staticmethod
     def _parts(words: Words, text: str) -> list[np.ndarray]:
@@ -138,26 +156,37 @@ class Index:
             return
         own, cut = np.unique(passage, return_index=True)
         cut = np.append(cut, len(passage))
-        step = max(16, CELLS_AT_ONCE // self.block_max.shape[1])
+        step = max(16, CELLS_AT_ONCE // self.n_blocks)
         for a in range(0, len(own), step):
             z = min(a + step, len(own))
             mine = term[cut[a]:cut[z]]
-            bounds = np.add.reduceat(self.block_max[mine], cut[a:z] - cut[a], axis=0)
+            bounds = self._bounds(mine, cut[a:z + 1] - cut[a])
             for p, item, score in self._scores(mine, cut[a:z + 1] - cut[a], *np.nonzero(bounds >= threshold)):
                 for k in np.flatnonzero(score >= threshold):
                     q = own[a + p[k]]
                     yield int(doc[q]), int(item[k]), float(score[k]), int(begin[q]), int(stop[q])
 
+    def _bounds(self, term, cut) -> np.ndarray:
+        """Passages x blocks: the sum of the terms' maxima in each block."""
+        count = self.term_begin[term + 1] - self.term_begin[term]
+        cell = np.repeat(self.term_begin[term] - np.cumsum(count) + count, count) + np.arange(count.sum())
+        passage = np.repeat(np.repeat(np.arange(len(cut) - 1), np.diff(cut)), count)
+        place = passage * self.n_blocks + self.cells[cell] % self.n_blocks
+        return np.bincount(place, self.block_max[cell], minlength=(len(cut) - 1) * self.n_blocks).reshape(-1, self.n_blocks)
+
     def _scores(self, term, cut, passage, block):
         """Yields (passage, item, score) arrays of all items of the blocks, for the
         (passage, block) pairs; passage p has the terms cut[p] to cut[p + 1]."""
-        n_blocks = self.block_max.shape[1]
+        n_blocks = self.n_blocks
         for a in range(0, len(passage), 4096):
             p, b = passage[a:a + 4096], block[a:a + 4096]
             many = cut[p + 1] - cut[p]
             pair = np.repeat(np.arange(len(p)), many)
             at = np.arange(len(pair)) - np.repeat(np.cumsum(many) - many, many) + cut[p][pair]
-            cell = term[at] * n_blocks + b[pair]
+            wanted = term[at] * n_blocks + b[pair]
+            cell = np.minimum(np.searchsorted(self.cells, wanted), len(self.cells) - 1)
+            held = self.cells[cell] == wanted
+            cell, pair = cell[held], pair[held]
             count = self.begin[cell + 1] - self.begin[cell]
             row = np.repeat(self.begin[cell] - np.cumsum(count) + count, count) + np.arange(count.sum())
             place = np.repeat(pair, count) * BLOCK + self.item[row] % BLOCK
@@ -175,61 +204,89 @@ class Index:
         return share[0], share[1], found / max(1, total)
 
 
-def build_indexes(benchmark: DataFrame, per_pass: int = ITEMS_PER_PASS) -> list[Index]:
-    """The items' indexes, at most about ``per_pass`` items in each; document
-    frequencies and lengths are those of all items."""
-    items = benchmark.select("item_id", "text").dropna().dropDuplicates(["item_id"])
+def index_passes(benchmark: DataFrame, per_pass: int = ITEMS_PER_PASS, pass_bytes: int = PASS_BYTES
+                 ) -> Iterator[Index]:
+    """The items' indexes, one pass after the other; document frequencies and lengths
+    are those of all items. The items are written once, so all passes see the same."""
+    items = benchmark.select("item_id", "text").dropna().distinct()
     cut = items.withColumn("w", F.filter(F.split(F.lower("text"), NOT_WORD), lambda w: w != ""))
-    cut = cut.filter(F.size("w") > 0)
-    n, mean = cut.agg(F.count("*"), F.avg(F.size("w"))).first()
-    if not n:
-        return []
-    parts = -(-n // per_pass)
-    placed = cut.withColumn("part", F.pmod(F.xxhash64("item_id"), F.lit(parts)))
+    cut = written(cut.filter(F.size("w") >= GRAM), "decontam-items")
+    n, mean, size, longest = cut.agg(F.count("*"), F.avg(F.size("w")), F.sum(F.octet_length("text")),
+                                     F.max(F.octet_length("text"))).first()
+    # dealt by hash: half as large on average as allowed, beside the longest item
+    parts = max(-(-n // per_pass), -(-size // max(1, pass_bytes // 2))) if n else 0
+    placed = cut.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, parts))))
     frequency = cut.select(F.explode(F.array_distinct("w")).alias("word")).groupBy("word").agg(F.count("*").alias("df"))
-    out, words = [], Words()
+    words = Words()
     for p in range(parts):
         mine = placed.filter(F.col("part") == p)
+        held = mine.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        if held > pass_bytes + longest:
+            raise ValueError(f"a pass of {held} bytes of benchmark items: more than {pass_bytes}")
         own = mine.select(F.explode("w").alias("word")).distinct().join(frequency, "word").collect()
         df = {int(words.of(r.word)[0]): r.df for r in own}
         rows = [(r.item_id, r.text) for r in mine.select("item_id", "text").collect()]
         if rows:
-            out.append(Index(rows, df, n, mean))
-    return out
+            yield Index(rows, df, n, mean)
+    dropped(cut)
 
 
-def with_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with ``_d_items`` (ids of the items found, sorted), ``_d_score``
-    and ``_d_overlap`` (the largest of any verified item; 0 without)."""
-    indexes = build_indexes(benchmark)
-    shared = docs.sparkSession.sparkContext.broadcast(indexes)   # bounded by ITEMS_PER_PASS
+def build_indexes(benchmark: DataFrame, per_pass: int = ITEMS_PER_PASS) -> list[Index]:
+    """All passes' indexes at once, for a benchmark that is known to be small."""
+    return list(index_passes(benchmark, per_pass))
+
+
+RESULT = [T.StructField("_d_items", T.ArrayType(T.LongType())), T.StructField("_d_score", T.DoubleType()),
+          T.StructField("_d_overlap", T.DoubleType())]
+
+
+def _searched(docs: DataFrame, index: Index, threshold: float) -> tuple[DataFrame, Broadcast]:
+    """``docs`` with the result columns raised by what one index finds."""
+    shared = docs.sparkSession.sparkContext.broadcast(vars(index))   # bounded by PASS_BYTES
+    kept = [f for f in docs.schema.fields if f.name not in {r.name for r in RESULT}]
 
     def run(batches):
-        words = Words()
-        for batch in batches:
+        words, index = Words(), Index.from_parts(shared.value)
+        for batch in small_batches(batches):
             buf, off = text_buffers(batch.column("text"), lower=True)
             found = [dict() for _ in range(len(batch))]
             for i, j in slices(off):
                 h, first = words(buf[off[i]:off[j]], off[i:j + 1] - off[i])
-                for index in shared.value:
-                    for d, item, score, begin, stop in index.search(h, first, threshold):
-                        q, a, all_ = index.overlap(item, h[begin:stop])
-                        if q >= QUESTION_OVERLAP and (a >= ANSWER_OVERLAP or all_ >= TOTAL_OVERLAP):
-                            was = found[i + d].get(int(index.ids[item]), (0.0, 0.0))
-                            found[i + d][int(index.ids[item])] = (max(was[0], score), max(was[1], all_))
+                for d, item, score, begin, stop in index.search(h, first, threshold):
+                    q, a, all_ = index.overlap(item, h[begin:stop])
+                    if q >= QUESTION_OVERLAP and (a >= ANSWER_OVERLAP or all_ >= TOTAL_OVERLAP):
+                        was = found[i + d].get(int(index.ids[item]), (0.0, 0.0))
+                        found[i + d][int(index.ids[item])] = (max(was[0], score), max(was[1], all_))
+            before = [batch.column(r.name).to_pylist() for r in RESULT]
+            after = [(sorted({*items, *f}), max([score, *(x[0] for x in f.values())]),
+                      max([overlap, *(x[1] for x in f.values())])) for f, items, score, overlap in zip(found, *before)]
+            columns = list(zip(*after)) if after else [()] * 3
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([sorted(f) for f in found], pa.list_(pa.int64())),
-                 pa.array([max((x[0] for x in f.values()), default=0.0) for f in found], pa.float64()),
-                 pa.array([max((x[1] for x in f.values()), default=0.0) for f in found], pa.float64())],
-                names=[*batch.schema.names, "_d_items", "_d_score", "_d_overlap"])
-    extra = [T.StructField("_d_items", T.ArrayType(T.LongType())), T.StructField("_d_score", T.DoubleType()),
-             T.StructField("_d_overlap", T.DoubleType())]
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *extra]))
+                [*(batch.column(f.name) for f in kept),
+                 *(pa.array(c, k) for c, k in zip(columns, (pa.list_(pa.int64()), pa.float64(), pa.float64())))],
+                names=[*(f.name for f in kept), *(r.name for r in RESULT)])
+    return docs.mapInArrow(tidy(run), T.StructType([*kept, *RESULT])), shared
+
+
+def with_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
+               per_pass: int = ITEMS_PER_PASS, pass_bytes: int = PASS_BYTES) -> DataFrame:
+    """``docs`` with ``_d_items`` (ids of the items found, sorted), ``_d_score``
+    and ``_d_overlap`` (the largest of any verified item; 0 without)."""
+    out = docs.withColumns({"_d_items": F.array().cast("array<long>"), "_d_score": F.lit(0.0), "_d_overlap": F.lit(0.0)})
+    earlier = None
+    for index in index_passes(benchmark, per_pass, pass_bytes):
+        if earlier is not None:       # another pass: write what the last one found, release its index
+            out = written(out, "decontam-pass")
+            earlier.destroy()
+        out, earlier = _searched(out, index, threshold)
+    return out
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no item was found, with their own columns."""
-    return with_leaks(docs, benchmark).filter(F.size("_d_items") == 0).select(*docs.columns)
+    aside = {r.name: f"_aside{r.name}" for r in RESULT if r.name in docs.columns}
+    out = with_leaks(docs.withColumnsRenamed(aside), benchmark).filter(F.size("_d_items") == 0)
+    return out.select(*(F.col(aside.get(c, c)).alias(c) for c in docs.columns))
 
 
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:
