@@ -3,6 +3,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
 from tidemark.llm import packing
 
@@ -95,3 +96,26 @@ def test_nnls_fits_a_mixture_of_patterns():
     fit = sum(np.bincount(pattern[:, k], x, minlength=1025) for k in range(3))
     fit[0] = 0
     assert np.abs(fit - counts).max() < 0.01 * counts.max()
+
+
+@pytest.mark.parametrize("text", [" " * 2_000_000, "\t" * 2_000_000, "\n" * 2_000_000, "a" + " \n" * 500_000 + "b",
+                                  "q" * 1_000_000, "x <|endoftext|>" + " " * 1_500_000 + "<|endoftext|> y"])
+def test_long_runs_equal_the_tokenizers_library(text):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for added in (True, False):
+        library.encode_special_tokens = not added
+        ids = packing.Encoder(packing.default_vocabulary(), added)(text)
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_long_white_space_is_packed_whole(spark):
+    rows = [(1, "a" + " " * 1_200_000 + "b"), (2, "short"), (3, None)]
+    pieces = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), added=True).collect()
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for doc, text in rows:
+        n = len(library.encode(text or "", add_special_tokens=False).ids) + 1
+        assert sum(p.length for p in pieces if p.doc_id == doc) == n

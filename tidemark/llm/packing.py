@@ -14,6 +14,9 @@ The query and the pipeline encode as the tokenizers file does by default: a lite
 added token (<|endoftext|>) is its one id. ``pack`` alone takes it as plain text
 unless ``added`` is set.
 
+A text that the ranks' pattern can't split (very long runs of white space) is encoded
+by the tokenizers file itself, whole.
+
 Null and empty texts are the end id alone. Repeated rows are packed each. Ties
 go to the first pattern in order. Only doc_id and text are read.
 """
@@ -28,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .frames import numbered, table, written
+from .text import small_batches, tidy
 
 MAX_LEN = 1024
 END_ID = 2
@@ -57,15 +61,31 @@ def encoder(path: str, added: bool = False):
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
+class Encoder:
+    """text -> ids, as numpy array; the tokenizers file takes what the ranks' pattern can't split."""
+
+    def __init__(self, path: str, added: bool):
+        self.path, self.added, self.ranks, self.whole = path, added, encoder(path, added), None
+
+    def __call__(self, text: str) -> np.ndarray:
+        try:
+            return self.ranks.encode_to_numpy(text, allowed_special="all", disallowed_special=())
+        except ValueError:               # the pattern's backtracking has a limit
+            if self.whole is None:
+                from tokenizers import Tokenizer
+                self.whole = Tokenizer.from_file(self.path.removesuffix(".tiktoken") + ".json")
+                self.whole.encode_special_tokens = not self.added
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
+
+
 def _cutter(path: str, max_len: int, end_id: int, added: bool):
     def run(batches):
-        enc = encoder(path, added)
+        enc = Encoder(path, added)
         names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-        for batch in batches:
+        for batch in small_batches(batches):
             docs, rows = batch.column("doc_id").to_pylist(), []
             for doc, text in zip(docs, batch.column("text")):
-                ids = enc.encode_to_numpy(text.as_py() or "", allowed_special="all", disallowed_special=())
-                ids = np.append(ids, end_id).astype("<u4")
+                ids = np.append(enc(text.as_py() or ""), end_id).astype("<u4")
                 head = len(ids) % max_len
                 cuts = [*([0] if head else []), *range(head, len(ids) + 1, max_len)]
                 rows += [(doc, k, a, b - a, zlib.crc32(ids[a:b].tobytes()))
@@ -185,7 +205,7 @@ def pack(docs: DataFrame, max_len: int = MAX_LEN, end_id: int = END_ID, vocabula
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     spark = docs.sparkSession
     cut = docs.select("doc_id", "text").mapInArrow(
-        _cutter(vocabulary or default_vocabulary(), max_len, end_id, added),
+        tidy(_cutter(vocabulary or default_vocabulary(), max_len, end_id, added)),
         "doc_id long, piece int, start long, length long, ids_crc32 long")
     pieces = written(cut.withColumn("_pid", F.spark_partition_id()), "pack-pieces")
     histogram = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
