@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .frames import dropped, table, written
-from .text import Hasher, byte_classes, mix, owners, slices, text_buffers, tokens
+from .text import Hasher, byte_classes, mix, owners, slices, small_batches, text_buffers, tidy, tokens
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -48,6 +48,7 @@ BANDS, ROWS = 24, 4
 ROUNDS = 2
 BITMAP = 2048                  # bits
 STEP = np.uint64(0x9E3779B97F4A7C15)
+SLICE = 1 << 20                # bytes of text worked on at once
 
 
 def shingle_hashes(buf, off, hasher, classes, size: int = WORDS):
@@ -122,7 +123,7 @@ def document_bands(h, doc, times, n_docs: int, bands: int, rows: int):
 def _signer(bands: int, rows: int):
     def run(batches):
         hasher, classes = Hasher(), byte_classes(symbols=False)
-        for batch in batches:
+        for batch in small_batches(batches, limit=SLICE):
             buf, off = text_buffers(batch.column("text"), lower=True)
             out, count = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for i, j in slices(off):
@@ -142,7 +143,7 @@ def _signer(bands: int, rows: int):
 
 def _sets(batches):
     hasher, classes = Hasher(), byte_classes(symbols=False)
-    for batch in batches:
+    for batch in small_batches(batches, limit=SLICE):
         buf, off = text_buffers(batch.column("text"), lower=True)
         n, all_h, maps = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros((0, BITMAP // 64), np.int64)]
         for i, j in slices(off):
@@ -150,9 +151,10 @@ def _sets(batches):
             h, doc, _ = weighted_shingles(h, doc)
             all_h.append(h[np.argsort(doc, kind="stable")])
             n.append(np.bincount(doc, minlength=j - i))
-            bits = np.zeros((j - i, BITMAP), bool)
-            bits[doc, h % np.uint64(BITMAP)] = True
-            maps.append(np.packbits(bits, axis=1).view(np.int64))
+            bit = (h % np.uint64(BITMAP)).astype(np.int64)
+            own = np.zeros((j - i, BITMAP // 8), np.uint8)
+            np.bitwise_or.at(own.reshape(-1), doc * (BITMAP // 8) + (bit >> 3), np.uint8(128) >> (bit & 7).astype(np.uint8))
+            maps.append(own.view(np.int64))
         ends = np.concatenate([[0], np.cumsum(np.concatenate(n))]).astype(np.int32)
         maps = np.concatenate(maps)
         yield pa.RecordBatch.from_arrays(
@@ -244,7 +246,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
                     rows: int = ROWS, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, h1, h2, class_id, copies: the class is the smallest doc_id in it."""
     keyed = text_key(docs).filter("doc_id is not null")
-    signed = written(keyed.mapInArrow(_signer(bands, rows),
+    signed = written(keyed.mapInArrow(tidy(_signer(bands, rows)),
                                       "doc_id long, h1 long, h2 long, bands array<long>"), "near-signed")
     groups = written(signed.groupBy("h1", "h2").agg(
         F.min("doc_id").alias("node"), F.count("*").alias("copies"),
@@ -257,7 +259,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     wanted = groups.join(nodes, "node", "left_semi").select("h1", "h2", "node")
     chosen = keyed.join(wanted, (keyed.doc_id == wanted.node) & (keyed.h1 == wanted.h1)
                         & (keyed.h2 == wanted.h2)).select("node", "text")
-    sets = written(chosen.mapInArrow(_sets, "node long, shingles array<long>, bitmap array<long>"), "near-sets")
+    sets = written(chosen.mapInArrow(tidy(_sets), "node long, shingles array<long>, bitmap array<long>"), "near-sets")
 
     labels = nodes.select("node", F.col("node").alias("comp"))
     sizes = written(set_sizes(sets), "near-sizes")

@@ -35,7 +35,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from .frames import dropped, shuffle_width, table, written
 from .suffix_sort import earlier_windows, row_hash
-from .text import Hasher, mix, slices, text_buffers
+from .text import Hasher, mix, slices, small_batches, text_buffers, tidy
 
 SPAN = 50
 GRAM = 20
@@ -131,7 +131,7 @@ def anchors(buf: np.ndarray, off: np.ndarray, hasher: Hasher, gram: int = GRAM,
 def _anchor_blobs(buckets: int):
     def run(batches):
         hasher = Hasher()
-        for batch in batches:
+        for batch in small_batches(batches):
             buf, off = text_buffers(batch.column("text"))
             ids, crc = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "crc"))
             parts, held = [], 0
@@ -284,7 +284,7 @@ def _removed(rest_type: pa.DataType | None):
 
 def _bodies(batches):
     zip_ = zstandard.ZstdCompressor(level=1)
-    for batch in batches:
+    for batch in small_batches(batches):
         body = [zip_.compress((t or "").encode()) for t in batch.column("text").to_pylist()]
         rest = ["rest"] if "rest" in batch.schema.names else []
         yield pa.RecordBatch.from_arrays(
@@ -302,7 +302,7 @@ def remove_repeats(docs: DataFrame, rest: Column | None = None) -> DataFrame:
     keyed = docs.select("doc_id", "text", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("crc"),
                         *([rest.alias("rest")] if rest is not None else []))
     rest_kind = None if rest is None else keyed.schema["rest"].dataType
-    texts = keyed.drop("rest").mapInArrow(_bodies, KEYED)
+    texts = keyed.drop("rest").mapInArrow(tidy(_bodies), KEYED)
     known = keyed.drop("rest").filter("doc_id is not null")
 
     def by_bucket(df: DataFrame) -> DataFrame:
@@ -312,17 +312,17 @@ def remove_repeats(docs: DataFrame, rest: Column | None = None) -> DataFrame:
         return (rows.unionByName(texts, allowMissingColumns=True).repartition(parts, "doc_id", "crc")
                 .sortWithinPartitions("doc_id", "crc", "kind"))
     blob = "bucket int, blob binary"
-    shared = written(by_bucket(known.mapInArrow(_anchor_blobs(buckets), blob))
-                     .mapInArrow(_shared_anchors, KEYED), "suffix-anchors")
-    windows = written(by_bucket(with_texts(shared, texts).mapInArrow(_context_blobs(buckets), blob))
-                      .mapInArrow(_earlier, KEYED), "suffix-windows")
+    shared = written(by_bucket(known.mapInArrow(tidy(_anchor_blobs(buckets)), blob))
+                     .mapInArrow(tidy(_shared_anchors), KEYED), "suffix-anchors")
+    windows = written(by_bucket(with_texts(shared, texts).mapInArrow(tidy(_context_blobs(buckets)), blob))
+                      .mapInArrow(tidy(_earlier), KEYED), "suffix-windows")
     dropped(shared)
     result = "doc_id long, crc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     if rest is None:
-        return with_texts(windows, texts).mapInArrow(_removed(None), result)
-    whole = keyed.mapInArrow(_bodies, T.StructType([*T.StructType.fromDDL(KEYED).fields,
+        return with_texts(windows, texts).mapInArrow(tidy(_removed(None)), result)
+    whole = keyed.mapInArrow(tidy(_bodies), T.StructType([*T.StructType.fromDDL(KEYED).fields,
                                                     T.StructField("rest", rest_kind)]))
-    return with_texts(windows, whole).mapInArrow(_removed(to_arrow_type(rest_kind)), T.StructType([
+    return with_texts(windows, whole).mapInArrow(tidy(_removed(to_arrow_type(rest_kind))), T.StructType([
         *T.StructType.fromDDL(result).fields, T.StructField("kept", T.StringType()),
         T.StructField("rest", rest_kind)]))
 

@@ -7,6 +7,9 @@ any byte span follows in constant time.
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -49,8 +52,9 @@ class Hasher:
         if len(self.up) <= len(buf):
             self.up, self.down = powers(len(buf) + 1 + len(buf) // 4, self.base)
         h = np.zeros(len(buf) + 1, np.uint64)
-        np.cumsum(self.values[buf] * self.up[:len(buf)], out=h[1:])
-        return h
+        np.take(self.values, buf, out=h[1:])
+        h[1:] *= self.up[:len(buf)]
+        return np.cumsum(h, out=h)
 
     def spans(self, h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((h[end] - h[start]) * self.down[start])
@@ -90,6 +94,31 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES):
         i = min(j, n)
 
 
+def small_batches(batches, column: str = "text", limit: int = SLICE_BYTES):
+    """The record batches cut into parts of about ``limit`` bytes of text (one row at least),
+    so that what is worked on and what is sent on stay small however large a batch is."""
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        for i, j in slices(np.append(0, np.cumsum(size, dtype=np.int64)), limit):
+            yield batch.slice(i, j - i)
+
+
+def tidy(run):
+    """``run`` (batches -> batches) that gives the memory of its task back to the system: workers
+    are used again, and what they keep would add to the next stage's."""
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):          # no glibc
+                pass
+    return tidied
+
+
 def tokens(buf: np.ndarray, offsets: np.ndarray, classes: np.ndarray
            ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Maximal runs of one byte class, white space left out.
