@@ -1,0 +1,109 @@
+"""The type lattice against Spark's own inference, and every rule firing somewhere."""
+
+import itertools
+
+import duckdb
+import pytest
+from pyspark.sql import Observation
+from pyspark.sql import types as T
+
+from tidemark.checks import oracle
+from tidemark.operators import quality
+from tidemark.plans import rulesets
+from tidemark.sources.csv import found_types, infer_types, merged_type, read_csv, scan_cells
+
+from conftest import write_text
+
+SF = "/root/testdata/sf0.01"
+
+COLUMNS = {
+    "ints": ["1", "-2", "", "+3", "2147483647"],
+    "wide": ["1", "2147483648", "", "-9223372036854775808", "7"],
+    "huge": ["1", "9223372036854775808", "", "4", "5"],
+    "huger": ["1", "123456789012345678901234", "3000000000", "", "5"],
+    "doubles": ["1", "2.5", "", "1e3", "-0.1"],
+    "huge_doubles": ["1.5", "9223372036854775808", "", "1", "2"],
+    "dates": ["2020-01-31", "", "2021-12-01", "2021-12-02", "1999-01-01"],
+    "times": ["2020-01-31 10:11:12", "", "2021-12-01 00:00:00", "2020-01-31 10:11:12.5", "2020-01-31 10:11:12"],
+    "dates_and_times": ["2020-01-31", "2020-01-31 10:11:12", "", "", "2020-01-30"],
+    "booleans": ["true", "FALSE", "", "True", "false"],
+    "words": ["a", "b", "", "1", "true"],
+    "int_and_boolean": ["1", "true", "", "2", "3"],
+    "int_and_date": ["1", "2020-01-31", "", "2", "3"],
+    "double_and_time": ["1.5", "2020-01-31 10:11:12", "", "2", "3"],
+    "bad_date": ["2020-13-31", "2020-01-31", "", "2020-01-01", "2020-01-02"],
+    "empty": ["", "", "", "", ""],
+    "leading_zero": ["08", "009", "", "1", "2"],
+}
+
+
+def test_types_equal_spark_s_inference(spark, workdir):
+    path = write_text(f"{workdir.removeprefix('file:')}/t.csv", ",".join(COLUMNS),
+                      [",".join(row) for row in zip(*COLUMNS.values())])
+    want = spark.read.option("header", "true").option("inferSchema", "true").csv(path)
+    assert infer_types(scan_cells(spark, path)) == dict(want.dtypes)
+    got = read_csv(spark, path)
+    assert got.schema == want.schema
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_empty_files_are_text(spark, workdir):
+    path = write_text(f"{workdir.removeprefix('file:')}/t.csv", "a,b", [])
+    assert dict(read_csv(spark, path).dtypes) == {"a": "string", "b": "string"}
+
+
+def test_masks_merge_in_any_order():
+    kinds = [1 << k for k in range(9)]
+    for some in itertools.combinations(kinds, 3):
+        whole = {merged_type(a | b | c) for a, b, c in itertools.permutations(some)}
+        assert len(whole) == 1
+    assert merged_type(0) == "string" and merged_type(1) == "int"
+
+
+@pytest.mark.parametrize("cell, found", [("8x", "string"), ("3000000000", "bigint"), ("1.5", "double"),
+                                         ("9223372036854775808", "decimal(19,0)"), ("true", "string"), (" ", "string"),
+                                         ("2020-01-01", "string")])
+def test_a_declared_column_is_named_as_inference_would(spark, workdir, cell, found):
+    path = write_text(f"{workdir.removeprefix('file:')}/t.csv", "k,v", ["1,a", "2,b", f"{cell},c"])
+    seen = Observation()
+    df = read_csv(spark, path, T.StructType.fromDDL("k int, v string"), observation=seen)
+    assert sorted((r.k is None, r.k or 0, r.v) for r in df.collect()) == [(False, 1, "a"), (False, 2, "b"), (True, 0, "c")]
+    assert found_types(seen) == {"k": found}
+
+
+def test_all_cells_of_another_type(spark, workdir):
+    for cell, found in (("true", "boolean"), ("2020-01-01", "date"), ("2020-01-01 10:00:00", "timestamp")):
+        path = write_text(f"{workdir.removeprefix('file:')}/{found}.csv", "k", [cell, cell])
+        seen = Observation()
+        read_csv(spark, path, T.StructType.fromDDL("k int"), observation=seen).collect()
+        assert found_types(seen) == {"k": found}
+
+
+def test_dates_where_numbers_belong_are_reported(spark):
+    df = spark.sql("SELECT DATE'2020-01-01' AS aisle_id, TIMESTAMP'2020-01-01 00:00:00' AS aisle")
+    results = quality.collect_results(df, rulesets.aisles_rules())
+    assert [r.message for r in results if r.violations] == [
+        "Wrong data type for aisle_id: expected int, found date",
+        "Wrong data type for aisle: expected string, found timestamp"]
+
+
+def test_every_rule_of_every_table_fires_in_a_query():
+    con = duckdb.connect()
+    for t in ("orders", "lineitem", "part", "customer"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    fired = set()
+    for name, sql in oracle.oracle_sql().items():
+        if name.startswith("dq_"):
+            table = max((t for t in oracle.SPELLED if t.removesuffix("_prior") in name), key=len)
+            fired |= {(table, no) for (no,) in con.execute(f"SELECT rule_no FROM ({sql}) r WHERE violations > 0").fetchall()}
+    assert fired == {(t, no) for t, rules in oracle.SPELLED.items() for no in range(1, len(rules) + 1)}
+    assert len(fired) == 59
+
+
+def test_spelled_rules_are_those_of_the_library():
+    for table, make in rulesets.RULESETS.items():
+        spelled = [(kind, column) for kind, column, _, _ in oracle.SPELLED[table]]
+        assert spelled == [(r.kind, r.column) for r in make()]
+        for rule, (_, column, what, text) in zip(make(), oracle.SPELLED[table]):
+            text = text.replace("{c}", column).replace("{e}", what)
+            assert (rule.message(actual="{a}") if rule.kind == "type" else rule.template()) == text

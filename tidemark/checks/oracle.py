@@ -141,52 +141,117 @@ def star_sql(variant: str = "dirty", fact: str | None = None) -> str:
 
 
 # -- data quality ---------------------------------------------------------------------
-def _predicate(rule: Rule) -> str:
-    c = rule.columns[0]
-    if rule.kind == "not_null":
-        return f"{c} IS NULL"
-    if rule.kind == "range":
-        lo, hi = rule.params
-        return f"({c} < {lo} OR {c} > {hi})"
-    if rule.kind == "positive":
-        return f"{c} <= 0"
-    if rule.kind == "in_set":
-        return f"NOT ({c} IN ({', '.join(str(v) for v in rule.params)}))"
-    if rule.kind == "equals":
-        return f"{c} <> {_lit(rule.params[0])}"
-    if rule.kind == "not_blank":
-        return f"{c} IN ('', ' ')"
-    raise ValueError(rule.kind)
-
-
-def _message(rule: Rule, n: str) -> str:
-    head, _, tail = rule.template().partition("{n}")
+# The 59 rules in order, spelled out here once more so that a limit or a text
+# changed by mistake in the library shows. (kind, column, SQL of a violation or the type, text)
+_NULLS = "{c} contains {n} NULL values"
+_INVALID = "Found {n} invalid {c} values"
+_EMPTY = "Found {n} empty {c} values"
+_TWICE = "Found {n} duplicate {c} values"
+_TYPE = "Wrong data type for {c}: expected {e}, found {a}"
+
+SPELLED = {
+    "orders": [
+        ("type", "order_id", "int", _TYPE),
+        ("type", "user_id", "int", _TYPE),
+        ("type", "eval_set", "string", _TYPE),
+        ("type", "order_number", "int", _TYPE),
+        ("type", "order_dow", "int", _TYPE),
+        ("type", "order_hour_of_day", "int", _TYPE),
+        ("type", "days_since_prior_order", "double", _TYPE),
+        ("not_null", "order_id", "order_id IS NULL", _NULLS),
+        ("not_null", "user_id", "user_id IS NULL", _NULLS),
+        ("not_null", "eval_set", "eval_set IS NULL", _NULLS),
+        ("not_null", "order_number", "order_number IS NULL", _NULLS),
+        ("not_null", "order_dow", "order_dow IS NULL", _NULLS),
+        ("not_null", "order_hour_of_day", "order_hour_of_day IS NULL", _NULLS),
+        ("unique", "order_id", "order_id", _TWICE),
+        ("range", "order_dow", "order_dow < 0 OR order_dow > 6", _INVALID),
+        ("range", "order_hour_of_day", "order_hour_of_day < 0 OR order_hour_of_day > 23", _INVALID),
+        ("positive", "order_number", "order_number <= 0", _INVALID),
+        ("positive", "user_id", "user_id <= 0", _INVALID),
+        ("equals", "eval_set", "eval_set <> 'prior'", "Found {n} rows where eval_set is not 'prior'"),
+    ],
+    "order_products_prior": [
+        ("type", "order_id", "int", _TYPE),
+        ("type", "product_id", "int", _TYPE),
+        ("type", "add_to_cart_order", "int", _TYPE),
+        ("type", "reordered", "int", _TYPE),
+        ("not_null", "order_id", "order_id IS NULL", _NULLS),
+        ("not_null", "product_id", "product_id IS NULL", _NULLS),
+        ("not_null", "add_to_cart_order", "add_to_cart_order IS NULL", _NULLS),
+        ("not_null", "reordered", "reordered IS NULL", _NULLS),
+        ("unique", "order_id,product_id", "order_id, product_id",
+         "Found {n} duplicate order_id + product_id combinations"),
+        ("in_set", "reordered", "reordered <> 0 AND reordered <> 1", _INVALID),
+        ("positive", "add_to_cart_order", "add_to_cart_order <= 0", _INVALID),
+        ("positive", "order_id", "order_id <= 0", _INVALID),
+        ("positive", "product_id", "product_id <= 0", _INVALID),
+    ],
+    "products": [
+        ("type", "product_id", "int", _TYPE),
+        ("type", "product_name", "string", _TYPE),
+        ("type", "aisle_id", "int", _TYPE),
+        ("type", "department_id", "int", _TYPE),
+        ("not_null", "product_id", "product_id IS NULL", _NULLS),
+        ("not_null", "product_name", "product_name IS NULL", _NULLS),
+        ("not_null", "aisle_id", "aisle_id IS NULL", _NULLS),
+        ("not_null", "department_id", "department_id IS NULL", _NULLS),
+        ("unique", "product_id", "product_id", _TWICE),
+        ("positive", "product_id", "product_id <= 0", _INVALID),
+        ("positive", "aisle_id", "aisle_id <= 0", _INVALID),
+        ("positive", "department_id", "department_id <= 0", _INVALID),
+        ("not_blank", "product_name", "product_name = '' OR product_name = ' '", _EMPTY),
+    ],
+    "aisles": [
+        ("type", "aisle_id", "int", _TYPE),
+        ("type", "aisle", "string", _TYPE),
+        ("not_null", "aisle_id", "aisle_id IS NULL", _NULLS),
+        ("not_null", "aisle", "aisle IS NULL", _NULLS),
+        ("unique", "aisle_id", "aisle_id", _TWICE),
+        ("positive", "aisle_id", "aisle_id <= 0", _INVALID),
+        ("not_blank", "aisle", "aisle = '' OR aisle = ' '", _EMPTY),
+    ],
+    "departments": [
+        ("type", "department_id", "int", _TYPE),
+        ("type", "department", "string", _TYPE),
+        ("not_null", "department_id", "department_id IS NULL", _NULLS),
+        ("not_null", "department", "department IS NULL", _NULLS),
+        ("unique", "department_id", "department_id", _TWICE),
+        ("positive", "department_id", "department_id <= 0", _INVALID),
+        ("not_blank", "department", "department = '' OR department = ' '", _EMPTY),
+    ],
+}
+
+
+def _message(text: str, column: str, n: str) -> str:
+    head, _, tail = text.replace("{c}", column).partition("{n}")
     return f"CASE WHEN {n} > 0 THEN {_lit(head)} || CAST({n} AS VARCHAR) || {_lit(tail)} END"
 
 
-def dq_sql(source_sql: str, rules: list[Rule], found: dict[str, str | None] | None = None) -> str:
-    """``found`` names the types of columns that are not of the declared one; None: missing."""
+def dq_sql(source_sql: str, rules: str | list[Rule], found: dict[str, str | None] | None = None) -> str:
+    """The rules of a table (its name, or its rule set) over ``source_sql``. ``found`` names the
+    types of columns that are not of the declared one; None: missing."""
+    table = rules if isinstance(rules, str) else next(t for t, make in rulesets.RULESETS.items() if make() == rules)
     found = found or {}
     counted, ctes, selects = [], [], []
-    for no, rule in enumerate(rules, start=1):
-        head = f"SELECT CAST({no} AS INTEGER) AS rule_no, {_lit(rule.kind)} AS rule_kind, " \
-               f"{_lit(rule.column)} AS column_name, "
-        if rule.kind == "type" and rule.columns[0] in found:
-            text = rule.message(actual=found[rule.columns[0]])
+    for no, (kind, column, what, text) in enumerate(SPELLED[table], start=1):
+        head = f"SELECT CAST({no} AS INTEGER) AS rule_no, {_lit(kind)} AS rule_kind, " \
+               f"{_lit(column)} AS column_name, "
+        if kind == "type" and column in found:
+            text = text.replace("{c}", column).replace("{e}", what).replace("{a}", str(found[column]))
             selects.append(head + f"CAST(1 AS BIGINT) AS violations, {_lit(text)} AS message")
-        elif any(found.get(c, "") is None for c in rule.columns):
+        elif any(found.get(c, "") is None for c in column.split(",")):
             selects.append(head + "CAST(NULL AS BIGINT) AS violations, CAST(NULL AS VARCHAR) AS message")
-        elif rule.kind == "type":
+        elif kind == "type":
             selects.append(head + "CAST(0 AS BIGINT) AS violations, "
                                   "CAST(NULL AS VARCHAR) AS message")
-        elif rule.kind == "unique":
-            keys = ", ".join(rule.columns)
+        elif kind == "unique":
             ctes.append(f"u{no} AS (SELECT count(*) AS n FROM "
-                        f"(SELECT {keys} FROM t GROUP BY {keys} HAVING count(*) > 1) k)")
-            selects.append(head + f"n AS violations, {_message(rule, 'n')} AS message FROM u{no}")
+                        f"(SELECT {what} FROM t GROUP BY {what} HAVING count(*) > 1) k)")
+            selects.append(head + f"n AS violations, {_message(text, column, 'n')} AS message FROM u{no}")
         else:
-            counted.append(f"count(*) FILTER (WHERE {_predicate(rule)}) AS r{no}")
-            selects.append(head + f"r{no} AS violations, {_message(rule, f'r{no}')} AS message "
+            counted.append(f"count(*) FILTER (WHERE {what}) AS r{no}")
+            selects.append(head + f"r{no} AS violations, {_message(text, column, f'r{no}')} AS message "
                                   f"FROM c")
     with_parts = [f"t AS ({source_sql})", f"c AS (SELECT {', '.join(counted)} FROM t)", *ctes]
     return "WITH " + ",\n".join(with_parts) + "\n" + "\nUNION ALL ".join(selects)
@@ -204,7 +269,7 @@ def _dq(table: str, variant: str = "dirty", scope: str = "all") -> str:
         src = f"SELECT * FROM ({src}) s WHERE eval_set = 'prior'"
     if table == "orders" and scope == "new":
         src = f"SELECT * FROM ({src}) s WHERE order_id > {MARK}"
-    return dq_sql(src, rulesets.RULESETS[table]())
+    return dq_sql(src, table)
 
 
 def _dq_types_orders() -> str:
@@ -213,8 +278,20 @@ def _dq_types_orders() -> str:
         order_hour_of_day,
         CASE WHEN order_id % 61 = 0 THEN NULL ELSE days_since_prior_order END AS days_since_prior_order
       FROM ({orders_sql()}) o"""
-    return dq_sql(src, rulesets.orders_rules(), {"order_id": "string", "user_id": "bigint",
-                                                "days_since_prior_order": "string", "order_dow": None})
+    return dq_sql(src, "orders", {"order_id": "string", "user_id": "bigint",
+                                  "days_since_prior_order": "string", "order_dow": None})
+
+
+def _dq_inferred(table: str, columns: str, found: dict[str, str]) -> str:
+    """``columns``: what the value rules see of the rewritten columns (a value that does not cast
+    violates no value rule, so any harmless one stands for it)."""
+    return dq_sql(f"SELECT {columns} FROM ({TABLE_SQL[table]()}) s", table, found)
+
+
+def _late_lines() -> str:
+    return f"""SELECT order_id, CAST(order_id + 1000000 AS INTEGER) AS product_id,
+        CAST(1 AS INTEGER) AS add_to_cart_order, CAST(0 AS INTEGER) AS reordered
+      FROM ({orders_sql('clean')}) o WHERE order_id % 13 = 0 AND order_id <= {_final_mark()}"""
 
 
 # -- pipeline expectations ----------------------------------------------------------------
@@ -319,6 +396,22 @@ def oracle_sql() -> dict[str, str]:
         "dq_broken_aisles": _dq("aisles", "broken"),
         "dq_broken_departments": _dq("departments", "broken"),
         "dq_types_orders": _dq_types_orders(),
+        "dq_types_orders_inferred": _dq_inferred(
+            "orders", "order_id, 1 AS user_id, '1' AS eval_set, order_number, 1 AS order_dow, "
+            "1 AS order_hour_of_day, days_since_prior_order",
+            {"user_id": "date", "eval_set": "int", "order_number": "double", "order_dow": "boolean",
+             "order_hour_of_day": "timestamp"}),
+        "dq_types_order_products": _dq_inferred(
+            "order_products_prior", "1 AS order_id, product_id, 1 AS add_to_cart_order, reordered",
+            {"order_id": "date", "product_id": "double", "add_to_cart_order": "bigint", "reordered": "boolean"}),
+        "dq_types_products": _dq_inferred(
+            "products", "product_id + 1 AS product_id, 'name' AS product_name, aisle_id, 1 AS department_id",
+            {"product_id": "string", "product_name": "int", "aisle_id": "double", "department_id": "timestamp"}),
+        "dq_types_aisles": _dq_inferred("aisles", "1 AS aisle_id, 'name' AS aisle",
+                                        {"aisle_id": "boolean", "aisle": "int"}),
+        "dq_types_departments": _dq_inferred("departments", "department_id, 'name' AS department",
+                                             {"department_id": "double", "department": "date"}),
+        "late_lines": _late_lines(),
         "dq_clean_orders": _dq("orders", "clean", scope="prior"),
         "dq_clean_order_products": _dq("order_products_prior", "clean"),
         "dim_product": products_sql(),
@@ -331,8 +424,7 @@ def oracle_sql() -> dict[str, str]:
         "csv_products_quoted": _quoted_products(),
         "pipeline_fact": fact_sql("clean"),
         "pipeline_gate_failure": dq_sql(
-            f"SELECT * FROM ({orders_sql('clean')}) o WHERE order_id > {_first_mark()}",
-            rulesets.orders_rules()),
+            f"SELECT * FROM ({orders_sql('clean')}) o WHERE order_id > {_first_mark()}", "orders"),
         "pipeline_fact_increment": f"SELECT * FROM ({fact_sql('clean')}) f "
                                    f"WHERE order_id > {_first_mark()}",
         "pipeline_star": star_sql("clean"),

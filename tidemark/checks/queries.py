@@ -153,6 +153,30 @@ def dq_types_orders(spark, sf_dir):
     return quality.evaluate(df, rulesets.orders_rules(), found_types=found_types(seen))
 
 
+def _inferred(table: str, edits: dict[str, str]):
+    """A table read by the inferring reader, its columns rewritten (SQL) so that their types
+    are not the demanded ones."""
+    def run(spark, sf_dir):
+        path = fresh_dir(spark, "csv-inferred") + "/t.csv"
+        df = dt.TABLES[table](spark, sf_dir)
+        write_csv(df.selectExpr(*(f"{edits.get(c, c)} AS {c}" for c in df.columns)), path)
+        return quality.evaluate(read_csv(spark, path), rulesets.RULESETS[table]())
+    return run
+
+
+def late_lines(spark, sf_dir):
+    """Lines that arrive for orders the mark has passed (one for every 13th order), beside the
+    loaded ones and lines of orders above the mark."""
+    p = _pipeline(spark, sf_dir)
+    root = fresh_dir(spark, "late")
+    lines, k = dt.order_lines(spark, sf_dir, "clean"), F.col("order_id")
+    extra = (dt.orders(spark, sf_dir, "clean", sequence=False).filter(k % 13 == 0)
+             .select("order_id", (k + 1_000_000).alias("product_id"), F.lit(1).alias("add_to_cart_order"),
+                     F.lit(0).alias("reordered")))
+    write_csv(lines.unionByName(extra), registry.ORDER_PRODUCTS.path(root))
+    return Pipeline(spark, p.store, root, other_eval_set="skip").late_lines()
+
+
 # -- dimensions, star, preview ------------------------------------------------------
 def _dim(table: str):
     def run(spark, sf_dir):
@@ -337,6 +361,19 @@ QUERIES = {
     "dq_broken_aisles": _dq("aisles", "broken"),
     "dq_broken_departments": _dq("departments", "broken"),
     "dq_types_orders": dq_types_orders,
+    "dq_types_orders_inferred": _inferred("orders", {
+        "user_id": "'2020-01-01'", "eval_set": "'1'", "order_number": "order_number + 0.5",
+        "order_dow": "order_dow > 3", "order_hour_of_day": "concat('2020-01-01 ', order_hour_of_day, ':30:00')"}),
+    "dq_types_order_products": _inferred("order_products_prior", {
+        "order_id": "'2020-01-01'", "product_id": "product_id + 0.5",
+        "add_to_cart_order": "add_to_cart_order + 3000000000", "reordered": "reordered = 1"}),
+    "dq_types_products": _inferred("products", {
+        "product_id": "concat('P', product_id)", "product_name": "product_id", "aisle_id": "aisle_id + 0.5",
+        "department_id": "'2020-01-01 10:00:00'"}),
+    "dq_types_aisles": _inferred("aisles", {"aisle_id": "'true'", "aisle": "aisle_id"}),
+    "dq_types_departments": _inferred("departments", {
+        "department_id": "department_id + 0.25", "department": "'2021-05-06'"}),
+    "late_lines": late_lines,
     "dq_clean_orders": _dq("orders", "clean", scope="prior"),
     "dq_clean_order_products": _dq("order_products_prior", "clean"),
     "dim_product": _dim("products"),

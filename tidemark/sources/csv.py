@@ -2,12 +2,16 @@
 
 Columns are bound by header name. Every cell is read as text and cast with
 ``try_cast`` to the declared type; cells that are not empty but don't cast are
-*malformed*. Counts of malformed cells ride along with the first action over
-the frame (a Spark ``Observation``), so the gate can report them as type errors
+*malformed*. What kinds of cells a column holds rides along with the first action
+over the frame (a Spark ``Observation``), so the gate can report type errors
 without a pass of its own. Files of one source must share one header; Spark
 refuses the scan otherwise.
 
-The inferring reader leaves the types to Spark.
+Types are found by a lattice: each cell has the narrowest of the kinds int, bigint,
+decimal, double, date, timestamp, boolean and text, a column the union of its cells'
+kinds as a bit mask (one ``bit_or`` a column, merged in any order), and the mask says
+what type inference calls it. The inferring reader takes the masks of all columns in
+one aggregate over the text, then casts.
 """
 
 from __future__ import annotations
@@ -18,9 +22,30 @@ from pyspark.sql import types as T
 
 from .registry import SourceSpec
 
-# What inference would call a column that holds a malformed cell, by how far the
-# cell is from the declared type.
-_WIDER = {1: "bigint", 2: "double", 3: "string"}
+# Kinds of cells, one bit each; integers beyond bigint have a bit for each precision.
+INT, BIGINT, DOUBLE, DATE, TIMESTAMP, BOOLEAN, TEXT = (1 << k for k in range(7))
+_DECIMAL_FROM, _DECIMAL_BITS = 19, range(19, 39)
+
+
+def _decimal_bit(precision: int) -> int:
+    return 1 << (7 + precision - _DECIMAL_FROM)
+
+
+DECIMALS = sum(_decimal_bit(p) for p in _DECIMAL_BITS)
+# Kinds that a column of the type may hold.
+_FITS = {"int": INT, "bigint": INT | BIGINT, "double": INT | BIGINT | DECIMALS | DOUBLE, "date": DATE,
+         "timestamp": DATE | TIMESTAMP, "boolean": BOOLEAN}
+
+
+def merged_type(mask: int) -> str:
+    """What type inference calls a column whose cells are of these kinds."""
+    if mask & DECIMALS and not mask & ~(INT | BIGINT | DECIMALS):
+        digits = max(p for p in _DECIMAL_BITS if mask & _decimal_bit(p))
+        return f"decimal({max(digits, 20 if mask & BIGINT else 10)},0)"
+    for name in ("int", "bigint", "double", "date", "timestamp", "boolean"):
+        if mask and not mask & ~_FITS[name]:
+            return name
+    return "string"
 
 
 def scan_cells(spark: SparkSession, path: str | list[str], quoted: bool = False) -> DataFrame:
@@ -39,15 +64,25 @@ def _cell(cells: DataFrame, name: str) -> Column:
     return cells[f"`{name}`"]
 
 
-def _how_malformed(cell: Column, kind: T.DataType) -> Column:
-    """NULL for a cell of the type, else 1 (an integer too large), 2 (a number), 3 (neither)."""
-    bad = cell.isNotNull() & cell.try_cast(kind).isNull()
-    integral = isinstance(kind, T.IntegralType)
-    level = F.lit(3)
-    if integral:
-        level = (F.when(cell.try_cast("bigint").isNotNull(), 1)
-                 .when(cell.try_cast("double").isNotNull(), 2).otherwise(3))
-    return F.when(bad, level)
+def cell_kind(cell: Column) -> Column:
+    """The narrowest kind of a text cell as its bit; 0 for an empty cell."""
+    digits = F.length(F.regexp_replace(cell, "^[+-]?0*", ""))
+    return (F.when(cell.isNull(), 0)
+            .when(cell.try_cast("int").isNotNull(), INT)
+            .when(cell.try_cast("bigint").isNotNull(), BIGINT)
+            .when(cell.rlike("^[+-]?[0-9]+$") & digits.between(_DECIMAL_FROM, _DECIMAL_BITS[-1]),
+                  F.call_function("shiftleft", F.lit(1), F.lit(7 - _DECIMAL_FROM) + digits))
+            .when(cell.try_cast("double").isNotNull(), DOUBLE)
+            .when(cell.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & cell.try_cast("date").isNotNull(), DATE)
+            .when(cell.try_cast("timestamp").isNotNull(), TIMESTAMP)
+            .when(F.lower(cell).isin("true", "false"), BOOLEAN)
+            .otherwise(TEXT))
+
+
+def infer_types(cells: DataFrame) -> dict[str, str]:
+    """Column -> type of a frame of text cells, all columns in one aggregate."""
+    masks = cells.agg(*[F.bit_or(cell_kind(_cell(cells, c))).alias(str(k)) for k, c in enumerate(cells.columns)]).first()
+    return {c: merged_type(m or 0) for c, m in zip(cells.columns, masks)}
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
@@ -55,32 +90,35 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
              file_column: str | None = None) -> DataFrame:
     """The declared columns by name, cast; a column the header lacks is left out.
 
-    ``schema=None`` infers names and types. ``observation`` collects, per column,
-    the worst kind of malformed cell (see :func:`found_types`); ``file_column``
-    adds the file each row came from.
+    ``schema=None`` infers the types (see :func:`infer_types`). ``observation`` collects,
+    per column that is not text, the kinds of its cells (see :func:`found_types`);
+    ``file_column`` adds the file each row came from.
     """
-    if schema is None:
-        reader = spark.read.option("header", "true").option("inferSchema", "true")
-        if quoted:
-            reader = reader.option("quote", '"').option("escape", '"')
-        df = reader.csv(path)
-        return df if file_column is None else df.withColumn(file_column, F.col("_metadata.file_path"))
     cells = scan_cells(spark, path, quoted)
+    if schema is None:
+        schema = T.StructType([T.StructField(c, T.DataType.fromDDL(t)) for c, t in infer_types(cells).items()])
     if file_column is not None:
         cells = cells.withColumn(file_column, F.col("_metadata.file_path"))
     fields = [f for f in schema.fields if f.name in cells.columns]
-    if observation is not None and fields:
+    watched = [f for f in fields if not isinstance(f.dataType, T.StringType)]
+    if observation is not None and watched:
         cells = cells.observe(observation, *[
-            F.max(_how_malformed(_cell(cells, f.name), f.dataType)).alias(f.name) for f in fields])
+            F.bit_or(cell_kind(_cell(cells, f.name))).alias(f"{f.dataType.simpleString()} {f.name}") for f in watched])
     return cells.select(*[_cell(cells, f.name).try_cast(f.dataType).alias(f.name) for f in fields],
                         *([file_column] if file_column is not None else []))
 
 
 def found_types(observation: Observation) -> dict[str, str]:
-    """Column -> type that its malformed cells would give it; call it after an action."""
-    if observation._jo is None:          # no declared column in the header: nothing was observed
+    """Column -> type that its cells give it, where that is not the declared one's; call it
+    after an action."""
+    if observation._jo is None:          # no such column in the header: nothing was observed
         return {}
-    return {c: _WIDER[level] for c, level in observation.get.items() if level is not None}
+    found = {}
+    for label, mask in observation.get.items():
+        declared, name = label.split(" ", 1)
+        if (mask or 0) & ~_FITS[declared]:
+            found[name] = merged_type(mask)
+    return found
 
 
 def read_source(spark: SparkSession, spec: SourceSpec, raw_root: str, infer: bool = False,
