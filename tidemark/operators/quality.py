@@ -10,13 +10,16 @@
 
 The result has one row per rule, so collecting it for the gate moves a few
 dozen values to the driver regardless of table size.
+
+:class:`Watched` lets the row rules ride on a write: their counts are observed metrics
+of the pass that lands the rows, and the gate is left with the keys.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import job_label
@@ -60,8 +63,51 @@ def _entry_sql(no: int, rule: Rule, n: str, message: str) -> str:
 ROWS_RULE_NO = 0   # optional row-count entry of :func:`evaluate`
 
 
+def _typed(df: DataFrame, rules: list[Rule]):
+    """name -> SQL of the column, ``try_cast`` where it has not the type the rules demand."""
+    actual = dict(df.dtypes)
+    expected = {r.columns[0]: r.expected for r in rules if r.kind == "type"}
+
+    def value(name: str) -> str:
+        want = expected.get(name)
+        if actual.get(name) in ("date", "timestamp", "timestamp_ntz") and want not in (None, "string"):
+            return f"try_cast(CAST({quote(name)} AS STRING) AS {want})"      # no direct cast: NULL
+        if want is not None and actual.get(name) != want:
+            return f"try_cast({quote(name)} AS {want})"
+        return quote(name)
+    return value
+
+
+class Watched:
+    """Row rules counted while the rows are written, as observed metrics of that write.
+
+    ``where`` (SQL) limits the counts to the rows that the gate is about, ``extra`` adds
+    named aggregates. A column that is missing is not counted. Only rows of tasks that
+    succeeded count. Use one object for one action.
+    """
+
+    def __init__(self, rules: list[Rule], where: str | None = None, extra: dict[str, Column] | None = None):
+        self.rules, self.where, self.extra = rules, where, extra or {}
+        self.observation = Observation()
+
+    def over(self, df: DataFrame) -> DataFrame:
+        value, have = _typed(df, self.rules), set(df.columns)
+
+        def counted(predicate: str) -> str:
+            return f"count_if({predicate})" if self.where is None else f"count_if(({self.where}) AND ({predicate}))"
+        metrics = [F.expr(counted("TRUE")).alias("rows")]
+        metrics += [F.expr(counted(r.predicate_sql(value))).alias(f"rule_{no}")
+                    for no, r in enumerate(self.rules, start=1) if r.kind in ROW_KINDS and have.issuperset(r.columns)]
+        return df.observe(self.observation, *metrics, *[c.alias(n) for n, c in self.extra.items()])
+
+    @property
+    def counts(self) -> dict[str, int]:
+        """The metrics by name, after the action; None for an aggregate of no rows."""
+        return self.observation.get
+
+
 def evaluate(df: DataFrame, rules: list[Rule], count_rows: bool = False,
-             found_types: dict[str, str] | None = None) -> DataFrame:
+             found_types: dict[str, str] | None = None, counts: dict[str, int] | None = None) -> DataFrame:
     """Lazily planned results ``(rule_no, rule_kind, column_name, violations, message)``.
 
     ``rule_no`` is 1-based in rule order. Rules on a missing column are
@@ -70,26 +116,23 @@ def evaluate(df: DataFrame, rules: list[Rule], count_rows: bool = False,
     a malformed cell is NULL instead of an ANSI cast error. ``count_rows``
     adds a row ``(0, 'rows', '*', count(*), NULL)`` from the same aggregate.
     ``found_types`` names the types of columns whose raw cells did not all have
-    the declared one; these fail their type rule.
+    the declared one; these fail their type rule. ``counts`` are the row rules'
+    counts where a :class:`Watched` write has them already; ``df`` is then read
+    for its keys only.
 
     The row rules are assembled into ONE SQL aggregate expression (parsed
     once on the JVM), so plan building costs a handful of calls however
     many rules a table has.
     """
     actual = dict(df.dtypes)
-    expected = {r.columns[0]: r.expected for r in rules if r.kind == "type"}
-
-    def value(name: str) -> str:
-        want = expected.get(name)
-        if want is not None and actual.get(name) != want:
-            return f"try_cast({quote(name)} AS {want})"
-        return quote(name)
+    value = _typed(df, rules)
 
     entries: list[str] = []
     if count_rows:
+        n = "count(1)" if counts is None else f"{int(counts['rows'])}L"
         entries.append(f"named_struct('rule_no', CAST({ROWS_RULE_NO} AS INT), "
                        "'rule_kind', 'rows', 'column_name', '*', "
-                       "'violations', count(1), 'message', CAST(NULL AS STRING))")
+                       f"'violations', {n}, 'message', CAST(NULL AS STRING))")
     key_frames: list[DataFrame] = []
     for no, rule in enumerate(rules, start=1):
         present = all(c in actual for c in rule.columns)
@@ -101,7 +144,7 @@ def evaluate(df: DataFrame, rules: list[Rule], count_rows: bool = False,
         elif not present:
             entries.append(_entry_sql(no, rule, "NULL", "NULL"))
         elif rule.kind in ROW_KINDS:
-            n = f"count_if({rule.predicate_sql(value)})"
+            n = f"count_if({rule.predicate_sql(value)})" if counts is None else f"{int(counts[f'rule_{no}'])}L"
             entries.append(_entry_sql(no, rule, n, _message_sql(rule, n)))
         elif rule.kind == "unique":
             entry = _entry_sql(no, rule, "count(1)", _message_sql(rule, "count(1)"))
@@ -115,7 +158,8 @@ def evaluate(df: DataFrame, rules: list[Rule], count_rows: bool = False,
 
     out = None
     if entries:
-        out = df.agg(F.expr(f"array({', '.join(entries)})").alias("e")).select(F.inline("e"))
+        array = F.expr(f"array({', '.join(entries)})").alias("e")
+        out = (df.agg(array) if counts is None else df.sparkSession.range(1).select(array)).select(F.inline("e"))
     for frame in key_frames:
         out = frame if out is None else out.unionByName(frame)
     if out is None:
@@ -144,10 +188,12 @@ def collect_results(df: DataFrame, rules: list[Rule],
 
 
 def gate(df: DataFrame, rules: list[Rule], title: str,
-         incremental: bool = False, found_types: dict[str, str] | None = None) -> GateResults:
-    """Evaluate every rule at once; raise one :class:`QualityGateError` listing all failures."""
+         incremental: bool = False, found_types: dict[str, str] | None = None,
+         counts: dict[str, int] | None = None) -> GateResults:
+    """Evaluate every rule at once; raise one :class:`QualityGateError` listing all failures.
+    ``counts``: the row rules' counts, if a :class:`Watched` write has them."""
     with job_label(df.sparkSession, f"gate {title}"):
-        rows = evaluate(df, rules, count_rows=True, found_types=found_types).collect()
+        rows = evaluate(df, rules, count_rows=True, found_types=found_types, counts=counts).collect()
     everything = sorted((RuleResult(**r.asDict()) for r in rows), key=lambda r: r.rule_no)
     results = GateResults(r for r in everything if r.rule_no != ROWS_RULE_NO)
     results.rows = next((r.violations for r in everything if r.rule_no == ROWS_RULE_NO), None)

@@ -2,9 +2,11 @@
 
 The mark is a *batch* high-water mark on ``order_id`` (not an event-time
 watermark). The control table cannot be updated in place on plain parquet,
-so it is an append-only log ``(file_name, last_watermark, updated_at, seq)``;
+so it is an append-only log ``(file_name, last_watermark, updated_at, seq, epoch)``;
 the current mark of a file is its row with the largest ``seq``. Advancing
-writes the rows of all files in ONE append, which makes the move atomic.
+writes the rows of all files in ONE append, which makes the move atomic. The
+epoch says which partitions the mark speaks of: a forced reload is served from
+the append on that names its epoch.
 """
 
 from __future__ import annotations
@@ -88,17 +90,26 @@ class WatermarkLog:
         """Every control row ever written, with its ``seq`` (1 = first advance)."""
         return self._log()
 
-    def get(self, file_name: str, default: int = 0) -> int:
-        """Current mark of a file; a missing row means nothing was loaded yet."""
+    def current(self, file_name: str) -> tuple[int, int]:
+        """(epoch, mark) of a file; (0, 0) while nothing was loaded."""
+        if not self.store.exists(CONTROL_LAYER, CONTROL_TABLE):
+            return 0, 0
         with job_label(self.spark, "read mark"):
             row = (self._log().filter(F.col("file_name") == F.lit(file_name))
-                   .agg(F.max_by("last_watermark", "seq").alias("m")).first())
-        return default if row is None or row["m"] is None else int(row["m"])
+                   .agg(F.max_by(F.struct("epoch", "last_watermark"), "seq").alias("m")).first())
+        m = row["m"]
+        return (0, 0) if m is None else (int(m["epoch"] or 0), int(m["last_watermark"] or 0))
+
+    def get(self, file_name: str, default: int = 0) -> int:
+        """Current mark of a file; a missing row means nothing was loaded yet."""
+        return self.current(file_name)[1] or default
 
-    def advance(self, file_names: list[str], value: int) -> None:
-        """Set the mark of every file in one append (all or nothing)."""
+    def advance(self, file_names: list[str], value: int, epoch: int | None = None) -> None:
+        """Set the mark of every file in one append (all or nothing); the epoch stays
+        unless one is given."""
         # next seq as a scalar subquery of the same job (single writer assumed)
         seq = self._log().agg((F.coalesce(F.max("seq"), F.lit(0)) + 1).alias("s")).scalar()
+        same = self._log().agg(F.coalesce(F.max("epoch"), F.lit(0)).alias("e")).scalar()
         rows = F.array(*[F.struct(F.lit(f).alias("file_name"),
                                   F.lit(int(value)).cast("bigint").alias("last_watermark"))
                          for f in file_names])
@@ -106,7 +117,8 @@ class WatermarkLog:
             (self.spark.range(1).select(F.inline(rows))
              .select("file_name", "last_watermark",
                      F.current_timestamp().alias("updated_at"),
-                     seq.cast("bigint").alias("seq"))
+                     seq.cast("bigint").alias("seq"),
+                     (same if epoch is None else F.lit(int(epoch))).cast("bigint").alias("epoch"))
              .coalesce(1).write.format(self.store.fmt).mode("append")
              .save(self.store.path(CONTROL_LAYER, CONTROL_TABLE)))
 

@@ -1,14 +1,19 @@
 """The three loads and the run that picks between them.
 
-Every stage is a lazily built DataFrame; the actions are: one guard
-aggregate, one gate action per table (all rules at once), the writes and the
-mark. Only scalars and per-rule counts reach the driver; nothing is cached.
-Malformed raw cells are observed in the guard and in the landing writes and
-fail the gate's type rules before the mark moves.
+Every stage is a lazily built DataFrame; the actions are the writes, one
+group-by of the keys per gate, and the mark. **Each raw file is parsed once a
+run**: the raw orders are staged (typed, in a partition of their own), and on that
+same pass Spark observes malformed cells, the guard's count, the batch's upper bound
+and all row rules of the gate; the lines are observed while they land in Bronze.
+Everything later reads the staged or landed columns. Only scalars and per-rule counts
+reach the driver; nothing is cached. Malformed cells fail the gate's type rules
+before the mark moves.
 
 Batch protocol (transactional tables, see ``sinks.store``):
 
-* ``lo``  = the mark at the start of the run; the batch owns partition ``lo``;
+* ``lo``  = the mark at the start of the run; the batch owns partition ``lo`` of
+  the current epoch (a forced reload: partition 0 of the next epoch, which readers
+  see only when the mark's append names it);
 * ``hi``  = the largest prior ``order_id`` the batch brings (never below ``lo``);
 * orders  = raw orders with ``order_id > lo`` (the initial load takes all);
 * lines   = raw lines with ``lo < order_id <= hi`` - clamped at ``hi`` so a
@@ -38,11 +43,11 @@ from functools import partial
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
-from ..operators import gold, quality
-from ..operators.watermark import WatermarkLog, guard_frame, newer_than, within
-from ..session import job_label
+from ..operators import gold, late, quality
+from ..operators.watermark import WatermarkLog, newer_than, within
 from ..sinks.store import Lakehouse, empty_frame
 from ..sources import registry, schemas
 from ..sources.csv import found_types, read_csv, read_source
@@ -55,6 +60,9 @@ TRANSACTION_FILES = [registry.ORDERS.file_name, registry.ORDER_PRODUCTS.file_nam
 DIM_TABLES = {"products": "dim_product", "aisles": "dim_aisle", "departments": "dim_department"}
 TRANSACTION_TABLES = ("orders", "order_products_prior")
 FACT_TABLE = "fact_order_products"
+BATCH_TABLES = (("bronze", "orders"), ("bronze", "order_products_prior"), ("silver", "orders"),
+                ("silver", "order_products_prior"), ("gold", FACT_TABLE))
+STAGING = "staging"
 FILE_COLUMN = "_raw_file"
 GLOB_CHARACTERS = "*?[]{}\\"
 
@@ -90,6 +98,25 @@ def run_all(*tasks: Callable[[], Any]) -> list[Any]:
     return [r for r, _ in outcomes]
 
 
+@dataclass(frozen=True)
+class Batch:
+    """The partition that a run owns, and how it is written."""
+    epoch: int
+    lo: int
+    initial: bool                    # takes all history, not only rows above ``lo``
+    reload: bool = False             # a forced initial load, into an epoch of its own
+
+
+@dataclass
+class Staged:
+    """The raw orders of a run, parsed once, and what that pass observed."""
+    rows: DataFrame                  # stored, typed; with the raw file's name under the manifest
+    counts: dict[str, int]           # rows the gate is about, violations by rule
+    found: dict[str, str]            # types of the columns with malformed cells
+    new: int                         # rows above the mark that decide NO_NEW_DATA
+    top: int | None                  # largest prior order id
+
+
 @dataclass
 class LoadResult:
     status: str                      # SUCCESS | NO_NEW_DATA
@@ -167,10 +194,10 @@ class Pipeline:
                       file_column=FILE_COLUMN)
         return df, files, (len(paths), skipped)
 
-    def _record(self, spec: registry.SourceSpec, lo: int, files: DataFrame | None, raw: DataFrame) -> None:
-        """Files read and their largest keys, for the manifest."""
-        if files is not None:
-            bounds = (newer_than(raw, "order_id", lo).groupBy(F.col(FILE_COLUMN).alias("path"))
+    def _record(self, spec: registry.SourceSpec, lo: int, files: DataFrame | None, staged: DataFrame | None) -> None:
+        """Files read and their largest keys (of the staged rows), for the manifest."""
+        if files is not None and staged is not None:
+            bounds = (newer_than(staged, "order_id", lo).groupBy(F.col(FILE_COLUMN).alias("path"))
                       .agg(F.max("order_id").alias("bound")))
             self.manifest.record(spec.file_name, lo, files, bounds)
 
@@ -201,12 +228,31 @@ class Pipeline:
             return "bronze"
         return layer
 
-    def _read(self, layer: str, table: str, schema, batch: int) -> DataFrame:
+    def _read(self, layer: str, table: str, schema, batch: Batch) -> DataFrame:
         # With inferred raw types Bronze holds whatever the files gave; read it
         # as stored so the gate's type rules see the real types.
         if self.infer_schema and layer == "bronze":
             schema = None
-        return self.store.read(layer, table, schema=schema, batch=batch)
+        return self.store.read(layer, table, schema=schema, batch=batch.lo, epoch=batch.epoch)
+
+    def _put(self, df: DataFrame, layer: str, table: str, schema, batch: Batch) -> None:
+        """Write a run's rows of a table: a first load replaces the table, a reload lands in
+        its own epoch, an increment in its own partition."""
+        if batch.reload:
+            self.store.write_batch(df, layer, table, batch.lo, epoch=batch.epoch, conformed=False)
+        elif batch.initial:
+            self.store.replace(df, layer, table, batch.lo, batch.epoch)
+        else:
+            self.store.write_batch(df, layer, table, batch.lo, schema, batch.epoch)
+
+    def _stage(self, df: DataFrame, table: str, batch: Batch) -> DataFrame:
+        """``df`` stored for this run only, as parsed."""
+        self.store.replace(df, STAGING, table, batch.lo, batch.epoch)
+        return self.store.read(STAGING, table, schema=df.schema, batch=batch.lo, epoch=batch.epoch)
+
+    def _unstage(self) -> None:
+        for table in TRANSACTION_TABLES:
+            self.store.drop_table(STAGING, table)
 
     # -- loads -------------------------------------------------------------------
     def reference_load(self) -> LoadResult:
@@ -243,153 +289,151 @@ class Pipeline:
         self.store.replace(self._raw(spec, seen), "bronze", spec.table)
         return self._found(seen)
 
-    def _gate_orders(self, df: DataFrame, incremental: bool, found: dict[str, str] | None = None):
+    def _gate_orders(self, df: DataFrame, incremental: bool, found: dict[str, str] | None = None,
+                     counts: dict[str, int] | None = None):
         return quality.gate(df, rulesets.orders_rules(), rulesets.TITLES["orders"],
-                            incremental=incremental, found_types=found)
+                            incremental=incremental, found_types=found, counts=counts)
 
-    def _gate_lines(self, df: DataFrame, incremental: bool, found: dict[str, str] | None = None):
+    def _gate_lines(self, df: DataFrame, incremental: bool, found: dict[str, str] | None = None,
+                    counts: dict[str, int] | None = None):
         return quality.gate(df, rulesets.order_products_rules(),
                             rulesets.TITLES["order_products_prior"], incremental=incremental,
-                            found_types=found)
+                            found_types=found, counts=counts)
 
     def initial_load(self, force: bool = False) -> LoadResult:
         """Full history into all three layers; the mark moves to the largest prior id.
 
-        Over committed data (a mark above 0 and loaded orders) it is refused, since a
-        failure half-way would leave less than was there; ``force`` moves the mark
-        back to 0 first, so that the rebuild starts like a first load.
+        Over committed data (a mark above 0 and loaded orders) it is refused unless
+        ``force`` is set. A forced load is written into an epoch of its own: what was
+        committed is served until the new mark names that epoch, and stays if the load
+        fails. The replaced partitions are deleted by the next load that succeeds.
         """
-        lo = self.marks.get(registry.ORDERS.file_name)
+        epoch, lo = self.marks.current(registry.ORDERS.file_name)
         if force and lo > 0:
-            self.marks.reset(TRANSACTION_FILES)
-            lo = 0
-        seen, lines_seen = Observation(), Observation()
-        raw_orders, order_files, _ = self._incremental_source(registry.ORDERS, lo, seen)
-        self._check_key(raw_orders, self._gate_orders, False)
-        n_new, hi = self._guard(raw_orders, lo)
-        found = self._found(seen)
-        if found:
-            self._gate_orders(self._prior(raw_orders).drop(FILE_COLUMN), False, found)
-        if n_new == 0 or hi is None:
-            return LoadResult(NO_NEW_DATA, "initial", lo=lo, hi=lo, new_orders=n_new)
-        if lo > 0 and not self.store.is_empty("bronze", "orders"):
+            return self._load(Batch(epoch + 1, 0, initial=True, reload=True))
+        return self._load(Batch(epoch, lo, initial=True))
+
+    def incremental_load(self) -> LoadResult:
+        """Only orders above the mark (and their lines) are loaded; results appended."""
+        epoch, lo = self.marks.current(registry.ORDERS.file_name)
+        return self._load(Batch(epoch, lo, initial=False))
+
+    def _load(self, batch: Batch) -> LoadResult:
+        lo, mode = batch.lo, "initial" if batch.initial else "incremental"
+        seen = Observation()
+        raw, order_files, order_counts = self._incremental_source(registry.ORDERS, lo, seen)
+        files = {registry.ORDERS.file_name: order_counts}
+        if order_counts[1] and not order_counts[0] and not batch.initial:
+            return LoadResult(NO_NEW_DATA, mode, lo=lo, hi=lo, new_orders=0, raw_files=files)
+        self._check_key(raw, self._gate_orders, not batch.initial)
+        orders = self._stage_orders(raw, batch, seen)
+        gated = self._gated_rows(orders.rows, batch)
+        gate_orders = partial(self._gate_orders, gated.drop(FILE_COLUMN), not batch.initial, orders.found, orders.counts)
+        if orders.found:              # also rows whose key does not parse, which no batch would hold
+            gate_orders()
+        if orders.new == 0 or batch.initial and orders.top is None:
+            self._unstage()
+            return LoadResult(NO_NEW_DATA, mode, lo=lo, hi=lo, new_orders=orders.new, raw_files=files)
+        if batch.initial and lo > 0 and not self.store.is_empty("bronze", "orders", batch.epoch):
             raise RuntimeError(f"orders up to {lo} are loaded: run an incremental load, "
                                "or force the initial load to rebuild everything")
-        raw_lines = self._raw(registry.ORDER_PRODUCTS, lines_seen)
-        self._check_key(raw_lines, self._gate_lines, False)
-        run_all(partial(self.store.replace, self._prior(raw_orders).drop(FILE_COLUMN), "bronze", "orders", lo),
-                partial(self.store.replace, within(raw_lines, "order_id", None, hi),
-                        "bronze", "order_products_prior", lo))
-        found_lines = self._found(lines_seen)
-
-        bronze_orders = self._read("bronze", "orders", schemas.ORDERS, lo)
-        bronze_lines = self._read("bronze", "order_products_prior", schemas.ORDER_PRODUCTS, lo)
-        (orders_ok, orders_err), (lines_ok, lines_err) = concurrently(
-            partial(self._gate_orders, bronze_orders, False),
-            partial(self._gate_lines, bronze_lines, False, found_lines))
-        if orders_err is not None:
-            raise orders_err
-        checks = {"orders": orders_ok}
-        promote = [partial(self.store.replace, bronze_orders, "silver", "orders", lo)]
+        hi = lo if orders.top is None else max(lo, int(orders.top))
+
+        # The lines land while the orders are gated. In an incremental run the orders land
+        # after their gate, so that a batch of wrong types is reported by the gate, not
+        # refused by the append; an initial load fills Bronze first, as a fresh copy of raw.
+        land_orders = partial(self._put, self._prior(orders.rows).drop(FILE_COLUMN), "bronze", "orders",
+                              schemas.ORDERS, batch)
+        land_lines = partial(self._land_lines, batch, hi, files)
+        if batch.initial:
+            (_, orders_land), (lines, lines_land), (orders_ok, orders_err) = concurrently(
+                land_orders, land_lines, gate_orders)
+        else:
+            (lines, lines_land), (orders_ok, orders_err) = concurrently(land_lines, gate_orders)
+            orders_land = None
+        for error in (orders_land, lines_land, orders_err) if batch.initial else (orders_err, lines_land):
+            if error is not None:
+                raise error
+        line_files, staged_lines, found_lines, line_counts = lines
+        bronze_lines = self._read("bronze", "order_products_prior", schemas.ORDER_PRODUCTS, batch)
+        gate_lines = partial(self._gate_lines, bronze_lines, not batch.initial, found_lines, line_counts)
+        if batch.initial:
+            (lines_ok, lines_err), = concurrently(gate_lines)
+        else:
+            (_, orders_land), (lines_ok, lines_err) = concurrently(land_orders, gate_lines)
+            if orders_land is not None:
+                raise orders_land
+        bronze_orders = self._read("bronze", "orders", schemas.ORDERS, batch)
+        promote = [partial(self._put, bronze_orders, "silver", "orders", schemas.ORDERS, batch)]
         if lines_err is not None:
             run_all(*(promote if self.silver_copy else []))
             raise lines_err
-        checks["order_products_prior"] = lines_ok
-        promote.append(partial(self.store.replace, bronze_lines, "silver",
-                               "order_products_prior", lo))
+        promote.append(partial(self._put, bronze_lines, "silver", "order_products_prior",
+                               schemas.ORDER_PRODUCTS, batch))
         # Silver is an identity copy of the gated Bronze batch, so the fact is
         # built from the same frames while Silver is written.
         fact = self._fact(bronze_lines, bronze_orders)
         run_all(*(promote if self.silver_copy else []),
-                partial(self.store.replace, fact, "gold", FACT_TABLE, lo))
-
-        # lines are not recorded: that would take a second pass over all of them
-        self._record(registry.ORDERS, lo, order_files, raw_orders)
-        self.marks.advance(TRANSACTION_FILES, hi)
-        return LoadResult(SUCCESS, "initial", lo=lo, hi=hi, new_orders=n_new, quality=checks)
-
-    def incremental_load(self) -> LoadResult:
-        """Only orders above the mark (and their lines) are loaded; results appended."""
-        lo = self.marks.get(registry.ORDERS.file_name)
-        seen, lines_seen = Observation(), Observation()
-        raw_orders, order_files, order_counts = self._incremental_source(registry.ORDERS, lo, seen)
-        counts = {registry.ORDERS.file_name: order_counts}
-        self._check_key(raw_orders, self._gate_orders, True)
-        raw_batch = newer_than(raw_orders, "order_id", lo)
-        batch = raw_batch if self.other_eval_set == "fail" else self._prior(raw_batch)
-        if order_counts[1] and not order_counts[0]:
-            return LoadResult(NO_NEW_DATA, "incremental", lo=lo, hi=lo, new_orders=0, raw_files=counts)
-        n_new, batch_hi = self._guard(raw_orders, lo)
-        found = self._found(seen)
-        if found:                     # also rows whose key does not parse, which no batch would hold
-            self._gate_orders(batch.drop(FILE_COLUMN), True, found)
-        if n_new == 0:
-            return LoadResult(NO_NEW_DATA, "incremental", lo=lo, hi=lo, new_orders=0, raw_files=counts)
-        hi = lo if batch_hi is None else max(lo, int(batch_hi))
-
-        # The orders gate sees the raw batch (all eval_sets in "fail" mode)
-        # and runs before the batch lands, so a batch of the wrong types is
-        # reported by the gate rather than refused by the append. The lines
-        # land meanwhile; they are gated from their Bronze partition.
-        raw_lines, line_files, line_counts = self._incremental_source(
-            registry.ORDER_PRODUCTS, lo, lines_seen)
-        counts[registry.ORDER_PRODUCTS.file_name] = line_counts
-        self._check_key(raw_lines, self._gate_lines, True)
-        lines = within(raw_lines, "order_id", lo, hi).drop(FILE_COLUMN)
-        (orders_ok, orders_err), (_, land_err) = concurrently(
-            partial(self._gate_orders, batch.drop(FILE_COLUMN), True),
-            partial(self.store.write_batch, lines, "bronze", "order_products_prior", lo,
-                    schemas.ORDER_PRODUCTS))
-        if orders_err is not None:
-            raise orders_err
-        if land_err is not None:
-            raise land_err
-        found_lines = {} if line_counts[1] and not line_counts[0] else self._found(lines_seen)
-        checks = {"orders": orders_ok}
-
-        bronze_lines = self._read("bronze", "order_products_prior", schemas.ORDER_PRODUCTS, lo)
-        (_, land_err), (lines_ok, lines_err) = concurrently(
-            partial(self.store.write_batch, self._prior(batch).drop(FILE_COLUMN), "bronze",
-                    "orders", lo, schemas.ORDERS),
-            partial(self._gate_lines, bronze_lines, True, found_lines))
-        if land_err is not None:
-            raise land_err
-        bronze_orders = self._read("bronze", "orders", schemas.ORDERS, lo)
-        promote = [partial(self.store.write_batch, bronze_orders, "silver", "orders",
-                           lo, schemas.ORDERS)]
-        if lines_err is not None:
-            run_all(*(promote if self.silver_copy else []))
-            raise lines_err
-        checks["order_products_prior"] = lines_ok
-        promote.append(partial(self.store.write_batch, bronze_lines, "silver",
-                               "order_products_prior", lo, schemas.ORDER_PRODUCTS))
-        fact = self._fact(bronze_lines, bronze_orders)
-        run_all(*(promote if self.silver_copy else []),
-                partial(self.store.write_batch, fact, "gold", FACT_TABLE, lo,
-                        _fact_schema()))
-
-        self._record(registry.ORDERS, lo, order_files, raw_orders)
-        self._record(registry.ORDER_PRODUCTS, lo, line_files, raw_lines)
-        self.marks.advance(TRANSACTION_FILES, hi)
-        return LoadResult(SUCCESS, "incremental", lo=lo, hi=hi, new_orders=n_new, quality=checks,
-                          raw_files=counts)
-
-    def _guard(self, raw_orders: DataFrame, lo: int) -> tuple[int, int | None]:
-        """New rows (prior ones only in "skip" mode) and the largest prior id."""
-        is_prior = F.col("eval_set") == F.lit(rulesets.PRIOR)
-        with job_label(self.spark, "guard orders"):
-            r = guard_frame(raw_orders, "order_id", lo, hi_where=is_prior,
-                            new_where=is_prior if self.other_eval_set == "skip" else None).first()
-        return int(r["new_rows"]), r["batch_hi"]
+                partial(self._put, fact, "gold", FACT_TABLE, _fact_schema(), batch))
+
+        self._record(registry.ORDERS, lo, order_files, orders.rows)
+        self._record(registry.ORDER_PRODUCTS, lo, line_files, staged_lines)
+        self.marks.advance(TRANSACTION_FILES, hi, batch.epoch)
+        self._unstage()
+        if not batch.reload:          # readers of a replaced epoch had until now
+            for layer, table in BATCH_TABLES:
+                self.store.drop_epochs_before(layer, table, batch.epoch)
+        return LoadResult(SUCCESS, mode, lo=lo, hi=hi, new_orders=orders.new, raw_files=files,
+                          quality={"orders": orders_ok, "order_products_prior": lines_ok})
+
+    def _gated_rows(self, orders: DataFrame, batch: Batch) -> DataFrame:
+        """What the orders gate is about: prior orders, or in "fail" mode the whole increment."""
+        return orders if self.other_eval_set == "fail" and not batch.initial else self._prior(orders)
+
+    def _stage_orders(self, raw: DataFrame, batch: Batch, seen: Observation) -> Staged:
+        """Parse the raw orders, once, into the staging partition; guard and row rules are
+        observed on the way."""
+        rows = raw if batch.initial else newer_than(raw, "order_id", batch.lo)
+        prior = f"eval_set = '{rulesets.PRIOR}'"
+        new = F.col("order_id") > F.lit(batch.lo)
+        watched = quality.Watched(
+            rulesets.orders_rules(),
+            where=prior if batch.initial or self.other_eval_set == "skip" else None,
+            extra={"new_rows": F.count_if(new & F.expr(prior) if self.other_eval_set == "skip" else new),
+                   "top": F.max(F.when(F.expr(prior), F.col("order_id")))})
+        staged = self._stage(watched.over(rows), "orders", batch)
+        counts = watched.counts
+        return Staged(staged, counts, self._found(seen), int(counts["new_rows"]), counts["top"])
+
+    def _land_lines(self, batch: Batch, hi: int, files: dict[str, tuple[int, int]]
+                    ) -> tuple[DataFrame | None, DataFrame | None, dict[str, str], dict[str, int]]:
+        """Parse the raw lines, once, and land the batch's in Bronze; returns the files read and
+        their staged rows (under the manifest), malformed columns and the row rules' counts."""
+        seen = Observation()
+        # an initial load does not skip files and records none
+        raw, line_files, counts = ((self._raw(registry.ORDER_PRODUCTS, seen), None, (0, 0)) if batch.initial
+                                   else self._incremental_source(registry.ORDER_PRODUCTS, batch.lo, seen))
+        if not batch.initial:
+            files[registry.ORDER_PRODUCTS.file_name] = counts
+        self._check_key(raw, self._gate_lines, not batch.initial)
+        staged = None
+        if line_files is not None:    # the manifest wants the keys above ``hi`` too
+            staged = raw = self._stage(newer_than(raw, "order_id", batch.lo), "order_products_prior", batch)
+        watched = quality.Watched(rulesets.order_products_rules())
+        lines = within(raw, "order_id", None if batch.initial else batch.lo, hi).drop(FILE_COLUMN)
+        self._put(watched.over(lines), "bronze", "order_products_prior", schemas.ORDER_PRODUCTS, batch)
+        nothing_read = counts[1] and not counts[0]
+        return line_files, staged, {} if nothing_read else self._found(seen), watched.counts
 
     # -- orchestration -------------------------------------------------------------
     def bronze_row_count(self) -> int:
-        """Rows in bronze.orders (all batches, committed or not); 0 if absent."""
-        return self.store.row_count("bronze", "orders")
+        """Rows in bronze.orders (all batches of the epoch, committed or not); 0 if absent."""
+        return self.store.row_count("bronze", "orders", self.marks.current(registry.ORDERS.file_name)[0])
 
     def choose_mode(self) -> str:
         """Initial load while bronze.orders is empty, else incremental (needs one row, not a count)."""
-        return "initial" if self.store.is_empty("bronze", "orders") else "incremental"
+        epoch = self.marks.current(registry.ORDERS.file_name)[0]
+        return "initial" if self.store.is_empty("bronze", "orders", epoch) else "incremental"
 
     @staticmethod
     def mode_for(bronze_rows: Column) -> Column:
@@ -409,9 +453,9 @@ class Pipeline:
     # -- serving -------------------------------------------------------------------
     def committed(self, layer: str, table: str, schema) -> DataFrame:
         """A transactional table without rows of unfinished batches."""
-        mark = self.marks.get(registry.ORDERS.file_name)
+        epoch, mark = self.marks.current(registry.ORDERS.file_name)
         return self.store.read(self._stored_layer(layer, table), table, schema=schema,
-                               committed_below=mark)
+                               committed_below=mark, epoch=epoch)
 
     def fact(self) -> DataFrame:
         fact_schema = _fact_schema()
@@ -432,14 +476,13 @@ class Pipeline:
         """Raw lines at or below the mark that never reached Silver.
 
         A line arriving after the mark passed its order is never selected
-        again; this opt-in report (a left-anti join over the whole history,
-        so it shuffles both sides) makes such rows visible.
+        again; this opt-in report makes such rows visible (``operators.late``: orders
+        whose lines all arrived are ruled out before anything is joined by line).
         """
         mark = self.marks.get(registry.ORDERS.file_name)
         raw = self._raw(registry.ORDER_PRODUCTS).filter(F.col("order_id") <= F.lit(mark))
         silver = self.committed("silver", "order_products_prior", schemas.ORDER_PRODUCTS)
-        return raw.join(silver.select("order_id", "product_id"),
-                        ["order_id", "product_id"], "left_anti")
+        return late.missing_rows(raw, silver, "order_id", "product_id")
 
     def orphans(self) -> DataFrame:
         """Committed Silver lines the fact dropped, per reason (see ``gold.orphan_lines``)."""
@@ -456,7 +499,7 @@ class Pipeline:
         show committed batches only. Re-run after a load to move the views to
         the new mark.
         """
-        mark = self.marks.get(registry.ORDERS.file_name)
+        epoch, mark = self.marks.current(registry.ORDERS.file_name)
         names = []
         for layer in ("bronze", "silver", "gold", "control"):
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} "
@@ -474,7 +517,8 @@ class Pipeline:
                 continue
             cols = ", ".join(f"`{f.name}`" for f in schema.fields)
             src = f"{self.store.fmt}.`{self.store.path(stored, table)}`"
-            where = f" WHERE {schemas.BATCH_COLUMN} < {int(mark)}" if batched else ""
+            where = (f" WHERE {schemas.EPOCH_COLUMN} = {epoch} AND {schemas.BATCH_COLUMN} < {mark}"
+                     if batched else "")
             self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.{table} AS "
                            f"SELECT {cols} FROM {src}{where}")
             names.append(f"{layer}.{table}")
@@ -513,7 +557,6 @@ class Pipeline:
 
 
 def _fact_schema():
-    from pyspark.sql import types as T
     by_name = {f.name: f for s in (schemas.ORDERS, schemas.ORDER_PRODUCTS, schemas.PRODUCTS)
                for f in s.fields}
     return T.StructType([by_name[c] for c in schemas.FACT_COLUMNS])

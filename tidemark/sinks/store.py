@@ -3,14 +3,18 @@
 Layout: ``<root>/<layer>/<table>/`` parquet folders (``format`` may be any
 file source Spark has, e.g. ``delta`` when installed).
 
-Transactional tables are partitioned by ``load_lo`` - the high-water mark a
-batch started at. A batch owns exactly one partition, so
+Transactional tables are partitioned by ``load_epoch`` (how often the history was
+reloaded from scratch) and ``load_lo`` (the high-water mark a batch started at). A
+batch owns exactly one partition, so
 
 * a retry of a failed batch starts at the same mark and *replaces* its own
   partition (dynamic partition overwrite) - no duplicates after a failure;
-* a batch is committed iff ``load_lo < current mark`` (the mark moves past
-  ``load_lo`` only after every layer was written), so readers can hide a
-  half-finished batch with a partition filter that prunes at planning time;
+* a batch is committed iff its epoch is the control log's and ``load_lo < current
+  mark`` (the mark moves past ``load_lo`` only after every layer was written), so
+  readers can hide a half-finished batch with a partition filter that prunes at
+  planning time;
+* a forced reload writes into the next epoch: readers keep the old one until the
+  control log names the new, in the same append that sets its mark;
 * reading "the new batch" is a partition read, not a scan of the table.
 
 Reference tables are small full refreshes and are not partitioned.
@@ -24,7 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..session import job_label
-from ..sources.schemas import BATCH_COLUMN
+from ..sources.schemas import BATCH_COLUMN, EPOCH_COLUMN
 
 
 class SchemaMismatchError(ValueError):
@@ -101,28 +105,50 @@ class Lakehouse:
         fs, p = self._fs(self.path(layer, table))
         return bool(fs.exists(p))
 
-    def drop_batch(self, layer: str, table: str, load_lo: int) -> None:
-        """Delete one batch partition (an empty retry must not leave stale rows)."""
-        fs, p = self._fs(f"{self.path(layer, table)}/{BATCH_COLUMN}={int(load_lo)}")
+    def batch_path(self, layer: str, table: str, load_lo: int, epoch: int = 0) -> str:
+        return f"{self.path(layer, table)}/{EPOCH_COLUMN}={int(epoch)}/{BATCH_COLUMN}={int(load_lo)}"
+
+    def _delete(self, path: str) -> None:
+        fs, p = self._fs(path)
         if fs.exists(p):
             fs.delete(p, True)
 
+    def drop_batch(self, layer: str, table: str, load_lo: int, epoch: int = 0) -> None:
+        """Delete one batch partition (an empty retry must not leave stale rows)."""
+        self._delete(self.batch_path(layer, table, load_lo, epoch))
+
+    def drop_table(self, layer: str, table: str) -> None:
+        self._delete(self.path(layer, table))
+
+    def drop_epochs_before(self, layer: str, table: str, epoch: int) -> None:
+        """Delete the partitions of epochs that a committed reload has replaced."""
+        fs, root = self._fs(self.path(layer, table))
+        if not fs.exists(root):
+            return
+        for status in fs.listStatus(root):
+            name, _, value = status.getPath().getName().partition("=")
+            if name == EPOCH_COLUMN and int(value) < epoch:
+                fs.delete(status.getPath(), True)
+
     # -- writes ----------------------------------------------------------------
+    @staticmethod
+    def _batched(df: DataFrame, load_lo: int, epoch: int) -> DataFrame:
+        return df.withColumns({EPOCH_COLUMN: F.lit(int(epoch)).cast("bigint"),
+                               BATCH_COLUMN: F.lit(int(load_lo)).cast("bigint")})
+
     def replace(self, df: DataFrame, layer: str, table: str,
-                load_lo: int | None = None) -> None:
+                load_lo: int | None = None, epoch: int = 0) -> None:
         """Full refresh: data and schema are replaced.
 
         With ``load_lo`` the table is (re)created as a batch-partitioned table
         whose only partition is this load.
         """
-        writer = df
-        if load_lo is not None:
-            writer = df.withColumn(BATCH_COLUMN, F.lit(int(load_lo)).cast("bigint"))
+        writer = df if load_lo is None else self._batched(df, load_lo, epoch)
         w = (writer.write.format(self.fmt).mode("overwrite")
              .option("partitionOverwriteMode", "static")
              .option("overwriteSchema", "true"))
         if load_lo is not None:
-            w = w.partitionBy(BATCH_COLUMN)
+            w = w.partitionBy(EPOCH_COLUMN, BATCH_COLUMN)
         with job_label(self.spark, f"replace {layer}.{table}"):
             w.save(self.path(layer, table))
 
@@ -136,54 +162,60 @@ class Lakehouse:
             if not _is_absent(e):
                 raise
             return None
-        return T.StructType([f for f in stored.fields if f.name != BATCH_COLUMN])
+        return T.StructType([f for f in stored.fields if f.name not in (EPOCH_COLUMN, BATCH_COLUMN)])
 
     def write_batch(self, df: DataFrame, layer: str, table: str, load_lo: int,
-                    schema: T.StructType | None = None) -> None:
-        """Retry-safe append: the batch replaces its own ``load_lo`` partition only.
+                    schema: T.StructType | None = None, epoch: int = 0, conformed: bool = True) -> None:
+        """Retry-safe append: the batch replaces its own partition only.
 
         Columns are matched by name (see :func:`conform`) to ``schema``, the
-        table's declared contract, or else to the stored table's schema.
+        table's declared contract, or else to the stored table's schema;
+        ``conformed=False`` lands them as they are (a reload brings its own schema).
         Parquet: the partition folder is removed first - an empty retry must
         not leave stale rows - then written by dynamic partition overwrite.
         Delta: one atomic ``replaceWhere`` overwrite of the partition.
         """
-        target = schema if schema is not None else self.table_schema(layer, table)
-        if target is not None:
-            df = conform(df, target)
-        out = df.withColumn(BATCH_COLUMN, F.lit(int(load_lo)).cast("bigint"))
+        if conformed:
+            target = schema if schema is not None else self.table_schema(layer, table)
+            if target is not None:
+                df = conform(df, target)
+        out = self._batched(df, load_lo, epoch)
         with job_label(self.spark, f"write batch {layer}.{table}"):
             if self.fmt == "delta":
                 (out.write.format("delta").mode("overwrite")
-                 .option("replaceWhere", f"{BATCH_COLUMN} = {int(load_lo)}")
-                 .partitionBy(BATCH_COLUMN).save(self.path(layer, table)))
+                 .option("replaceWhere", f"{EPOCH_COLUMN} = {int(epoch)} AND {BATCH_COLUMN} = {int(load_lo)}")
+                 .partitionBy(EPOCH_COLUMN, BATCH_COLUMN).save(self.path(layer, table)))
                 return
-            self.drop_batch(layer, table, load_lo)
+            self.drop_batch(layer, table, load_lo, epoch)
             (out.write.format(self.fmt).mode("overwrite")
              .option("partitionOverwriteMode", "dynamic")
-             .partitionBy(BATCH_COLUMN)
+             .partitionBy(EPOCH_COLUMN, BATCH_COLUMN)
              .save(self.path(layer, table)))
 
     # -- reads -----------------------------------------------------------------
     def read(self, layer: str, table: str, schema: T.StructType | None = None,
              batch: int | None = None, committed_below: int | None = None,
-             partitioned: bool = True) -> DataFrame:
+             partitioned: bool = True, epoch: int | None = None) -> DataFrame:
         """Scan a table; a missing table reads as empty (with ``schema``).
 
-        ``batch`` selects one batch partition, ``committed_below`` hides
-        batches whose mark never advanced. Both are partition filters.
-        The partition column itself is not returned.
+        ``epoch`` and ``batch`` select batch partitions, ``committed_below`` hides
+        batches whose mark never advanced. All are partition filters. The
+        partition columns themselves are not returned. Without ``schema``,
+        types are those stored in the selected epoch (a reload may have brought others).
         """
-        full = None
+        full, path = schema, self.path(layer, table)
+        if schema is not None and self.fmt in ("parquet", "orc") and not self.exists(layer, table):
+            return empty_frame(self.spark, schema)
         if schema is not None and partitioned:
-            full = T.StructType(schema.fields + [T.StructField(BATCH_COLUMN, T.LongType())])
-        elif schema is not None:
-            full = schema
+            full = T.StructType(schema.fields + [T.StructField(EPOCH_COLUMN, T.LongType()),
+                                                 T.StructField(BATCH_COLUMN, T.LongType())])
+        reader = self.spark.read.format(self.fmt)
+        if full is not None:
+            reader = reader.schema(full)
+        elif epoch is not None and self.fmt != "delta":
+            reader, path = reader.option("basePath", path), f"{path}/{EPOCH_COLUMN}={int(epoch)}"
         try:
-            reader = self.spark.read.format(self.fmt)
-            if full is not None:
-                reader = reader.schema(full)
-            df = reader.load(self.path(layer, table))
+            df = reader.load(path)
         except AnalysisException as e:
             if schema is None or not _is_absent(e):
                 raise
@@ -191,19 +223,25 @@ class Lakehouse:
         if BATCH_COLUMN in df.columns:
             if batch is not None:
                 df = df.filter(F.col(BATCH_COLUMN) == F.lit(int(batch)))
+            if epoch is not None:
+                df = df.filter(F.col(EPOCH_COLUMN) == F.lit(int(epoch)))
             if committed_below is not None:
                 df = df.filter(F.col(BATCH_COLUMN) < F.lit(int(committed_below)))
-            df = df.drop(BATCH_COLUMN)
+            df = df.drop(BATCH_COLUMN, EPOCH_COLUMN)
         return df
 
-    def is_empty(self, layer: str, table: str) -> bool:
-        """True when the table is missing or holds no row (reads at most one row)."""
+    def _rows(self, layer: str, table: str, epoch: int | None) -> DataFrame | None:
         if not self.exists(layer, table):
-            return True
-        return self.spark.read.format(self.fmt).load(self.path(layer, table)).isEmpty()
-
-    def row_count(self, layer: str, table: str) -> int:
-        """``SELECT COUNT(*)`` of a table; 0 when it does not exist."""
-        if not self.exists(layer, table):
-            return 0
-        return self.spark.read.format(self.fmt).load(self.path(layer, table)).count()
+            return None
+        df = self.spark.read.format(self.fmt).load(self.path(layer, table))
+        return df if epoch is None else df.filter(F.col(EPOCH_COLUMN) == F.lit(int(epoch)))
+
+    def is_empty(self, layer: str, table: str, epoch: int | None = None) -> bool:
+        """True when the table (or its epoch) is missing or holds no row (reads at most one row)."""
+        rows = self._rows(layer, table, epoch)
+        return rows is None or rows.isEmpty()
+
+    def row_count(self, layer: str, table: str, epoch: int | None = None) -> int:
+        """``SELECT COUNT(*)`` of a table (or of one epoch); 0 when it does not exist."""
+        rows = self._rows(layer, table, epoch)
+        return 0 if rows is None else rows.count()

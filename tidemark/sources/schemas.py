@@ -64,9 +64,12 @@ WATERMARK = T.StructType([
     T.StructField("last_watermark", T.LongType(), True),
     T.StructField("updated_at", T.TimestampType(), True),
     T.StructField("seq", T.LongType(), False),
+    T.StructField("epoch", T.LongType(), True),
 ])
 
-# Batch partition column of transactional tables: the mark a batch started at.
+# Batch partition columns of transactional tables: the epoch (how often the history
+# was reloaded from scratch) and, in it, the mark the batch started at.
+EPOCH_COLUMN = "load_epoch"
 BATCH_COLUMN = "load_lo"
 
 
