@@ -336,6 +336,16 @@ def _layer_counts() -> str:
                                f"CAST({c} AS BIGINT) AS row_count" for a, b, c in rows)
 
 
+def _stored_sizes() -> str:
+    orders = f"SELECT order_id FROM ({orders_sql('clean')}) o WHERE eval_set = 'prior'"
+    lines = f"SELECT order_id FROM ({lines_sql('clean')}) l WHERE order_id <= {_final_mark()}"
+    fact = f"SELECT order_id FROM ({fact_sql('clean')}) f"
+    rows = [("bronze", "orders", orders), ("bronze", "order_products_prior", lines), ("silver", "orders", orders),
+            ("silver", "order_products_prior", lines), ("gold", "fact_order_products", fact)]
+    return "\nUNION ALL ".join(f"SELECT {_lit(a)} AS layer, {_lit(b)} AS table_name, count(*) AS row_count, "
+                               f"max(order_id) AS high_water FROM ({sql}) s" for a, b, sql in rows)
+
+
 def _load_decision() -> str:
     return f"""SELECT row_count,
         CASE WHEN row_count = 0 THEN 'initial' ELSE 'incremental' END AS load_mode,
@@ -429,6 +439,7 @@ def oracle_sql() -> dict[str, str]:
                                    f"WHERE order_id > {_first_mark()}",
         "pipeline_star": star_sql("clean"),
         "pipeline_layer_counts": _layer_counts(),
+        "stored_sizes": _stored_sizes(),
         "guard_initial": _guard("SUCCESS", "initial", "0", _first_mark(), SPLIT),
         "guard_incremental": _guard("SUCCESS", "incremental", _first_mark(), _final_mark(), _final_mark()),
         "guard_no_new_data": _guard("NO_NEW_DATA", "incremental", _final_mark(), _final_mark(), _final_mark()),

@@ -332,6 +332,11 @@ def pipeline_layer_counts(spark, sf_dir):
     return spark.sql(sql)
 
 
+def stored_sizes(spark, sf_dir):
+    """Rows and largest key of each layer, by aggregates pushed down to file footers."""
+    return _pipeline(spark, sf_dir).stored_sizes()
+
+
 QUERIES = {
     "fact_full": fact_full,
     "fact_incremental": fact_incremental,
@@ -388,6 +393,7 @@ QUERIES = {
     "pipeline_fact_increment": pipeline_fact_increment,
     "pipeline_star": pipeline_star,
     "pipeline_layer_counts": pipeline_layer_counts,
+    "stored_sizes": stored_sizes,
     "guard_initial": _guard("initial"),
     "guard_incremental": _guard("incremental"),
     "guard_no_new_data": _guard("no_new_data"),

@@ -2,9 +2,9 @@
 
 Join strategy for scale. The fact is ``lines x orders x products``:
 
-* products is a dimension; it is broadcast only if a count (one partial row
-  per task) and the optimizer's size estimate prove it small, and only the
-  three columns the fact needs are shipped. The broadcast join runs map-side in
+* products is a dimension; it is broadcast only if a count and the size of its
+  decoded rows (one partial row per task; files may be far smaller than what they
+  decode to) prove it small, and only the three columns the fact needs are shipped. The broadcast join runs map-side in
   the scan stage of the lines, so lines of unknown products are dropped
   before any shuffle;
 * lines x orders is big x big on ``order_id`` (orders are unique per key
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import job_label
 from ..sources.schemas import FACT_COLUMNS
@@ -35,19 +36,47 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def _fixed_width(df: DataFrame) -> int:
+    """Bytes of a decoded row without what its variable columns point to: a word a column
+    and one for the nulls."""
+    return 8 * (len(df.columns) + 1)
+
+
+def _variable(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+
+
+def measured(*frames: DataFrame) -> list[tuple[int, int]]:
+    """(rows, bytes of the decoded rows) of each frame, all in one job; each task sends one row."""
+    parts = []
+    for k, df in enumerate(frames):
+        held = [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c in _variable(df)]
+        text = F.coalesce(F.sum(sum(held[1:], held[0]).cast("long")), F.lit(0)) if held else F.lit(0)
+        parts.append(df.agg(F.count("*").alias("n"), text.cast("long").alias("b")).withColumn("k", F.lit(k)))
+    everything = parts[0]
+    for part in parts[1:]:
+        everything = everything.unionByName(part)
+    with job_label(frames[0].sparkSession, "sizes"):
+        found = {r["k"]: (r["n"], r["b"]) for r in everything.collect()}
+    return [(found[k][0], found[k][1] + found[k][0] * _fixed_width(df)) for k, df in enumerate(frames)]
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
                       rows: int | None = None,
-                      max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
-    """Broadcast hint only when the side holds at most ``max_rows`` rows and its
-    estimated size is at most ``max_bytes``.
+                      max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
+                      size: tuple[int, int] | None = None) -> DataFrame:
+    """Broadcast hint only when the side holds at most ``max_rows`` rows and its decoded
+    rows at most ``max_bytes``.
 
     Beyond the bounds the frame is returned unhinted and the planner picks a
-    shuffle join. ``rows`` passes a count already made by the caller.
+    shuffle join. ``rows`` passes a count already made by the caller (enough where no
+    column is of variable width), ``size`` what :func:`measured` gave.
     """
-    if estimated_bytes(df) > max_bytes:
-        return df
-    n = counted_rows(df) if rows is None else rows
-    return F.broadcast(df) if n <= max_rows else df
+    if size is None and estimated_bytes(df) > max_bytes:
+        return df                     # already its files are larger
+    if size is None:
+        size = measured(df)[0] if rows is None or _variable(df) else (rows, rows * _fixed_width(df))
+    return F.broadcast(df) if size[0] <= max_rows and size[1] <= max_bytes else df
 
 
 def build_fact(lines: DataFrame, orders: DataFrame, products: DataFrame,
@@ -97,10 +126,9 @@ def star(fact: DataFrame, dim_product: DataFrame, dim_aisle: DataFrame,
          dim_department: DataFrame,
          broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Fact linked to its dimensions by product, aisle and department keys."""
-    p = bounded_broadcast(dim_product.select("product_id", "product_name"), broadcast_max_rows)
-    a = bounded_broadcast(dim_aisle.select("aisle_id", "aisle"), broadcast_max_rows)
-    d = bounded_broadcast(dim_department.select("department_id", "department"),
-                          broadcast_max_rows)
+    dims = [dim_product.select("product_id", "product_name"), dim_aisle.select("aisle_id", "aisle"),
+            dim_department.select("department_id", "department")]
+    p, a, d = (bounded_broadcast(df, broadcast_max_rows, size=size) for df, size in zip(dims, measured(*dims)))
     return (fact.join(p, "product_id", "inner").join(a, "aisle_id", "inner")
             .join(d, "department_id", "inner")
             .select(*FACT_COLUMNS, "product_name", "aisle", "department"))

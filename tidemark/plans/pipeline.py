@@ -239,11 +239,11 @@ class Pipeline:
         """Write a run's rows of a table: a first load replaces the table, a reload lands in
         its own epoch, an increment in its own partition."""
         if batch.reload:
-            self.store.write_batch(df, layer, table, batch.lo, epoch=batch.epoch, conformed=False)
+            self.store.write_batch(df, layer, table, batch.lo, epoch=batch.epoch, conformed=False, sort_by="order_id")
         elif batch.initial:
-            self.store.replace(df, layer, table, batch.lo, batch.epoch)
+            self.store.replace(df, layer, table, batch.lo, batch.epoch, sort_by="order_id")
         else:
-            self.store.write_batch(df, layer, table, batch.lo, schema, batch.epoch)
+            self.store.write_batch(df, layer, table, batch.lo, schema, batch.epoch, sort_by="order_id")
 
     def _stage(self, df: DataFrame, table: str, batch: Batch) -> DataFrame:
         """``df`` stored for this run only, as parsed."""
@@ -484,6 +484,18 @@ class Pipeline:
         silver = self.committed("silver", "order_products_prior", schemas.ORDER_PRODUCTS)
         return late.missing_rows(raw, silver, "order_id", "product_id")
 
+    def stored_sizes(self) -> DataFrame:
+        """(layer, table_name, row_count, high_water) of the committed transactional tables, from file
+        footers: the row count that decides the mode, and the largest order id of each layer."""
+        epoch, mark = self.marks.current(registry.ORDERS.file_name)
+        rows = [self.store.footer_frame(self._stored_layer(layer, table), table, "order_id", epoch, mark)
+                .select(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), "row_count", "high_water")
+                for layer, table in BATCH_TABLES]
+        out = rows[0]
+        for more in rows[1:]:
+            out = out.unionByName(more)
+        return out
+
     def orphans(self) -> DataFrame:
         """Committed Silver lines the fact dropped, per reason (see ``gold.orphan_lines``)."""
         return gold.orphan_lines(

@@ -15,7 +15,12 @@ batch owns exactly one partition, so
   planning time;
 * a forced reload writes into the next epoch: readers keep the old one until the
   control log names the new, in the same append that sets its mark;
-* reading "the new batch" is a partition read, not a scan of the table.
+* reading "the new batch" is a partition read, not a scan of the table;
+* a batch's files are sorted by their key, so that a filter on the key skips row groups
+  (and pages) inside a batch too; the sort is local to each task, without a shuffle.
+
+Row counts and largest keys of stored parquet tables come from the files' footers (the
+data source's aggregate push-down): no row is read.
 
 Reference tables are small full refreshes and are not partitioned.
 """
@@ -132,18 +137,20 @@ class Lakehouse:
 
     # -- writes ----------------------------------------------------------------
     @staticmethod
-    def _batched(df: DataFrame, load_lo: int, epoch: int) -> DataFrame:
-        return df.withColumns({EPOCH_COLUMN: F.lit(int(epoch)).cast("bigint"),
-                               BATCH_COLUMN: F.lit(int(load_lo)).cast("bigint")})
+    def _batched(df: DataFrame, load_lo: int, epoch: int, sort_by: str | None = None) -> DataFrame:
+        out = df.withColumns({EPOCH_COLUMN: F.lit(int(epoch)).cast("bigint"),
+                              BATCH_COLUMN: F.lit(int(load_lo)).cast("bigint")})
+        # led by the partition columns, as the writer asks for: it adds no sort of its own
+        return out if sort_by is None else out.sortWithinPartitions(EPOCH_COLUMN, BATCH_COLUMN, sort_by)
 
     def replace(self, df: DataFrame, layer: str, table: str,
-                load_lo: int | None = None, epoch: int = 0) -> None:
+                load_lo: int | None = None, epoch: int = 0, sort_by: str | None = None) -> None:
         """Full refresh: data and schema are replaced.
 
         With ``load_lo`` the table is (re)created as a batch-partitioned table
         whose only partition is this load.
         """
-        writer = df if load_lo is None else self._batched(df, load_lo, epoch)
+        writer = df if load_lo is None else self._batched(df, load_lo, epoch, sort_by)
         w = (writer.write.format(self.fmt).mode("overwrite")
              .option("partitionOverwriteMode", "static")
              .option("overwriteSchema", "true"))
@@ -165,12 +172,14 @@ class Lakehouse:
         return T.StructType([f for f in stored.fields if f.name not in (EPOCH_COLUMN, BATCH_COLUMN)])
 
     def write_batch(self, df: DataFrame, layer: str, table: str, load_lo: int,
-                    schema: T.StructType | None = None, epoch: int = 0, conformed: bool = True) -> None:
+                    schema: T.StructType | None = None, epoch: int = 0, conformed: bool = True,
+                    sort_by: str | None = None) -> None:
         """Retry-safe append: the batch replaces its own partition only.
 
         Columns are matched by name (see :func:`conform`) to ``schema``, the
         table's declared contract, or else to the stored table's schema;
         ``conformed=False`` lands them as they are (a reload brings its own schema).
+        ``sort_by`` sorts each file.
         Parquet: the partition folder is removed first - an empty retry must
         not leave stale rows - then written by dynamic partition overwrite.
         Delta: one atomic ``replaceWhere`` overwrite of the partition.
@@ -179,7 +188,7 @@ class Lakehouse:
             target = schema if schema is not None else self.table_schema(layer, table)
             if target is not None:
                 df = conform(df, target)
-        out = self._batched(df, load_lo, epoch)
+        out = self._batched(df, load_lo, epoch, sort_by)
         with job_label(self.spark, f"write batch {layer}.{table}"):
             if self.fmt == "delta":
                 (out.write.format("delta").mode("overwrite")
@@ -241,7 +250,29 @@ class Lakehouse:
         rows = self._rows(layer, table, epoch)
         return rows is None or rows.isEmpty()
 
+    def footer_frame(self, layer: str, table: str, key: str | None = None, epoch: int | None = None,
+                     committed_below: int | None = None) -> DataFrame:
+        """One row (row_count, high_water): rows of a stored table and its largest ``key`` (NULL
+        without one), of one epoch or of all. For parquet both are pushed down to the footers; the
+        filters are on partition columns. The table must exist."""
+        session = self.spark
+        if self.fmt == "parquet":
+            session = session.newSession()         # the caller's settings stay as they are
+            session.conf.set("spark.sql.sources.useV1SourceList", "")
+            session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+        df = session.read.format(self.fmt).load(self.path(layer, table))
+        if epoch is not None:
+            df = df.filter(F.col(EPOCH_COLUMN) == F.lit(int(epoch)))
+        if committed_below is not None:
+            df = df.filter(F.col(BATCH_COLUMN) < F.lit(int(committed_below)))
+        batches = [c for c in (EPOCH_COLUMN, BATCH_COLUMN) if c in df.columns]
+        top = [] if key is None else [F.max(key).alias("top")]
+        each = df.groupBy(*batches).agg(F.count("*").alias("n"), *top)       # pushed down, a row a batch
+        return each.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
+                        F.max(F.lit(None).cast("long") if key is None else F.col("top")).alias("high_water"))
+
     def row_count(self, layer: str, table: str, epoch: int | None = None) -> int:
         """``SELECT COUNT(*)`` of a table (or of one epoch); 0 when it does not exist."""
-        rows = self._rows(layer, table, epoch)
-        return 0 if rows is None else rows.count()
+        if not self.exists(layer, table):
+            return 0
+        return self.footer_frame(layer, table, epoch=epoch).first()["row_count"]
