@@ -104,3 +104,48 @@ def test_awkward_labels_and_stage(spark):
     kept = qr.keep_good(docs, [])
     want = sorted(str(i) for i, t in awkward_texts() if not statistics(t)[-1])
     assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == want
+
+
+def brute_labels(text, min_coverage=0.7, drift=3):
+    """Labels and score by plain loops: hits by diagonal, neighbouring diagonals merged."""
+    t = "".join(c.lower() if c.isascii() else c for c in text or "")
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t)
+    labels, score = {label for k in range(len(w)) for p, label in licenses.PHRASES.items()
+                     if w[k:k + len(p.split())] == p.split()}, 0.0
+    score = 1.0 if labels else 0.0
+    for body, label in licenses.NOTICES.items():
+        b = body.split()
+        votes = {}
+        for p in range(len(w) - 1):
+            for q in range(len(b) - 1):
+                if w[p:p + 2] == b[q:q + 2]:
+                    votes.setdefault(p - q, set()).add(q)
+        groups = []
+        for d in sorted(d for d, got in votes.items() if len(got) > 1):
+            if groups and d - groups[-1][-1] <= drift:
+                groups[-1].append(d)
+            else:
+                groups.append([d])
+        for g in groups:
+            share = len(set().union(*(votes[d] for d in g))) / (len(b) - 1)
+            if share >= min_coverage:
+                labels, score = labels | {label}, max(score, share)
+    return ",".join(sorted(labels)), score
+
+
+def test_labels_and_scores_equal_brute_force(spark):
+    rows = LICENSED + [(40, " ".join(licenses.NOTICES)), (41, ("x " + next(iter(licenses.NOTICES)) + " y ") * 3)]
+    rows += [(100 + r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()
+             if len(r.text or "") < 3000]
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.label_documents(awkward_docs(spark, rows)).collect()}
+    want = {i: brute_labels(t) for i, t in rows}
+    assert {i: x[0] for i, x in got.items()} == {i: x[0] for i, x in want.items()}
+    assert all(abs(got[i][1] - want[i][1]) < 1e-12 for i in want)
+
+
+def test_the_native_queries_use_no_python_and_explode_once(spark):
+    plan = licenses.op9_license_scan(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+    assert plan.count("Generate posexplode") == 1
+    rules = qr.op10_quality_rules(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in rules and "Arrow" not in rules and "Pandas" not in rules

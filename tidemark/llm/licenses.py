@@ -10,8 +10,9 @@ A short phrase must lie whole on one diagonal: these are the base places.
 
 Null or empty texts have no words and no places. Rows that repeat a doc_id
 with the same text get the same result; with another text, their own. Null
-doc_ids are scanned like others. Columns other than doc_id and text are not
-read.
+doc_ids are scanned like others. Very long texts are scanned whole. Ties cannot
+arise: all spans that cover enough are kept. An empty table gives an empty result.
+Columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -79,21 +80,19 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, notices: dict[str,
             .withColumn("diagonal", F.col("at") - F.col("t_at")))
     who = ["doc_id", "text_key", "template", "label", "phrase", "t_pairs"]
     votes = hits.groupBy(*who, "diagonal").agg(F.sort_array(F.collect_set("t_at")).alias("got"))
-    whole = votes.filter(F.col("phrase") & (F.size("got") == F.col("t_pairs"))).select(
-        "doc_id", "text_key", "label", "phrase", F.col("diagonal").alias("first"),
-        (F.col("diagonal") + F.col("t_pairs")).alias("last"), F.lit(1.0).alias("coverage"))
+    # a phrase is whole on one diagonal, so each of its diagonals is a span of its own;
+    # of the others, diagonals a few words apart belong together
     w = Window.partitionBy("doc_id", "text_key", "template").orderBy("diagonal")
-    merged = (votes.filter(~F.col("phrase") & (F.size("got") > 1))
-              .withColumn("new", (F.col("diagonal") - F.lag("diagonal").over(w) > max_drift).cast("int"))
-              .withColumn("span", F.sum(F.coalesce("new", F.lit(1))).over(w))
-              .groupBy(*who, "span")
-              .agg(F.size(F.array_distinct(F.flatten(F.collect_list("got")))).alias("covered"),
-                   F.min(F.col("diagonal") + F.array_min("got")).alias("first"),
-                   F.max(F.col("diagonal") + F.array_max("got") + 1).alias("last")))
-    long = (merged.withColumn("coverage", F.col("covered") / F.col("t_pairs"))
-            .filter(F.col("coverage") >= min_coverage)
+    apart = F.col("phrase") | (F.col("diagonal") - F.lag("diagonal").over(w) > max_drift)
+    spans = (votes.filter(F.when(F.col("phrase"), F.size("got") == F.col("t_pairs")).otherwise(F.size("got") > 1))
+             .withColumn("span", F.sum(F.coalesce(apart.cast("int"), F.lit(1))).over(w))
+             .groupBy(*who, "span")
+             .agg(F.size(F.array_distinct(F.flatten(F.collect_list("got")))).alias("covered"),
+                  F.min(F.col("diagonal") + F.array_min("got")).alias("first"),
+                  F.max(F.col("diagonal") + F.array_max("got") + 1).alias("last"))
+             .withColumn("coverage", F.col("covered") / F.col("t_pairs")))
+    return (spans.filter(F.col("phrase") | (F.col("coverage") >= min_coverage))
             .select("doc_id", "text_key", "label", "phrase", "first", "last", "coverage"))
-    return whole.unionByName(long)
 
 
 def label_documents(docs: DataFrame, **options) -> DataFrame:
