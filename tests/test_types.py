@@ -33,7 +33,7 @@ COLUMNS = {
     "double_and_time": ["1.5", "2020-01-31 10:11:12", "", "2", "3"],
     "bad_date": ["2020-13-31", "2020-01-31", "", "2020-01-01", "2020-01-02"],
     "empty": ["", "", "", "", ""],
-    "leading_zero": ["08", "009", "", "1", "2"],
+    "leading_zero": ["08", "009", "", "1", "0000000000000002"],
 }
 
 

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from .registry import SourceSpec
 
+KINDS = "_cell_kinds"
 # Kinds of cells, one bit each; integers beyond bigint have a bit for each precision.
 INT, BIGINT, DOUBLE, DATE, TIMESTAMP, BOOLEAN, TEXT = (1 << k for k in range(7))
 _DECIMAL_FROM, _DECIMAL_BITS = 19, range(19, 39)
@@ -65,24 +66,35 @@ def _cell(cells: DataFrame, name: str) -> Column:
 
 
 def cell_kind(cell: Column) -> Column:
-    """The narrowest kind of a text cell as its bit; 0 for an empty cell."""
+    """The narrowest kind of a text cell as its bit; 0 for an empty cell. A cast is tried only
+    on cells of the right look: one that fails costs as much as hundreds that don't."""
+    integer = cell.rlike(r"^\s*[+-]?[0-9]+\s*$")
     digits = F.length(F.regexp_replace(cell, "^[+-]?0*", ""))
     return (F.when(cell.isNull(), 0)
-            .when(cell.try_cast("int").isNotNull(), INT)
-            .when(cell.try_cast("bigint").isNotNull(), BIGINT)
+            .when(integer & ((F.length(cell) < 12) | (digits < 11)) & cell.try_cast("int").isNotNull(), INT)
+            .when(integer & cell.try_cast("bigint").isNotNull(), BIGINT)
             .when(cell.rlike("^[+-]?[0-9]+$") & digits.between(_DECIMAL_FROM, _DECIMAL_BITS[-1]),
                   F.call_function("shiftleft", F.lit(1), F.lit(7 - _DECIMAL_FROM) + digits))
-            .when(cell.try_cast("double").isNotNull(), DOUBLE)
+            .when(cell.rlike(r"^\s*[+-]?(\.|[0-9]|(?i:nan|inf))") & ~cell.rlike("^[0-9]{4}-")
+                  & cell.try_cast("double").isNotNull(), DOUBLE)
             .when(cell.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & cell.try_cast("date").isNotNull(), DATE)
-            .when(cell.try_cast("timestamp").isNotNull(), TIMESTAMP)
+            .when(cell.rlike("^[0-9]{4}-[0-9]") & cell.try_cast("timestamp").isNotNull(), TIMESTAMP)
             .when(F.lower(cell).isin("true", "false"), BOOLEAN)
             .otherwise(TEXT))
 
 
+def _with_kinds(cells: DataFrame, names: list[str]) -> tuple[DataFrame, list[Column]]:
+    """``cells`` with the kinds of the named columns, and one ``bit_or`` for each. One function over an
+    array, not an expression a column: the generated code stays small enough to be compiled."""
+    kinds = F.transform(F.array(*[_cell(cells, n) for n in names]), cell_kind)
+    return cells.withColumn(KINDS, kinds), [F.bit_or(F.col(KINDS)[k]) for k in range(len(names))]
+
+
 def infer_types(cells: DataFrame) -> dict[str, str]:
     """Column -> type of a frame of text cells, all columns in one aggregate."""
-    masks = cells.agg(*[F.bit_or(cell_kind(_cell(cells, c))).alias(str(k)) for k, c in enumerate(cells.columns)]).first()
-    return {c: merged_type(m or 0) for c, m in zip(cells.columns, masks)}
+    df, masks = _with_kinds(cells, cells.columns)
+    found = df.agg(*[m.alias(str(k)) for k, m in enumerate(masks)]).first()
+    return {c: merged_type(m or 0) for c, m in zip(cells.columns, found)}
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
@@ -102,8 +114,9 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
     fields = [f for f in schema.fields if f.name in cells.columns]
     watched = [f for f in fields if not isinstance(f.dataType, T.StringType)]
     if observation is not None and watched:
+        cells, masks = _with_kinds(cells, [f.name for f in watched])
         cells = cells.observe(observation, *[
-            F.bit_or(cell_kind(_cell(cells, f.name))).alias(f"{f.dataType.simpleString()} {f.name}") for f in watched])
+            m.alias(f"{f.dataType.simpleString()} {f.name}") for f, m in zip(watched, masks)])
     return cells.select(*[_cell(cells, f.name).try_cast(f.dataType).alias(f.name) for f in fields],
                         *([file_column] if file_column is not None else []))
 
