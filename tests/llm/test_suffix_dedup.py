@@ -6,7 +6,7 @@ import numpy as np
 from tidemark.llm import suffix_dedup as sd
 from tidemark.llm.suffix_sort import Suffixes
 
-from rows import awkward_docs, awkward_texts
+from rows import SMALL, awkward_docs, awkward_texts
 
 
 def brute(rows, span=50):
@@ -81,3 +81,63 @@ def test_sort_orders_suffixes_within_groups():
     for a, n in zip(start, size):
         part = [bytes(rows[k, 10:]) for k in order[a:a + n]]
         assert part == sorted(bytes(rows[k, 10:]) for k in range(a, a + n))
+
+
+def test_the_query_equals_brute_force(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    assert got(sd.op5_suffix_dedup(spark, SMALL)) == brute(rows)
+
+
+def edges_of_one_passage(n, seed=8):
+    """Texts with one passage and different surroundings, some cut, some copied."""
+    rng = random.Random(seed)
+    passage = "".join(rng.choice("abcdefghij ") for _ in range(160))
+    rows = []
+    for d in range(n):
+        a, b = ("".join(rng.choice("uvwxyz ") for _ in range(60)) for _ in range(2))
+        cut = rng.choice([0, 0, 7, 40])
+        rows.append((n - d, a + passage[cut:160 - cut] + b + (passage if d % 11 == 0 else "")))
+    return rows + rows[:3] + [(rows[4][0], rows[5][1])]
+
+
+def test_hot_grams_are_dealt_by_window(spark, monkeypatch):
+    rows = edges_of_one_passage(200)
+    monkeypatch.setattr(sd, "HOT", 20)
+    seen = []
+    grams = sd.hot_grams
+    monkeypatch.setattr(sd, "hot_grams", lambda shared: seen.append(grams(shared)) or seen[-1])
+    assert got(sd.remove_repeats(awkward_docs(spark, rows))) == brute(rows)
+    assert len(seen[0]) > 3                                # worker processes got HOT with the function
+
+
+def test_all_grams_hot(spark, monkeypatch):
+    monkeypatch.setattr(sd, "HOT", 2)
+    assert got(sd.remove_repeats(awkward_docs(spark))) == brute(awkward_texts())
+
+
+def test_a_hot_gram_is_spread_over_buckets():
+    """No bucket gets much more of one gram's windows than another, before or after the sort."""
+    rows = edges_of_one_passage(3000)
+    docs = [(i, 0, t.encode()) for i, t in rows]
+    hasher = sd.Hasher()
+    buf = np.frombuffer(b"".join(t for _, _, t in docs), np.uint8)
+    off = np.cumsum([0] + [len(t) for _, _, t in docs])
+    at, g, doc = sd.anchors(buf, off, hasher)
+    own, count = np.unique(g & sd.GRAM_BITS, return_counts=True)
+
+    class Hot:
+        value = own[count > 500]
+    zip_ = sd.zstandard.ZstdCompressor()
+    bodies = []
+    for k, (i, crc, t) in enumerate(docs):
+        bodies.append((i, crc, 0, (at[doc == k] - off[k]).astype(np.uint32).tobytes()))
+        bodies.append((i, crc, 1, zip_.compress(t)))
+    batch = sd.pa.RecordBatch.from_pylist([dict(zip(("doc_id", "crc", "kind", "body"), r)) for r in bodies])
+    dealt = {}
+    for out in sd._context_blobs(16, Hot)([batch]):
+        for r in out.to_pylist():
+            if r["kind"] == sd.WINDOW:
+                dealt[r["bucket"]] = dealt.get(r["bucket"], 0) + int(np.frombuffer(
+                    sd.zstandard.ZstdDecompressor().decompress(r["blob"])[:8], np.int64)[0])
+    assert len(Hot.value) > 3 and len(dealt) == 16
+    assert max(dealt.values()) < 1.2 * sorted(dealt.values())[8]

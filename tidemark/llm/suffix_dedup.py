@@ -7,18 +7,26 @@ document with a smaller doc_id is removed. Strings are judged on the input.
    hash is an anchor, so each 50-byte string holds at least one and equal
    strings hold the same. About one position in 16 is an anchor. Anchors are
    dealt by gram hash in packed blobs, and those whose gram occurs in one
-   document only are dropped.
+   document only are dropped. A gram that a task sees in two documents is known
+   to be shared: its anchors are dealt by document, and only two of them, with
+   their number, by gram. So a gram that many documents hold leaves each task as two rows.
 2. Contexts. The anchors left are joined with their texts; 30 bytes before and
    50 bytes from the anchor on are dealt by gram hash and go through the
    hash-compared suffix sort (see ``suffix_sort``), which finds for each of the 31
-   windows around an anchor whether a smaller document holds it. All bytes are
-   verified.
+   windows around an anchor whether a smaller document holds it. Of equal
+   contexts in one task only those of the smallest document are dealt; the others
+   are covered. Hot grams (``HOT`` anchors or more) may still have any number of
+   different contexts. Theirs are cut into their 31 windows, equal windows are
+   collapsed in the same way, and what is left is dealt by the hash of the window,
+   so that no task holds a gram. All bytes are verified on either way.
 3. Removal. The windows found are joined with the texts by document.
 
-Null and empty texts have no strings. Rows without doc_id are neither earlier
-nor later than others and stay whole. Rows that share a doc_id don't count
-against each other; each is judged by itself. Columns other than doc_id and
-text are not read.
+Null and empty texts have no strings, an empty table gives no rows. A text of any
+length is one row of a task and is read whole. Rows without doc_id are neither
+earlier nor later than others and stay whole. Rows that share a doc_id don't count
+against each other (a tie removes nothing); each is judged by itself, and repeated
+rows get equal results. Columns other than doc_id and text are not read, so
+their names can't clash.
 """
 
 from __future__ import annotations
@@ -43,6 +51,13 @@ LEFT = SPAN - GRAM             # bytes of context before an anchor
 BUCKETS_PER_PARTITION = 4
 CUT_BYTES = 2 << 20            # text whose contexts are cut at once
 ANCHORS_AT_ONCE = 1 << 19      # anchors that a task holds before it deals them
+HOT = 1 << 16                  # anchors of a gram from which on its contexts are dealt by window
+HOT_GRAMS = 1 << 20            # at most so many grams are hot; beyond, HOT grows with the input
+WITNESS = 1 << 31              # marks rows that stand for anchors dealt by document
+KNOWN = 0
+CONTEXT, DONE, WINDOW = 0, 1, 2
+# 48 bits of a gram's hash are dealt: two grams that share them are told apart by their bytes later
+GRAM_BITS = np.uint64((1 << 48) - 1)
 KEYED = "doc_id long, crc long, kind int, body binary"
 
 
@@ -73,18 +88,39 @@ def blobs_by_bucket(bucket: np.ndarray, *columns: np.ndarray):
     return own, [pack_columns(*(c[order[a:b]] for c in columns)) for a, b in zip(start, ends)]
 
 
+def blob_batch(kind: int, bucket: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+    own, blobs = blobs_by_bucket(bucket.astype(np.int32), *columns)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(own), pa.array(np.full(len(own), kind, np.int32)), pa.array(blobs, pa.binary())],
+        names=["bucket", "kind", "blob"])
+
+
 def bucket_batches(batches):
-    """(bucket, [blob, ...]) from batches sorted by bucket."""
+    """(kind, [blob, ...]) from batches sorted by bucket and kind."""
     last, held = None, []
     for batch in batches:
-        for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob").to_pylist()):
-            if bucket != last and held:
-                yield last, held
+        for key, blob in zip(zip(batch.column("bucket").to_pylist(), batch.column("kind").to_pylist()),
+                             batch.column("blob").to_pylist()):
+            if key != last and held:
+                yield last[1], held
                 held = []
-            last = bucket
+            last = key
             held.append(blob)
     if held:
-        yield last, held
+        yield last[1], held
+
+
+def unpacked(blobs: list[bytes], dtypes: tuple) -> list[np.ndarray]:
+    return [np.concatenate(x) for x in zip(*(unpack_columns(b, dtypes) for b in blobs))]
+
+
+def smallest_twins(key: np.ndarray, doc: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Which rows equal a row of a smaller document; rows of one key are compared byte by byte."""
+    _, rep, twin = np.unique(key, return_index=True, return_inverse=True)
+    same = (rows == rows[rep[twin]]).all(axis=1)
+    least = np.full(len(rep), np.iinfo(np.int64).max)
+    np.minimum.at(least, twin[same], doc[same])
+    return same & (doc > least[twin])
 
 
 def keyed_rows(doc: np.ndarray, crc: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
@@ -147,27 +183,62 @@ def _anchor_blobs(buckets: int):
 
     def deal(parts, ids, crc):
         g, doc, at = (np.concatenate(x) for x in zip(*parts))
-        # 48 bits of the hash: two grams that share them are told apart by their bytes later
-        own, blobs = blobs_by_bucket((g % np.uint64(buckets)).astype(np.int32), g.astype(np.uint32),
-                                     (g >> np.uint64(32)).astype(np.uint16), ids[doc],
-                                     crc[doc].astype(np.uint32), at)
-        return pa.RecordBatch.from_arrays([pa.array(own), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
+        g, crc, doc = g & GRAM_BITS, crc[doc].astype(np.uint32), ids[doc]
+        # sorted by document within a gram: the first and the last are its witnesses
+        order = np.lexsort((doc, g))
+        g, crc, doc, at = g[order], crc[order], doc[order], at[order]
+        first = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
+        size = np.diff(np.append(first, len(g)))
+        last = first + size - 1
+        shared = doc[first] < doc[last]
+        n = np.where(np.repeat(shared, size), KNOWN, 1).astype(np.uint32)
+        bucket = np.where(n == KNOWN, mix(doc.view(np.uint64)), g) % np.uint64(buckets)
+        row = np.concatenate([first[shared], last[shared]])
+        value = g[row]
+        g = np.where(n == KNOWN, np.uint64(0), g)          # nobody asks for it again
+        count = np.concatenate([size[shared] | WITNESS, np.full(int(shared.sum()), WITNESS)]).astype(np.uint32)
+        g, bucket = np.append(g, value), np.append(bucket, value % np.uint64(buckets))
+        return blob_batch(0, bucket, g.astype(np.uint32), (g >> np.uint64(32)).astype(np.uint16),
+                          np.append(doc, doc[row]), np.append(crc, crc[row]), np.append(at, at[row]),
+                          np.append(n, count))
     return run
 
 
 def _shared_anchors(batches):
-    """Positions, by document, of the anchors whose gram is in two documents or more."""
+    """Positions, by document, of the anchors whose gram is in two documents or more; as rows
+    of kind 2 the grams with ``HOT`` anchors or more, and of kind 3 the number of anchors."""
     for _, blobs in bucket_batches(batches):
-        low, high, doc, crc, at = (np.concatenate(x) for x in zip(
-            *(unpack_columns(b, (np.uint32, np.uint16, np.int64, np.uint32, np.uint32)) for b in blobs)))
+        low, high, doc, crc, at, n = unpacked(blobs, (np.uint32, np.uint16, np.int64, np.uint32, np.uint32, np.uint32))
+        known = n == KNOWN
+        if known.any():
+            yield keyed_rows(doc[known], crc[known], at[known])
+        low, high, doc, crc, at, n = (x[~known] for x in (low, high, doc, crc, at, n))
+        if not len(doc):
+            continue
         g = low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)
         order = np.argsort(g)
         start = np.flatnonzero(np.append(True, g[order][1:] != g[order][:-1]))
         d = doc[order]
         several = np.minimum.reduceat(d, start) < np.maximum.reduceat(d, start)
+        held = np.add.reduceat((n[order] & np.uint32(WITNESS - 1)).astype(np.int64), start)
         keep = order[np.repeat(several, np.diff(np.append(start, len(order))))]
+        keep = keep[n[keep] == 1]
         if len(keep):
             yield keyed_rows(doc[keep], crc[keep], at[keep])
+        hot = np.flatnonzero(held >= HOT)
+        value = np.append(g[order][start[hot]].astype(np.int64), 0)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(value), pa.array(np.append(held[hot], held.sum())),
+             pa.array(np.append(np.full(len(hot), 2), 3).astype(np.int32)), pa.array([b""] * len(value), pa.binary())],
+            names=["doc_id", "crc", "kind", "body"])
+
+
+def hot_grams(shared: DataFrame) -> np.ndarray:
+    """The grams whose contexts are dealt by window, sorted. With n anchors in all none of them
+    has less than n / HOT_GRAMS, so there are HOT_GRAMS (8 MB) at most."""
+    total = shared.filter("kind = 3").agg(F.sum("crc")).first()[0] or 0
+    rows = shared.filter((F.col("kind") == 2) & (F.col("crc") >= max(HOT, -(-total // HOT_GRAMS)))).select("doc_id")
+    return np.sort(np.array([r.doc_id for r in rows.collect()], np.uint64))
 
 
 # -- 2. contexts ---------------------------------------------------------------------------
@@ -188,7 +259,7 @@ def _documents(batches):
                 yield doc, crc, b"".join(found), zstandard.ZstdDecompressor().decompress(body), rest
 
 
-def _context_blobs(buckets: int):
+def _context_blobs(buckets: int, hot):
     width = LEFT + SPAN
 
     def cut(docs, hasher):
@@ -206,10 +277,33 @@ def _context_blobs(buckets: int):
         h = hasher.prefix(buf)
         g = hasher.spans(h, at + off[doc], at + off[doc] + GRAM)
         ids, crc = (np.array([d[k] for d in docs], np.int64) for k in (0, 1))
-        own, blobs = blobs_by_bucket(
-            (g % np.uint64(buckets)).astype(np.int32), ids[doc], crc[doc].astype(np.uint32),
-            at.astype(np.uint32), (ahead * 256 + after).astype(np.uint16), rows.view(f"V{width}").reshape(-1))
-        return pa.RecordBatch.from_arrays([pa.array(own), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
+        ids, crc, start = ids[doc], crc[doc].astype(np.uint32), at + off[doc]
+        room = (ahead * 256 + after).astype(np.uint16)
+        offsets = np.arange(LEFT + 1)
+        fits = (offsets <= ahead[:, None]) & (SPAN - offsets <= after[:, None])
+        key = hasher.spans(h, start - ahead, start + after) ^ mix(room.astype(np.uint64))
+        done = smallest_twins(key, ids, rows)
+        mask = np.where(done, (fits.astype(np.uint32) << offsets.astype(np.uint32)).sum(axis=1, dtype=np.uint32), 0)
+        mask = mask.astype(np.uint32)
+        apart = ~done & np.isin(g & GRAM_BITS, hot.value)
+        for o in range(LEFT + 1) if apart.any() else ():   # the windows of hot grams
+            on = np.flatnonzero(apart & fits[:, o])
+            window = np.ascontiguousarray(rows[on, LEFT - o:LEFT - o + SPAN])
+            key = hasher.spans(h, start[on] - o, start[on] - o + SPAN)
+            later = smallest_twins(key, ids[on], window)
+            mask[on[later]] |= np.uint32(1 << o)
+            on, key, window = on[~later], key[~later], window[~later]
+            if len(on):
+                yield blob_batch(WINDOW, key % np.uint64(buckets), ids[on], crc[on], at[on].astype(np.uint32),
+                                 np.full(len(on), o, np.uint8), window.view(f"V{SPAN}").reshape(-1))
+        hit = np.flatnonzero(mask)
+        if len(hit):
+            yield blob_batch(DONE, mix(ids[hit].view(np.uint64)) % np.uint64(buckets), ids[hit], crc[hit],
+                             at[hit].astype(np.uint32), mask[hit])
+        rest = np.flatnonzero(~done & ~apart)
+        if len(rest):
+            yield blob_batch(CONTEXT, g[rest] % np.uint64(buckets), ids[rest], crc[rest], at[rest].astype(np.uint32),
+                             room[rest], rows[rest].view(f"V{width}").reshape(-1))
 
     def run(batches):
         hasher, held, size = Hasher(), [], 0
@@ -218,21 +312,32 @@ def _context_blobs(buckets: int):
                 held.append(doc)
                 size += len(doc[3])
             if size > CUT_BYTES:
-                yield cut(held, hasher)
+                yield from cut(held, hasher)
                 held, size = [], 0
         if held:
-            yield cut(held, hasher)
+            yield from cut(held, hasher)
     return run
 
 
 def _earlier(batches):
     """(position, window mask) by document of the anchors with a window in a smaller document."""
-    kinds = (np.int64, np.uint32, np.uint32, np.uint16, f"V{LEFT + SPAN}")
-    for _, blobs in bucket_batches(batches):
-        doc, crc, at, room, rows = (np.concatenate(x) for x in zip(*(unpack_columns(b, kinds) for b in blobs)))
-        rows = np.ascontiguousarray(rows).view(np.uint8).reshape(len(doc), LEFT + SPAN)
-        g = row_hash(rows[:, LEFT:LEFT + GRAM], 0)         # the gram is in the context
-        mask = earlier_windows(g, doc, rows, (room >> 8).astype(np.int64), (room & 255).astype(np.int64), LEFT, SPAN)
+    ids = (np.int64, np.uint32, np.uint32)
+    for kind, blobs in bucket_batches(batches):
+        if kind == DONE:
+            doc, crc, at, mask = unpacked(blobs, (*ids, np.uint32))
+        elif kind == WINDOW:
+            doc, crc, at, o, rows = unpacked(blobs, (*ids, np.uint8, f"V{SPAN}"))
+            rows = np.ascontiguousarray(rows).view(np.uint8).reshape(len(doc), SPAN)
+            # a window is its own anchor, so that different windows need no sort
+            found = earlier_windows(row_hash(rows, 0), doc, rows, np.zeros(len(doc), np.int64),
+                                    np.full(len(doc), SPAN), 0, SPAN)
+            mask = found << o.astype(np.uint32)
+        else:
+            doc, crc, at, room, rows = unpacked(blobs, (*ids, np.uint16, f"V{LEFT + SPAN}"))
+            rows = np.ascontiguousarray(rows).view(np.uint8).reshape(len(doc), LEFT + SPAN)
+            g = row_hash(rows[:, LEFT:LEFT + GRAM], 0)         # the gram is in the context
+            mask = earlier_windows(g, doc, rows, (room >> 8).astype(np.int64), (room & 255).astype(np.int64),
+                                   LEFT, SPAN)
         hit = np.flatnonzero(mask)
         if len(hit):
             yield keyed_rows(doc[hit], crc[hit], at[hit], mask[hit])
@@ -306,15 +411,17 @@ def remove_repeats(docs: DataFrame, rest: Column | None = None) -> DataFrame:
     known = keyed.drop("rest").filter("doc_id is not null")
 
     def by_bucket(df: DataFrame) -> DataFrame:
-        return df.repartition(parts, "bucket").sortWithinPartitions("bucket")
+        return df.repartition(parts, "bucket").sortWithinPartitions("bucket", "kind")
 
     def with_texts(rows: DataFrame, texts: DataFrame) -> DataFrame:
         return (rows.unionByName(texts, allowMissingColumns=True).repartition(parts, "doc_id", "crc")
                 .sortWithinPartitions("doc_id", "crc", "kind"))
-    blob = "bucket int, blob binary"
+    blob = "bucket int, kind int, blob binary"
     shared = written(by_bucket(known.mapInArrow(tidy(_anchor_blobs(buckets)), blob))
                      .mapInArrow(tidy(_shared_anchors), KEYED), "suffix-anchors")
-    windows = written(by_bucket(with_texts(shared, texts).mapInArrow(tidy(_context_blobs(buckets)), blob))
+    hot = spark.sparkContext.broadcast(hot_grams(shared))
+    places = shared.filter("kind = 0")
+    windows = written(by_bucket(with_texts(places, texts).mapInArrow(tidy(_context_blobs(buckets, hot)), blob))
                       .mapInArrow(tidy(_earlier), KEYED), "suffix-windows")
     dropped(shared)
     result = "doc_id long, crc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
