@@ -58,6 +58,7 @@ KNOWN = 0
 CONTEXT, DONE, WINDOW = 0, 1, 2
 # 48 bits of a gram's hash are dealt: two grams that share them are told apart by their bytes later
 GRAM_BITS = np.uint64((1 << 48) - 1)
+WINDOWS_AT_ONCE = 1 << 18      # windows of hot grams that a task holds before it deals them
 KEYED = "doc_id long, crc long, kind int, body binary"
 
 
@@ -184,23 +185,20 @@ def _anchor_blobs(buckets: int):
     def deal(parts, ids, crc):
         g, doc, at = (np.concatenate(x) for x in zip(*parts))
         g, crc, doc = g & GRAM_BITS, crc[doc].astype(np.uint32), ids[doc]
-        # sorted by document within a gram: the first and the last are its witnesses
-        order = np.lexsort((doc, g))
-        g, crc, doc, at = g[order], crc[order], doc[order], at[order]
-        first = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
+        order = np.argsort(g)
+        first = np.flatnonzero(np.append(True, g[order][1:] != g[order][:-1]))
         size = np.diff(np.append(first, len(g)))
-        last = first + size - 1
-        shared = doc[first] < doc[last]
-        n = np.where(np.repeat(shared, size), KNOWN, 1).astype(np.uint32)
-        bucket = np.where(n == KNOWN, mix(doc.view(np.uint64)), g) % np.uint64(buckets)
-        row = np.concatenate([first[shared], last[shared]])
-        value = g[row]
-        g = np.where(n == KNOWN, np.uint64(0), g)          # nobody asks for it again
-        count = np.concatenate([size[shared] | WITNESS, np.full(int(shared.sum()), WITNESS)]).astype(np.uint32)
-        g, bucket = np.append(g, value), np.append(bucket, value % np.uint64(buckets))
-        return blob_batch(0, bucket, g.astype(np.uint32), (g >> np.uint64(32)).astype(np.uint16),
-                          np.append(doc, doc[row]), np.append(crc, crc[row]), np.append(at, at[row]),
-                          np.append(n, count))
+        least, most = (pick.reduceat(doc[order], first) for pick in (np.minimum, np.maximum))
+        shared = least < most
+        known = np.empty(len(g), bool)                     # rows stay in the texts' order, which compresses
+        known[order] = np.repeat(shared, size)
+        value, none = np.tile(g[order][first[shared]], 2), np.zeros(2 * int(shared.sum()), np.uint32)
+        n = np.concatenate([np.where(known, KNOWN, 1), size[shared] | WITNESS, WITNESS | none[:len(none) // 2]])
+        bucket = np.append(np.where(known, mix(doc.view(np.uint64)), g), value) % np.uint64(buckets)
+        g = np.append(np.where(known, np.uint64(0), g), value)          # nobody asks for a known one's again
+        doc = np.concatenate([doc, least[shared], most[shared]])
+        return blob_batch(0, bucket, g.astype(np.uint32), (g >> np.uint64(32)).astype(np.uint16), doc,
+                          np.append(crc, none), np.append(at, none), n.astype(np.uint32))
     return run
 
 
@@ -274,6 +272,7 @@ def _context_blobs(buckets: int, hot):
         rows = buf[np.clip(where, 0, len(buf) - 1)]
         place = np.arange(-LEFT, SPAN)
         rows[(place < -ahead[:, None]) | (place >= after[:, None])] = 0
+        del where                                          # eight times the size of rows
         h = hasher.prefix(buf)
         g = hasher.spans(h, at + off[doc], at + off[doc] + GRAM)
         ids, crc = (np.array([d[k] for d in docs], np.int64) for k in (0, 1))
@@ -283,9 +282,10 @@ def _context_blobs(buckets: int, hot):
         fits = (offsets <= ahead[:, None]) & (SPAN - offsets <= after[:, None])
         key = hasher.spans(h, start - ahead, start + after) ^ mix(room.astype(np.uint64))
         done = smallest_twins(key, ids, rows)
-        mask = np.where(done, (fits.astype(np.uint32) << offsets.astype(np.uint32)).sum(axis=1, dtype=np.uint32), 0)
-        mask = mask.astype(np.uint32)
+        mask = np.zeros(len(rows), np.uint32)
+        mask[done] = (fits[done].astype(np.uint32) << offsets.astype(np.uint32)).sum(axis=1, dtype=np.uint32)
         apart = ~done & np.isin(g & GRAM_BITS, hot.value)
+        parts, held = [], 0
         for o in range(LEFT + 1) if apart.any() else ():   # the windows of hot grams
             on = np.flatnonzero(apart & fits[:, o])
             window = np.ascontiguousarray(rows[on, LEFT - o:LEFT - o + SPAN])
@@ -293,9 +293,12 @@ def _context_blobs(buckets: int, hot):
             later = smallest_twins(key, ids[on], window)
             mask[on[later]] |= np.uint32(1 << o)
             on, key, window = on[~later], key[~later], window[~later]
-            if len(on):
-                yield blob_batch(WINDOW, key % np.uint64(buckets), ids[on], crc[on], at[on].astype(np.uint32),
-                                 np.full(len(on), o, np.uint8), window.view(f"V{SPAN}").reshape(-1))
+            parts.append((key % np.uint64(buckets), ids[on], crc[on], at[on].astype(np.uint32),
+                          np.full(len(on), o, np.uint8), window.view(f"V{SPAN}").reshape(-1)))
+            held += len(on)
+            if held > WINDOWS_AT_ONCE or held and o == LEFT:
+                yield blob_batch(WINDOW, *(np.concatenate(x) for x in zip(*parts)))
+                parts, held = [], 0
         hit = np.flatnonzero(mask)
         if len(hit):
             yield blob_batch(DONE, mix(ids[hit].view(np.uint64)) % np.uint64(buckets), ids[hit], crc[hit],
