@@ -149,3 +149,25 @@ def test_the_native_queries_use_no_python_and_explode_once(spark):
     assert plan.count("Generate posexplode") == 1
     rules = qr.op10_quality_rules(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in rules and "Arrow" not in rules and "Pandas" not in rules
+
+
+def test_verdicts_equal_the_list_applied_by_hand(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    learnt = qr.fit(docs, spark.read.parquet(f"{SMALL}/labels.parquet"))
+    # a list of several rules, in which the order matters
+    by_hand = [[(0, ">", 300.0), (1, "<=", 1e9)], [(0, ">", 100.0)], [(1, ">", 0.2), (0, "<=", 60.0)]]
+    for rules in (learnt, by_hand, []):
+        names = list(qr.features())
+        judged = qr.judge(docs, rules)
+        rows = judged.select(*[c.alias(f"f_{k}") for k, c in qr.features().items()],
+                             "_q_base_failed", "_q_rule", "_q_kept").collect()
+        assert len(rows) == docs.count()
+        for r in rows:
+            value = [r[f"f_{k}"] for k in names]
+            first = 0
+            for number, rule in enumerate(rules, 1):
+                if all(value[f] > v if op == ">" else value[f] <= v for f, op, v in rule):
+                    first = number
+                    break
+            assert r._q_rule == first
+            assert r._q_kept == (not r._q_base_failed and first == 0)
