@@ -62,3 +62,31 @@ def test_held_out_is_the_remainder_of_the_checksum(spark):
     from pyspark.sql import functions as F
     got = spark.range(50).select("id", in_held_out(F.col("id")).alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in got)
+
+
+def test_toxicity_learns_from_every_row_not_a_sample(spark):
+    n = 5400                       # more than the 2500 a class that were once the most
+    rows = [(k, ("vile" if k % 2 else "kind") + f"{k // 2} " * 3) for k in range(n)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    free = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 5}
+    found = toxicity.dealt(toxicity.training_rows(docs, labels, "toxic"))
+    assert sorted(r.doc_id for r in found.select("doc_id").collect()) == sorted(free)
+    words = {i: t.split()[0] for i, t in rows}
+    pos, neg = toxicity.row_counts(found)
+    assert pos[2 * len(pos) // 3:].sum() == 2 * sum(words[i].startswith("vile") for i in free)   # stems: word, number
+    assert neg[2 * len(neg) // 3:].sum() == 2 * sum(words[i].startswith("kind") for i in free)
+
+
+def test_toxicity_mean_over_tasks_is_the_net_of_one(spark):
+    def dealt(tasks):              # equal rows, so that their order is no matter
+        rows = spark.sparkContext.parallelize([("awful words here", 1)] * 80 * tasks, tasks)
+        return spark.createDataFrame(rows, "text string, label int")
+    net = toxicity.Net()
+    (one, _), (two, _) = (toxicity.learn(dealt(tasks), net, {}, 3) for tasks in (1, 2))
+    assert abs(one.e - two.e).max() < 1e-6 and abs(one.e - net.e).max() > 1e-3 and abs(one.c - two.c) < 1e-6
+
+
+def test_thresholds_of_counted_outputs():
+    import numpy as np
+    assert toxicity.best_threshold(np.array([3., 1., 2.]), np.array([5., 0., 0.]), np.array([0., 2., 9.])) == 2.5

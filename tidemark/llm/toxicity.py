@@ -7,10 +7,16 @@ Filters of widths 1, 2 and 3 slide over the words; the largest
 activation of each filter over the whole text goes through a rectifier into a
 logistic output whose weights stay positive: what a text holds can raise its
 score, what it lacks can't. Training is plain gradient descent with Adagrad rates; the
-embeddings start from the log-odds of the hashed rows. On documents of the
-sample that training has not seen, the output is shifted so that 0.5 is the
-best threshold, and a threshold for each language is calibrated, for the
-column ``flagged``.
+embeddings start from the log-odds of the hashed rows.
+
+Every labelled document that is not held out is used: four fifths (by a hash of
+doc_id) are learned from, the others calibrate. The documents are dealt to tasks of
+about ``PART_BYTES`` of text. The log-odds come from one count over all of them. In each
+pass every task goes through its documents from the common net, and each parameter
+becomes the mean over the tasks that moved it; the driver holds the net alone. All
+calibration documents shift the output so that 0.5 is the best threshold, and those of
+a language give its threshold, for the column ``flagged``; outputs are counted in steps
+of 1 / ``STEPS``, so that a count has bounded size.
 
 Null and empty texts have no activation and score the bias. Documents of
 unseen or null language take the common threshold. Null labels are not learned
@@ -21,17 +27,22 @@ from; without labels of both classes every score is 0. The language is an input
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import in_held_out, labelled_sample, table, with_text_score
-from .text import Hasher, byte_classes, lowered, owners, slices, tokens
+from ..operators.gold import bounded_broadcast
+from .frames import dropped, in_held_out, table, with_text_score, written
+from .text import Hasher, byte_classes, owners, small_batches, text_buffers, tidy, tokens
 
 BITS = 17                      # rows in each third of the embedding table
 STEM = 4                       # bytes
 DIM, FILTERS, WIDTHS = 8, 8, (1, 2, 3)
-PER_CLASS = 2500               # bound on the documents of each class that are learned from
-EPOCHS, BATCH, RATE = 6, 32, 0.1
+PASSES, UPDATES = (2, 6), 40_000   # passes: enough for this many documents, within the bounds
+BATCH, RATE = 32, 0.1
+PART_BYTES = 48 << 20          # text that one task learns from in a pass
+CALIBRATION = 5                # every fifth document
+STEPS, FARTHEST = 1024, 30     # calibration outputs: steps of one, and the largest that are told apart
 CAUTION = 1e-3                 # squared slope that every rate starts with: rare words move little
 MIN_IN_LANGUAGE = 50           # fewer calibration documents: common threshold
 
@@ -57,17 +68,43 @@ class Net:
         self.u = np.abs(rng.normal(0, 0.3, FILTERS * len(WIDTHS))).astype(np.float32)
         self.c = 0.0
 
-    def start_from_log_odds(self, rows, first, y) -> None:
+    def start_from_log_odds(self, pos, neg, n_pos: int, n_neg: int) -> None:
         """Embedding 0 of each row: how much likelier it occurs in toxic documents,
-        shrunk where few documents tell."""
-        doc, n_pos, n_neg = owners(first), max(1, y.sum()), max(1, (1 - y).sum())
-        least = 1 / min(n_pos, n_neg)
-        for own in rows:
-            key = np.unique(own * len(y) + doc)
-            row, label = key // len(y), y[key % len(y)]
-            pos, neg = (np.bincount(row, w, minlength=len(self.e)) for w in (label, 1 - label))
-            odds = np.log((pos / n_pos + least) / (neg / n_neg + least)) * (pos + neg) / (pos + neg + 5)
-            self.e[:, 0] += 0.5 * odds
+        shrunk where few documents tell. ``pos``, ``neg``: documents of each row."""
+        least = 1 / max(1, min(n_pos, n_neg))
+        odds = np.log((pos / max(1, n_pos) + least) / (neg / max(1, n_neg) + least)) * (pos + neg) / (pos + neg + 5)
+        self.e[:, 0] += 0.5 * odds
+
+    def state(self, rates: dict) -> np.ndarray:
+        """All parameters in rows of ``DIM``, beside each row the totals its rates come from."""
+        def total(name, param):
+            return rates.get(name, np.full(param.shape, CAUTION, np.float32))
+        pairs = [(self.e, total("e", self.e))]
+        pairs += [(part, total(f"w{k}{o}", part)) for k, w in enumerate(self.w) for o, part in enumerate(w)]
+        pairs.append((self.u, total("u", self.u)))
+        pairs.append((np.full(DIM, self.c, np.float32), np.full(DIM, rates.get("steps", 0), np.float32)))
+        return np.concatenate([np.hstack([p.reshape(-1, DIM), t.reshape(-1, DIM)]) for p, t in pairs])
+
+    @classmethod
+    def of_state(cls, state: np.ndarray) -> tuple[Net, dict]:
+        """A net and its rates, copied from :meth:`state`."""
+        net, rates, at = cls.__new__(cls), {}, 0
+
+        def take(rows, shape):
+            nonlocal at
+            own = state[at:at + rows].astype(np.float32)
+            at += rows
+            return own[:, :DIM].reshape(shape).copy(), own[:, DIM:].reshape(shape).copy()
+        net.e, rates["e"] = take(3 << BITS, (3 << BITS, DIM))
+        net.w = []
+        for k, v in enumerate(WIDTHS):
+            parts = [take(DIM, (DIM, FILTERS)) for _ in range(v)]
+            net.w.append(np.stack([p for p, _ in parts]))
+            rates |= {f"w{k}{o}": t for o, (_, t) in enumerate(parts)}
+        net.u, rates["u"] = take(FILTERS * len(WIDTHS) // DIM, -1)
+        c, steps = take(1, -1)
+        net.c, rates["steps"] = float(c[0]), float(steps[0])
+        return net, rates
 
     def activations(self, rows) -> tuple[np.ndarray, np.ndarray]:
         """Embeddings with zeros after the end, and all filters at each word."""
@@ -133,16 +170,15 @@ class Net:
         move("u", self.u, grad_u)
         np.maximum(self.u, 0, out=self.u)
         self.c -= RATE * float(miss.sum())
+        rates["steps"] = rates.get("steps", 0) + 1
 
 
-def best_threshold(outputs: np.ndarray, y: np.ndarray) -> float:
+def best_threshold(values: np.ndarray, pos: np.ndarray, neg: np.ndarray) -> float:
     """The middle of the widest gap among the thresholds with the fewest weighted
-    errors; both classes weigh the same."""
-    order = np.argsort(outputs, kind="stable")
-    o, t = outputs[order], y[order]
-    weight = np.where(t == 1, 1 / max(1, t.sum()), 1 / max(1, (1 - t).sum()))
-    errors = np.concatenate([[0], np.cumsum(np.where(t == 1, weight, 0))]) + np.concatenate(
-        [np.cumsum(np.where(t == 0, weight, 0)[::-1])[::-1], [0]])
+    errors; both classes weigh the same. ``pos``, ``neg``: documents with each output."""
+    order = np.argsort(values, kind="stable")
+    o, pos, neg = values[order], pos[order] / max(1, pos.sum()), neg[order] / max(1, neg.sum())
+    errors = np.concatenate([[0], np.cumsum(pos)]) + np.concatenate([np.cumsum(neg[::-1])[::-1], [0]])
     bounds = np.concatenate([[o[0] - 2], o, [o[-1] + 2]])
     gap = np.diff(bounds)
     gap[errors > errors.min() + 1e-9] = -1
@@ -150,62 +186,129 @@ def best_threshold(outputs: np.ndarray, y: np.ndarray) -> float:
     return float((bounds[k] + bounds[k + 1]) / 2)
 
 
-def _join(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    return (np.frombuffer(b"".join(texts), np.uint8),
-            np.concatenate([[0], np.cumsum([len(x) for x in texts])]).astype(np.int64))
+def training_rows(docs: DataFrame, labels: DataFrame, target: str) -> DataFrame:
+    """(doc_id, text, label, lang) of every labelled document that is not held out."""
+    known = (labels.select("doc_id", F.col(target).cast("int").alias("label")).dropna()
+             .filter(F.col("label").isin(0, 1) & ~in_held_out(F.col("doc_id"))).dropDuplicates())
+    lang = F.col("lang") if "lang" in docs.columns else F.lit(None)
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), lang.cast("string").alias("lang"))
+    return texts.join(bounded_broadcast(known), "doc_id").select("doc_id", "text", "label", "lang")
 
 
-def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", per_class: int = PER_CLASS,
-        seed: int = 11) -> tuple[Net | None, dict[str, float]]:
-    """The net and the languages' thresholds, from at most ``per_class`` documents of
-    each class that are not held out; every fifth of these calibrates."""
-    also = ("lang",) if "lang" in docs.columns else ()
-    rows = labelled_sample(docs, labels, target, per_class, also=also).orderBy("doc_id").collect()
-    return fit_rows(rows, seed)
+def dealt(rows: DataFrame) -> DataFrame:
+    """``rows`` written in parts of about ``PART_BYTES`` of text, in an order that the label has
+    no part in; ``calibrates`` marks the documents that are not learned from."""
+    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    own = rows.withColumn("_deal", F.xxhash64("doc_id"))
+    own = own.withColumn("calibrates", F.pmod(F.xxhash64("_deal"), F.lit(CALIBRATION)) == 0)
+    return written(own.repartition(int(size // PART_BYTES) + 1, "_deal")
+                   .sortWithinPartitions("_deal", "doc_id", "text", "label"), "toxicity-rows")
 
 
-def fit_rows(rows: list, seed: int = 11) -> tuple[Net | None, dict[str, float]]:
-    """The net and the thresholds from rows (text, label, lang)."""
-    if len({r.label for r in rows}) < 2:
-        return None, {}
-    rows = [rows[k] for k in np.random.default_rng(seed).permutation(len(rows))]
+def _slices_of(batches):
+    """(rows of the words, first word of each document, labels) of slices of the batches."""
     hasher, classes = Hasher(), byte_classes(symbols=True)
-
-    def cut(some):
-        buf, off = _join(lowered([r.text for r in some]))
-        parts = [word_rows(buf[off[i]:off[j]], off[i:j + 1] - off[i], hasher, classes) for i, j in slices(off)]
-        return (np.concatenate([p[0] for p in parts], axis=1),
-                np.concatenate([[0], np.cumsum(np.concatenate([np.diff(p[1]) for p in parts]))]))
-    learn, hold = [r for k, r in enumerate(rows) if k % 5], [r for k, r in enumerate(rows) if k % 5 == 0]
-    y = np.array([r.label for r in learn], np.float32)
-    rows_of, first = cut(learn)
+    for batch in small_batches(batches):
+        label = batch.column("label").to_numpy(zero_copy_only=False).astype(np.float32)
+        yield *word_rows(*text_buffers(batch.column("text"), lower=True), hasher, classes), label
+
+
+def row_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Documents of label 1 and of label 0 that each table row occurs in, over all ``rows``."""
+    @tidy
+    def run(batches):
+        counts = np.zeros((2, 3 << BITS), np.int64)
+        for own, first, label in _slices_of(batches):
+            doc, n = owners(first), len(label)
+            for part in own:
+                key = np.unique(part * n + doc)
+                for k in (0, 1):
+                    counts[k] += np.bincount(key[label[key % n] == k] // n, minlength=3 << BITS)
+        at = np.flatnonzero(counts.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (at, counts[1][at], counts[0][at])],
+                                         names=["slot", "pos", "neg"])
+    found = (rows.select("text", "label").mapInArrow(run, "slot long, pos long, neg long")
+             .groupBy("slot").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).toArrow())
+    out = np.zeros((2, 3 << BITS))
+    for k, name in enumerate(("pos", "neg")):
+        out[k][found["slot"].to_numpy()] = found[name].to_numpy()
+    return out[0], out[1]
+
+
+def learn(rows: DataFrame, net: Net, rates: dict, seed: int) -> tuple[Net, dict]:
+    """One pass over all ``rows``: each task goes on from ``net`` with its own documents, and
+    each row of parameters becomes the mean over the tasks that moved it."""
+    state = net.state(rates)
+    shared, names = rows.sparkSession.sparkContext.broadcast(state), [f"v{k}" for k in range(2 * DIM)]   # 25 MB
+
+    @tidy
+    def run(batches):
+        own_net, own_rates = Net.of_state(shared.value)
+        rng = np.random.default_rng(seed)
+        for own, first, label in _slices_of(batches):
+            order = rng.permutation(len(label))
+            for b in range(0, len(order), BATCH):
+                pick = order[b:b + BATCH]
+                words = np.concatenate([np.arange(first[d], first[d + 1]) for d in pick])
+                starts = np.concatenate([[0], np.cumsum(first[pick + 1] - first[pick])])
+                own_net.step(own[:, words], starts, label[pick], own_rates)
+        after = own_net.state(own_rates)
+        at = np.flatnonzero((after != shared.value).any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(at), *[pa.array(v) for v in after[at].T.copy()]],
+                                         names=["slot", *names])
+    moved = (rows.select("text", "label").mapInArrow(run, "slot long, " + ", ".join(f"{n} float" for n in names))
+             .groupBy("slot").agg(*[F.avg(n).cast("float").alias(n) for n in names]).toArrow())
+    shared.destroy()
+    state[moved["slot"].to_numpy()] = np.stack([moved[n].to_numpy() for n in names], axis=1)
+    return Net.of_state(state)
+
+
+def calibration(rows: DataFrame, net: Net) -> tuple[float, dict[str, float]]:
+    """The common threshold of the outputs, and each language's for the shifted scores, from
+    the counts of all ``rows`` by language and output."""
+    out = F.greatest(F.lit(-FARTHEST), F.least(F.lit(FARTHEST), F.col("output")))
+    counts = written(_with_outputs(rows.select("text", "label", "lang"), net, "output")
+                     .groupBy("lang", F.round(out * STEPS).cast("long").alias("step"))
+                     .agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")),
+                     "toxicity-outputs")
+    both = counts.groupBy("step").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).toArrow()
+
+    def best(found) -> float:
+        return best_threshold(*(found[c].to_numpy().astype(float) for c in ("step", "pos", "neg"))) / STEPS
+    common = best(both) if min(sum(both["pos"].to_pylist()), sum(both["neg"].to_pylist())) else 0.0
+
+    def of_language(found: pa.Table) -> pa.Table:
+        return pa.table({"lang": found["lang"][:1], "threshold": pa.array([best(found)])})
+    ample = (counts.groupBy("lang").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+             .filter((F.col("lang") != "") & (F.least("p", "n") > 0) & (F.col("p") + F.col("n") >= MIN_IN_LANGUAGE)))
+    chosen = (counts.join(ample, "lang").select("lang", "step", "pos", "neg")
+              .groupBy("lang").applyInArrow(of_language, "lang string, threshold double").collect())
+    dropped(counts)
+    return common, {r.lang: float(1 / (1 + np.exp(common - r.threshold))) for r in chosen}
+
+
+def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", seed: int = 11
+        ) -> tuple[Net | None, dict[str, float]]:
+    """The net and the languages' thresholds, from all labelled documents that are not held
+    out; every fifth of these (by a hash of doc_id) calibrates."""
+    rows = dealt(training_rows(docs, labels, target))
+    learned = rows.filter(~F.col("calibrates"))
+    n = {r.label: r.n for r in learned.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if not (n.get(0) and n.get(1)):
+        dropped(rows)
+        return None, {}
     net, rates = Net(), {}
-    net.start_from_log_odds(rows_of, first, y)
-    rng = np.random.default_rng(seed)
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(learn))
-        for b in range(0, len(order), BATCH):
-            pick = order[b:b + BATCH]
-            words = np.concatenate([np.arange(first[d], first[d + 1]) for d in pick])
-            starts = np.concatenate([[0], np.cumsum(first[pick + 1] - first[pick])])
-            net.step(rows_of[:, words], starts, y[pick], rates)
-    out, truth = net.outputs(*cut(hold)), np.array([r.label for r in hold])
-    common = best_threshold(out, truth) if len(set(truth)) == 2 else 0.0
+    net.start_from_log_odds(*row_counts(learned), n[1], n[0])
+    for k in range(min(PASSES[1], max(PASSES[0], -(-UPDATES // sum(n.values()))))):
+        net, rates = learn(learned, net, rates, seed + k)
+    common, by_language = calibration(rows.filter("calibrates"), net)
+    dropped(rows)
     net.c -= common
-    out = out - common
-    by_language = {}
-    langs = np.array([getattr(r, "lang", None) or "" for r in hold])
-    for name in np.unique(langs):
-        mine = langs == name
-        if name and mine.sum() >= MIN_IN_LANGUAGE and len(set(truth[mine])) == 2:
-            by_language[str(name)] = float(1 / (1 + np.exp(-best_threshold(out[mine], truth[mine]))))
     return net, by_language
 
 
-def score_documents(docs: DataFrame, net: Net | None, name: str = "score") -> DataFrame:
-    """``docs`` with the score of every whole text."""
-    if net is None:
-        return docs.withColumn(name, F.lit(0.0))
+def _with_outputs(docs: DataFrame, net: Net, name: str, finish=lambda out: out) -> DataFrame:
+    """``docs`` with the net's output for every whole text, put through ``finish``."""
     shared = docs.sparkSession.sparkContext.broadcast((net.e, net.w, net.u, net.c))   # 12 MB
 
     def make_scorer():
@@ -213,12 +316,18 @@ def score_documents(docs: DataFrame, net: Net | None, name: str = "score") -> Da
         own.e, own.w, own.u, own.c = shared.value
 
         def score(buf, off):
-            out = own.outputs(*word_rows(buf, off, hasher, classes)).astype(float)
-            return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
+            return finish(own.outputs(*word_rows(buf, off, hasher, classes)).astype(float))
         return score
     return with_text_score(docs, make_scorer, name, lower=True)
 
 
+def score_documents(docs: DataFrame, net: Net | None, name: str = "score") -> DataFrame:
+    """``docs`` with the score of every whole text."""
+    if net is None:
+        return docs.withColumn(name, F.lit(0.0))
+    return _with_outputs(docs, net, name, lambda out: 1 / (1 + np.exp(-np.clip(out, -30, 30))))
+
+
 def language_threshold(lang: Column, thresholds: dict[str, float]) -> Column:
     out = F.lit(0.5)
     for name, t in sorted(thresholds.items()):
