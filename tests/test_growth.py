@@ -1,8 +1,12 @@
 """Steps whose time or memory once grew too fast on large tables."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidemark.operators import quality
+from tidemark.plans import rulesets
 from tidemark.sources import driver_tables as dt
+from tidemark.sources.csv import cell_kind
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -13,3 +17,19 @@ def test_merged_lines_take_more_tasks_as_they_grow(spark, monkeypatch):
     per_task = [r["count"] for r in lines.groupBy(F.spark_partition_id()).count().collect()]
     assert len(per_task) > 3 * spark.sparkContext.defaultParallelism and max(per_task) < 400
     assert lines.count() == lines.select("order_id", "product_id").distinct().count()
+
+
+def test_no_cast_that_must_fail_is_tried(spark):
+    assert "as int" not in str(cell_kind(F.col("c"))).lower()
+    schema = T.StructType([T.StructField("order_id", T.DateType()), T.StructField("product_id", T.TimestampType()),
+                           T.StructField("add_to_cart_order", T.LongType()), T.StructField("reordered", T.IntegerType())])
+    df = spark.range(3).selectExpr("DATE'2020-01-01' AS order_id", "TIMESTAMP'2020-01-01 00:00:00' AS product_id",
+                                   "CASE id WHEN 0 THEN -5L WHEN 1 THEN 3000000000L ELSE -3000000000L END "
+                                   "AS add_to_cart_order", "0 AS reordered")
+    assert [f.name for f in df.schema] == [f.name for f in schema]
+    value = quality._typed(df, rulesets.order_products_rules())
+    assert not any("try_cast" in value(c).lower() for c in ("order_id", "product_id", "add_to_cart_order"))
+    found = {(r.rule_kind, r.column_name): r.violations
+             for r in quality.collect_results(df, rulesets.order_products_rules())}
+    assert found["positive", "order_id"] == 0 and found["positive", "product_id"] == 0
+    assert found["positive", "add_to_cart_order"] == 1
