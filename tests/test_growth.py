@@ -6,7 +6,8 @@ from pyspark.sql import types as T
 from tidemark.operators import quality
 from tidemark.plans import rulesets
 from tidemark.sources import driver_tables as dt
-from tidemark.sources.csv import cell_kind
+from tidemark.sources import registry
+from tidemark.sources.csv import cell_kind, read_source
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -19,6 +20,22 @@ def test_merged_lines_take_more_tasks_as_they_grow(spark, monkeypatch):
     assert lines.count() == lines.select("order_id", "product_id").distinct().count()
 
 
+def test_zones_share_one_computation(spark, workdir, monkeypatch):
+    calls, whole = [], dt.sequence_within
+    monkeypatch.setattr(dt, "sequence_within", lambda *a: calls.append(a) or whole(*a))
+    dt.write_raw_zones(spark, SMALL, {f"{workdir}/old": 700, f"{workdir}/all": None})
+    assert len(calls) == 1
+    for spec in registry.REGISTRY.values():
+        want = dt.TABLES[spec.table](spark, SMALL, "clean")
+        for zone in ("old", "all"):
+            if zone == "old" and spec.kind == "transaction":
+                want_here = want.filter("order_id <= 700")
+            else:
+                want_here = want
+            got = read_source(spark, spec, f"{workdir}/{zone}")
+            assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want_here.collect()))
+
+
 def test_no_cast_that_must_fail_is_tried(spark):
     assert "as int" not in str(cell_kind(F.col("c"))).lower()
     schema = T.StructType([T.StructField("order_id", T.DateType()), T.StructField("product_id", T.TimestampType()),
