@@ -47,6 +47,7 @@ GRAM = 3
 BLOCK = 16
 LEAST_STRIDE = 32
 ITEMS_PER_PASS, PASS_BYTES = 20_000, 8 << 20
+SLICE = 1 << 18                # bytes of text searched at once: a worker holds some fifty times as much
 CELLS_AT_ONCE = 200_000        # passages times blocks that are bounded at once
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -250,7 +251,7 @@ def _searched(docs: DataFrame, index: Index, threshold: float) -> tuple[DataFram
         for batch in small_batches(batches):
             buf, off = text_buffers(batch.column("text"), lower=True)
             found = [dict() for _ in range(len(batch))]
-            for i, j in slices(off):
+            for i, j in slices(off, SLICE):
                 h, first = words(buf[off[i]:off[j]], off[i:j + 1] - off[i])
                 for d, item, score, begin, stop in index.search(h, first, threshold):
                     q, a, all_ = index.overlap(item, h[begin:stop])

@@ -48,7 +48,7 @@ BANDS, ROWS = 24, 4
 ROUNDS = 2
 BITMAP = 2048                  # bits
 STEP = np.uint64(0x9E3779B97F4A7C15)
-SLICE = 1 << 20                # bytes of text worked on at once
+SLICE = 1 << 18                # bytes of text worked on at once
 
 
 def shingle_hashes(buf, off, hasher, classes, size: int = WORDS):

@@ -210,7 +210,9 @@ def pack(docs: DataFrame, max_len: int = MAX_LEN, end_id: int = END_ID, vocabula
     pieces = written(cut.withColumn("_pid", F.spark_partition_id()), "pack-pieces")
     histogram = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     rows = plan_rows(plan(histogram, max_len))             # bounded by the number of patterns
-    places = spark.createDataFrame(rows, "length long, rank_from long, rank_end long, sequence long, offset long")
+    # as Arrow: rows of Python objects would need Python workers of another kind, which stay beside the others
+    names = ["length", "rank_from", "rank_end", "sequence", "offset"]
+    places = spark.createDataFrame(pa.table(dict(zip(names, np.array(rows, np.int64).reshape(-1, 5).T))))
     ranked = numbered(pieces, ["length"], ["doc_id", "piece", "ids_crc32"], "rank")
     return (ranked.join(F.broadcast(places), "length")
             .filter((F.col("rank") >= F.col("rank_from")) & (F.col("rank") < F.col("rank_end")))

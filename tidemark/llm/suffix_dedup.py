@@ -50,6 +50,8 @@ GRAM = 20
 LEFT = SPAN - GRAM             # bytes of context before an anchor
 BUCKETS_PER_PARTITION = 4
 CUT_BYTES = 2 << 20            # text whose contexts are cut at once
+HASHED_BYTES = 1 << 18         # text whose grams are hashed at once
+ROWS_AT_ONCE = 1 << 13         # contexts whose bytes are copied at once: eight bytes of index each
 ANCHORS_AT_ONCE = 1 << 19      # anchors that a task holds before it deals them
 HOT = 1 << 16                  # anchors of a gram from which on its contexts are dealt by window
 HOT_GRAMS = 1 << 20            # at most so many grams are hot; beyond, HOT grows with the input
@@ -173,7 +175,7 @@ def _anchor_blobs(buckets: int):
             buf, off = text_buffers(batch.column("text"))
             ids, crc = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "crc"))
             parts, held = [], 0
-            for i, j in slices(off, 1 << 20):
+            for i, j in slices(off, HASHED_BYTES):
                 at, g, doc = anchors(buf[off[i]:off[j]], off[i:j + 1] - off[i], hasher)
                 parts.append((g, doc + i, (at - (off[i:j] - off[i])[doc]).astype(np.uint32)))
                 held += len(g)
@@ -258,6 +260,18 @@ def _documents(batches):
                 yield doc, crc, b"".join(found), zstandard.ZstdDecompressor().decompress(body), rest
 
 
+def context_rows(buf: np.ndarray, start: np.ndarray, ahead: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """The bytes from ``LEFT`` before to ``SPAN`` from each start on, 0 beyond ``ahead`` and ``after``."""
+    place = np.arange(-LEFT, SPAN)
+    rows = np.empty((len(start), LEFT + SPAN), np.uint8)
+    for a in range(0, len(start), ROWS_AT_ONCE):
+        some = np.s_[a:a + ROWS_AT_ONCE]
+        part = buf[np.clip(start[some, None] + place, 0, len(buf) - 1)]
+        part[(place < -ahead[some, None]) | (place >= after[some, None])] = 0
+        rows[some] = part
+    return rows
+
+
 def _context_blobs(buckets: int, hot):
     width = LEFT + SPAN
 
@@ -269,23 +283,25 @@ def _context_blobs(buckets: int, hot):
         doc = np.repeat(np.arange(len(docs)), [len(x) for x in at])
         at = np.concatenate(at)
         ahead, after = np.minimum(at, LEFT), np.minimum(size[doc] - at, SPAN)
-        where = (at + off[doc])[:, None] + np.arange(-LEFT, SPAN)
-        rows = buf[np.clip(where, 0, len(buf) - 1)]
-        place = np.arange(-LEFT, SPAN)
-        rows[(place < -ahead[:, None]) | (place >= after[:, None])] = 0
-        del where                                          # eight times the size of rows
-        h = hasher.prefix(buf)
-        g = hasher.spans(h, at + off[doc], at + off[doc] + GRAM)
+        start = at + off[doc]
+        rows = context_rows(buf, start, ahead, after)
         ids, crc = (np.array([d[k] for d in docs], np.int64) for k in (0, 1))
-        ids, crc, start = ids[doc], crc[doc].astype(np.uint32), at + off[doc]
+        ids, crc = ids[doc], crc[doc].astype(np.uint32)
         room = (ahead * 256 + after).astype(np.uint16)
         offsets = np.arange(LEFT + 1)
         fits = (offsets <= ahead[:, None]) & (SPAN - offsets <= after[:, None])
-        key = hasher.spans(h, start - ahead, start + after) ^ mix(room.astype(np.uint64))
-        done = smallest_twins(key, ids, rows)
+        g, key = np.zeros(len(rows), np.uint64), np.zeros(len(rows), np.uint64)
+        for i, j in slices(np.append(off, len(buf)), HASHED_BYTES):
+            own, first = np.s_[np.searchsorted(doc, i):np.searchsorted(doc, j)], off[i]
+            h = hasher.prefix(buf[first:off[j - 1] + size[j - 1]])
+            g[own] = hasher.spans(h, start[own] - first, start[own] - first + GRAM)
+            key[own] = hasher.spans(h, start[own] - first - ahead[own], start[own] - first + after[own])
+        done = smallest_twins(key ^ mix(room.astype(np.uint64)), ids, rows)
         mask = np.zeros(len(rows), np.uint32)
-        mask[done] = (fits[done].astype(np.uint32) << offsets.astype(np.uint32)).sum(axis=1, dtype=np.uint32)
+        for o in offsets:
+            mask[done & fits[:, o]] |= np.uint32(1 << o)
         apart = ~done & np.isin(g & GRAM_BITS, hot.value)
+        h = hasher.prefix(buf) if apart.any() else None
         parts, held = [], 0
         for o in range(LEFT + 1) if apart.any() else ():   # the windows of hot grams
             on = np.flatnonzero(apart & fits[:, o])
